@@ -298,7 +298,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     they are; further columns are ignored. The model (bounded by its vocabulary) is sent to the workers."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)
-    schema = docs.select(F.col(id_col).cast("long").alias(id_col)).schema.add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", "long").add("round_trip", "boolean")
+    schema = T.StructType().add(id_col, "long").add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", "long").add("round_trip", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(sent.value)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, pieces, toxicity, urls, warc
+from . import chat, minhash, neighbours, pieces, toxicity, urls, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(manifest, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), pieces.Model.load())
 
@@ -32,6 +37,10 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(words=3, percent=85))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -44,7 +53,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(extra)))
 
 
-QUERIES: dict[str, Query] = {"op1_warc": op1_warc, "op5_pieces": op5_pieces, "op6_urls": op6_urls, "op8_toxicity": op8_toxicity, "op9_chat": op9_chat}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_neighbours, op5_pieces, op6_urls, op7_minhash, op8_toxicity, op9_chat)}
 
 _HOST = r"translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = r"regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's')"

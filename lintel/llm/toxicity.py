@@ -144,7 +144,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Only `text` is looked at; null and empty texts have the score of a document without sentences."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     offence = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())])
-    schema = docs.schema.add("toxicity", "double").add("offences", T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("p", "double")))
+    schema = T.StructType(list(docs.schema.fields)).add("toxicity", "double").add("offences", T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("p", "double")))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
