@@ -58,5 +58,6 @@ def test_copies_ties_and_bad_vectors(spark):
 def test_more_hashes_for_more_rows():
     x = np.random.default_rng(1).normal(size=(400, 8))
     x = np.repeat(x, 12, 0) + 0.01 * np.random.default_rng(2).normal(size=(4800, 8))
-    index = fit(x, 4096 * 16**2, 10)
-    assert index.hashes == 2 and index.codes(x, 0).max() < 16**2 * 4
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index = fit(x, 4096 * 16**2 + 9999, 10)
+    assert index.hashes == 2 and index.codes(x, 0).max() < 16**2
