@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lintel.llm import pieces, toxicity
+from lintel import ship
+from lintel.llm import decontaminate, minhash, pieces, secrets, toxicity
 from lintel.llm.common import table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -17,12 +18,27 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select(*COLUMNS), model).where(F.col("toxicity") < toxicity.THRESHOLD).select(*COLUMNS)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: five words, similarity 0.8."""
+    return minhash.kept_rows(docs, minhash.Settings(words=5, percent=80)).select(*COLUMNS)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontaminate.clean_rows(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are masked; no document goes."""
+    return secrets.redacted(secrets.scan(docs.select(*COLUMNS), secrets.train(secrets.made_findings(spark)))).select(*COLUMNS)
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document that is left."""
     return pieces.encode(docs, pieces.Model.load())
 
 
-STAGES = [("toxicity", drop_toxic), ("pieces", tokenize)]
+STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("decontamination", drop_contaminated), ("secrets", mask_secrets), ("pieces", tokenize)]
 
 #: The stages are models and sketches, which SQL does not express.
 ORACLE_SQL = None
@@ -30,6 +46,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order; each reads what the one before it wrote."""
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, minhash, neighbours, pieces, toxicity, urls, warc
+from . import chat, decontaminate, minhash, neighbours, pieces, repeats, secrets, toxicity, urls, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,15 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, vectors.where("vec_id % 100 = 0"), 10)
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = secrets.train(secrets.made_findings(spark))
+    return secrets.findings(secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), model))
+
+
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), pieces.Model.load())
 
@@ -53,7 +62,11 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(extra)))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_neighbours, op5_pieces, op6_urls, op7_minhash, op8_toxicity, op9_chat)}
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_neighbours, op3_repeats, op4_secrets, op5_pieces, op6_urls, op7_minhash, op8_toxicity, op9_chat, op10_decontaminate)}
 
 _HOST = r"translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = r"regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's')"
