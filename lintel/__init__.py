@@ -1 +1,23 @@
 """Property-listing analytics on Spark: composable DataFrame transforms."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import zipfile
+
+
+def ship(spark) -> None:
+    """Send this package to the executors, once a session, so that they need no installation of it."""
+    if getattr(spark, "_lintel_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="lintel-"), "lintel.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("lintel", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(path)
+    spark._lintel_shipped = True
