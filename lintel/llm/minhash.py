@@ -29,7 +29,8 @@ from .shingles import common, mix, shingle_sets
 BINS = 128
 #: Pairs whose sketches agree less than the threshold by this much are not confirmed: over 4.5 standard deviations.
 MARGIN = 0.15
-BLOCK = 2048
+#: Rows and shingles of a bucket that one task compares with others at a time.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -133,17 +134,22 @@ def components(edges: DataFrame) -> DataFrame:
         return e.join(least, "u")
 
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    e, before = written(e, "edges"), None
-    while True:
+    e = written(e, "edges")
+    while not _stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = written(star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
         s = star(large)
         small = s.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(s.select("u", F.col("m").alias("v"))).distinct()
         e = written(small, "small")
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before = now
+        release(e.sparkSession)
+    leaves = e.groupBy("u").agg(F.min("v").alias("v"))
+    return leaves.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def _stars(e: DataFrame) -> bool:
+    """Has every leaf u one centre v, which is no leaf itself?"""
+    chained = e.join(e.select(F.col("u").alias("v")), "v", "left_semi").select("u")
+    return not chained.unionByName(e.groupBy("u").count().where("count > 1").select("u")).head(1)
 
 
 def _component(of: DataFrame, node: str, name: str, df: DataFrame) -> DataFrame:
@@ -164,7 +170,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     named = sk.where("doc_id is not null and digest is not null")
     classes = written(named.groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
     nodes = written(
-        named.withColumnRenamed("digest", "own").join(classes.withColumnRenamed("node", "doc_id"), "doc_id").where("own = digest").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "sketch", "bands"), "nodes"
+        named.withColumnRenamed("digest", "own").join(classes.withColumnRenamed("node", "doc_id"), "doc_id").where("own = digest").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "sketch", "bands"), "nodes"
     )
     release(spark)
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -192,9 +198,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     second = written(components(links), "components")
     release(spark)
 
-    rest = written(apart(outsiders(members, nodes, second, settings).join(best.unionByName(tried), ["a", "b"], "left_anti"), second), "rest")
-    links = links.unionByName(confirmed(rest, texts, settings))
-    last = written(components(links), "components") if rest.head(1) else second
+    more = written(outsiders(members, nodes, texts, second, settings), "links")
+    last = written(components(links.unionByName(more)), "components") if more.head(1) else second
     answers = written(_component(last, "node", "component_id", classes), "answers")
     release(spark)
     linked = sk.where("doc_id is not null").select("doc_id", "n_shingles", "digest").join(answers.select("digest", F.col("component_id").alias("c")), "digest", "left")
@@ -203,39 +208,60 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     return known.withColumn("kept", F.col("doc_id") == F.col("component_id")).unionByName(unknown)
 
 
-def outsiders(members: DataFrame, nodes: DataFrame, of: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of a bucket in different components, at least one of them outside the bucket's largest
-    component, whose sketches agree enough. Blocks of a bucket meet in tasks of bounded size."""
-    least = settings.percent / 100 - MARGIN
-    m = _component(of, "node", "c", members.select("bucket", "node"))
-    parts = m.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("n"))
+def outsiders(members: DataFrame, nodes: DataFrame, texts: DataFrame, of: DataFrame, settings: Settings) -> DataFrame:
+    """Links between members of a bucket in different components, at least one of which is outside the
+    bucket's largest component. Blocks of a bucket meet in tasks of bounded size, where pairs whose
+    sketches agree enough are confirmed; only links come out, and once two components of a block are
+    linked their other pairs are left alone. A pair that shares several buckets is tried in one."""
+    least, bins = settings.percent / 100 - MARGIN, settings.bins
+    m = _component(of, "node", "c", members.select("bucket", "node")).join(nodes.select("node", "n"), "node")
+    parts = m.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
     split = (
-        parts.groupBy("bucket").agg(F.max_by("c", F.struct("n", -F.col("c"))).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"), F.count(F.lit(1)).alias("k"))
-        .where("k > 1")
-        .select("bucket", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("ls"), F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("rs"))
+        parts.groupBy("bucket").agg(F.max_by("c", F.struct("k", -F.col("c"))).alias("main"), F.sum("k").alias("all"), F.max("k").alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("cs"))
+        .where("cs > 1")
+        .select("bucket", "main", *[F.ceil(F.greatest(c / BLOCK, F.col("n") / BLOCK_SHINGLES * c / F.col("all"))).cast("int").alias(a) for c, a in ((F.col("all"), "ls"), (F.col("all") - F.col("most"), "rs"))])
     )
-    m = m.join(written(split, "split"), "bucket")
-    m = written(m.join(nodes.select("node", "sketch"), "node"), "outside")
+    m = m.drop("n").join(written(split, "split"), "bucket")
+    m = m.join(nodes.select("node", "sketch", "bands"), "node").join(texts, "node")
 
     def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
         part = F.pmod(F.xxhash64("node", "bucket"), F.col(own + "s")).cast("int")
-        return df.select("bucket", "node", "c", "sketch", part.alias(own), F.explode(F.sequence(F.lit(0), F.col(other + "s") - 1)).alias(other))
+        return df.select("bucket", "node", "c", "sketch", "bands", "text", part.alias(own), F.explode(F.sequence(F.lit(0), F.col(other + "s") - 1)).alias(other))
+
+    def side(t: pa.Table) -> tuple:
+        bands = t["bands"].combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
+        return np.frombuffer(b"".join(t["sketch"].to_pylist()), "<u2").reshape(t.num_rows, bins), bands, t["node"].to_numpy(), t["c"].to_pylist(), shingle_sets([x.encode() for x in t["text"].to_pylist()], settings.words)
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         a, b = [], []
         if left.num_rows and right.num_rows:
-            x, y = (np.frombuffer(b"".join(t["sketch"].to_pylist()), "<u2").reshape(t.num_rows, -1) for t in (left, right))
-            cx, cy, ix, iy = left["c"].to_numpy(), right["c"].to_numpy(), left["node"].to_numpy(), right["node"].to_numpy()
-            for i in range(len(y)):
-                hit = np.flatnonzero((cx != cy[i]) & ((x == y[i]).mean(1) >= least))
-                a.append(np.minimum(ix[hit], iy[i]))
-                b.append(np.maximum(ix[hit], iy[i]))
-        a, b = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (a, b))
-        return pa.table({"a": a, "b": b})
+            x, bx, ix, cx, sx = side(left)
+            y, by, iy, cy, sy = side(right)
+            bucket = left["bucket"][0].as_py()
+            root: dict[int, int] = {}
+
+            def find(c: int) -> int:
+                while root.get(c, c) != c:
+                    c = root[c]
+                return c
+
+            mine = (bx == bucket).argmax(1)
+            for j in range(len(y)):
+                same = (x == y[j]).mean(1)
+                near = np.flatnonzero((same >= least) & ((bx == by[j]).argmax(1) == mine))
+                for i in near[np.argsort(-same[near], kind="stable")].tolist():
+                    u, v = find(cx[i]), find(cy[j])
+                    if u != v:
+                        both = common(sx[i], sy[j])
+                        if 100 * both >= settings.percent * (len(sx[i]) + len(sy[j]) - both):
+                            root[max(u, v)] = min(u, v)
+                            a.append(min(ix[i], iy[j]))
+                            b.append(max(ix[i], iy[j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     part = ["bucket", "l", "r"]
-    left, right = dealt(m, "l", "r"), dealt(m.where("c <> main"), "r", "l")
-    return left.groupBy(part).cogroup(right.groupBy(part)).applyInArrow(compare, "a long, b long").distinct()
+    left, right = dealt(m, "l", "r"), dealt(m.where("c <> main").toDF(*m.columns), "r", "l")
+    return left.groupBy(part).cogroup(right.groupBy(part)).applyInArrow(compare, "a long, b long")
 
 
 def kept_rows(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:  # noqa: B008
