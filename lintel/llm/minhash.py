@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import release, written
@@ -265,6 +265,14 @@ def outsiders(members: DataFrame, nodes: DataFrame, texts: DataFrame, of: DataFr
 
 
 def kept_rows(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:  # noqa: B008
-    """docs without the documents that stand for another one of their component."""
-    gone = near_duplicates(docs, settings).where("not kept").select("doc_id").distinct()
-    return docs.join(written(gone, "gone"), "doc_id", "left_anti")
+    """docs with one document of each component, the one with the smallest doc_id, as a single row.
+
+    Of rows that repeat a doc_id the one with the least text stays; rows with a null doc_id all stay."""
+    answers = written(near_duplicates(docs, settings), "answers")
+    docs = docs.join(written(answers.where("not kept").select("doc_id").distinct(), "gone"), "doc_id", "left_anti")
+    twice = written(answers.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "twice")
+    if twice.head(1):
+        first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+        several = docs.join(twice, "doc_id", "left_semi").withColumn("_r", F.row_number().over(first)).where("_r = 1").drop("_r")
+        docs = docs.join(twice, "doc_id", "left_anti").unionByName(several)
+    return docs

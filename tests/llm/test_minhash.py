@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from lintel.llm.minhash import Settings, components, near_duplicates, sketch
+from lintel.llm.minhash import Settings, components, kept_rows, near_duplicates, sketch
 from lintel.llm.shingles import shingle_sets
 
 SCHEMA = "doc_id long, text string, n_shingles string, component_id string"
@@ -72,6 +72,13 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert near_duplicates(df.limit(0)).collect() == []
 
 
+def test_kept_rows(spark):
+    rows = [(3, "a b c d", "u", "v"), (1, "A b c d", "u", "v"), (2, "x y z", "p", "q"), (2, "x y z", "p", "q"), (None, "x y z", None, None), (None, "x y z", None, None), (7, None, "", ""), (8, None, "", "")]
+    kept = kept_rows(spark.createDataFrame(rows, SCHEMA), Settings(3, 85))
+    assert kept.columns == ["doc_id", "text", "n_shingles", "component_id"]
+    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 0, 1, 2, 7, 8]
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 50), (50, 70)]
     random.Random(3).shuffle(edges)
