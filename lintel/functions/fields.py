@@ -39,11 +39,11 @@ def yen_from_sheet(col: Column) -> Column:
 
 
 def man_from_page(col: Column) -> Column:
-    """万 as a double: with the unit as it is, yen divided; 無 and なし are null."""
-    text = F.replace(strip(or_empty(col)), F.lit(","), F.lit(""))
-    value = _number(text, r"(\d+(?:\.\d+)?)").cast("double")
-    none = (text == "") | text.rlike("無|なし|^[-ー―－]+$")
-    return F.when(none, None).when(F.contains(text, F.lit("万")), value).when(F.contains(text, F.lit("円")) | (value >= 1000), value / 10000).otherwise(value)
+    """万 as a double, from normalised text: a number before 万, else yen; a dash, 無 and なし are null."""
+    text = F.regexp_replace(strip(or_empty(col)), "税込|税別", "")
+    man = _number(text, r"([0-9]+(?:\.[0-9]+)?)\s*万").cast("double")
+    yen = F.nullif(F.regexp_replace(text, r"[^0-9.]", ""), F.lit("")).try_cast("double") / 10000
+    return F.when(~text.isin("", "-", "—", "–", "無", "なし"), F.coalesce(man, yen))
 
 
 def yen_from_list(col: Column) -> Column:
@@ -76,6 +76,11 @@ def area_any_unit(col: Column) -> Column:
     return _number(col, r"(?U)(\d+(?:\.\d+)?)").cast("double")
 
 
+def area_of_cell(col: Column) -> Column:
+    """What digits and points of a cell make up; its unit does not matter."""
+    return F.nullif(F.regexp_replace(F.regexp_replace(or_empty(col), "㎡|m2", ""), r"[^0-9.]", ""), F.lit("")).try_cast("double")
+
+
 def area_strict(col: Column) -> Column:
     """A plain number; other text is an error."""
     return F.nullif(strip(or_empty(col)), F.lit("")).cast("double")
@@ -150,6 +155,13 @@ def availability(raw: Column, reference: Column, category: Column) -> Column:
     )
 
 
+def updated_day(col: Column) -> Column:
+    """The day of `2026年01月02日` or `2026/01/02` in a text as ISO text, else ''."""
+    forms = (r"(?U)(\d{4})年\s*(\d{2})月\s*(\d{2})日", r"(\d{4})/(\d{2})/(\d{2})")
+    days = [F.when(or_empty(col).rlike(p), F.concat_ws("-", *[F.regexp_extract(or_empty(col), p, k) for k in (1, 2, 3)])) for p in forms]
+    return F.coalesce(*days, F.lit(""))
+
+
 def summary_date(col: Column) -> Column:
     """A timestamp (without zone) from the eight usual spellings, or the first date in the text."""
     text = F.trim(F.regexp_replace(F.replace(F.translate(or_empty(col), "年月", "//"), F.lit("日"), F.lit("")), r"(?U)\s+", " "))

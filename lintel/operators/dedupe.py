@@ -20,14 +20,15 @@ def components(nodes: DataFrame, node: str, keys: list[Column]) -> DataFrame:
 
     Labels spread through keys: each key takes the least label of its nodes, each node the least of its
     keys, and labels are shortened by one jump (the label of the label), so that long chains need a
-    logarithmic number of rounds in practice. A round aggregates before it joins, and is checkpointed."""
+    logarithmic number of rounds in practice. A round aggregates before it joins, and is checkpointed;
+    so are the least labels of keys, which lets Spark split the join of a key with very many nodes."""
     shared_folder(nodes.sparkSession)
     pairs = nodes.select(F.col(node).alias("node"), F.explode(F.filter(F.array(*[F.when(k.isNotNull(), F.concat(F.lit(f"{i}:"), k.cast("string"))) for i, k in enumerate(keys)]), lambda x: x.isNotNull())).alias("key")).distinct()
     often = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     pairs = pairs.join(often.select("key"), "key").checkpoint()
     labels = pairs.select("node", F.col("node").alias("label")).distinct()
     while True:
-        by_key = pairs.join(labels, "node").groupBy("key").agg(F.min("label").alias("label"))
+        by_key = pairs.join(labels, "node").groupBy("key").agg(F.min("label").alias("label")).checkpoint()
         spread = pairs.join(by_key, "key").groupBy("node").agg(F.min("label").alias("label"))
         jump = spread.select(F.col("node").alias("label"), F.col("label").alias("to"))
         new = spread.join(jump, "label", "left").select("node", F.least(F.col("label"), F.coalesce("to", "label")).alias("label")).checkpoint()

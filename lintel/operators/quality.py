@@ -121,3 +121,9 @@ def same_build(a: DataFrame, b: DataFrame) -> DataFrame:
     left = a.select(F.explode(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("left")) for c in cols])).alias("x")).select("x.*")
     right = b.select(F.explode(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("right")) for c in cols])).alias("x")).select("x.*")
     return left.join(right, "key").where(~F.col("left").eqNullSafe(F.col("right")))
+
+
+def drop_reasons(rows: DataFrame, reasons: dict[str, Column]) -> DataFrame:
+    """One row: `reason:count` of every reason for which rows are dropped, joined by commas."""
+    counted = rows.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in reasons.items()])
+    return counted.select(F.concat_ws(",", *[F.concat(F.lit(n + ":"), F.col(n).cast("string")) for n in reasons]).alias("reasons"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fields, text as tx
+from ..operators import corrections, quality
 from ..sources import pages, text_rows
 from .common import table
 
@@ -95,7 +96,29 @@ def document_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.groupBy("lang", kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (parse_money_area_dates, built_age_as_of, availability_rollover, sanitize_and_split, normalize_text_nfkc, page_links, page_titles, page_listings, embedded_json, carry_forward, words_to_lines, document_kinds)}
+def backfill_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    b = table(spark, sf_dir, "part").select(k.alias("building_id"), F.when(k % 5 == 0, " ").when(k % 5 == 1, "199x").otherwise(F.concat((1990 + k % 15).cast("string"), F.lit("-"), (1 + k % 12).cast("string"))).alias("built_year_month"), F.when(k % 4 > 0, F.col("p_size") % 20).alias("age_years"))
+    return corrections.backfilled_ages(b, F.lit("2010-06-15").cast("date")).select("building_id", "age_years", "old_age", "outcome")
+
+
+def line_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the lines of a report are: noise, structure, address, name."""
+    k = F.col("event_id")
+    line = F.when(k % 6 == 0, "TEL: 1").when(k % 6 == 1, F.concat(F.lit("RC 築"), (k % 40).cast("string"), F.lit("年"))).when(k % 6 == 2, F.concat(F.lit("小倉北区町"), (k % 9).cast("string"), F.lit("-1"))).when(k % 6 == 3, F.concat((k % 9).cast("string"), F.lit("/9頁"))).otherwise(F.concat(F.lit("棟"), F.col("event_type")))
+    return table(spark, sf_dir, "events").groupBy("event_type", text_rows.line_kind(line).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return quality.drop_reasons(p, {"ring": F.contains("p_name", F.lit("ring")), "large": F.col("p_size") > 40, "none": F.lit(None).cast("boolean")})
+
+
+def page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.page_counts(pages.page_rows(table(spark, sf_dir, "pages")))
+
+
+QUERIES = {f.__name__: f for f in (parse_money_area_dates, built_age_as_of, availability_rollover, sanitize_and_split, normalize_text_nfkc, page_links, page_titles, page_listings, embedded_json, carry_forward, words_to_lines, document_kinds, backfill_ages, line_kinds, drop_reasons, page_counts)}
 
 ORACLE_SQL = {
     "parse_money_area_dates": """
@@ -120,4 +143,9 @@ ORACLE_SQL = {
     "document_kinds": """
         with d as (select lang, contains(lower(text), ' the ') and contains(lower(text), ' and ') and contains(lower(text), ' of ') and contains(lower(text), ' to ') as e, contains(lower(text), ' le ') and contains(lower(text), ' la ') and contains(lower(text), ' de ') and contains(lower(text), ' et ') as f from documents)
         select lang, case when e and f then 'ambiguous' when e then 'en' when f then 'fr' else 'other' end as kind, count(*) as n from d group by 1, 2""",
+    "backfill_ages": """
+        with p as (select p_partkey as k, case when p_partkey % 4 > 0 then p_size % 20 end as a, case when p_partkey % 5 > 1 then greatest(((2010 * 12 + 6 - (1990 + p_partkey % 15) * 12 - 1 - p_partkey % 12) // 12)::int, 0) end as n from part)
+        select k as building_id, coalesce(n, a) as age_years, a as old_age, case when k % 5 = 0 then 'none' when n is null then 'invalid' when n is not distinct from a then 'same' else 'updated' end as outcome from p""",
+    "line_kinds": "select event_type, case event_id % 6 when 0 then 'noise' when 1 then 'structure' when 2 then 'address' when 3 then 'noise' else 'name' end as kind, count(*) as n from events group by 1, 2",
+    "drop_reasons": "select 'ring:' || count(*) filter (contains(p_name, 'ring')) || ',large:' || count(*) filter (p_size > 40) || ',none:0' as reasons from part",
 }

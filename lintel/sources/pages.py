@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.fields import area_any_unit, yen_from_list
+
 #: Tags without an end.
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
 #: Classes of elements that hold one property, in order of preference.
@@ -236,3 +238,31 @@ def free_text_fields(text: Column) -> dict[str, Column]:
         "area": one(r"(\d+(?:\.\d+)?)\s*(?:㎡|m2)"), "floor": one(r"(\d+)\s*階建?"), "structure": one(r"(SRC|RC|鉄骨鉄筋コンクリート|鉄筋コンクリート|鉄骨造|木造)"),
         "age": one(r"築\s*(\d+)\s*年"), "built": one(r"(\d{4}年\s*\d{1,2}月)"), "units": one(r"総戸数\s*[:：]?\s*(\d+)"), "walk": one(r"徒歩\s*(\d+)\s*分"),
     }
+
+
+def page_counts(rows: DataFrame) -> DataFrame:
+    """(page_id, cards, fields, cells, links): what a parse found, to look into pages that give no rows."""
+    def n(kind: str, name: str) -> Column:
+        return F.count_if(F.col("kind") == kind).alias(name)
+
+    return rows.groupBy("page_id").agg(n("card", "cards"), n("field", "fields"), n("cell", "cells"), n("link", "links"))
+
+
+def card_facts(rows: DataFrame) -> DataFrame:
+    """(page_id, block, ...): least, greatest and mean price, areas, layouts and rows of a table inside a card."""
+    f = rows.where("kind in ('field', 'cell')").withColumn("field", field_of(F.col("key")))
+    price = F.when(F.col("field") == "rent", yen_from_list(F.col("value")))
+    area = F.when(F.col("field") == "area", area_any_unit(F.col("value")))
+    layout = F.when(F.col("field") == "layout", F.nullif(F.trim("value"), F.lit("")))
+    return f.groupBy("page_id", "kind", "block").agg(
+        F.min(price).alias("price_min"), F.max(price).alias("price_max"), F.avg(price).cast("long").alias("price_avg"), F.min(area).alias("area_min"), F.max(area).alias("area_max"),
+        F.array_sort(F.collect_set(layout)).alias("layouts"), F.count_distinct("row").alias("rows"),
+    )
+
+
+def best_name(anchor: Column, title: Column, alt: Column, heading: Column, text: Column) -> Column:
+    """The first of several places where a name may stand; the head of the text at last."""
+    def some(c: Column) -> Column:
+        return F.nullif(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " ")), F.lit(""))
+
+    return F.coalesce(some(anchor), some(title), some(alt), some(heading), F.nullif(F.substring_index(some(text), " ", 1), F.lit("")), F.lit(""))

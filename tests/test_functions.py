@@ -54,7 +54,19 @@ def test_public_text(spark):
 def test_repair(spark):
     bad = "賃料一覧".encode("cp932").decode("latin-1")
     assert values(spark, [bad, "賃料", "abc", None], tx.repaired) == ["賃料一覧", "賃料", "abc", None]
-    assert values(spark, [bad, "賃料é", "abc"], tx.mojibake) == [True, False, False]
+    assert values(spark, [bad, "賃料é", "", "賃料����"], tx.mojibake) == [True, False, False, True]
+    assert values(spark, [bad + "　（１）【—】", None], tx.document_text) == [bad + " (1)[-]", ""]
+
+
+def test_document_names(spark):
+    assert values(spark, ["町1", "北九州市小倉北区町1", "小倉北区町1", ""], lambda c: tx.with_ward(c, F.lit("小倉北区"))) == ["北九州市小倉北区町1", "北九州市小倉北区町1", "北九州市小倉北区町1", ""]
+    got = values(spark, ["棟名 101号室", "棟名-12号", "棟名 1-02", "棟名(203)", "棟名 304", "A棟", "東棟", "棟名"], lambda c: tx.split_document_room(c, F.lit("")))
+    assert [tuple(r) for r in got] == [("棟名", "101"), ("棟名", "12"), ("棟名", "102"), ("棟名", "203"), ("棟名", "304"), ("A棟", ""), ("東棟", ""), ("棟名", "")]
+    assert values(spark, ["貸家 1", "棟"], tx.detached_house) == [True, False]
+    got = values(spark, ["http://h/l?sub_city[]=9&sub_city[]=1616", "http://h/city/400001.html", None], lambda c: tx.place_of_url(c, {"1616": "門司区"}))
+    assert [tuple(r) for r in got] == [("北九州市", "門司区"), ("北九州市", ""), ("", "")]
+    assert values(spark, ["更新 2026年01月02日", "2026/01/02 10:00", "x"], fields.updated_day) == ["2026-01-02", "2026-01-02", ""]
+    assert values(spark, ["25.5㎡", "約 30 m2", ""], fields.area_of_cell) == [25.5, 30.0, None]
 
 
 def test_money(spark):
@@ -63,7 +75,7 @@ def test_money(spark):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         values(spark, ["x"], fields.yen_from_man)
     assert values(spark, ["6.2万円", "x", ""], fields.yen_from_sheet) == [62000, None, None]
-    assert values(spark, ["6.2万円", "62000円", "62000", "6.2", "なし", ""], fields.man_from_page) == [6.2, 6.2, 6.2, 6.2, None, None]
+    assert values(spark, ["6.2万円", "62,000円(税込)", "62000", "無", "なし", "", "-"], fields.man_from_page) == [6.2, 6.2, 6.2, None, None, None, None]
     assert values(spark, ["なし", "3,000円", "0.5万円", ""], fields.fee_yen) == [0, 3000, 5000, None]
     assert values(spark, ["1234567", "x", None], fields.format_yen) == ["1,234,567", "—", "—"]
 
