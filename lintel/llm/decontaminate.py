@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,13 +30,18 @@ from .shingles import mix
 
 #: Characters of a piece, which are hashed together.
 PIECE = 8
-#: Sampled positions in a repetition, and the share of equal positions for which the recall is aimed at.
-SAMPLED, EQUAL_SHARE, RECALL = 4, 0.5, 0.999
-#: Repetitions that are tried first, before the rest is spent on windows that did not collide.
-FIRST = 8
+#: Sampled positions that must agree, and the share of equal positions for which the recall is aimed at.
+SAMPLED, EQUAL_SHARE, RECALL = 3, 0.5, 0.9999
+#: Samples that are taken from one walk; further walks are taken until the recall is reached.
+PER_WALK = 12
+#: Walks that are tried first, before the others are spent on windows that did not collide.
+FIRST = 2
+#: Starts of a passage that are tried, those that most pieces speak for.
+STARTS = 4
 #: Items are sent to the workers in groups of at most so many characters.
 GROUP_CHARS = 8 << 20
-LANES = 1 << 16
+#: Walks that go on side by side.
+LANES = 1 << 13
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 SCHEMA = "doc_id long, item_id long, start long, end long, distance long"
@@ -52,8 +57,9 @@ class Settings:
     min_chars: int = 32
 
     @property
-    def repetitions(self) -> int:
-        return math.ceil(math.log(1 - RECALL) / math.log(1 - EQUAL_SHARE**SAMPLED))
+    def walks(self) -> int:
+        """As many as give the recall, were all samples independent."""
+        return math.ceil(math.log(1 - RECALL) / math.log(1 - EQUAL_SHARE**SAMPLED) / PER_WALK)
 
 
 def normal(text: str) -> str:
@@ -86,24 +92,18 @@ def hashes(raw: np.ndarray) -> np.ndarray:
     return h
 
 
-def cgk(codes: np.ndarray, lengths: np.ndarray, seeds: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Symbols of the embedded strings at the wanted steps.
+def cgk(codes: np.ndarray, lengths: np.ndarray, seeds: np.ndarray, steps: int) -> np.ndarray:
+    """The first `steps` symbols of the embedded strings (steps x lanes); 0 beyond the end of a string.
 
-    codes: lanes x length, lengths and seeds: lanes, wanted: lanes x SAMPLED steps, ascending."""
+    codes: lanes x length, lengths and seeds: lanes."""
     lanes = np.arange(len(codes))
     at = np.zeros(len(codes), np.int64)
-    out = np.zeros(wanted.shape, np.int64)
-    k = np.zeros(len(codes), np.int64)
-    last = codes.shape[1] - 1
-    for step in range(int(wanted.max()) + 1):
-        symbol = np.where(at < lengths, codes[lanes, np.minimum(at, last)], 0)
-        while True:  # a step may be wanted twice
-            hit = np.flatnonzero((k < SAMPLED) & (wanted[lanes, np.minimum(k, SAMPLED - 1)] == step))
-            if not len(hit):
-                break
-            out[hit, k[hit]] = symbol[hit]
-            k[hit] += 1
-        at += ((mix(seeds + symbol.astype(np.uint64) * BASE + np.uint64(step)) >> np.uint64(63)) == 1) & (at < lengths)
+    out = np.zeros((steps, len(codes)), np.uint32)
+    padded = np.concatenate([codes, np.zeros((len(codes), 1), np.uint32)], 1)
+    for step in range(steps):
+        symbol = out[step]
+        symbol[:] = padded[lanes, at]
+        at += ((mix(seeds + symbol * BASE + np.uint64(step)) >> np.uint64(63)) == 1) & (at < lengths)
     return out
 
 
@@ -172,15 +172,11 @@ class Items:
         self.bits = np.zeros(1 << 22, bool)
         self.bits[(self.keys >> np.uint64(42)).astype(np.int64)] = True
         rng = np.random.default_rng(11)
-        reps = settings.repetitions
-        self.seeds = rng.integers(0, 1 << 63, reps, np.uint64)
-        self.picks = np.sort(rng.random((reps, SAMPLED)), 1)
+        self.walks = settings.walks
+        self.seeds = rng.integers(0, 1 << 63, self.walks, np.uint64)
+        self.picks = rng.random((self.walks, PER_WALK, SAMPLED))
         self.samples: dict[tuple[int, int], np.ndarray] = {}
 
-    def steps(self, n: int, rep: int) -> np.ndarray:
-        """Sampled steps of the walk over item n: the walk takes two steps a character on average."""
-        return (self.picks[rep] * 2 * self.sizes[n]).astype(np.int64)
-
     def windows(self, raw: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int]]:
         """(document, item, byte of the document where the item would start), by the piece filter."""
         h = hashes(raw)
@@ -196,45 +192,85 @@ class Items:
         doc = np.searchsorted(ends, hit, "right")
         order = np.lexsort((start, n, doc))
         n, start, doc = n[order], start[order], doc[order]
+        # enough hits within the spread, before pieces are told apart
         need = self.need[n] - 1
         far = np.minimum(np.arange(len(n)) + need, len(n) - 1)
         full = (np.arange(len(n)) + need < len(n)) & (n[far] == n) & (doc[far] == doc) & (start[far] - start <= 2 * self.spread[n])
-        out = set()
-        for i in np.flatnonzero(full):
-            d, k = int(doc[i]), int(n[i])
-            out.update((d, k, int(s)) for s in np.unique(start[i : far[i] + 1]))
-        return sorted(out)
+        piece = self.where[entry[order]]
+        group = np.cumsum(np.concatenate([[0], (n[1:] != n[:-1]) | (doc[1:] != doc[:-1])]))
+        begins = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        out = []
+        for g in np.unique(group[full]).tolist():
+            low, high = int(begins[g]), int(begins[g + 1]) if g + 1 < len(begins) else len(n)
+            k = int(n[low])
+            out += [(int(doc[low]), k, s) for s in self._starts(start[low:high].tolist(), piece[low:high].tolist(), int(self.need[k]), 2 * int(self.spread[k]))]
+        return out
+
+    @staticmethod
+    def _starts(start: list[int], piece: list[int], need: int, width: int) -> list[int]:
+        """Starts (ascending, with the piece each is for) around which `need` different pieces lie within
+        `width`: in every such stretch the STARTS ones that most pieces speak for."""
+        count: Counter = Counter()
+        spans: list[list[int]] = []
+        a = 0
+        for b in range(len(start)):
+            count[piece[b]] += 1
+            while start[b] - start[a] > width:
+                count[piece[a]] -= 1
+                if not count[piece[a]]:
+                    del count[piece[a]]
+                a += 1
+            if len(count) >= need:
+                if spans and a <= spans[-1][1]:
+                    spans[-1][1] = b
+                else:
+                    spans.append([a, b])
+        out: list[int] = []
+        for a, b in spans:
+            cell = max(1, width // 8)  # starts that near to one another are one
+            votes: dict[int, Counter] = defaultdict(Counter)
+            for i in range(a, b + 1):
+                votes[start[i] // cell][start[i]] += 1
+            # along a long stretch (a passage that repeats) each piece of its length has its own starts
+            parts: dict[int, list[tuple[int, int]]] = defaultdict(list)
+            for c in votes.values():
+                s = c.most_common(1)[0][0]
+                parts[(s - start[a]) // max(1, 2 * width)].append((-sum(c.values()), s))
+            for p in parts.values():
+                out += [s for _, s in sorted(p)[:STARTS]]
+        return sorted(set(out))
 
     def collide(self, texts: list[str], which: list[int]) -> np.ndarray:
-        """Which windows agree with their item on all sampled positions of some repetition."""
+        """Which windows agree with their item on all sampled positions of some sample."""
         found = np.zeros(len(texts), bool)
-        reps = self.settings.repetitions
-        for a, b in ((0, min(FIRST, reps)), (min(FIRST, reps), reps)):
+        for walks in (range(min(FIRST, self.walks)), range(min(FIRST, self.walks), self.walks)):
             todo = np.flatnonzero(~found)
-            per = max(1, LANES // max(1, b - a))
-            for k in range(0, len(todo), per):
+            todo = todo[np.argsort([which[i] for i in todo], kind="stable")]  # windows of one length together
+            per = max(1, LANES // max(1, len(walks)))
+            for k in range(0, len(todo) * bool(walks), per):
                 some = todo[k : k + per]
-                if b > a and len(some):
-                    found[some] = self._collide([texts[i] for i in some], [which[i] for i in some], range(a, b))
+                found[some] = self._collide([texts[i] for i in some], [which[i] for i in some], walks)
         return found
 
-    def _embed(self, strings: list[str], items: list[int], reps: range) -> np.ndarray:
+    def _embed(self, strings: list[str], items: list[int], walks: range) -> np.ndarray:
+        """Sampled symbols: strings x walks x samples x positions. A walk takes two steps a character on average."""
         width = max(1, *(len(s) for s in strings))
-        codes = np.zeros((len(strings), width), np.int64)
+        codes = np.zeros((len(strings), width), np.uint32)
         for i, s in enumerate(strings):
-            codes[i, : len(s)] = np.frombuffer(s.encode("utf-32-le"), np.uint32)
-        r = len(reps)
-        wanted = np.array([self.steps(n, rep) for n in items for rep in reps])
-        return cgk(np.repeat(codes, r, 0), np.repeat([len(s) for s in strings], r), np.tile(self.seeds[list(reps)], len(strings)), wanted).reshape(len(strings), r, SAMPLED)
-
-    def _collide(self, strings: list[str], items: list[int], reps: range) -> np.ndarray:
-        new = sorted({n for n in items if (n, reps.start) not in self.samples})
+            codes[i, : len(s)] = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
+        r = len(walks)
+        wanted = (self.picks[None, walks.start : walks.stop] * 2 * self.sizes[items][:, None, None, None]).astype(np.int64)
+        walked = cgk(np.repeat(codes, r, 0), np.repeat([len(s) for s in strings], r), np.tile(self.seeds[walks.start : walks.stop], len(strings)), int(wanted.max()) + 1)
+        lane = np.arange(len(strings) * r).reshape(len(strings), r)[:, :, None, None]
+        return walked[wanted, lane]
+
+    def _collide(self, strings: list[str], items: list[int], walks: range) -> np.ndarray:
+        new = sorted({n for n in items if (n, walks.start) not in self.samples})
         if new:
-            for n, s in zip(new, self._embed([self.texts[n] for n in new], new, reps), strict=True):
-                self.samples[n, reps.start] = s
-        mine = self._embed(strings, items, reps)
-        own = np.stack([self.samples[n, reps.start] for n in items])
-        return (mine == own).all(2).any(1)
+            for n, s in zip(new, self._embed([self.texts[n] for n in new], new, walks), strict=True):
+                self.samples[n, walks.start] = s
+        own = np.stack([self.samples[n, walks.start] for n in items])
+        return (self._embed(strings, items, walks) == own).all(3).any((1, 2))
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """(document, item, start, end, distance): the best passage of each item in each text, in characters of the text."""

@@ -91,7 +91,7 @@ def test_offsets():
         assert [text[p] if not text[p].isspace() else " " for p in o[:-1]] == list(normal(text))
 
 
-def test_repetitions_reach_the_recall():
-    assert (1 - 0.5**4) ** Settings().repetitions <= 0.001
+def test_walks_reach_the_recall():
+    assert (1 - 0.5**3) ** (12 * Settings().walks) <= 0.0001
     known = Items([(1, "abcdefgh" * 10)], Settings())
     assert known.need[0] == 10 - 8 and known.collide(["abcdefgh" * 10, "z" * 80], [0, 0]).tolist() == [True, False]
