@@ -63,7 +63,7 @@ def pack(*arrays: np.ndarray) -> bytes:
     for a in arrays:
         wide = np.ascontiguousarray(a)
         out.append(wide.view(np.uint8).reshape(len(a), wide.itemsize).T.tobytes() if wide.itemsize > 1 else wide.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(out))
 
 
 def unpack(blob: bytes, *kinds) -> list[np.ndarray]:
@@ -116,9 +116,9 @@ def runs(total: np.ndarray, ends: np.ndarray, part: np.ndarray, size: int) -> Ru
     n = len(total) - 1
     if n < size:
         return Runs(empty, empty, empty, empty.view(np.uint64))
-    at = np.arange(n - GRAM + 1)
-    gram = substring_hash(total, at, at + GRAM)
-    v = gram >> np.uint64(32) << np.uint64(32) | at.astype(np.uint64)
+    gram = mix((total[GRAM:] - total[:-GRAM]) * powers(n + 1, "inverse")[: n - GRAM + 1] + np.uint64(GRAM))
+    v = gram >> np.uint64(32) << np.uint64(32)
+    v |= np.arange(len(v), dtype=np.uint64)
     width, have = size - GRAM + 1, 1
     while have * 2 <= width:
         v, have = np.minimum(v[:-have], v[have:]), have * 2
@@ -187,7 +187,8 @@ class Segments:
     of: np.ndarray
 
     def messages(self, blocks: int) -> Iterator[tuple[int, bytes]]:
-        """For each block its strings, the least and the greatest doc_id that they occur in."""
+        """For each block its strings, the least doc_id that they occur in, how far the greatest is from it,
+        and a byte of the anchor's hash."""
         if not len(self.first):
             return
         ids = self.batch.ids[self.runs.doc]
@@ -199,7 +200,7 @@ class Segments:
         block = (h % np.uint64(blocks)).astype(np.int64)
         for b, which in parts(block):
             text = self.batch.raw[ranges(start[which], length[which])]
-            yield b, pack(text, length[which].astype(np.int32), low[which], high[which], h[which])
+            yield b, pack(text, length[which].astype(np.int32), low[which], (high - low)[which], (h[which] >> np.uint64(8 * HASH_BYTES - 8)).astype(np.uint8))
 
     def block_members(self, blocks: int) -> dict[int, np.ndarray]:
         return dict(parts((self.runs.hash[self.first] % np.uint64(blocks)).astype(np.int64)))
@@ -225,7 +226,7 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray,
     key = np.zeros(n, np.uint64)
     for k in range(first):
         key = key << np.uint64(9) | padded[k : k + n]
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     sorted_key = key[sa]
     edge = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])
     begin = edge.copy()
@@ -235,13 +236,14 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray,
         rank = np.empty(n + have, np.int64)
         rank[n:] = -1
         rank[sa] = group
-        loose = np.flatnonzero(~edge)
-        if not len(loose):
+        loose = ~edge
+        loose[:-1] |= loose[1:]
+        rows = np.flatnonzero(loose)  # rows of groups with more than one member
+        if not len(rows):
             break
-        rows = np.unique(np.concatenate([loose - 1, loose]))  # rows of groups with more than one member
         pos = sa[rows]
         new = (group[rows].astype(np.uint64) << np.uint64(32)) | (rank[pos + have] + 1).astype(np.uint64)
-        order = np.argsort(new, kind="stable")
+        order = np.argsort(new)
         sa[rows] = pos[order]
         new = new[order]
         edge[rows] = np.concatenate([[True], new[1:] != new[:-1]])
@@ -300,10 +302,11 @@ def least_documents(text: np.ndarray, length: np.ndarray, doc: np.ndarray, size:
 
 def solve(messages: list[tuple[str, bytes]], size: int) -> list[tuple[str, bytes]]:
     """For each batch that sent strings to a block: the strings with an earlier window, and those windows' least doc_ids."""
-    got = [(name, *unpack(blob, np.uint8, np.int32, np.int64, np.int64, np.uint64)) for name, blob in messages]
+    got = [(name, *unpack(blob, np.uint8, np.int32, np.int64, np.int64, np.uint8)) for name, blob in messages]
     text = np.concatenate([g[1] for g in got])
     length = np.concatenate([g[2] for g in got]).astype(np.int64)
-    low, high, h = (np.concatenate([g[k] for g in got]) for k in (3, 4, 5))
+    low, more, tag = (np.concatenate([g[k] for g in got]) for k in (3, 4, 5))
+    high = low + more
     start = np.cumsum(length) - length
     total = sums(text)
     _, first, of = np.unique(substring_hash(total, start, start + length), return_index=True, return_inverse=True)
@@ -314,7 +317,7 @@ def solve(messages: list[tuple[str, bytes]], size: int) -> list[tuple[str, bytes
     found = np.empty(int(windows.sum()), np.int64)
     # windows with different anchors differ, so that blocks with many strings are solved in parts
     many = max(1, -(-int(length[first].sum()) // BLOCK_BYTES))
-    for _, which in parts((mix(h[first].copy()) % np.uint64(many)).astype(np.int64)):
+    for _, which in parts(tag[first].astype(np.int64) % many):
         some = first[which]
         found[ranges(at[which], windows[which])] = least_documents(text[ranges(start[some], length[some])], length[some], least[which], size)
     earliest = np.minimum.reduceat(found, at) if len(at) else found
