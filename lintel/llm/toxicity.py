@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,10 +24,12 @@ from pyspark.sql import types as T
 TRAIN_DOCS = 8000
 #: ... and on the features in at least MIN_DOCS of them, at most MAX_FEATURES, those that tell the labels apart best.
 MIN_DOCS, MAX_FEATURES = 3, 3000
+#: Features are known by a hash to so many values, which bounds what the driver holds while it counts them.
+BUCKETS = 1 << 20
 #: Beginnings of words of these lengths are features beside the words, since insults are inflected.
 PREFIXES = range(4, 9)
 #: Words whose weight a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 STEPS, RATE, L1, L2 = 250, 0.15, 2e-4, 1e-5
 THRESHOLD = 0.3
 
@@ -34,34 +37,39 @@ SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def features(word: str) -> list[str]:
-    return [word, *(f"{word[:k]}*" for k in PREFIXES if k < len(word))]
+def features(word: str) -> tuple[int, ...]:
+    """The word itself and its beginnings, hashed."""
+    return tuple({zlib.crc32(f.encode()) % BUCKETS for f in (word, *(f"{word[:k]}*" for k in PREFIXES if k < len(word)))})
 
 
-class Weights(dict):
-    """Weight of a word, the sum over its features, computed when it is first asked for."""
+class Remembered(dict):
+    """A bounded cache of what is worked out for words."""
 
-    def __init__(self, of: dict[str, float]):
+    def __init__(self, work):
         super().__init__()
-        self.of = of
+        self.work = work
 
-    def __missing__(self, word: str) -> float:
+    def __missing__(self, word: str):
         if len(self) >= CACHE_WORDS:
             self.clear()
-        self[word] = w = sum(self.of.get(f, 0.0) for f in features(word))
-        return w
+        self[word] = found = self.work(word)
+        return found
 
 
 @dataclass(frozen=True)
 class Model:
-    weights: dict[str, float]
+    weights: dict[int, float]
     bias: float
     leak: float
 
-    def scores(self, text: str, words: Weights) -> tuple[float, list[tuple[int, int, float]]]:
+    def words(self) -> Remembered:
+        """Weight of a word, the sum over its features."""
+        return Remembered(lambda w: sum(self.weights.get(f, 0.0) for f in sorted(features(w))))
+
+    def scores(self, text: str, words: Remembered) -> tuple[float, list[tuple[int, int, float]]]:
         """Score of the text, and (start, end, probability) of each sentence with weighted words.
 
-        words: Weights(self.weights), kept between calls."""
+        words: self.words(), kept between calls."""
         spans, n, low = [], 0, text.lower()
         if len(low) != len(text):  # a few capitals change their length
             low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
@@ -97,28 +105,26 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     y = np.array([t for _, t in rows], float)
     if not len(y) or y.min() == y.max():
         return Model({}, -30.0, float(y.mean()) if len(y) else 0.0)
-    bags = [[{f for w in WORD.findall(s) for f in features(w)} for s in SENTENCE.findall(t.lower())] for t, _ in rows]
-    seen, toxic = Counter(), Counter()
-    for b, t in zip(bags, y, strict=True):
-        words = set().union(*b) if b else set()
-        seen.update(words)
+    known = Remembered(features)
+    seen, toxic = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32)
+    for (text, _), t in zip(rows, y, strict=True):
+        of = np.array(sorted({f for w in set(WORD.findall(text.lower())) for f in known[w]}), np.int64)
+        seen[of] += 1
         if t:
-            toxic.update(words)
+            toxic[of] += 1
     base = y.mean()
-
-    def gain(w: str) -> float:
-        return abs(toxic[w] - seen[w] * base) / np.sqrt(seen[w] * base * (1 - base) + 1)
-
-    words = sorted((w for w in seen if seen[w] >= MIN_DOCS), key=lambda w: (-gain(w), w))[:MAX_FEATURES]
-    index = {w: i for i, w in enumerate(words)}
-    columns, sentence_of, doc_of = [], [], []
-    for d, b in enumerate(bags):
-        for s in b:
-            known = [index[w] for w in s & index.keys()]
-            sentence_of += [len(doc_of)] * len(known)
-            columns += known
+    gain = np.where(seen >= MIN_DOCS, np.abs(toxic - seen * base) / np.sqrt(seen * base * (1 - base) + 1), -1)
+    words = np.sort(np.argsort(-gain, kind="stable")[:MAX_FEATURES])
+    words = words[gain[words] >= 0]
+    index = {f: i for i, f in enumerate(words.tolist())}
+    columns, sentence_of, doc_of = array("i"), array("i"), array("i")
+    for d, (text, _) in enumerate(rows):
+        for s in SENTENCE.findall(text.lower()):
+            of = sorted({index[f] for w in set(WORD.findall(s)) for f in known[w] if f in index})
+            sentence_of.extend([len(doc_of)] * len(of))
+            columns.extend(of)
             doc_of.append(d)
-    col, row, doc = np.array(columns, np.int64), np.array(sentence_of, np.int64), np.array(doc_of, np.int64)
+    col, row, doc = np.array(columns), np.array(sentence_of), np.array(doc_of)
     n_docs, n_rows, n_words = len(y), len(doc), len(words)
     w, bias, leak = np.zeros(n_words + 2), 0, 0
     w[n_words], w[n_words + 1] = -6.0, -4.0  # bias of a sentence, logit of the leak
@@ -135,7 +141,7 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         w = w - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w[:n_words] = np.sign(w[:n_words]) * np.maximum(np.abs(w[:n_words]) - RATE * L1 * 10, 0)
     bias = float(w[n_words])
-    return Model({x: float(a) for x, a in zip(words, w[:n_words], strict=True) if abs(a) > 0.05}, bias, float(leak))
+    return Model({x: float(a) for x, a in zip(words.tolist(), w[:n_words], strict=True) if abs(a) > 0.05}, bias, float(leak))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -148,7 +154,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Weights(sent.value.weights)
+        words = sent.value.words()
         for batch in batches:
             found = [sent.value.scores(t or "", words) for t in batch.column(at).to_pylist()]
             spans = [[{"start": a, "end": b, "p": p} for a, b, p in s if p >= 0.5] for _, s in found]
