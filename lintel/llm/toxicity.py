@@ -67,20 +67,22 @@ class Model:
         return Remembered(lambda w: sum(self.weights.get(f, 0.0) for f in sorted(features(w))))
 
     def scores(self, text: str, words: Remembered) -> tuple[float, list[tuple[int, int, float]]]:
-        """Score of the text, and (start, end, probability) of each sentence with weighted words.
+        """Score of the text, and (start, end, probability) of each sentence that is likelier toxic than not.
 
         words: self.words(), kept between calls."""
-        spans, n, low = [], 0, text.lower()
+        spans, plain, low = [], 0, text.lower()
         if len(low) != len(text):  # a few capitals change their length
             low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
         keep = 1 - self.leak
         for m in SENTENCE.finditer(low):
-            n += 1
             if z := sum(sorted(map(words.__getitem__, set(WORD.findall(m[0]))))):
                 p = 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + z))))
                 keep *= 1 - p
-                spans.append((m.start(), m.end(), p))
-        keep *= (1 - 1 / (1 + math.exp(-self.bias))) ** (n - len(spans))
+                if p >= 0.5:
+                    spans.append((m.start(), m.end(), p))
+            else:
+                plain += 1
+        keep *= (1 - 1 / (1 + math.exp(-self.bias))) ** plain
         return min(1.0, max(0.0, 1 - keep)), spans
 
 
@@ -156,9 +158,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = sent.value.words()
         for batch in batches:
-            found = [sent.value.scores(t or "", words) for t in batch.column(at).to_pylist()]
-            spans = [[{"start": a, "end": b, "p": p} for a, b, p in s if p >= 0.5] for _, s in found]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x for x, _ in found], pa.float64()), pa.array(spans, pa.list_(offence))], names=[*batch.schema.names, "toxicity", "offences"])
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                found = [sent.value.scores(t or "", words) for t in part.column(at).to_pylist()]
+                spans = [[{"start": a, "end": b, "p": p} for a, b, p in s] for _, s in found]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([x for x, _ in found], pa.float64()), pa.array(spans, pa.list_(offence))], names=[*part.schema.names, "toxicity", "offences"])
 
     return docs.mapInArrow(run, schema)
 
