@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-TABLES = 16
+#: Every table holds a copy of each vector, so few tables with more probes move less.
+TABLES = 4
 #: Rows of a bucket that one task ranks at a time, and queries likewise; larger buckets are split.
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
 #: The number of probes is chosen on at most so many vectors to reach this recall; every row is indexed.
@@ -90,7 +91,7 @@ def fit(x: np.ndarray, n: int, k: int) -> Index:
         gap = (x * x).sum(1)[None] - 2 * x[q] @ x.T
         gap[np.arange(len(q)), q] = np.inf
         near = np.argsort(gap, 1)[:, : min(k, len(x) - 1)]
-        top = min((2 * d) ** hashes, MAX_PROBES)
+        top = 2 * d if hashes == 1 else min((2 * d) ** hashes, MAX_PROBES)
         index = Index(hashes, top, radius)
         first = np.full(near.shape, top)  # the first probe that finds a neighbour, over all tables
         for t in range(index.tables):
@@ -104,9 +105,8 @@ def fit(x: np.ndarray, n: int, k: int) -> Index:
     raise AssertionError
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
-    raw = b"".join(column.to_pylist())
-    return np.frombuffer(raw, "<f8").reshape(len(column), width)
+def _matrix(column: pa.ChunkedArray, kind: str, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), width).astype(np.float64)
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -116,8 +116,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     take no part; vectors of other lengths are never compared. Ties go to the smaller id. A row is no
     neighbour of its own id; repeated rows count once. Empty tables give no rows."""
     good = f"{id_col} is not null and size({vector_col}) > 0 and forall({vector_col}, x -> x is not null and abs(x) < double('infinity') and not isnan(x)) and exists({vector_col}, x -> x <> 0)"
-    rows = vectors.where(good).select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
-    asked = queries.where(good).select(F.col(id_col).cast("long").alias("query_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    single = dict(vectors.dtypes)[vector_col] == dict(queries.dtypes)[vector_col] == "array<float>"
+    v, kind = (F.col(vector_col), "<f4") if single else (F.col(vector_col).cast("array<double>"), "<f8")
+    rows = vectors.where(good).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
+    asked = queries.where(good).select(F.col(id_col).cast("long").alias("query_id"), v.alias("v"))
     spark = vectors.sparkSession
     by_vector = Window.partitionBy("v").orderBy("vec_id")
     # k + 1 smallest ids of each vector are enough, one may be the query itself
@@ -143,7 +145,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
                 for d in np.unique(sizes):
                     part = pa.Table.from_batches([batch]).filter(pa.array(sizes == d)).combine_chunks()
                     x = np.stack([np.array(v) for v in part.column("v").to_pylist()])
-                    raw = pa.array([r.tobytes() for r in x], pa.binary())
+                    raw = pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())
                     names = part.column(name).combine_chunks()
                     for t in range(index.tables):
                         code = index.probe_codes(x, t) if probe else index.codes(x, t)[:, None]
@@ -171,7 +173,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
         out: tuple[list, list, list] = ([], [], [])
         if rows.num_rows and asked.num_rows:
             width = rows["d"][0].as_py()
-            x, q = _matrix(rows["v"], width), _matrix(asked["v"], width)
+            x, q = _matrix(rows["v"], kind, width), _matrix(asked["v"], kind, width)
             ids, heads = rows["ids"].to_pylist(), asked["head"].to_pylist()
             gap = (x * x).sum(1)[None] - 2 * q @ x.T
             top = min(len(x), k + 6)
