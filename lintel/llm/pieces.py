@@ -31,7 +31,7 @@ LITERAL = "
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: The unknown character scores so much less than the worst piece.
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 LONG_WORD = 160
 
 
