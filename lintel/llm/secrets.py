@@ -16,8 +16,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: What may be a secret: a run with a digit of 12 characters or more, or 8 characters that are assigned.
-CANDIDATE = r"""(?<=[:=]["']?)[A-Za-z0-9+/_~@$^-]{8,}+={0,2}|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+={0,2}"""
+# Beginnings of keys that say whose they are.
+KEY_PREFIXES = "AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk[_-]|pk[_-]|AIza|ya29|glpat-|eyJ"
+#: What may be a secret: 8 characters that are assigned, 12 after a known beginning, 12 with a digit.
+CANDIDATE = r"""(?<=[:=]["']?)[A-Za-z0-9+/_~@$^-]{8,}+={0,2}|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|(?:%s))[A-Za-z0-9+/_-]{12,}+={0,2}""" % KEY_PREFIXES
 #: Characters around a candidate that are looked at.
 CONTEXT = 48
 #: Fixed word lists of the features.
@@ -61,7 +63,7 @@ def features(candidate: Column, before: Column, after: Column, path: Column) ->
         share("[aeiou](?=[b-df-hj-np-tv-z])|[b-df-hj-np-tv-z](?=[aeiou])", low),
         share(r"(.)(?=\1)", low),
         1 - F.length(F.regexp_replace(low, "|".join(sorted(DICTIONARY, key=len, reverse=True)), "")) / size,
-        candidate.rlike("^(?i:AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk[_-]|pk[_-]|AIza|ya29|glpat-|eyJ)").cast("double"),
+        candidate.rlike(f"^(?:{KEY_PREFIXES})").cast("double"),
         near.rlike(r"""[:=]\s*["']?$""").cast("double"),
         (near.rlike("""["']$""") & after.rlike("""^["']""")).cast("double"),
         near.rlike(rf"({KEY_WORDS})[^\n]{{0,16}}$").cast("double"),
@@ -96,6 +98,7 @@ def made_findings(spark: SparkSession, n: int = MADE_FINDINGS) -> DataFrame:
     word = F.concat(letters(h[5], 6), F.lit(" "))
     cases = [
         ("1", word, F.concat(F.lit("AKIA"), upper), F.lit(" ")),
+        ("1", word, F.concat(F.lit("AKIA"), F.translate(upper, "0123456789", "QWERTZUIOP")), F.lit(" ")),
         ("1", F.concat(word, key, assign), F.substring(h[0], 1, 18), F.when(quoted, F.substring(assign, -1, 1)).otherwise(" ")),
         ("1", F.concat(word, key, assign), F.substring(h[0], 1, 40), F.when(quoted, F.substring(assign, -1, 1)).otherwise(" ")),
         ("1", F.concat(word, key, assign), F.substring(mixed, 1, 24), F.when(quoted, F.substring(assign, -1, 1)).otherwise(" ")),

@@ -51,16 +51,18 @@ def plan_records(pages: DataFrame) -> DataFrame:
 
 
 def train_dictionary(pages: DataFrame, size: int = DICTIONARY_BYTES) -> bytes:
-    """A dictionary from a bounded sample spread over all records by a hash; b'' if there is nothing to learn."""
+    """A dictionary from records, headers included, of a bounded sample spread over all pages by a hash;
+    b'' if there is nothing to learn."""
     ids = [r[0] for r in pages.select("page_id").where("page_id is not null and octet_length(html) > 0").orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_RECORDS).collect()]
     if not ids:
         return b""
     wanted = F.broadcast(pages.sparkSession.createDataFrame([(x,) for x in sorted(set(ids))], "page_id long"))
-    texts = [r[0].encode() for r in pages.join(wanted, "page_id", "left_semi").select(F.substring("html", 1, SAMPLE_CHARS)).limit(2 * SAMPLE_RECORDS).collect()]
+    rows = pages.join(wanted, "page_id", "left_semi").select("page_id", "url", F.substring("html", 1, SAMPLE_CHARS).alias("html")).limit(2 * SAMPLE_RECORDS).collect()
+    samples = [record_bytes(r["page_id"], r["url"], raw, hashlib.sha256(raw).hexdigest(), "response", None) for r in rows for raw in [(r["html"] or "").encode()]]
     try:
-        return zstandard.train_dictionary(size, texts).as_bytes()
+        return zstandard.train_dictionary(size, samples).as_bytes()
     except zstandard.ZstdError:  # too few or too short samples: their content serves as it is
-        return b"".join(texts)[:size]
+        return b"".join(samples)[:size]
 
 
 def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:

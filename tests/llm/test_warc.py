@@ -32,7 +32,7 @@ def test_read_back(spark):
     got = warc.read_archives(manifest, folder)
     assert sorted(((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got.collect()), key=str) == brute(rows)
     urls = {r["page_id"]: r["url"] for r in got.where("page_id is not null").collect()}
-    assert all(urls[i] == (u or None) for i, u, _ in rows if i is not None)
+    assert all(urls[i] == u for i, u, _ in rows if i is not None)
     assert manifest.agg(F.sum("n_records")).first()[0] == len(rows)
 
 
