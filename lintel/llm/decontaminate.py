@@ -323,7 +323,7 @@ def contaminations(docs: DataFrame, items: DataFrame, settings: Settings = Setti
     document row. Further columns are ignored; empty tables give no rows."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    out = spark.createDataFrame([], SCHEMA)
+    out = None
     for part in groups(items, settings):
         sent = spark.sparkContext.broadcast((part, settings))
 
@@ -342,8 +342,9 @@ def contaminations(docs: DataFrame, items: DataFrame, settings: Settings = Setti
                         cols = [[ids[d] for d, _ in best], [i for _, i in best], [v[1] for v in best.values()], [v[2] for v in best.values()], [v[0] for v in best.values()]]
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "item_id", "start", "end", "distance"])
 
-        out = out.unionByName(texts.mapInArrow(run, SCHEMA))
-    return out
+        found = texts.mapInArrow(run, SCHEMA)
+        out = found if out is None else out.unionByName(found)
+    return spark.createDataFrame([], SCHEMA) if out is None else out
 
 
 def clean_rows(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:  # noqa: B008
