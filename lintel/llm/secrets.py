@@ -155,7 +155,8 @@ def vote(model: RandomForestClassificationModel, x: Column) -> Column:
 
 
 def scan(docs: DataFrame, model: RandomForestClassificationModel, path_col: str = "source") -> DataFrame:
-    """All columns of docs and `parts`, `tail`: the text is the texts of parts one after another, and tail.
+    """All columns of docs and `_parts`, `_tail`: the text is the texts of parts one after another, and tail.
+    Columns of these names in docs are replaced.
 
     A part is (before, candidate, score): a candidate with what lies between it and the one before.
     Null texts and texts without candidates have no parts, and the text (null: empty) as their tail."""
@@ -172,24 +173,24 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel, path_col: str
     )
     scored = F.transform(described, lambda p: F.struct(p["before"].alias("before"), p["candidate"].alias("candidate"), vote(model, p["x"]).alias("score")))
     some = text.rlike(CANDIDATE)
-    return docs.withColumns({"parts": F.when(some, scored).otherwise(F.array().cast("array<struct<before:string,candidate:string,score:double>>")), "tail": F.when(some, F.element_at(pieces, -1)).otherwise(text)})
+    return docs.withColumns({"_parts": F.when(some, scored).otherwise(F.array().cast("array<struct<before:string,candidate:string,score:double>>")), "_tail": F.when(some, F.element_at(pieces, -1)).otherwise(text)})
 
 
 def findings(scanned: DataFrame) -> DataFrame:
     """One row for each candidate: doc_id, start and end (code points), finding, score, secret."""
-    last = F.size("parts")
-    before = F.aggregate(F.slice("parts", 1, F.col("k")), F.lit(0), lambda n, p: n + F.length(p["before"]) + F.length(p["candidate"]))
-    rows = scanned.where(last > 0).select("doc_id", "parts", F.posexplode("parts").alias("k", "p"))
+    last = F.size("_parts")
+    before = F.aggregate(F.slice("_parts", 1, F.col("k")), F.lit(0), lambda n, p: n + F.length(p["before"]) + F.length(p["candidate"]))
+    rows = scanned.where(last > 0).select("doc_id", "_parts", F.posexplode("_parts").alias("k", "p"))
     start = (before + F.length("p.before")).cast("long")
     return rows.select("doc_id", start.alias("start"), (start + F.length("p.candidate")).alias("end"), F.col("p.candidate").alias("finding"), F.col("p.score").alias("score"), (F.col("p.score") >= THRESHOLD).alias("secret"))
 
 
 def redacted(scanned: DataFrame) -> DataFrame:
     """The columns of the scanned table with secrets masked in text, and n_chars following the text if it is there."""
-    parts = F.transform("parts", lambda p: F.concat(p["before"], F.when(p["score"] >= THRESHOLD, F.lit(MASK)).otherwise(p["candidate"])))
-    hit = F.exists("parts", lambda p: p["score"] >= THRESHOLD)
-    text = F.when(hit, F.concat(F.array_join(parts, ""), F.col("tail"))).otherwise(F.col("text"))
-    out = scanned.withColumn("new", text)
+    parts = F.transform("_parts", lambda p: F.concat(p["before"], F.when(p["score"] >= THRESHOLD, F.lit(MASK)).otherwise(p["candidate"])))
+    hit = F.exists("_parts", lambda p: p["score"] >= THRESHOLD)
+    text = F.when(hit, F.concat(F.array_join(parts, ""), F.col("_tail"))).otherwise(F.col("text"))
+    out = scanned.withColumn("_text", text)
     if "n_chars" in scanned.columns:
-        out = out.withColumn("n_chars", F.when(hit, F.length("new").cast(scanned.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.col("new")).drop("parts", "tail", "new")
+        out = out.withColumn("n_chars", F.when(hit, F.length("_text").cast(scanned.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.withColumn("text", F.col("_text")).drop("_parts", "_tail", "_text")

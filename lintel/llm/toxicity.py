@@ -149,7 +149,8 @@ def fit(rows: list[tuple[str, int]]) -> Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of docs and `toxicity` (0 to 1), `offences` array<struct<start,end,p>> (code points).
 
-    Only `text` is looked at; null and empty texts have the score of a document without sentences."""
+    Columns of these names in docs are replaced. Only `text` is looked at; null and empty texts have the score of a document without sentences."""
+    docs = docs.drop("toxicity", "offences")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     offence = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())])
     schema = T.StructType(list(docs.schema.fields)).add("toxicity", "double").add("offences", T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("p", "double")))

@@ -40,7 +40,7 @@ TEXTS = [
 
 
 def test_positions_and_redaction(spark, model):
-    df = spark.createDataFrame([(i, t, s, len(t or ""), "x") for i, t, s, _ in TEXTS], "doc_id long, text string, source string, n_chars long, score string")
+    df = spark.createDataFrame([(i, t, s, len(t or ""), "x") for i, t, s, _ in TEXTS], "doc_id long, text string, source string, n_chars long, parts string")
     scanned = secrets.scan(df, model)
     rows = secrets.findings(scanned).collect()
     texts = {i: t for i, t, *_ in TEXTS}

@@ -24,7 +24,7 @@ def made(n, seed=5):
 
 def test_held_out_accuracy_and_places(spark):
     rows = made(1500)
-    docs = spark.createDataFrame([(i, t, "x", "y") for i, t, _ in rows], "doc_id long, text string, toxicity_ string, n string")
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t, _ in rows], "doc_id long, text string, toxicity string, offences string")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
     assert len(toxicity.training_rows(docs, labels, 100)) == 100
     model = toxicity.train(docs, labels)
