@@ -166,12 +166,22 @@ def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corr.corrected(c, b)
 
 
+def _parts_as_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("building_id"), F.concat("p_name", "p_brand").alias("norm_name"), F.when(F.col("p_partkey") % 3 > 0, F.concat("p_brand", "p_type", F.col("p_size").cast("string"))).otherwise("").alias("norm_address"))
+
+
 def possible_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("building_id"), F.concat("p_name", "p_brand").alias("norm_name"), F.when(F.col("p_partkey") % 3 > 0, F.concat("p_brand", "p_type", F.col("p_size").cast("string"))).otherwise("").alias("norm_address"))
+    """A tenth of the rows, as its SQL says; possible_duplicates_all takes every row."""
+    p = _parts_as_buildings(spark, sf_dir)
     rows = p.where("building_id % 10 = 0").withColumn("row_no", F.col("building_id"))
     return corr.possible_duplicates(rows, p)
 
 
+def possible_duplicates_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _parts_as_buildings(spark, sf_dir)
+    return corr.possible_duplicates(p.withColumn("row_no", F.col("building_id")), p)
+
+
 def seed_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
@@ -185,7 +195,7 @@ def keys_sha1_uuid5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", keys.sha1_key(F.col("c_name"), F.col("c_mktsegment")).alias("sha1_key"), keys.legacy_key(F.col("c_name"), F.col("c_mktsegment")).alias("legacy_key"), keys.building_key(F.col("c_name"), F.col("c_mktsegment")).alias("uuid_key"), keys.evidence_key(F.when(F.col("c_custkey") % 2 == 0, " "), F.lit("u"), F.col("c_name")).alias("evidence"))
 
 
-QUERIES = {f.__name__: f for f in (upsert_overwrite, upsert_coalesce_newest, update_fill_only, update_overwrite_present, facts_by_policy, keep_first, keep_last, connected_components, safe_merge, merge_applied, address_variant_match, match_reasons, source_alias_match, close_conflict, ingest_fixpoint, review_routing, corrections, possible_duplicates, seed_winners, keys_sha1_uuid5)}
+QUERIES = {f.__name__: f for f in (upsert_overwrite, upsert_coalesce_newest, update_fill_only, update_overwrite_present, facts_by_policy, keep_first, keep_last, connected_components, safe_merge, merge_applied, address_variant_match, match_reasons, source_alias_match, close_conflict, ingest_fixpoint, review_routing, corrections, possible_duplicates, possible_duplicates_all, seed_winners, keys_sha1_uuid5)}
 
 _FACTS = """
     o as (select p_partkey, case when p_partkey % 3 > 0 then p_brand else '' end as structure, case when p_partkey % 4 > 0 then p_size end as age_years, case when p_partkey % 2 > 0 then p_type end as built_year_month, p_name as name from part),
@@ -251,6 +261,10 @@ ORACLE_SQL = {
     "possible_duplicates": """
         with p as (select p_partkey as k, p_name || p_brand as n, case when p_partkey % 3 > 0 then p_brand || p_type || p_size else '' end as a from part)
         select x.k as row_no, x.k as building_id, y.k as duplicate_building_id from p x join p y on x.k <> y.k and (x.n = y.n or (x.a <> '' and x.a = y.a)) where x.k % 10 = 0""",
+    "possible_duplicates_all": """
+        with p as (select p_partkey as k, p_name || p_brand as n, case when p_partkey % 3 > 0 then p_brand || p_type || p_size else '' end as a from part)
+        select x.k as row_no, x.k as building_id, y.k as duplicate_building_id from p x join p y on x.n = y.n where x.k <> y.k
+        union select x.k, x.k, y.k from p x join p y on x.a = y.a where x.k <> y.k and x.a <> ''""",
     "seed_winners": """
         with s as (select 'e' || (s_suppkey // 3) as e, case when s_suppkey % 9 < 6 then 'b0' else 'b' || s_suppkey end as b from supplier), r as (select s_suppkey as row_no, case s_suppkey % 4 when 0 then 'b' || s_suppkey when 1 then null else 'e' || s_suppkey end as m from supplier),
              v as (select e, count(distinct b) as n, min(b) as b from s group by e)
