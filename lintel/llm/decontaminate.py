@@ -3,11 +3,13 @@
 The CGK random walk copies a string into a longer one, advancing by a random bit that depends on the
 step and the character; strings at a small edit distance come to a small Hamming distance. Windows of
 an item's size are embedded together with the item; in each of many repetitions a few sampled
-positions must agree. What agrees once is verified by exact approximate matching (Myers).
+positions must agree. What agrees once is verified first by exact approximate matching (Myers).
 
 Windows are laid where they can match at all: an item of m characters is cut into pieces of eight, at
 most e edits leave all but e pieces intact, so that a passage within e edits shows at least
-(pieces - e) of them at offsets that differ by at most e. This filter loses nothing.
+(pieces - e) of them at offsets that differ by at most e. This filter loses nothing. Every stretch
+that passes it is verified as a whole, whether its windows collide or not: what CGK misses (edited
+copies of long items above all) is found all the same.
 
 Everything is done in one pass over the documents, without a shuffle; the items are sent to the
 workers in groups of bounded size.
@@ -113,7 +115,7 @@ def distance(item: str, text: str) -> tuple[int, int, int]:
     if at >= 0:
         return 0, at, at + len(item)
     d, end = _myers(item, text)
-    back, length = _myers(item[::-1], text[:end][::-1], first_at_start=True)
+    back, length = _myers(item[::-1], text[max(0, end - len(item) - d) : end][::-1], first_at_start=True)
     return d, end - length, end
 
 
@@ -156,8 +158,6 @@ class Items:
         pieces = self.sizes // PIECE
         self.edits = np.minimum((self.sizes * settings.rate + 1e-9).astype(np.int64), pieces - 1)
         self.need = pieces - self.edits
-        width = [max((len(c.encode()) for c in t), default=1) for t in self.texts]
-        self.spread = self.edits * np.array(width, np.int64)  # in bytes
         keys, of, where = [], [], []
         for n, t in enumerate(self.texts):
             raw = t.encode()
@@ -166,7 +166,7 @@ class Items:
             for k in range(int(pieces[n])):
                 keys.append(h[starts[k * PIECE]])
                 of.append(n)
-                where.append(starts[k * PIECE])
+                where.append(k * PIECE)
         order = np.argsort(np.array(keys, np.uint64), kind="stable")
         self.keys, self.of, self.where = np.array(keys, np.uint64)[order], np.array(of, np.int64)[order], np.array(where, np.int64)[order]
         self.bits = np.zeros(1 << 22, bool)
@@ -177,8 +177,9 @@ class Items:
         self.picks = rng.random((self.walks, PER_WALK, SAMPLED))
         self.samples: dict[tuple[int, int], np.ndarray] = {}
 
-    def windows(self, raw: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int]]:
-        """(document, item, byte of the document where the item would start), by the piece filter."""
+    def windows(self, raw: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, list[int]]]:
+        """(document, item, first, last, starts), by the piece filter: the item can start around the characters
+        first to last of the document, most likely at starts. raw: documents in UTF-8, each ends in a zero byte."""
         h = hashes(raw)
         at = np.flatnonzero(self.bits[(h >> np.uint64(42)).astype(np.int64)])
         low, high = np.searchsorted(self.keys, h[at], "left"), np.searchsorted(self.keys, h[at], "right")
@@ -188,14 +189,16 @@ class Items:
             return []
         hit = np.repeat(at, count)
         entry = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-        n, start = self.of[entry], hit - self.where[entry]
+        lead = (raw & 0xC0) != 0x80
+        place = np.cumsum(lead) - lead  # characters before each byte
         doc = np.searchsorted(ends, hit, "right")
+        n, start = self.of[entry], place[hit] - place[np.concatenate([[0], ends])[doc]] - self.where[entry]
         order = np.lexsort((start, n, doc))
         n, start, doc = n[order], start[order], doc[order]
         # enough hits within the spread, before pieces are told apart
         need = self.need[n] - 1
         far = np.minimum(np.arange(len(n)) + need, len(n) - 1)
-        full = (np.arange(len(n)) + need < len(n)) & (n[far] == n) & (doc[far] == doc) & (start[far] - start <= 2 * self.spread[n])
+        full = (np.arange(len(n)) + need < len(n)) & (n[far] == n) & (doc[far] == doc) & (start[far] - start <= self.edits[n])
         piece = self.where[entry[order]]
         group = np.cumsum(np.concatenate([[0], (n[1:] != n[:-1]) | (doc[1:] != doc[:-1])]))
         begins = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
@@ -203,13 +206,13 @@ class Items:
         for g in np.unique(group[full]).tolist():
             low, high = int(begins[g]), int(begins[g + 1]) if g + 1 < len(begins) else len(n)
             k = int(n[low])
-            out += [(int(doc[low]), k, s) for s in self._starts(start[low:high].tolist(), piece[low:high].tolist(), int(self.need[k]), 2 * int(self.spread[k]))]
+            out += [(int(doc[low]), k, *span) for span in self._starts(start[low:high].tolist(), piece[low:high].tolist(), int(self.need[k]), int(self.edits[k]))]
         return out
 
     @staticmethod
-    def _starts(start: list[int], piece: list[int], need: int, width: int) -> list[int]:
-        """Starts (ascending, with the piece each is for) around which `need` different pieces lie within
-        `width`: in every such stretch the STARTS ones that most pieces speak for."""
+    def _starts(start: list[int], piece: list[int], need: int, width: int) -> list[tuple[int, int, list[int]]]:
+        """Stretches of starts (ascending, with the piece each is for) in which `need` different pieces lie within
+        `width`: first and last start, and the STARTS ones that most pieces speak for."""
         count: Counter = Counter()
         spans: list[list[int]] = []
         a = 0
@@ -225,8 +228,9 @@ class Items:
                     spans[-1][1] = b
                 else:
                     spans.append([a, b])
-        out: list[int] = []
+        out: list[tuple[int, int, list[int]]] = []
         for a, b in spans:
+            likely: set[int] = set()
             cell = max(1, width // 8)  # starts that near to one another are one
             votes: dict[int, Counter] = defaultdict(Counter)
             for i in range(a, b + 1):
@@ -237,8 +241,9 @@ class Items:
                 s = c.most_common(1)[0][0]
                 parts[(s - start[a]) // max(1, 2 * width)].append((-sum(c.values()), s))
             for p in parts.values():
-                out += [s for _, s in sorted(p)[:STARTS]]
-        return sorted(set(out))
+                likely.update(s for _, s in sorted(p)[:STARTS])
+            out.append((start[a], start[b], sorted(likely)))
+        return out
 
     def collide(self, texts: list[str], which: list[int]) -> np.ndarray:
         """Which windows agree with their item on all sampled positions of some sample."""
@@ -280,19 +285,23 @@ class Items:
         begins = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raws])])
         spots = self.windows(joined, begins[1:])
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        cut = []
-        for d, n, start in spots:
-            begin = len(raws[d][: max(0, start - int(begins[d]))].decode("utf-8", "ignore"))
-            cut.append((d, n, begin))
-        cut = sorted(set(cut))
-        hit = self.collide([clean[d][b : b + int(self.sizes[n])] for d, n, b in cut], [n for _, n, _ in cut]) if cut else []
-        for (d, n, b), ok in zip(cut, hit, strict=True):
-            if ok and best.get((d, n), (1,))[0]:
+
+        def verify(d: int, n: int, first: int, last: int) -> None:
+            """Myers over all that an item can cover that starts around first to last; nothing is better than distance 0."""
+            if best.get((d, n), (1,))[0]:
                 e = int(self.edits[n])
-                low = max(0, b - e - PIECE)
-                dist, s, t = distance(self.texts[n], clean[d][low : b + int(self.sizes[n]) + 2 * e + PIECE])
+                low = max(0, first - e)
+                dist, s, t = distance(self.texts[n], clean[d][low : last + int(self.sizes[n]) + 2 * e])
                 if dist <= e and (dist, low + s, low + t) < best.get((d, n), (e + 1, 0, 0)):
                     best[d, n] = (dist, low + s, low + t)
+
+        cut = sorted({(d, n, max(0, b)) for d, n, _, _, starts in spots for b in starts})
+        hit = self.collide([clean[d][b : b + int(self.sizes[n])] for d, n, b in cut], [n for _, n, _ in cut]) if cut else []
+        for (d, n, b), ok in zip(cut, hit, strict=True):
+            if ok:
+                verify(d, n, b, b)
+        for d, n, first, last, _ in spots:
+            verify(d, n, first, last)
         places = {d: offsets(texts[d]) for d, _ in best}
         return [(d, n, int(places[d][s]), int(places[d][t - 1]) + 1, dist) for (d, n), (dist, s, t) in sorted(best.items())]
 

@@ -74,6 +74,22 @@ def test_recall_and_no_false_matches(spark):
     assert left == {i for i, _ in docs} - {i for i, _ in got}
 
 
+def test_long_items_with_as_many_edits_as_allowed():
+    """Passages that CGK misses: long, and edited by deletions or (wide) insertions only."""
+    rng = random.Random(6)
+    items = [(i, words(rng, 250)[:1200].strip()) for i in range(24)]
+    docs = []
+    for i, t in items:
+        t = list(t)
+        for _ in range(len(t) // 12):
+            p = rng.randrange(1, len(t) - 1)
+            t[p : p + (i % 3 == 0)] = "" if i % 3 == 0 else "x" if i % 3 == 1 else "漢"
+        docs.append(words(rng, 20) + " " + "".join(t) + " " + words(rng, 20))
+    near = {i for i, t in items if _myers(t, normal(docs[i]))[0] <= len(t) // 10}
+    got = {(d, n) for d, n, *_ in Items(items, Settings()).matches(docs)}
+    assert len(near) > 20 and {(i, i) for i in near} == got
+
+
 def test_edges(spark):
     rng = random.Random(1)
     item = words(rng, 20)
