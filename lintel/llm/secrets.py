@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 # Beginnings of keys that say whose they are.
 KEY_PREFIXES = "AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk[_-]|pk[_-]|AIza|ya29|glpat-|eyJ"
-#: What may be a secret: 8 characters that are assigned, 12 after a known beginning, 12 with a digit.
-CANDIDATE = r"""(?<=[:=]["']?)[A-Za-z0-9+/_~@$^-]{8,}+={0,2}|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|(?:%s))[A-Za-z0-9+/_-]{12,}+={0,2}""" % KEY_PREFIXES
+#: What may be a secret: 8 characters that are assigned (blanks and a quote may stand between; ! # % * only inside),
+#: 12 after a known beginning, 12 with a digit. The first lookbehind is a cheap test for the second.
+CANDIDATE = r"""(?<=[:= \t"'])(?<=[:=][ \t]{0,16}["']?)(?:[A-Za-z0-9+/_~@$^-]|[!#%%*]++(?=[A-Za-z0-9])){8,}+={0,2}|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|(?:%s))[A-Za-z0-9+/_-]{12,}+={0,2}""" % KEY_PREFIXES
 #: Characters around a candidate that are looked at.
 CONTEXT = 48
 #: Fixed word lists of the features.

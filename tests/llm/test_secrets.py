@@ -52,3 +52,15 @@ def test_positions_and_redaction(spark, model):
     assert clean[2]["text"].endswith("commit 1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae z") and clean[4]["text"] is None
     assert clean[3]["text"] == texts[3] and clean[6]["text"] == texts[6] and "45bb" not in clean[7]["text"]
     assert secrets.findings(secrets.scan(df.limit(0), model)).collect() == []
+
+
+SPACED = [('x password = "Tr0ub4dor" y', "Tr0ub4dor"), ("password: hunter2xyz and", "hunter2xyz"), ("DB_PASSWORD = s3cr3tPw\n", "s3cr3tPw"), ('api_key: "abcdEFGHijklMNOPqrst"', "abcdEFGHijklMNOPqrst"), ('password = "P@ssw0rd!2024"', "P@ssw0rd!2024"), ('password="Tr0ub4dor"', "Tr0ub4dor")]
+PROPOSED = [('secret = "correcthorsebattery"', "correcthorsebattery"), ("token\t=      undefined", "undefined")]
+
+
+def test_blanks_between_sign_and_value(spark, model):
+    texts = SPACED + PROPOSED
+    df = spark.createDataFrame([(i, t, "src0") for i, (t, _) in enumerate(texts)], "doc_id long, text string, source string")
+    rows = secrets.findings(secrets.scan(df, model)).collect()
+    assert {(r["doc_id"], r["finding"]) for r in rows} == {(i, v) for i, (_, v) in enumerate(texts)}
+    assert {r["doc_id"] for r in rows if r["secret"]} >= set(range(len(SPACED)))
