@@ -21,8 +21,9 @@ KEY_PREFIXES = "AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk[_-]|pk[_-]|AIza|ya29|glpat-|
 #: What may be a secret: 8 characters that are assigned (blanks and a quote may stand between; ! # % * only inside),
 #: 12 after a known beginning, 12 with a digit. The first lookbehind is a cheap test for the second.
 CANDIDATE = r"""(?<=[:= \t"'])(?<=[:=][ \t]{0,16}["']?)(?:[A-Za-z0-9+/_~@$^-]|[!#%%*]++(?=[A-Za-z0-9])){8,}+={0,2}|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|(?:%s))[A-Za-z0-9+/_-]{12,}+={0,2}""" % KEY_PREFIXES
-#: Characters around a candidate that are looked at.
+#: Characters around a candidate that are looked at, and candidates (of 8 characters at least) that can lie in them.
 CONTEXT = 48
+EARLIER = CONTEXT // 8
 #: Fixed word lists of the features.
 KEY_WORDS = "password|passwd|pwd|passphrase|secret|token|api[_ -]?key|apikey|access[_ -]?key|auth|bearer|credential|private"
 OTHER_WORDS = "commit|sha1|sha256|sha512|md5|hash|checksum|digest|etag|uuid|guid|revision|build|version|order|invoice|phone|card|isbn|page|file|image|id"
@@ -165,11 +166,19 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel, path_col: str
     pattern = F.lit(CANDIDATE)
     found, pieces = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, CANDIDATE, -1)
     zipped = F.arrays_zip(found.alias("candidate"), F.slice(pieces, 1, F.size(found)).alias("before"), F.slice(pieces, 2, F.size(found)).alias("after"))
+
+    def context(z: Column, p: Column, i: Column) -> Column:
+        """The text before the candidate, earlier candidates included."""
+        earlier = F.transform(F.slice(z, F.greatest(i - EARLIER, F.lit(0)) + 1, F.least(i, F.lit(EARLIER))), lambda q: F.concat(F.substring(q["before"], -CONTEXT, CONTEXT), q["candidate"]))
+        return F.substring(F.concat(F.array_join(earlier, ""), F.substring(p["before"], -CONTEXT, CONTEXT)), -CONTEXT, CONTEXT)
+
+    # z: as a variable, the candidates are searched for once, not once a candidate
+    near = F.transform(F.array(zipped), lambda z: F.transform(z, lambda p, i: F.struct(p["before"].alias("before"), p["candidate"].alias("candidate"), context(z, p, i).alias("near"), F.substring(p["after"], 1, CONTEXT).alias("after"))))[0]
     described = F.transform(
-        zipped,
+        near,
         lambda p: F.struct(
             p["before"].alias("before"), p["candidate"].alias("candidate"),
-            F.array(*features(p["candidate"], F.substring(p["before"], -CONTEXT, CONTEXT), F.substring(p["after"], 1, CONTEXT), F.col(path_col))).alias("x"),
+            F.array(*features(p["candidate"], p["near"], p["after"], F.col(path_col))).alias("x"),
         ),
     )
     scored = F.transform(described, lambda p: F.struct(p["before"].alias("before"), p["candidate"].alias("candidate"), vote(model, p["x"]).alias("score")))

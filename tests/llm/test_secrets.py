@@ -64,3 +64,14 @@ def test_blanks_between_sign_and_value(spark, model):
     rows = secrets.findings(secrets.scan(df, model)).collect()
     assert {(r["doc_id"], r["finding"]) for r in rows} == {(i, v) for i, (_, v) in enumerate(texts)}
     assert {r["doc_id"] for r in rows if r["secret"]} >= set(range(len(SPACED)))
+
+
+def test_an_earlier_candidate_is_part_of_the_context(spark, model):
+    """Key names that are candidates themselves still speak for their values, after many candidates, too."""
+    key = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f"
+    texts = [f'S3_SECRET_ACCESS_KEY="{key}"', f'oauth2_client_secret = "{key}"', f'SECRET {"a1b2c3d4e5f6 " * 900}oauth2_client_secret = "{key}"']
+    alone = secrets.features(F.lit(key), F.lit('oauth2_client_secret = "'), F.lit('"'), F.lit("src0"))
+    best = spark.range(1).select(secrets.vote(model, F.array(*alone)).alias("v")).first()["v"]
+    df = spark.createDataFrame([(i, t, "src0") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["score"] for r in secrets.findings(secrets.scan(df, model)).where(F.col("finding") == key).collect()}
+    assert got[0] >= secrets.THRESHOLD and got[1] == got[2] == best
