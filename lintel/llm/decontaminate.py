@@ -189,10 +189,10 @@ class Items:
             return []
         hit = np.repeat(at, count)
         entry = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-        lead = (raw & 0xC0) != 0x80
-        place = np.cumsum(lead) - lead  # characters before each byte
         doc = np.searchsorted(ends, hit, "right")
-        n, start = self.of[entry], place[hit] - place[np.concatenate([[0], ends])[doc]] - self.where[entry]
+        first = np.concatenate([[0], ends])[doc]
+        inner = np.flatnonzero((raw & 0xC0) == 0x80)  # bytes that begin no character
+        n, start = self.of[entry], hit - first - (np.searchsorted(inner, hit) - np.searchsorted(inner, first)) - self.where[entry]
         order = np.lexsort((start, n, doc))
         n, start, doc = n[order], start[order], doc[order]
         # enough hits within the spread, before pieces are told apart
