@@ -1,114 +1,207 @@
-"""Benchmark decontamination by CGK embedding and bit-sampling.
+"""Benchmark decontamination by CGK embedding and bit-sampling LSH.
 
 The CGK random walk copies a string into a longer one, advancing by a random bit that depends on the
-step and the character; strings at a small edit distance come to a small Hamming distance. Windows of
-an item's size are embedded together with the item; in each of many repetitions a few sampled
-positions must agree. What agrees once is verified first by exact approximate matching (Myers).
-
-Windows are laid where they can match at all: an item of m characters is cut into pieces of eight, at
-most e edits leave all but e pieces intact, so that a passage within e edits shows at least
-(pieces - e) of them at offsets that differ by at most e. This filter loses nothing. Every stretch
-that passes it is verified as a whole, whether its windows collide or not: what CGK misses (edited
-copies of long items above all) is found all the same.
-
-Everything is done in one pass over the documents, without a shuffle; the items are sent to the
-workers in groups of bounded size.
+step and the character; strings at a small edit distance come to a small Hamming distance. The item
+and the item-sized window of a document are embedded in sections, each walked afresh, because a walk
+that has lost step with its twin rarely finds back within a long item. A section's key is a sample of
+its walk's symbols. In each of many repetitions (walks, and samples of a walk) a section of a document
+and one of an item that have the same key share a bucket, and the item is a candidate there. Candidates
+are verified exactly (Myers): a match is an edit distance of at most `rate` times the item's length.
+
+Items have sections at every character, documents at every `stride`-th, so that some sections of a
+copied passage always begin at the same character in both. How many walks are needed for the target
+recall is measured on edited passages of a bounded sample of the items. Symbols sampled for a key grow
+with the logarithm of the items' size, so that sections meet by chance as rarely for a large benchmark.
+
+The documents are read once. Their keys are looked up in a Bloom filter of the items' keys, which has a
+fixed greatest size and is all that is broadcast; what passes it is joined with the items' keys by a
+shuffle, together with the stretch of text that an item can cover there. A larger benchmark fills the
+filter, so that more rows are shuffled, but nothing else changes. Items never go through the driver.
+
+Items too short for sections (under EXACT characters) are looked for exactly, at word borders.
 """
 
 from __future__ import annotations
 
-import math
+import random
 import re
-from collections import Counter, defaultdict
+import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
 from .shingles import mix
 
-#: Characters of a piece, which are hashed together.
-PIECE = 8
-#: Sampled positions that must agree, and the share of equal positions for which the recall is aimed at.
-SAMPLED, EQUAL_SHARE, RECALL = 3, 0.5, 0.9999
-#: Samples that are taken from one walk; further walks are taken until the recall is reached.
-PER_WALK = 12
-#: Walks that are tried first, before the others are spent on windows that did not collide.
-FIRST = 2
-#: Starts of a passage that are tried, those that most pieces speak for.
-STARTS = 4
-#: Items are sent to the workers in groups of at most so many characters.
-GROUP_CHARS = 8 << 20
-#: Walks that go on side by side.
-LANES = 1 << 13
-BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Items of fewer characters are looked for exactly.
+EXACT = 16
+#: Kinds of items: least characters, steps of a walk (two a character on average), stride of the documents' sections.
+KINDS = ((80, 64, 8), (40, 48, 4), (EXACT, 24, 2))
+#: Samples that are taken from one walk, and the fewest symbols of a sample.
+PER_WALK, SYMBOLS = 4, 12
+#: Walks are added until this share of edited passages is found, at most MAX_WALKS.
+RECALL, MAX_WALKS = 0.998, 24
+#: Items, and edited passages of them, on which the walks are counted.
+SAMPLE_ITEMS, TRIALS = 256, 1500
+#: The filter has at least FILTER_BITS bits a key, of which six are set, but at most 1 << MOST_BITS in all (64 MB).
+FILTER_BITS, MOST_BITS = 64, 29
+#: Bits of a key, and of a hash of it, from these on are its places in the filter.
+SHIFTS = (0, 17, 34)
+#: Characters of documents that are embedded together.
+CHUNK = 1 << 18
 
 SCHEMA = "doc_id long, item_id long, start long, end long, distance long"
+#: A stretch of a document with sections that passed the filter: begin and text as in the document, places of keys in its normal form.
+_FOUND = "row string, doc_id long, hash long, start long, text string, keys array<struct<key:long,low:int,high:int>>"
 
 
 @dataclass(frozen=True)
 class Settings:
     """A passage matches an item if their edit distance is at most rate * length of the item.
 
-    Lower case and single blanks are compared; items of under min_chars characters are left out."""
+    Lower case and single blanks are compared."""
 
     rate: float = 0.1
-    min_chars: int = 32
+    recall: float = RECALL
 
-    @property
-    def walks(self) -> int:
-        """As many as give the recall, were all samples independent."""
-        return math.ceil(math.log(1 - RECALL) / math.log(1 - EQUAL_SHARE**SAMPLED) / PER_WALK)
+    def edits(self, size: int) -> int:
+        return int(size * self.rate + 1e-9)
 
 
 def normal(text: str) -> str:
     """Lower case, single blanks; characters whose lower case is longer are kept."""
-    low = text.lower()
+    low = text.replace("Σ", "σ").lower()  # the one letter whose lower case depends on its place
     if len(low) != len(text):
-        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text.replace("Σ", "σ"))
     return " ".join(low.split())
 
 
-def offsets(text: str) -> np.ndarray:
-    """For each character of normal(text) its place in text, and one more for the end."""
-    at, out = 0, []
-    for m in re.finditer(r"\S+", text):
-        if out:
-            out.append(at)
-        out.extend(range(m.start(), m.end()))
-        at = m.end()
-    return np.array([*out, at], np.int64)
-
-
-def hashes(raw: np.ndarray) -> np.ndarray:
-    """Hash of the eight bytes from each place on."""
-    h, step = raw.astype(np.uint64), 1
-    while step < PIECE:
-        if len(h) <= step:
-            return np.zeros(0, np.uint64)
-        h = h[:-step] * (BASE ** np.uint64(step) if step == 1 else np.uint64(pow(int(BASE), step, 1 << 64))) + h[step:]
-        step *= 2
-    return h
-
-
-def cgk(codes: np.ndarray, lengths: np.ndarray, seeds: np.ndarray, steps: int) -> np.ndarray:
-    """The first `steps` symbols of the embedded strings (steps x lanes); 0 beyond the end of a string.
-
-    codes: lanes x length, lengths and seeds: lanes."""
-    lanes = np.arange(len(codes))
-    at = np.zeros(len(codes), np.int64)
-    out = np.zeros((steps, len(codes)), np.uint32)
-    padded = np.concatenate([codes, np.zeros((len(codes), 1), np.uint32)], 1)
-    for step in range(steps):
-        symbol = out[step]
-        symbol[:] = padded[lanes, at]
-        at += ((mix(seeds + symbol * BASE + np.uint64(step)) >> np.uint64(63)) == 1) & (at < lengths)
+def offsets(text: str, places: list[int]) -> list[int]:
+    """The places of normal(text) as places of text. Memory grows with the number of places and words only."""
+    words = re.finditer(r"\S+", text)
+    out, at, m = [len(text)] * len(places), 0, next(words, None)
+    for k in sorted(range(len(places)), key=places.__getitem__):
+        while m is not None and places[k] > at + m.end() - m.start():
+            at, m = at + m.end() - m.start() + 1, next(words, None)
+        if m is not None:
+            out[k] = m.start() + places[k] - at
     return out
 
 
+# embedding ------------------------------------------------------------------------------------
+
+
+def symbols(text: str) -> np.ndarray:
+    """The characters as one of 256 classes each."""
+    return (np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) * np.uint32(2654435761) >> np.uint32(24)).astype(np.uint8)
+
+
+@dataclass(frozen=True)
+class Walks:
+    """Walks and samples for the items of one kind."""
+
+    least: int
+    steps: int
+    stride: int
+    walks: int
+    sampled: int
+
+    @property
+    def samples(self) -> int:
+        return self.walks * PER_WALK
+
+    def room(self, size: int) -> int:
+        """Sections of an item of so many characters: the last ones may run out of it by an eighth of their steps."""
+        return max(1, size - self.steps // 2 + self.steps // 8)
+
+    def keys(self, codes: np.ndarray, start: np.ndarray) -> Iterator[np.ndarray]:
+        """For each sample the keys of the sections that begin at `start`. codes end in `steps` further symbols."""
+        width = -(-self.sampled // 8) * 8
+        packed = np.zeros((len(start), width), np.uint8)
+        for walk, (forward, picks) in enumerate(_drawn(self)):
+            at, walked = start.astype(np.int64), np.empty((self.steps, len(start)), np.uint8)
+            for step in range(self.steps):
+                np.take(codes, at, out=walked[step], mode="clip")
+                at += forward[step].take(walked[step])
+            for sample, pick in enumerate(picks):
+                for i, step in enumerate(pick.tolist()):
+                    packed[:, i] = walked[step]
+                words = packed.view(np.uint64)
+                key = words[:, 0] + np.uint64((1 + walk * PER_WALK + sample + (self.least << 16)) * 0x9E3779B97F4A7C15 % (1 << 64))
+                for w in range(1, width // 8):
+                    key = mix(key) + words[:, w]
+                yield mix(key)
+
+
+@lru_cache(64)
+def _drawn(walks: Walks) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+    """For each walk the advance by step and symbol, and the steps that are sampled. More walks begin like fewer."""
+    rng, out = np.random.default_rng((5, walks.least, walks.steps)), []
+    for _ in range(walks.walks):
+        forward = rng.integers(0, 2, (walks.steps, 256)).astype(np.int64)
+        out.append((forward, [np.sort(rng.permutation(walks.steps)[: walks.sampled]) for _ in range(PER_WALK)]))
+    return out
+
+
+def exact_keys(codes: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """Keys of the strings of `size` characters that begin at `start`."""
+    key = np.full(len(start), size, np.uint64)
+    for k in range(size):
+        key = mix(key) + np.take(codes, start + k, mode="clip")
+    return mix(key)
+
+
+def edited(rng: random.Random, text: str, edits: int) -> str:
+    """text after so many edits, of all kinds or of one."""
+    kind, out = rng.choice(("sdi", "sdi", "s", "d", "i")), list(text)
+    for _ in range(edits):
+        p, k = rng.randrange(len(out)), rng.choice(kind)
+        if k == "d" and len(out) > 1:
+            del out[p]
+        else:
+            out[p : p + (k == "s")] = chr(rng.randrange(97, 123))
+    return "".join(out)
+
+
+def planned(kind: tuple[int, int, int], items: list[str], chars: int, settings: Settings) -> Walks:
+    """Walks for the items of a kind, of `chars` characters altogether: as many as find `recall` of the passages that
+    are made of a sample of them with all edits that are allowed. The sample is cut to the least length of the kind:
+    longer items have more sections and are found more often."""
+    least, steps, stride = kind
+    most = Walks(least, steps, stride, MAX_WALKS, min(steps // 2, max(SYMBOLS, chars.bit_length() + 2)))
+    rng = random.Random(len(items))
+    pad = np.zeros(steps, np.uint8)
+    tries = [rng.choice(items) for _ in range(TRIALS)]
+    copies = [edited(rng, t, settings.edits(len(t))) for t in tries]
+    # both sides one after another; a key is told apart by the trial it belongs to
+    sizes, lengths = [most.room(len(t)) for t in tries], [len(c) for c in copies]
+    skip = [rng.randrange(stride) for _ in tries]
+    a = np.concatenate([np.concatenate([symbols(t), pad]) for t in tries])
+    b = np.concatenate([np.concatenate([symbols(c), pad + 1]) for c in copies])
+    at_a = np.cumsum([0, *(len(t) + steps for t in tries)])
+    at_b = np.cumsum([0, *(n + steps for n in lengths)])
+    start_a = np.concatenate([at_a[k] + np.arange(n) for k, n in enumerate(sizes)])
+    start_b = np.concatenate([at_b[k] + np.arange(skip[k], max(n, skip[k] + 1), stride) for k, n in enumerate(lengths)])
+    of_a, of_b = np.searchsorted(at_a, start_a, "right").astype(np.uint64), np.searchsorted(at_b, start_b, "right").astype(np.uint64)
+    first = np.full(TRIALS, MAX_WALKS * PER_WALK)
+    for sample, (x, y) in enumerate(zip(most.keys(a, start_a), most.keys(b, start_b), strict=True)):
+        hit = np.isin(mix(y + of_b * np.uint64(0x9E3779B97F4A7C15)), mix(x + of_a * np.uint64(0x9E3779B97F4A7C15)))
+        which = np.unique(of_b[hit]).astype(np.int64) - 1
+        first[which] = np.minimum(first[which], sample)
+        if (first < MAX_WALKS * PER_WALK).mean() >= settings.recall and sample % PER_WALK == PER_WALK - 1:
+            return Walks(least, steps, stride, sample // PER_WALK + 1, most.sampled)
+    return most
+
+
+# verification ---------------------------------------------------------------------------------
+
+
 def distance(item: str, text: str) -> tuple[int, int, int]:
     """Least edit distance of item to a substring of text, with the substring's start and end."""
     at = text.find(item)
@@ -147,229 +240,259 @@ def _myers(item: str, text: str, first_at_start: bool = False) -> tuple[int, int
     return best, end
 
 
-class Items:
-    """Items with their pieces, built once in each worker."""
-
-    def __init__(self, items: list[tuple[int, str]], settings: Settings):
-        self.settings = settings
-        self.ids = [i for i, _ in items]
-        self.texts = [t for _, t in items]
-        self.sizes = np.array([len(t) for t in self.texts], np.int64)
-        pieces = self.sizes // PIECE
-        self.edits = np.minimum((self.sizes * settings.rate + 1e-9).astype(np.int64), pieces - 1)
-        self.need = pieces - self.edits
-        keys, of, where = [], [], []
-        for n, t in enumerate(self.texts):
-            raw = t.encode()
-            h = hashes(np.frombuffer(raw, np.uint8))
-            starts = np.concatenate([[0], np.cumsum([len(c.encode()) for c in t])])
-            for k in range(int(pieces[n])):
-                keys.append(h[starts[k * PIECE]])
-                of.append(n)
-                where.append(k * PIECE)
-        order = np.argsort(np.array(keys, np.uint64), kind="stable")
-        self.keys, self.of, self.where = np.array(keys, np.uint64)[order], np.array(of, np.int64)[order], np.array(where, np.int64)[order]
-        self.bits = np.zeros(1 << 22, bool)
-        self.bits[(self.keys >> np.uint64(42)).astype(np.int64)] = True
-        rng = np.random.default_rng(11)
-        self.walks = settings.walks
-        self.seeds = rng.integers(0, 1 << 63, self.walks, np.uint64)
-        self.picks = rng.random((self.walks, PER_WALK, SAMPLED))
-        self.samples: dict[tuple[int, int], np.ndarray] = {}
-
-    def windows(self, raw: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, list[int]]]:
-        """(document, item, first, last, starts), by the piece filter: the item can start around the characters
-        first to last of the document, most likely at starts. raw: documents in UTF-8, each ends in a zero byte."""
-        h = hashes(raw)
-        at = np.flatnonzero(self.bits[(h >> np.uint64(42)).astype(np.int64)])
-        low, high = np.searchsorted(self.keys, h[at], "left"), np.searchsorted(self.keys, h[at], "right")
-        count = high - low
-        at, low, count = at[count > 0], low[count > 0], count[count > 0]
-        if not len(at):
-            return []
-        hit = np.repeat(at, count)
-        entry = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-        doc = np.searchsorted(ends, hit, "right")
-        first = np.concatenate([[0], ends])[doc]
-        inner = np.flatnonzero((raw & 0xC0) == 0x80)  # bytes that begin no character
-        n, start = self.of[entry], hit - first - (np.searchsorted(inner, hit) - np.searchsorted(inner, first)) - self.where[entry]
-        order = np.lexsort((start, n, doc))
-        n, start, doc = n[order], start[order], doc[order]
-        # enough hits within the spread, before pieces are told apart
-        need = self.need[n] - 1
-        far = np.minimum(np.arange(len(n)) + need, len(n) - 1)
-        full = (np.arange(len(n)) + need < len(n)) & (n[far] == n) & (doc[far] == doc) & (start[far] - start <= self.edits[n])
-        piece = self.where[entry[order]]
-        group = np.cumsum(np.concatenate([[0], (n[1:] != n[:-1]) | (doc[1:] != doc[:-1])]))
-        begins = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        out = []
-        for g in np.unique(group[full]).tolist():
-            low, high = int(begins[g]), int(begins[g + 1]) if g + 1 < len(begins) else len(n)
-            k = int(n[low])
-            out += [(int(doc[low]), k, *span) for span in self._starts(start[low:high].tolist(), piece[low:high].tolist(), int(self.need[k]), int(self.edits[k]))]
-        return out
-
-    @staticmethod
-    def _starts(start: list[int], piece: list[int], need: int, width: int) -> list[tuple[int, int, list[int]]]:
-        """Stretches of starts (ascending, with the piece each is for) in which `need` different pieces lie within
-        `width`: first and last start, and the STARTS ones that most pieces speak for."""
-        count: Counter = Counter()
-        spans: list[list[int]] = []
-        a = 0
-        for b in range(len(start)):
-            count[piece[b]] += 1
-            while start[b] - start[a] > width:
-                count[piece[a]] -= 1
-                if not count[piece[a]]:
-                    del count[piece[a]]
-                a += 1
-            if len(count) >= need:
-                if spans and a <= spans[-1][1]:
-                    spans[-1][1] = b
+def at_borders(item: str, text: str, low: int, high: int) -> int:
+    """The first place from low to high where item stands in text as whole words, or -1."""
+    at = text.find(item, low)
+    while 0 <= at <= high:
+        if (at == 0 or text[at - 1] == " ") and text[at + len(item) : at + len(item) + 1] in ("", " "):
+            return at
+        at = text.find(item, at + 1)
+    return -1
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(b, out[-1][1])
+        else:
+            out.append([a, b])
+    return [(a, b) for a, b in out]
+
+
+# index of the items ---------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Plan:
+    """What the workers need to know besides the filter: walks, lengths of exact items, reach of a section."""
+
+    kinds: tuple[Walks, ...]
+    exact: tuple[int, ...]
+    #: Characters before and after the begin of a section that an item of each kind can cover.
+    reach: tuple[int, ...]
+
+    def kind(self, size: int) -> int:
+        return next(k for k, w in enumerate(self.kinds) if size >= w.least)
+
+
+def _texts(items: DataFrame) -> DataFrame:
+    """(n, item_id, text): items in normal form with a number each, equal rows once; null ids and empty texts left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [normal(t) for t in batch.column(1).to_pylist()]
+            made = pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["item_id", "text"])
+            yield made.filter(pa.array([bool(t) for t in texts], pa.bool_()))
+
+    rows = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    return written(rows.mapInArrow(run, "item_id long, text string").distinct().withColumn("n", F.monotonically_increasing_id()), "items")
+
+
+def _plan(texts: DataFrame, settings: Settings) -> Plan:
+    size = F.length("text")
+    exact = sorted(r[0] for r in texts.select(size.alias("s")).where(F.col("s") < EXACT).distinct().collect())
+    kinds, reach, above = [], [], None
+    for kind in KINDS:
+        mine = texts.where(size >= kind[0])
+        mine = mine if above is None else mine.where(size < above)
+        above = kind[0]
+        chars, longest = mine.agg(F.sum(size), F.max(size)).first()
+        if chars:
+            sample = [r["text"] for r in mine.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_ITEMS).select(F.substring("text", 1, kind[0]).alias("text")).collect()]
+            kinds.append(planned(kind, sample, chars, settings))
+            reach.append(longest + 2 * settings.edits(longest) + 2)
+    return Plan(tuple(kinds), tuple(exact), tuple(reach))
+
+
+def _item_keys(texts: DataFrame, plan: Plan) -> DataFrame:
+    """(key, again, n, low, high): the first and the last section of item n that has the key; again: a hash of the key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                codes = symbols(text)
+                if len(text) < EXACT:
+                    key, low, high = exact_keys(codes, np.zeros(1, np.int64), len(text)), np.zeros(1, np.int64), np.zeros(1, np.int64)
+                else:
+                    walks = plan.kinds[plan.kind(len(text))]
+                    at = np.arange(walks.room(len(text)))
+                    found = np.concatenate(list(walks.keys(np.concatenate([codes, np.zeros(walks.steps, np.uint8)]), at)))
+                    key, low, high = bounds(found, np.tile(at, walks.samples))
+                for k in range(0, len(key), 1 << 16):
+                    part = slice(k, k + (1 << 16))
+                    columns = (key[part].view(np.int64), mix(key[part]).view(np.int64), np.full(len(key[part]), n), low[part].astype(np.int32), high[part].astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "again", "n", "low", "high"])
+
+    return written(texts.select("n", "text").mapInArrow(run, "key long, again long, n long, low int, high int"), "item-keys")
+
+
+def bounds(key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, with the least and the greatest place of each."""
+    order = np.lexsort((at, key))
+    key, at = key[order], at[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+    return key[first], at[first], at[np.append(first[1:], len(key))[: len(first)] - 1]
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """Bloom filter of the keys with six bits each, as bytes: a power of two of bits, at most 1 << MOST_BITS."""
+    count = keys.count()
+    power = min(MOST_BITS, max(18, (FILTER_BITS * max(count, 1) - 1).bit_length()))
+    mask = F.lit((1 << power) - 1)
+    spots = keys.select(F.explode(F.array(*(F.shiftrightunsigned(c, n).bitwiseAND(mask) for c in ("key", "again") for n in SHIFTS))).alias("p"))
+    made = spots.groupBy(F.shiftright("p", 15).alias("bucket")).agg(F.bitmap_construct_agg(F.col("p").bitwiseAND(F.lit(32767))).alias("bits"))
+    out = np.zeros((1 << power) // 8, np.uint8)
+    for row in made.toLocalIterator():
+        out[row["bucket"] * 4096 : (row["bucket"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def passing(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Places of the keys that the filter may hold."""
+    mask = np.uint64(8 * len(bits) - 1)
+
+    def look(k: np.ndarray) -> np.ndarray:
+        return bits[(k >> np.uint64(3)).astype(np.int64)] >> (k & np.uint64(7)).astype(np.uint8) & 1 > 0
+
+    which = np.flatnonzero(look(key & mask))
+    for again in (False, True):
+        for n in SHIFTS:
+            some = mix(key[which]) if again else key[which]
+            which = which[look(some >> np.uint64(n) & mask)]
+    return which
+
+
+# documents ------------------------------------------------------------------------------------
+
+
+def found_sections(texts: list[str], bits: np.ndarray, plan: Plan) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each of the (normal) texts that has any: keys that passed the filter, place and reach of their sections."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    begins = np.concatenate([[0], np.cumsum(sizes + 1)])
+    codes = symbols("\x00".join(texts) + "\x00" * (1 + max([w.steps for w in plan.kinds], default=EXACT)))
+    got: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for walks, reach in zip(plan.kinds, plan.reach, strict=True):
+        for begin in range(0, int(begins[-1]), CHUNK):
+            at = np.arange(begin, min(begin + CHUNK, int(begins[-1])), walks.stride)
+            for key in walks.keys(codes, at):
+                which = passing(bits, key)
+                got.append((key[which], at[which], np.full(len(which), reach)))
+    if plan.exact:
+        blank = np.concatenate([[True], (codes == symbols(" ")[0])[:-1] | (codes == symbols("\x00")[0])[:-1]])
+        at = np.flatnonzero(blank[: begins[-1]])
+        for size in plan.exact:
+            key = exact_keys(codes, at, size)
+            which = passing(bits, key)
+            got.append((key[which], at[which], np.full(len(which), EXACT + 1)))
+    if not got:
+        return {}
+    key, at, reach = (np.concatenate(c) for c in zip(*got, strict=True))
+    doc = np.searchsorted(begins, at, "right") - 1
+    order = np.argsort(doc, kind="stable")
+    cuts = np.flatnonzero(np.diff(doc[order])) + 1
+    return {int(doc[w[0]]): (key[w], at[w] - begins[doc[w[0]]], reach[w]) for w in np.split(order, cuts) if len(w)}
+
+
+def stretches(raw: str, text: str, key: np.ndarray, at: np.ndarray, reach: np.ndarray) -> Iterator[tuple[int, str, list[dict]]]:
+    """(start, text, keys) of the parts of a document (text: its normal form) that an item can cover; start and text
+    as in the document, keys with their first and last section in the normal form of the part."""
+    around = {(max(0, a - r), min(len(text), a + r)) for a, r in set(zip(at.tolist(), reach.tolist(), strict=True))}
+    spans = [(a - (text[a : a + 1] == " "), b) for a, b in merged(list(around))]  # a blank at the begin would be lost
+    places = offsets(raw, [p for span in spans for p in span])
+    part = np.searchsorted([a for a, _ in spans], at, "right") - 1
+    for k, (a, _) in enumerate(spans):
+        mine = part == k
+        rows = zip(*(c.tolist() for c in bounds(key[mine].view(np.int64), at[mine] - a)), strict=True)
+        yield places[2 * k], raw[places[2 * k] : places[2 * k + 1]], [{"key": h, "low": low, "high": high} for h, low, high in rows]
+
+
+def _found(docs: DataFrame, bits: np.ndarray, plan: Plan) -> DataFrame:
+    """Stretches of the documents that hold keys of items, one pass over the documents."""
+    sent = docs.sparkSession.sparkContext.broadcast((bits, plan))
+    keys = pa.list_(pa.struct([("key", pa.int64()), ("low", pa.int32()), ("high", pa.int32())]))
+    schema = pa.schema([("row", pa.string()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("start", pa.int64()), ("text", pa.string()), ("keys", keys)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, plan = sent.value
+        for batch in batches:
+            sizes, k = batch.column("size").to_pylist(), 0
+            while k < batch.num_rows:
+                n, chars = k + 1, sizes[k]
+                while n < batch.num_rows and chars + sizes[n] <= CHUNK:
+                    chars, n = chars + sizes[n], n + 1
+                rows, out = batch.slice(k, n - k), []
+                raw = rows.column("text").to_pylist()
+                clean = [normal(t) for t in raw]
+                for d, sections in found_sections(clean, known, plan).items():
+                    own = {"row": uuid.uuid4().hex, "doc_id": rows.column("doc_id")[d].as_py(), "hash": rows.column("hash")[d].as_py()}
+                    out += [{**own, "start": start, "text": text, "keys": some} for start, text, some in stretches(raw[d], clean[d], *sections)]
+                if out:
+                    yield pa.RecordBatch.from_pylist(out, schema)
+                k = n
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.length("text").cast("long").alias("size"), "text").where("size > 0")
+    return written(rows.mapInArrow(run, _FOUND), "stretches")
+
+
+def _verified(found: DataFrame, keys: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """(row, doc_id, hash, item_id, start, end, distance): the best passage of each item in each document row."""
+    met = found.select("row", "start", F.explode("keys").alias("k")).select("row", "start", "k.*").join(keys.drop("again").withColumnsRenamed({"low": "first", "high": "last"}), "key")
+    pairs = met.groupBy("row", "start", "n").agg(F.min(F.col("low") - F.col("last")).alias("low"), F.max(F.col("high") - F.col("first")).alias("high"))
+    rows = pairs.join(found.drop("keys"), ["row", "start"]).join(texts.withColumnRenamed("text", "item"), "n")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits: list[tuple[int, int, int, int]] = []
+            columns = (batch.column(c).to_pylist() for c in ("text", "item", "low", "high", "start"))
+            for k, (text, item, low, high, start) in enumerate(zip(*columns, strict=True)):
+                clean, e = normal(text), settings.edits(len(item))
+                if len(item) < EXACT:
+                    at = at_borders(item, clean, max(0, low), high)
+                    d, s, t = (0, at, at + len(item)) if at >= 0 else (e + 1, 0, 0)
                 else:
-                    spans.append([a, b])
-        out: list[tuple[int, int, list[int]]] = []
-        for a, b in spans:
-            likely: set[int] = set()
-            cell = max(1, width // 8)  # starts that near to one another are one
-            votes: dict[int, Counter] = defaultdict(Counter)
-            for i in range(a, b + 1):
-                votes[start[i] // cell][start[i]] += 1
-            # along a long stretch (a passage that repeats) each piece of its length has its own starts
-            parts: dict[int, list[tuple[int, int]]] = defaultdict(list)
-            for c in votes.values():
-                s = c.most_common(1)[0][0]
-                parts[(s - start[a]) // max(1, 2 * width)].append((-sum(c.values()), s))
-            for p in parts.values():
-                likely.update(s for _, s in sorted(p)[:STARTS])
-            out.append((start[a], start[b], sorted(likely)))
-        return out
-
-    def collide(self, texts: list[str], which: list[int]) -> np.ndarray:
-        """Which windows agree with their item on all sampled positions of some sample."""
-        found = np.zeros(len(texts), bool)
-        for walks in (range(min(FIRST, self.walks)), range(min(FIRST, self.walks), self.walks)):
-            todo = np.flatnonzero(~found)
-            todo = todo[np.argsort([which[i] for i in todo], kind="stable")]  # windows of one length together
-            per = max(1, LANES // max(1, len(walks)))
-            for k in range(0, len(todo) * bool(walks), per):
-                some = todo[k : k + per]
-                found[some] = self._collide([texts[i] for i in some], [which[i] for i in some], walks)
-        return found
-
-    def _embed(self, strings: list[str], items: list[int], walks: range) -> np.ndarray:
-        """Sampled symbols: strings x walks x samples x positions. A walk takes two steps a character on average."""
-        width = max(1, *(len(s) for s in strings))
-        codes = np.zeros((len(strings), width), np.uint32)
-        for i, s in enumerate(strings):
-            codes[i, : len(s)] = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
-        r = len(walks)
-        wanted = (self.picks[None, walks.start : walks.stop] * 2 * self.sizes[items][:, None, None, None]).astype(np.int64)
-        walked = cgk(np.repeat(codes, r, 0), np.repeat([len(s) for s in strings], r), np.tile(self.seeds[walks.start : walks.stop], len(strings)), int(wanted.max()) + 1)
-        lane = np.arange(len(strings) * r).reshape(len(strings), r)[:, :, None, None]
-        return walked[wanted, lane]
-
-    def _collide(self, strings: list[str], items: list[int], walks: range) -> np.ndarray:
-        new = sorted({n for n in items if (n, walks.start) not in self.samples})
-        if new:
-            for n, s in zip(new, self._embed([self.texts[n] for n in new], new, walks), strict=True):
-                self.samples[n, walks.start] = s
-        own = np.stack([self.samples[n, walks.start] for n in items])
-        return (self._embed(strings, items, walks) == own).all(3).any((1, 2))
-
-    def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
-        """(document, item, start, end, distance): the best passage of each item in each text, in characters of the text."""
-        clean = [normal(t) for t in texts]
-        raws = [t.encode("utf-8", "surrogatepass") for t in clean]
-        joined = np.frombuffer(b"\x00".join(raws) + b"\x00" * PIECE, np.uint8)
-        begins = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raws])])
-        spots = self.windows(joined, begins[1:])
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-
-        def verify(d: int, n: int, first: int, last: int) -> None:
-            """Myers over all that an item can cover that starts around first to last; nothing is better than distance 0."""
-            if best.get((d, n), (1,))[0]:
-                e = int(self.edits[n])
-                low = max(0, first - e)
-                dist, s, t = distance(self.texts[n], clean[d][low : last + int(self.sizes[n]) + 2 * e])
-                if dist <= e and (dist, low + s, low + t) < best.get((d, n), (e + 1, 0, 0)):
-                    best[d, n] = (dist, low + s, low + t)
-
-        cut = sorted({(d, n, max(0, b)) for d, n, _, _, starts in spots for b in starts})
-        hit = self.collide([clean[d][b : b + int(self.sizes[n])] for d, n, b in cut], [n for _, n, _ in cut]) if cut else []
-        for (d, n, b), ok in zip(cut, hit, strict=True):
-            if ok:
-                verify(d, n, b, b)
-        for d, n, first, last, _ in spots:
-            verify(d, n, first, last)
-        places = {d: offsets(texts[d]) for d, _ in best}
-        return [(d, n, int(places[d][s]), int(places[d][t - 1]) + 1, dist) for (d, n), (dist, s, t) in sorted(best.items())]
-
-
-def groups(items: DataFrame, settings: Settings) -> Iterator[list[tuple[int, str]]]:
-    """The items in groups of bounded size; equal rows once, null ids and short texts left out."""
-    part: list[tuple[int, str]] = []
-    size = 0
-    rows = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text").distinct().orderBy("item_id", "text")
-    for i, text in rows.toLocalIterator():
-        t = normal(text)
-        if len(t) < max(PIECE, settings.min_chars):
-            continue
-        if part and size + len(t) > GROUP_CHARS:
-            yield part
-            part, size = [], 0
-        part.append((i, t))
-        size += len(t)
-    if part:
-        yield part
+                    at = max(0, low - e)
+                    d, s, t = distance(item, clean[at : high + len(item) + 2 * e])
+                    s, t = s + at, t + at
+                if d <= e:
+                    first, last = offsets(text, [s, t - 1])
+                    hits.append((k, start + first, start + last + 1, d))
+            own = [batch.column(c).take(pa.array([h[0] for h in hits], pa.int64())) for c in ("row", "doc_id", "hash", "item_id")]
+            yield pa.RecordBatch.from_arrays([*own, *(pa.array([h[k] for h in hits], pa.int64()) for k in (1, 2, 3))], names=["row", "doc_id", "hash", "item_id", "start", "end", "distance"])
+
+    columns = ("row", "doc_id", "hash", "item_id", "text", "item", "low", "high", "start")
+    hits = rows.select(*columns).mapInArrow(run, "row string, doc_id long, hash long, item_id long, start long, end long, distance long")
+    best = F.min(F.struct("distance", "start", "end")).alias("b")
+    return hits.groupBy("row", "doc_id", "hash", "item_id").agg(best).select("row", "doc_id", "hash", "item_id", "b.start", "b.end", "b.distance")
+
+
+def _matches(docs: DataFrame, items: DataFrame, settings: Settings) -> DataFrame | None:
+    texts = _texts(items)
+    plan = _plan(texts, settings)
+    if not plan.kinds and not plan.exact:
+        return None
+    keys = _item_keys(texts, plan)
+    return _verified(_found(docs, _filter(keys), plan), keys, texts, settings)
 
 
 def contaminations(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:  # noqa: B008
     """(doc_id, item_id, start, end, distance): the best passage of every item found in every document.
 
     Null and empty texts match nothing; rows with a null doc_id are reported under null, repeated
-    rows repeatedly. Items that share an id are searched for apart, the best one counts for each
-    document row. Further columns are ignored; empty tables give no rows."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    out = None
-    for part in groups(items, settings):
-        sent = spark.sparkContext.broadcast((part, settings))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            known = Items(*sent.value)
-            for batch in batches:
-                for k in range(0, batch.num_rows, 512):
-                    rows = batch.slice(k, 512)
-                    ids = rows.column(0).to_pylist()
-                    best: dict[tuple[int, int], tuple] = {}
-                    for d, n, s, t, e in known.matches(rows.column(1).to_pylist()):
-                        key = (d, known.ids[n])
-                        if key not in best or (e, s, t) < best[key]:
-                            best[key] = (e, s, t)
-                    if best:
-                        cols = [[ids[d] for d, _ in best], [i for _, i in best], [v[1] for v in best.values()], [v[2] for v in best.values()], [v[0] for v in best.values()]]
-                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "item_id", "start", "end", "distance"])
-
-        found = texts.mapInArrow(run, SCHEMA)
-        out = found if out is None else out.unionByName(found)
-    return spark.createDataFrame([], SCHEMA) if out is None else out
+    rows repeatedly. Items with a null id or without text are left out. Items that share an id are
+    searched for apart, the best one counts for each document row. Further columns are ignored;
+    empty tables give no rows."""
+    found = _matches(docs, items, settings)
+    return docs.sparkSession.createDataFrame([], SCHEMA) if found is None else found.drop("row", "hash")
 
 
 def clean_rows(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:  # noqa: B008
-    """docs without the documents that hold a passage of an item; all columns, one pass, no shuffle."""
-    at = docs.columns.index("text")
-    for part in groups(items, settings):
-        sent = docs.sparkSession.sparkContext.broadcast((part, settings))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            known = Items(*sent.value)
-            for batch in batches:
-                for k in range(0, batch.num_rows, 512):
-                    rows = batch.slice(k, 512)
-                    keep = np.ones(rows.num_rows, bool)
-                    keep[[m[0] for m in known.matches([t or "" for t in rows.column(at).to_pylist()])]] = False
-                    yield rows.filter(pa.array(keep))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    """docs, with all columns, without the rows that hold a passage of an item.
+
+    Rows are told by doc_id and a hash of the text, so that of rows which share a doc_id only those with
+    such a text go. Null and empty texts stay; empty tables change nothing."""
+    found = _matches(docs, items, settings)
+    if found is None:
+        return docs
+    gone = written(found.select("doc_id", "hash").distinct(), "contaminated")
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["doc_id"]) & (F.xxhash64(docs["text"]) == gone["hash"]), "left_anti")

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from lintel.llm.decontaminate import Items, Settings, _myers, clean_rows, contaminations, distance, normal, offsets
+from lintel.llm.decontaminate import KINDS, PER_WALK, Settings, _filter, _myers, clean_rows, contaminations, distance, edited, normal, offsets, passing, planned
 
 
 def brute(item, text):
@@ -23,20 +23,6 @@ def words(rng, n):
     return " ".join("".join(rng.choice("aeiounrst") for _ in range(rng.randint(1, 8))) for _ in range(n))
 
 
-def edited(rng, text, k):
-    t = list(text)
-    for _ in range(k):
-        p = rng.randrange(len(t))
-        kind = rng.random()
-        if kind < 0.34:
-            t[p] = rng.choice("xyzé")
-        elif kind < 0.67:
-            del t[p]
-        else:
-            t.insert(p, rng.choice("xyzé"))
-    return "".join(t)
-
-
 def test_distance_is_exact():
     rng = random.Random(2)
     for _ in range(60):
@@ -48,66 +34,98 @@ def test_distance_is_exact():
         assert _myers(item, text[s:e], first_at_start=True)[0] == d
 
 
-def test_recall_and_no_false_matches(spark):
-    rng = random.Random(4)
-    items = [(i, words(rng, rng.choice([12, 30, 60]))) for i in range(25)]
-    docs, planted = [], set()
-    for i in range(200):
+def planted(rng, items, n_docs, share):
+    """Documents with passages of items, each with `share` of its length in edits, and where they were put."""
+    docs, put = [], []
+    for i in range(n_docs):
         parts = [words(rng, rng.randint(0, 60))]
-        for _ in range(rng.choice([0, 0, 1, 2])):
+        for _ in range(rng.choice([0, 1, 2])):
             n, t = rng.choice(items)
-            k = rng.randint(0, int(0.1 * len(t) * 0.9))
-            parts += [edited(rng, t, k), words(rng, rng.randint(0, 40))]
-            if k <= 0.07 * len(t):
-                planted.add((i, n))
+            parts += [edited(rng, t, int(share(rng) * len(t) + 1e-9)), words(rng, rng.randint(0, 40))]
+            put.append((i, n))
         docs.append((i, ("\n" if i % 2 else "  ").join(parts).upper() if i % 3 == 0 else " ".join(parts)))
+    return docs, set(put)
+
+
+def test_every_planted_passage_counts(spark):
+    """Passages of all lengths with up to a tenth of edits, against exact matching over whole texts (which test_distance_is_exact holds against the dynamic programme)."""
+    rng = random.Random(4)
+    items = [(i, words(rng, rng.choice([6, 12, 30, 60]))) for i in range(40)]
+    docs, put = planted(rng, items, 260, lambda r: r.random() * 0.1)
     df = spark.createDataFrame([(i, t, "") for i, t in docs], "doc_id long, text string, item_id string").repartition(3)
     found = contaminations(df, spark.createDataFrame(items, "item_id long, text string")).collect()
     got = {(r["doc_id"], r["item_id"]): r for r in found}
     texts, sizes = dict(docs), dict(items)
-    true = {(i, n) for i, t in docs for n, x in items if (i, n) in got or (i, n) in planted if brute(normal(x), normal(t)) <= int(0.1 * len(normal(x)))}
-    assert set(got) <= true and len(set(got) & true) >= 0.98 * len(true) and planted & true
+
+    def near(i, n):
+        return _myers(normal(sizes[n]), normal(texts[i]))[0] <= int(0.1 * len(normal(sizes[n])) + 1e-9)
+
+    due = {p for p in put if near(*p)}
+    assert len(due) > 200 and len(due & set(got)) >= 0.99 * len(due) and all(near(*p) for p in got)
     for (i, n), r in got.items():
         passage = normal(texts[i][r["start"] : r["end"]])
-        assert brute(passage, normal(sizes[n])) <= r["distance"] + 1 and r["distance"] == brute(normal(sizes[n]), normal(texts[i]))
+        assert _myers(normal(sizes[n]), passage)[0] <= r["distance"] + 1 and r["distance"] == _myers(normal(sizes[n]), normal(texts[i]))[0]
     left = {r["doc_id"] for r in clean_rows(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert left == {i for i, _ in docs} - {i for i, _ in got}
 
 
-def test_long_items_with_as_many_edits_as_allowed():
-    """Passages that CGK misses: long, and edited by deletions or (wide) insertions only."""
-    rng = random.Random(6)
-    items = [(i, words(rng, 250)[:1200].strip()) for i in range(24)]
-    docs = []
-    for i, t in items:
-        t = list(t)
-        for _ in range(len(t) // 12):
-            p = rng.randrange(1, len(t) - 1)
-            t[p : p + (i % 3 == 0)] = "" if i % 3 == 0 else "x" if i % 3 == 1 else "漢"
-        docs.append(words(rng, 20) + " " + "".join(t) + " " + words(rng, 20))
-    near = {i for i, t in items if _myers(t, normal(docs[i]))[0] <= len(t) // 10}
-    got = {(d, n) for d, n, *_ in Items(items, Settings()).matches(docs)}
-    assert len(near) > 20 and {(i, i) for i in near} == got
+def test_recall_with_as_many_edits_as_allowed(spark):
+    """Every passage has all edits that are allowed; lengths from the least of each kind to 1600 characters."""
+    rng = random.Random(8)
+    lengths = [16, 24, 39, 40, 60, 79, 80, 81, 100, 200, 400, 800, 1600]
+    items = [(k * 100 + j, words(rng, 420)[:m].strip().ljust(m, "x")) for k, m in enumerate(lengths) for j in range(24)]
+    copies = [(i, edited(rng, t, len(t) // 10)) for i, t in items]
+    docs = [(i, f"{words(rng, 20)} {t} {words(rng, 20)}") for i, t in copies]
+    sizes, texts = dict(items), dict(docs)
+    due = {i for i in sizes if _myers(normal(sizes[i]), normal(texts[i]))[0] <= len(sizes[i]) // 10}
+    rows = contaminations(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {r["doc_id"] for r in rows if r["doc_id"] == r["item_id"]}
+    assert len(due) > 0.9 * len(items) and len(due & got) >= 0.99 * len(due)  # a blank that comes to stand by another one is one more edit
+    assert {i for i in due if len(sizes[i]) >= 100} <= got
 
 
 def test_edges(spark):
     rng = random.Random(1)
     item = words(rng, 20)
-    items = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "short"), (None, item)], "item_id long, text string")
-    docs = spark.createDataFrame([(1, None), (2, ""), (None, item), (4, "x " * 60_000 + item.upper()), (4, item), (5, item[: len(item) // 2])], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "Short one"), (None, item), (5, " \n")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, None), (2, ""), (None, item), (4, "x " * 60_000 + item.upper()), (4, item), (5, item[: len(item) // 2]), (6, "a short\tone, no"), (6, "a SHORT  one"), (6, "a SHORT  one"), (7, "ashort one")], "doc_id long, text string")
     got = sorted((r["doc_id"] or 0, r["item_id"], r["distance"]) for r in contaminations(docs, items).collect())
-    assert got == [(0, 1, 0), (4, 1, 0), (4, 1, 0)]
+    assert got == [(0, 1, 0), (4, 1, 0), (4, 1, 0), (6, 4, 0), (6, 4, 0)]
     assert contaminations(docs.limit(0), items).collect() == [] == contaminations(docs, items.limit(0)).collect()
-    assert clean_rows(docs, items).count() == 3 and clean_rows(docs, items.limit(0)).count() == 6
+    left = clean_rows(docs.selectExpr("*", "1 as hash", "'x' as row"), items)
+    assert left.columns == ["doc_id", "text", "hash", "row"] and sorted(r["doc_id"] for r in left.collect()) == [1, 2, 5, 6, 7]
+    assert clean_rows(docs, items.limit(0)).count() == 10 and clean_rows(docs.limit(0), items).count() == 0
+
+
+def test_one_string_over_and_over(spark):
+    """Sections that agree everywhere, in a very long text and in the item, give one verification and no pairs."""
+    items = spark.createDataFrame([(1, "ab" * 150), (2, "a" * 90)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "ab" * 100_000), (2, "a" * 50_000), (3, "c" * 50_000)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in contaminations(docs, items).select("doc_id", "item_id", "distance").collect())
+    assert got == [(1, 1, 0), (2, 2, 0)]
 
 
 def test_offsets():
     for text in ("", "  a  b ", "abc", "\n x\ty "):
-        o = offsets(text)
-        assert [text[p] if not text[p].isspace() else " " for p in o[:-1]] == list(normal(text))
+        low = normal(text)
+        o = offsets(text, list(range(len(low))))
+        assert [text[p] if not text[p].isspace() else " " for p in o] == list(low)
+
+
+def test_repetitions_are_planned_from_the_recall():
+    rng = random.Random(3)
+    for kind in KINDS:
+        items = [words(rng, 60)[: kind[0]] for _ in range(50)]
+        some, most = planned(kind, items, 10_000, Settings(recall=0.9)), planned(kind, items, 10_000, Settings(recall=0.998))
+        assert 1 <= some.walks <= most.walks and most.samples == most.walks * PER_WALK
+        assert planned(kind, items, 1 << 30, Settings()).sampled >= most.sampled
+
 
+def test_filter_holds_its_keys(spark):
+    keys = np.random.default_rng(1).integers(0, 1 << 64, 5000, np.uint64)
+    from lintel.llm.shingles import mix
 
-def test_walks_reach_the_recall():
-    assert (1 - 0.5**3) ** (12 * Settings().walks) <= 0.0001
-    known = Items([(1, "abcdefgh" * 10)], Settings())
-    assert known.need[0] == 10 - 8 and known.collide(["abcdefgh" * 10, "z" * 80], [0, 0]).tolist() == [True, False]
+    rows = [(int(a), int(b)) for a, b in zip(keys[:4000].view(np.int64), mix(keys[:4000]).view(np.int64), strict=True)]
+    bits = _filter(spark.createDataFrame(rows, "key long, again long"))
+    found = passing(bits, keys)
+    assert set(range(4000)) <= set(found.tolist()) and len(found) < 4010
