@@ -27,6 +27,10 @@ BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
 SAMPLE, SAMPLE_QUERIES, TARGET, MAX_PROBES = 8192, 128, 0.97, 2048
 
 
+#: Relative error that the quick distance of a block may have.
+SLACK = 1e-12
+
+
 @dataclass(frozen=True)
 class Index:
     hashes: int
@@ -175,12 +179,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
             width = rows["d"][0].as_py()
             x, q = _matrix(rows["v"], kind, width), _matrix(asked["v"], kind, width)
             ids, heads = rows["ids"].to_pylist(), asked["head"].to_pylist()
-            gap = (x * x).sum(1)[None] - 2 * q @ x.T
-            top = min(len(x), k + 6)
-            near = np.argpartition(gap, top - 1, 1)[:, :top] if top < len(x) else np.tile(np.arange(len(x)), (len(q), 1))
-            exact = np.sqrt(((x[near] - q[:, None]) ** 2).sum(2))
+            own, norms = (q * q).sum(1), (x * x).sum(1)
+            gap = norms[None] - 2 * q @ x.T
+            top = min(len(x), k + 1)
+            # every row that may tie with the last one that counts stays, whatever the rounding of gap
+            bound = np.partition(gap, top - 1, 1)[:, top - 1] + SLACK * (own + norms.max())
             for i, head in enumerate(heads):
-                found = sorted((s, j) for s, c in zip(exact[i].tolist(), near[i].tolist(), strict=True) for j in ids[c])[: k + 1]
+                near = np.flatnonzero(gap[i] <= bound[i])
+                exact = np.sqrt(((x[near] - q[i]) ** 2).sum(1))
+                near = near[exact <= np.partition(exact, top - 1)[top - 1]]
+                exact = np.sqrt(((x[near] - q[i]) ** 2).sum(1))
+                found = sorted((s, j) for s, c in zip(exact.tolist(), near.tolist(), strict=True) for j in ids[c])[: k + 1]
                 out[0].extend([head] * len(found))
                 out[1].extend(j for _, j in found)
                 out[2].extend(s for s, _ in found)

@@ -55,6 +55,27 @@ def test_copies_ties_and_bad_vectors(spark):
     assert search(df.limit(0), df.limit(0)).collect() == []
 
 
+def test_ties_between_different_vectors(spark):
+    """More than k + 6 different vectors at one distance, and two farther ones: the smallest ids win."""
+    rows = [(0, [10.0, 0.0, 0.0, 0.0, 0.0, 0.0])]
+    n = 0
+    for a in range(-4, 5):
+        for b in range(-4, 5):
+            for c in range(-4, 5):
+                if a * a + b * b + c * c == 16 or (a, b, c) in ((4, 4, 4), (4, 4, 3)):
+                    n += 1
+                    rows.append((600 - n, [10.0, float(a) / 4, float(b) / 4, float(c) / 4, 0.0, 0.0]))
+    for k in range(60):  # on a circle whose points have exact squares
+        x, y = ((3, 4), (4, 3), (5, 0), (0, 5))[k % 4]
+        rows.append((700 + k, [10.0, 0.0, 0.0, 0.0, x / 5 * (1 if k % 8 < 4 else -1), y / 5]))
+    df = spark.createDataFrame([(i, v, "") for i, v in rows], SCHEMA)
+    got, want = found(search(df, df.where("vec_id = 0"), 4)), brute(rows, rows[:1], 4)
+    assert got == want
+    many = [(0, [1024.0] + [0.0] * 9)] + [(1000 - (k + 1), [1024.0] + [1.0 if k >> j & 1 else -1.0 for j in range(9)]) for k in range(512)]
+    df = spark.createDataFrame([(i, v, "") for i, v in many], SCHEMA)
+    assert found(search(df, df.where("vec_id = 0"), 10)) == {0: [(3.0, j) for j in range(488, 498)]}
+
+
 def test_more_hashes_for_more_rows():
     x = np.random.default_rng(1).normal(size=(400, 8))
     x = np.repeat(x, 12, 0) + 0.01 * np.random.default_rng(2).normal(size=(4800, 8))
