@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Stands for a word mark that was in the text itself, which becomes bytes.
-LITERAL = "￿"
+#: Stands for a word mark that was in the text itself, which becomes bytes. Half of a surrogate pair, which no UTF-8 text can hold.
+LITERAL = "\ud800"
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: The unknown character scores so much less than the worst piece.
@@ -166,7 +166,7 @@ class Codec:
         """Ids of all words into the cache, one character of all words at a time."""
         words = sorted(words, key=len, reverse=True)
         n = np.array([len(w) for w in words])
-        flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         start = np.concatenate([[0], np.cumsum(n)[:-1]])
         W, L = len(words), int(n[0])
         best = np.full((L + 1, W), -np.inf)

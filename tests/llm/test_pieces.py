@@ -47,7 +47,7 @@ def test_tiny_model_is_optimal(seed):
 def test_model_file_against_brute_force_and_round_trip(spark):
     model = Model.load()
     codec, rng = Codec(model), random.Random(2)
-    alphabet = "the and of ing tion aeiou é ß 日本 \n\t▁ 😀 xyz.,!? "
+    alphabet = "the and of ing tion aeiou é ß 日本 \n\t▁ 😀 xyz.,!? \uffff\ufffe\ue000"
     for n in range(200):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randint(1, 60)))
         ids = codec.encode(text)
@@ -59,9 +59,11 @@ def test_model_file_against_brute_force_and_round_trip(spark):
         codec.cache.clear()
         codec._encode_words([word])
         assert codec._encode_long(word) == codec.cache[word]
-    texts = [(1, None), (2, ""), (None, "a b"), (3, "x" * 30_000), (3, "word " * 30_000), (4, "  two  blanks ▁ \x00 end ")]
+    for text in ("a\uffffb", "\uffff", "a▁b\uffff▁", "\U0010ffff ▁ \ue000"):
+        assert codec.decode(codec.encode(text)) == text
+    texts = [(1, None), (2, ""), (5, "a\uffff▁b"), (None, "a b"), (3, "x" * 30_000), (3, "word " * 30_000), (4, "  two  blanks ▁ \x00 end ")]
     df = spark.createDataFrame([(i, t, "z") for i, t in texts], "doc_id long, text string, ids string")
     got = encode(df, model).collect()
-    assert len(got) == 6 and all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in got)
+    assert len(got) == 7 and all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in got)
     assert sorted(codec.decode(r["ids"]) for r in got) == sorted(t or "" for _, t in texts)
     assert encode(df.limit(0), model).collect() == []
