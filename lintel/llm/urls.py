@@ -1,9 +1,14 @@
 """URL rules by a sort-merge range join, with Spark expressions only.
 
-A rule (host, path) is the key `reversed,host|path`; the URLs it fits are those one of whose keys -
-one for each suffix of the host - starts with it, i.e. falls into the interval [key, key + 0xFF).
-The intervals of rules nest. Rule starts and ends and URL keys are sorted together, and a sweep
-carries the innermost active rule; at the end of a rule its parent on the stack is active again.
+The canonical key of a URL is its reversed host and its path. A rule fits the host and its subdomains, so
+a URL has a key for each suffix of its host, and a rule those keys that begin with its own: the interval
+[key, key + 0xFF). Intervals of different hosts are apart, those of one host nest by path. Starts and ends
+of rules and URL keys are sorted together by host, and a sweep keeps a stack of the active nested rules:
+a start pushes its rule, an end pops it, and a URL gets the rule on top. In terms of windows, starts less
+ends so far are the height of the stack, and its slot of a height holds the rule last pushed there.
+
+Hosts that no rule names are left out before the sort. A host with very many URLs (such as a top-level
+domain) is dealt into salted sweeps, which have its rules each; rules of other hosts are not copied.
 """
 
 from __future__ import annotations
@@ -13,8 +18,10 @@ from pyspark.sql import functions as F
 
 from .common import shuffle_partitions
 
-#: Sweep partitions hold all breakpoints of the rules each, so there may not be more rules than this.
-MAX_RULES = 1_000_000
+#: URL keys of a host in one sweep, about; at most SWEEPS * shuffle partitions sweeps share a host.
+SWEEP_ROWS, SWEEPS = 1 << 17, 4
+#: Copies of a row that one array holds.
+COPIES = 4096
 
 
 def host_of(url: Column) -> Column:
@@ -27,52 +34,55 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\A.*?://[^/?#]*([^?#]*)", 1)
 
 
-def _keys(host: Column, path: Column) -> Column:
-    """One binary key for each suffix of the host."""
+def suffixes(host: Column) -> Column:
+    """The reversed suffixes of a host: com, com,example, com,example,www."""
     labels = F.reverse(F.split(host, r"\."))
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.encode(F.concat(F.array_join(F.slice(labels, 1, n), ","), F.lit("|"), path), "UTF-8"))
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.array_join(F.slice(labels, 1, n), ","))
 
 
-def breakpoints(rules: DataFrame) -> DataFrame:
-    """Rules (host, path, verdict) -> (key, active): what is active from a key on.
-
-    At its start a rule is, at its end its parent: the longest other rule whose key starts its key.
-    Parents come from an equi-join on exploded key prefixes, so nothing is gathered in one place.
-    Of rules with equal host and path the one with verdict block wins."""
-    r = (
-        rules.select(F.lower("host").alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict")
-        .where("host is not null and verdict is not null")
-        .groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
-        .select(F.element_at(_keys(F.col("host"), F.col("path")), -1).alias("key"), F.struct(F.concat("host", "path").alias("rule"), "verdict").alias("active"))
-    )
-    above = r.select("key", F.explode(F.sequence(F.lit(1), F.length("key") - 1)).alias("n")).select("key", F.substring("key", F.lit(1), F.col("n")).alias("prefix"))
-    parents = above.join(r.withColumnsRenamed({"key": "prefix", "active": "up"}), "prefix").groupBy("key").agg(F.max_by("up", F.length("prefix")).alias("parent"))
-    ends = r.join(parents, "key", "left").select(F.concat("key", F.unhex(F.lit("FF"))).alias("key"), F.struct("parent").alias("active"))
-    return r.select("key", F.struct(F.col("active").alias("parent")).alias("active")).unionByName(ends)
+def _rules(rules: DataFrame) -> DataFrame:
+    """(suffix, path, rule, verdict): rules with the reversed host; of equal ones that with verdict block wins."""
+    named = rules.select(F.lower("host").alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict").where("host is not null and verdict is not null")
+    one = named.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
+    return one.select(F.element_at(suffixes(F.col("host")), -1).alias("suffix"), "path", F.concat("host", "path").alias("rule"), "verdict")
 
 
 def judge_urls(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
     """Each row's host, path, the longest rule that fits (null if none) and the verdict (else `default`).
 
-    The sweep runs in salted partitions, each with all rule breakpoints, so a host with any share of
-    the rows is spread evenly. Repeated rows stay repeated, null urls have empty host and path, null
-    ids are kept, an empty rule table judges all rows by the default, further columns are ignored."""
-    n_rules = rules.limit(MAX_RULES + 1).count()
-    if n_rules > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules: raise MAX_RULES and the memory of the sweep")
-    spark = urls.sparkSession
-    salts = 4 * shuffle_partitions(spark)
-    u = (
-        urls.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-        .groupBy("id", "host", "path").agg(F.count(F.lit(1)).alias("n"))
+    Of fitting rules of equal length that of the longer host wins. Repeated rows stay repeated, null urls
+    have empty host and path, null ids are kept, an empty rule table judges all rows by the default,
+    further columns are ignored. Rules may be any number; they are neither collected nor broadcast by
+    order, and are sorted with the URLs."""
+    most = SWEEPS * shuffle_partitions(urls.sparkSession)
+    r = _rules(rules)
+    rows = urls.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
+    keys = rows.select("*", F.explode(suffixes(F.col("host"))).alias("suffix")).join(r.select("suffix").distinct(), "suffix", "left_semi").distinct()
+    sweeps = keys.groupBy("suffix").agg(F.least(F.ceil(F.count(F.lit(1)) / SWEEP_ROWS), F.lit(most)).cast("int").alias("sweeps"))
+
+    # kind 0 pushes, 1 looks, 2 pops
+    looks = keys.join(sweeps, "suffix").select(
+        "suffix", F.pmod(F.xxhash64("id", "host", "path"), F.col("sweeps")).cast("int").alias("salt"), F.encode("path", "UTF-8").alias("at"),
+        F.lit(1).alias("kind"), F.lit(0).alias("step"), F.lit(None).cast("struct<rule:string,verdict:string>").alias("active"), F.struct("id", "host", "path").alias("row"),
+    )
+    begin, end = F.encode("path", "UTF-8"), F.concat(F.encode("path", "UTF-8"), F.unhex(F.lit("FF")))
+    edges = F.array(
+        F.struct(begin.alias("at"), F.lit(0).alias("kind"), F.lit(1).alias("step"), F.struct("rule", "verdict").alias("active")),
+        F.struct(end.alias("at"), F.lit(2).alias("kind"), F.lit(-1).alias("step"), F.lit(None).cast("struct<rule:string,verdict:string>").alias("active")),
     )
-    keyed = u.select(F.pmod(F.xxhash64("id", "host", "path"), F.lit(salts)).cast("int").alias("salt"), F.explode(_keys(F.col("host"), F.col("path"))).alias("key"), F.lit(1).alias("kind"), F.struct("id", "host", "path", "n").alias("row"))
-    marks = breakpoints(rules).select(F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "key", F.lit(0).alias("kind"), "active")
-    events = keyed.unionByName(marks, allowMissingColumns=True)
-    sweep = Window.partitionBy("salt").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    swept = events.withColumn("now", F.last("active", ignorenulls=True).over(sweep)["parent"]).where("kind = 1")
-    best = swept.groupBy("row").agg(F.max_by("now", F.when(F.col("now").isNotNull(), F.length("now.rule"))).alias("best"))
-    return (
-        best.select(F.explode(F.array_repeat("row", F.col("row.n").cast("int"))).alias("row"), "best")
-        .select(F.col("row.id").alias(id_col), "row.host", "row.path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    pushed = r.join(sweeps, "suffix").select("suffix", "sweeps", F.explode(edges).alias("e"))
+    marks = pushed.select("suffix", F.explode(F.sequence(F.lit(0), F.col("sweeps") - 1)).alias("salt"), "e.*")
+    running = (Window.unboundedPreceding, Window.currentRow)
+    sweep = Window.partitionBy("suffix", "salt").orderBy("at", "kind").rowsBetween(*running)
+    slot = Window.partitionBy("suffix", "salt", "height").orderBy("at", "kind").rowsBetween(*running)
+    swept = looks.unionByName(marks, allowMissingColumns=True).withColumn("height", F.sum("step").over(sweep)).where("kind < 2 and height > 0")
+    top = swept.withColumn("top", F.last("active", ignorenulls=True).over(slot)).where("kind = 1").select("row.*", "top", "suffix", F.lit(0).alias("n"))
+
+    every = rows.select("*", F.lit(None).cast("struct<rule:string,verdict:string>").alias("top"), F.lit(None).cast("string").alias("suffix"), F.lit(1).alias("n"))
+    rank = F.when(F.col("top").isNotNull(), F.struct(F.length("top.rule"), F.length("suffix")))
+    best = every.unionByName(top).groupBy("id", "host", "path").agg(F.max_by("top", rank).alias("best"), F.sum("n").alias("n"))
+    parts = best.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES))).alias("part"))
+    copies = F.array_repeat(F.lit(0), F.least(F.lit(COPIES), F.col("n") - F.col("part") * COPIES).cast("int"))
+    return parts.select("id", "host", "path", "best", F.explode(copies)).select(
+        F.col("id").alias(id_col), "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")
     )

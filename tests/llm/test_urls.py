@@ -15,8 +15,8 @@ def brute(url, rules):
     host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:cut])
     path = rest[cut:]
     path = path[: min([path.find(c) for c in "?#" if c in path], default=len(path))]
-    fit = [(h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
-    best = max(fit, key=lambda r: len(r[0]), default=(None, "allow"))
+    fit = [(h + p, v, len(h)) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fit, key=lambda r: (len(r[0]), r[2]), default=(None, "allow", 0))
     return host, path, best[0], best[1]
 
 
@@ -34,6 +34,22 @@ def test_against_all_rules(spark):
     assert sorted(((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got), key=key) == sorted(((i, *brute(u, rules)) for i, u in pages), key=key)
 
 
+def test_nested_rules_in_several_sweeps(spark, monkeypatch):
+    """Rules inside rules, closed in the other order, with a hot host dealt into sweeps that all hold its rules."""
+    monkeypatch.setattr(urls, "SWEEP_ROWS", 40)
+    rng = random.Random(9)
+    rules = [("net", "/" + "".join(rng.choice("ab") for _ in range(n)), rng.choice(["allow", "block"])) for n in (0, 1, 1, 2, 2, 3, 3, 4, 6, 6)]
+    rules = [(h, p, v) for (h, p), v in {(h, p): v for h, p, v in rules}.items()] + [(f"h{k}.com", "/", "block") for k in range(50)]
+    pages = [(i, f"http://{rng.choice(['net', 'x.net', 'h7.com', 'other.org'])}/{''.join(rng.choice('abc') for _ in range(rng.randint(0, 8)))}") for i in range(900)]
+    got = urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(rules, SCHEMA)).collect()
+    assert sorted((r["page_id"], r["host"], r["path"], r["rule"] or "", r["verdict"]) for r in got) == sorted((i, h, p, r or "", v) for i, u in pages for h, p, r, v in [brute(u, rules)])
+
+
+def test_many_copies_of_a_row(spark):
+    pages = spark.range(10_000).selectExpr("7L as page_id", "'http://hot.net/x' as url")
+    assert urls.judge_urls(pages, spark.createDataFrame([("net", "/", "block")], SCHEMA)).where("rule = 'net/'").count() == 10_000
+
+
 def test_empty_tables(spark):
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     none = spark.createDataFrame([], SCHEMA)
