@@ -67,7 +67,7 @@ def sketch(shingles: np.ndarray, bins: int = BINS) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(doc_id, n_shingles, digest, sketch, bands); digest and what follows are null for empty sets."""
+    """(doc_id, hash, n_shingles, digest, sketch, bands), hash of the text; digest and what follows are null for empty sets."""
     rows, bins, words = settings.rows, settings.bins, settings.words
     count = bins // rows
 
@@ -76,15 +76,16 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                sets = shingle_sets([t.encode() for t in part.column(1).to_pylist()], words)
+                sets = shingle_sets([t.encode() for t in part.column(2).to_pylist()], words)
                 found = [sketch(s, bins) if len(s) else None for s in sets]
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 short = [None if x is None else (mix(x) & np.uint64(0xFFFF)).astype("<u2").tobytes() for x in found]
                 bands = [None if x is None else mix((x[: rows * count].reshape(count, rows) * weights).sum(1)).view(np.int64) for x in found]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(short, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "digest", "sketch", "bands"])
+                made = [pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(short, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *made], names=["doc_id", "hash", "n_shingles", "digest", "sketch", "bands"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sketch binary, bands array<long>")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.coalesce("text", F.lit("")).alias("text"))
+    return texts.mapInArrow(run, "doc_id long, hash long, n_shingles long, digest binary, sketch binary, bands array<long>")
 
 
 def estimated(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
@@ -162,16 +163,24 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     """One row per row of docs: doc_id, n_shingles, component_id (smallest doc_id reachable), kept.
 
     Null and empty texts have no shingles and are linked with nothing. Rows with a null doc_id are
-    linked with nothing, have no component_id and are kept. Rows that repeat a doc_id count as one
-    document and get the same answer. Further columns are ignored; an empty table gives no rows."""
+    linked with nothing, have no component_id and are kept. Each row is judged by its own text: rows
+    that repeat a doc_id get the same answer if their texts are linked, and are documents of their own
+    if not. Further columns are ignored; an empty table gives no rows."""
+    return _answered(docs, settings).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _answered(docs: DataFrame, settings: Settings) -> DataFrame:
+    """near_duplicates with the hash of each row's text and the number of its group of linked rows.
+
+    Nodes are classes of equal shingle sets under numbers of their own, not under doc_ids, which rows may share."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     sk = written(sketches(docs, settings), "sketches")
     named = sk.where("doc_id is not null and digest is not null")
-    classes = written(named.groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
-    nodes = written(
-        named.withColumnRenamed("digest", "own").join(classes.withColumnRenamed("node", "doc_id"), "doc_id").where("own = digest").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "sketch", "bands"), "nodes"
-    )
+    classes = written(named.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    # rows of one class have the same sketch, so that any of those with its least doc_id serves
+    first_rows = named.join(classes, ["digest", "doc_id"]).dropDuplicates(["node"])
+    nodes = written(first_rows.select("node", "doc_id", "hash", F.col("n_shingles").alias("n"), "sketch", "bands"), "nodes")
     release(spark)
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
     hubs = rows.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", "bucket")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -179,8 +188,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     pairs = members.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     near = written(estimated(pairs, nodes, settings), "near")
     release(spark)
-    needed = members.select("node").distinct()
-    texts = written(docs.select(F.col("doc_id").cast("long").alias("node"), "text").where("node is not null").join(needed, "node").dropDuplicates(["node"]), "texts")
+    needed = nodes.join(members.select("node").distinct(), "node").select("node", "doc_id", "hash")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text").where("doc_id is not null")
+    texts = written(own.join(needed, ["doc_id", "hash"]).select("node", "text").dropDuplicates(["node"]), "texts")
     release(spark)
 
     ends = near.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "same")
@@ -200,11 +210,14 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
     more = written(outsiders(members, nodes, texts, second, settings), "links")
     last = written(components(links.unionByName(more)), "components") if more.head(1) else second
-    answers = written(_component(last, "node", "component_id", classes), "answers")
+    least = last.join(classes, "node").groupBy("component").agg(F.min("doc_id").alias("c"))
+    answers = written(last.join(least, "component").join(classes.select("node", "digest"), "node").select("digest", "c", F.col("component").alias("group")).unionByName(
+        classes.join(last, "node", "left_anti").select("digest", F.col("doc_id").alias("c"), F.col("node").alias("group"))
+    ), "answers")
     release(spark)
-    linked = sk.where("doc_id is not null").select("doc_id", "n_shingles", "digest").join(answers.select("digest", F.col("component_id").alias("c")), "digest", "left")
-    unknown = sk.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
-    known = linked.select("doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"))
+    linked = sk.where("doc_id is not null").select("doc_id", "hash", "n_shingles", "digest").join(answers, "digest", "left")
+    unknown = sk.where("doc_id is null").select("doc_id", "hash", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"), F.lit(None).cast("long").alias("group"))
+    known = linked.select("doc_id", "hash", "group", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"))
     return known.withColumn("kept", F.col("doc_id") == F.col("component_id")).unionByName(unknown)
 
 
@@ -265,14 +278,22 @@ def outsiders(members: DataFrame, nodes: DataFrame, texts: DataFrame, of: DataFr
 
 
 def kept_rows(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:  # noqa: B008
-    """docs with one document of each component, the one with the smallest doc_id, as a single row.
-
-    Of rows that repeat a doc_id the one with the least text stays; rows with a null doc_id all stay."""
-    answers = written(near_duplicates(docs, settings), "answers")
-    docs = docs.join(written(answers.where("not kept").select("doc_id").distinct(), "gone"), "doc_id", "left_anti")
-    twice = written(answers.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "twice")
-    if twice.head(1):
-        first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-        several = docs.join(twice, "doc_id", "left_semi").withColumn("_r", F.row_number().over(first)).where("_r = 1").drop("_r")
-        docs = docs.join(twice, "doc_id", "left_anti").unionByName(several)
-    return docs
+    """docs with one row of each component: of its smallest doc_id, and where that repeats the least text.
+
+    Rows with a null doc_id and rows without words all stay, as they are linked with nothing."""
+    answers = written(_answered(docs, settings), "answers")
+    gone = written(answers.where("not kept").select("doc_id", "hash").distinct(), "gone")
+    hashed, own = F.xxhash64(docs["text"]), docs["doc_id"].cast("long")
+    left = docs.join(gone, (own == gone["doc_id"]) & (hashed == gone["hash"]), "left_anti")
+    several = answers.where("kept and doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    several = written(several, "several")
+    if not several.head(1):
+        return left
+    # rows that repeat a doc_id and are kept: linked ones are one group, of which no other row is kept
+    parts = answers.join(several, "doc_id").where("kept and n_shingles > 0").select(F.col("doc_id").alias("d"), F.col("hash").alias("h"), "group").distinct()
+    rows = left.select(F.struct(*[left[c] for c in left.columns]).alias("row"), left["doc_id"].cast("long").alias("d"), F.xxhash64(left["text"]).alias("h"), left["text"].alias("t"))
+    parts = written(parts, "parts")
+    lone = rows.join(parts, ["d", "h"], "left_anti").select("row.*")
+    order = Window.partitionBy("group").orderBy("t")
+    first = rows.join(parts, ["d", "h"]).withColumn("r", F.row_number().over(order)).where("r = 1").select("row.*")
+    return lone.unionByName(first)

@@ -79,6 +79,17 @@ def test_kept_rows(spark):
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 0, 1, 2, 7, 8]
 
 
+def test_repeated_ids_with_different_texts(spark):
+    """Each row is judged by its text; of linked rows that share an id the least text stays, unlike ones all stay."""
+    t, u, v = "a b c d e f", "g h i j k l", "m n o p q r"
+    rows = [(3, t), (7, t), (7, u), (7, v), (7, u.upper()), (9, v), (5, "w x y z"), (5, None), (5, "")]
+    df = spark.createDataFrame([(i, x, "", "") for i, x in rows], SCHEMA).repartition(4)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicates(df, Settings(3, 85)).collect())
+    assert got == sorted([(3, 4, 3, True), (7, 4, 3, False), (7, 4, 7, True), (7, 4, 7, True), (7, 4, 7, True), (9, 4, 7, False), (5, 2, 5, True), (5, 0, 5, True), (5, 0, 5, True)])
+    kept = sorted((r["doc_id"], r["text"] or "") for r in kept_rows(df, Settings(3, 85)).collect())
+    assert kept == sorted([(3, t), (7, u.upper()), (7, v), (5, "w x y z"), (5, ""), (5, "")])
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 50), (50, 70)]
     random.Random(3).shuffle(edges)
