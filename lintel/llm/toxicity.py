@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 
 #: The model is fitted on at most so many labelled documents, chosen by a hash of their id ...
 TRAIN_DOCS = 8000
+#: ... of at most so many characters, which bounds what the driver holds ...
+TRAIN_CHARS = 32_000_000
 #: ... and on the features in at least MIN_DOCS of them, at most MAX_FEATURES, those that tell the labels apart best.
 MIN_DOCS, MAX_FEATURES = 3, 3000
 #: Features are known by a hash to so many values, which bounds what the driver holds while it counts them.
@@ -91,14 +93,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> list[tuple[str, int]]:
-    """At most `limit` (text, label) rows, not held out; a document labelled twice counts as its highest label."""
+def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> list[tuple[str, int]]:
+    """At most `limit` (text, label) rows, not held out, of at most `chars` characters altogether, in the order of a
+    hash of doc_id; a longer first text is taken alone. A document labelled twice counts as its highest label, of
+    rows that repeat a doc_id the least text counts."""
     chosen = (
         labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").dropDuplicates(["doc_id"])
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    order = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.max(F.length("text")).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    total = np.cumsum([r["n"] for r in order])
+    some = order[: max(1, int((total <= chars).sum()))]
+    if not some:
+        return []
+    wanted = docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"]) for r in some], "doc_id long, toxic int")
+    rows = texts.join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     return [(r["text"], r["toxic"]) for r in sorted(rows.toLocalIterator(), key=lambda r: r["doc_id"])]
 
 
