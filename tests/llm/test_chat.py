@@ -43,6 +43,13 @@ def test_order_ties_and_edges(spark):
     assert chat.digest(chat.format_conversations(df.limit(0))).collect() == []
 
 
+def test_ties_are_ordered_by_the_texts_as_they_are(spark):
+    rows = [(1, 0, "user", "<s>"), (1, 0, "user", "<a"), (1, 0, "user", "\\"), (1, 0, "user", "]")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    back = chat.format_conversations(df).select(chat.read_back(F.col("formatted")).alias("back")).first()["back"]
+    assert [t["text"] for t in back] == sorted(r[3] for r in rows)
+
+
 def test_plan_is_native(spark):
     df = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
     plan = chat.digest(chat.format_conversations(df))._jdf.queryExecution().executedPlan().toString()
