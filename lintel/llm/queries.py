@@ -33,8 +33,7 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = secrets.train(secrets.made_findings(spark))
-    return secrets.findings(secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), model))
+    return secrets.findings(secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), secrets.trained(spark)))
 
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

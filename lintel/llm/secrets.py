@@ -18,9 +18,21 @@ from pyspark.sql import functions as F
 
 # Beginnings of keys that say whose they are.
 KEY_PREFIXES = "AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk[_-]|pk[_-]|AIza|ya29|glpat-|eyJ"
-#: What may be a secret: 8 characters that are assigned (blanks and a quote may stand between; ! # % * only inside),
-#: 12 after a known beginning, 12 with a digit. The first lookbehind is a cheap test for the second.
-CANDIDATE = r"""(?<=[:= \t"'])(?<=[:=][ \t]{0,16}["']?)(?:[A-Za-z0-9+/_~@$^-]|[!#%%*]++(?=[A-Za-z0-9])){8,}+={0,2}|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|(?:%s))[A-Za-z0-9+/_-]{12,}+={0,2}""" % KEY_PREFIXES
+KNOWN = KEY_PREFIXES + "|-----BEGIN "
+#: What may be a secret. No part of the pattern repeats a group without a bound, which would overflow the matcher's stack.
+#: A private key with its frame (or, where its end is missing, up to the next run of hyphens) ...
+_BLOCK = r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----[^-]*+(?:-(?!----)[^-]*+){0,64}+(?:-----END [A-Z0-9 ]{0,40}-----)?"
+#: ... 8 characters assigned in quotes, up to a quote or a blank (the first lookbehind is a cheap test for the second) ...
+_QUOTED = r"""(?<=["'])(?<=[:=][ \t]{0,16}["'])[^\s"']{8,}+"""
+#: ... 8 assigned without quotes (further symbols only inside; the next parameter of a query string is another value) ...
+_PLAIN = r"[A-Za-z0-9+/_~@$^-]"
+_ASSIGNED = (
+    r"(?<=[:= \t])(?<=[:=][ \t]{0,16})(?=%s[A-Za-z0-9+/_~@$^!#%%*&?.|\\-]{6,32}?%s)%s++"
+    r"(?:(?!&[A-Za-z_]{1,40}=)[!#%%*&?.|\\]++%s++){0,256}+={0,2}"
+) % ((_PLAIN,) * 4)
+#: ... or 12 characters with a digit or after a known beginning.
+_RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|(?:%s))[A-Za-z0-9+/_-]{12,}+={0,2}" % KEY_PREFIXES
+CANDIDATE = f"{_BLOCK}|{_QUOTED}|{_ASSIGNED}|{_RUN}"
 #: Characters around a candidate that are looked at, and candidates (of 8 characters at least) that can lie in them.
 CONTEXT = 48
 EARLIER = CONTEXT // 8
@@ -34,7 +46,7 @@ CONFIG_PATHS = r"\.env|config|settings|secret|credential|deploy|prod|\.ya?ml|\.i
 FEATURES = ("length", "digits", "uppers", "symbols", "entropy", "distinct", "class_changes", "digit_to_letter", "letter_to_digit", "hex", "vowel_steps", "repeats", "covered", "known_prefix", "assigned", "quoted", "key_word", "other_word", "test_path", "config_path")
 TREES, DEPTH, SEED = 40, 7, 17
 #: Labelled findings that are made when none are given.
-MADE_FINDINGS = 6000
+MADE_FINDINGS = 9000
 THRESHOLD = 0.5
 MASK = "[SECRET]"
 
@@ -65,7 +77,7 @@ def features(candidate: Column, before: Column, after: Column, path: Column) ->
         share("[aeiou](?=[b-df-hj-np-tv-z])|[b-df-hj-np-tv-z](?=[aeiou])", low),
         share(r"(.)(?=\1)", low),
         1 - F.length(F.regexp_replace(low, "|".join(sorted(DICTIONARY, key=len, reverse=True)), "")) / size,
-        candidate.rlike(f"^(?:{KEY_PREFIXES})").cast("double"),
+        candidate.rlike(f"^(?:{KNOWN})").cast("double"),
         near.rlike(r"""[:=]\s*["']?$""").cast("double"),
         (near.rlike("""["']$""") & after.rlike("""^["']""")).cast("double"),
         near.rlike(rf"({KEY_WORDS})[^\n]{{0,16}}$").cast("double"),
@@ -119,6 +131,26 @@ def made_findings(spark: SparkSession, n: int = MADE_FINDINGS) -> DataFrame:
         ("0", F.concat(word, F.lit(":")), F.concat(letters(h[0], 9), letters(h[1], 8)), F.lit(" ")),
         ("0", F.concat(word, F.lit("=")), letters(h[0], 10), F.lit(" ")),
     ]
+    neutral = F.concat(word, pick(h[3], "url", "href", "src", "host", "path", "email", "name", "class", "version", "date", "file"), assign)
+    closing = F.when(quoted, F.substring(assign, -1, 1)).otherwise(" ")
+    host = F.concat(letters(h[0], 7), F.lit("."), letters(h[1], 5), pick(h[2], ".com", ".org", ".example.net"))
+    symbols = F.concat(F.substring(mixed, 1, 5), pick(h[0], "&", "!", "#", "%", "@", "$"), F.substring(mixed, 6, 3), pick(h[1], "!", "?", "*", ".", "&", "^"), F.substring(mixed, 9, 4))
+    block = F.concat(pick(h[1], "-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----", "-----BEGIN OPENSSH PRIVATE KEY-----"), F.lit("\n"), mixed, F.lit("\n"), mixed, F.lit("\n-----END PRIVATE KEY-----"))
+    when = F.concat(F.lit("20"), F.substring(number, 1, 2), F.lit("-0"), F.substring(number, 3, 1), F.lit("-1"), F.substring(number, 4, 1), F.lit("T1"), F.substring(number, 5, 1))
+    cases += [
+        ("1", F.concat(word, key, assign), symbols, closing),
+        ("1", F.concat(word, key, assign), F.concat(F.initcap(letters(h[0], 4)), F.substring(number, 1, 3), F.lit("!"), letters(h[1], 4)), closing),
+        ("1", word, block, F.lit("\n")),
+        ("0", neutral, F.concat(F.lit("https://"), host, F.lit("/"), letters(h[3], 6), F.lit("/"), letters(h[4], 7), F.lit(".html")), closing),
+        ("0", neutral, host, closing),
+        ("0", neutral, F.concat(letters(h[3], 6), F.lit("."), F.substring(number, 1, 2), F.lit("@"), host), closing),
+        ("0", neutral, when, F.lit(":")),
+        ("0", neutral, F.concat(F.lit("/"), letters(h[0], 4), F.lit("/"), letters(h[1], 6), F.lit("/"), letters(h[4], 8)), closing),
+        ("0", neutral, F.concat(letters(h[0], 7), F.substring(number, 1, 2), pick(h[1], ".tar.gz", ".png", ".json", ".txt", ".min.js")), closing),
+        ("0", neutral, F.concat(pick(h[0], "com.example.", "org.sample."), letters(h[1], 6), F.lit("."), F.initcap(letters(h[4], 7)), F.substring(number, 1, 1)), closing),
+        ("0", neutral, F.concat_ws(".", F.substring(number, 1, 3), F.substring(number, 4, 2), F.substring(number, 6, 2), F.substring(number, 8, 3)), closing),
+        ("0", neutral, F.concat(letters(h[0], 6), F.lit("-"), letters(h[1], 7)), closing),
+    ]
     kind = F.col("id") % len(cases)
     def choose(k):
         return reduce(lambda rest, i: F.when(kind == i, cases[i][k]).otherwise(rest), range(len(cases)), F.lit(None).cast("string"))
@@ -137,6 +169,18 @@ def train(findings: DataFrame) -> RandomForestClassificationModel:
     return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows))
 
 
+_forests: dict[str, RandomForestClassificationModel] = {}
+
+
+def trained(spark: SparkSession) -> RandomForestClassificationModel:
+    """The forest of the made findings; trained once in a session."""
+    session = spark.sparkContext.applicationId
+    if session not in _forests:
+        _forests.clear()
+        _forests[session] = train(made_findings(spark))
+    return _forests[session]
+
+
 def vote(model: RandomForestClassificationModel, x: Column) -> Column:
     """The share of trees that say secret, as an expression over the array x of features."""
 
@@ -186,13 +230,29 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel, path_col: str
     return docs.withColumns({"_parts": F.when(some, scored).otherwise(F.array().cast("array<struct<before:string,candidate:string,score:double>>")), "_tail": F.when(some, F.element_at(pieces, -1)).otherwise(text)})
 
 
+def _starts(sizes: Column) -> Column:
+    """For each of the sizes the sum of those before it, with some n * sqrt(n) steps: sums of stretches of about
+    sqrt(n) sizes first, then within a stretch. Longer ways would be quadratic in the candidates of a document."""
+
+    def total(of: Column) -> Column:
+        return F.aggregate(of, F.lit(0), lambda s, x: s + x)
+
+    def inside(n: Column) -> Column:
+        step = F.ceil(F.sqrt(F.size(n))).cast("int")
+        count = F.ceil(F.size(n) / step).cast("int")
+        sums = F.transform(F.sequence(F.lit(0), count - 1), lambda k: total(F.slice(n, k * step + 1, step)))
+        begins = F.transform(F.array(sums), lambda s: F.transform(s, lambda x, k: total(F.slice(s, 1, k))))[0]
+        return F.transform(F.array(begins), lambda b: F.transform(n, lambda x, i: F.get(b, F.floor(i / step).cast("int")) + total(F.slice(n, (F.floor(i / step) * step + 1).cast("int"), i % step))))[0]
+
+    return F.transform(F.array(sizes), inside)[0]
+
+
 def findings(scanned: DataFrame) -> DataFrame:
     """One row for each candidate: doc_id, start and end (code points), finding, score, secret."""
-    last = F.size("_parts")
-    before = F.aggregate(F.slice("_parts", 1, F.col("k")), F.lit(0), lambda n, p: n + F.length(p["before"]) + F.length(p["candidate"]))
-    rows = scanned.where(last > 0).select("doc_id", "_parts", F.posexplode("_parts").alias("k", "p"))
-    start = (before + F.length("p.before")).cast("long")
-    return rows.select("doc_id", start.alias("start"), (start + F.length("p.candidate")).alias("end"), F.col("p.candidate").alias("finding"), F.col("p.score").alias("score"), (F.col("p.score") >= THRESHOLD).alias("secret"))
+    starts = _starts(F.transform("_parts", lambda p: F.length(p["before"]) + F.length(p["candidate"])))
+    placed = F.zip_with("_parts", starts, lambda p, s: F.struct((s + F.length(p["before"])).cast("long").alias("start"), p["candidate"].alias("finding"), p["score"].alias("score")))
+    rows = scanned.where(F.size("_parts") > 0).select("doc_id", F.explode(placed).alias("p"))
+    return rows.select("doc_id", "p.start", (F.col("p.start") + F.length("p.finding")).alias("end"), "p.finding", "p.score", (F.col("p.score") >= THRESHOLD).alias("secret"))
 
 
 def redacted(scanned: DataFrame) -> DataFrame:
