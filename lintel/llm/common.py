@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,8 +29,48 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/lintel/{what}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; the innermost open scratch() deletes it at its end."""
+    path = f"{shared_dir(spark)}/lintel/{what}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Deletes the tables that were written inside, other than those it is told to keep: they go to the scope around.
+
+    What is still to be read after the end may depend on kept tables only."""
+    mine: list[str] = []
+    depth = len(_scopes)
+    _scopes.append(mine)
+
+    def keep(df: DataFrame) -> DataFrame:
+        mine.remove(df._written_path)
+        if depth:
+            _scopes[depth - 1].append(df._written_path)
+        return df
+
+    try:
+        yield keep
+    finally:
+        del _scopes[depth:]
+        for path in mine:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of written()."""
+    _delete(df.sparkSession, df._written_path)
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
@@ -35,7 +79,25 @@ def written(df: DataFrame, what: str) -> DataFrame:
     spark, schema = df.sparkSession, df.schema
     path = new_path(spark, what)
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function of a Python task, which gives memory back to the system at its end: workers live on idle."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return tidied
 
 
 def release(spark: SparkSession) -> None:

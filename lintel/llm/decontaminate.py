@@ -24,7 +24,6 @@ Items too short for sections (under EXACT characters) are looked for exactly, at
 from __future__ import annotations
 
 import random
-import re
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
@@ -36,25 +35,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import scratch, tidy, written
 from .shingles import mix
 
 #: Items of fewer characters are looked for exactly.
 EXACT = 16
-#: Kinds of items: least characters, steps of a walk (two a character on average), stride of the documents' sections.
-KINDS = ((80, 64, 8), (40, 48, 4), (EXACT, 24, 2))
+#: Kinds of items: least characters, steps of a walk (two a character on average, at most 56), stride of the documents' sections.
+KINDS = ((80, 44, 8), (40, 40, 4), (EXACT, 24, 2))
 #: Samples that are taken from one walk, and the fewest symbols of a sample.
-PER_WALK, SYMBOLS = 4, 12
-#: Walks are added until this share of edited passages is found, at most MAX_WALKS.
-RECALL, MAX_WALKS = 0.998, 24
+PER_WALK, SYMBOLS = 8, 12
+#: Walks are added until this share of passages of the least length with all edits allowed is found, at most MAX_WALKS.
+RECALL, MAX_WALKS = 0.995, 24
 #: Items, and edited passages of them, on which the walks are counted.
 SAMPLE_ITEMS, TRIALS = 256, 1500
 #: The filter has at least FILTER_BITS bits a key, of which six are set, but at most 1 << MOST_BITS in all (64 MB).
 FILTER_BITS, MOST_BITS = 64, 29
 #: Bits of a key, and of a hash of it, from these on are its places in the filter.
 SHIFTS = (0, 17, 34)
+#: Characters of the q-grams that a candidate must share before it is verified.
+GRAM = 5
 #: Characters of documents that are embedded together.
-CHUNK = 1 << 18
+CHUNK = 1 << 17
+
+#: Which characters are blanks to str.split; none is behind the last of the table.
+_BLANK = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
 
 SCHEMA = "doc_id long, item_id long, start long, end long, distance long"
 #: A stretch of a document with sections that passed the filter: begin and text as in the document, places of keys in its normal form.
@@ -83,14 +87,17 @@ def normal(text: str) -> str:
 
 
 def offsets(text: str, places: list[int]) -> list[int]:
-    """The places of normal(text) as places of text. Memory grows with the number of places and words only."""
-    words = re.finditer(r"\S+", text)
-    out, at, m = [len(text)] * len(places), 0, next(words, None)
-    for k in sorted(range(len(places)), key=places.__getitem__):
-        while m is not None and places[k] > at + m.end() - m.start():
-            at, m = at + m.end() - m.start() + 1, next(words, None)
-        if m is not None:
-            out[k] = m.start() + places[k] - at
+    """The places of normal(text) as places of text. Works through the text in blocks, whatever its length."""
+    out, done, spaced = [len(text)] * len(places), 0, True
+    for begin in range(0, len(text), CHUNK):
+        codes = np.frombuffer(text[begin : begin + CHUNK].encode("utf-32-le", "surrogatepass"), np.uint32)
+        blank = _BLANK.take(np.minimum(codes, len(_BLANK) - 1))
+        before = np.concatenate([[spaced], blank[:-1]])
+        kept = np.flatnonzero(~blank | ~before)  # words, and the first blank after each
+        for k, p in enumerate(places):
+            if done <= p < done + len(kept):
+                out[k] = begin + int(kept[p - done])
+        done, spaced = done + len(kept), bool(blank[-1])
     return out
 
 
@@ -124,27 +131,32 @@ class Walks:
         """For each sample the keys of the sections that begin at `start`. codes end in `steps` further symbols."""
         width = -(-self.sampled // 8) * 8
         packed = np.zeros((len(start), width), np.uint8)
+        now, walked = np.empty(len(start), np.uint64), np.empty((self.steps, len(start)), np.uint8)
         for walk, (forward, picks) in enumerate(_drawn(self)):
-            at, walked = start.astype(np.int64), np.empty((self.steps, len(start)), np.uint8)
+            at, text = start.astype(np.int64), forward.take(codes)
             for step in range(self.steps):
-                np.take(codes, at, out=walked[step], mode="clip")
-                at += forward[step].take(walked[step])
+                np.take(text, at, out=now, mode="clip")
+                np.copyto(walked[step], now, casting="unsafe")  # the low byte, the symbol
+                now >>= np.uint64(8 + step)
+                now &= np.uint64(1)
+                at += now.view(np.int64)
             for sample, pick in enumerate(picks):
                 for i, step in enumerate(pick.tolist()):
                     packed[:, i] = walked[step]
                 words = packed.view(np.uint64)
-                key = words[:, 0] + np.uint64((1 + walk * PER_WALK + sample + (self.least << 16)) * 0x9E3779B97F4A7C15 % (1 << 64))
+                key = words[:, 0] ^ np.uint64((1 + walk * PER_WALK + sample + (self.least << 16)) * 0x9E3779B97F4A7C15 % (1 << 64))
                 for w in range(1, width // 8):
-                    key = mix(key) + words[:, w]
+                    key = (key ^ key >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) + words[:, w]
                 yield mix(key)
 
 
 @lru_cache(64)
 def _drawn(walks: Walks) -> list[tuple[np.ndarray, list[np.ndarray]]]:
-    """For each walk the advance by step and symbol, and the steps that are sampled. More walks begin like fewer."""
+    """For each walk a word for each symbol, which holds the symbol and whether it advances the walk at each step, and
+    the steps that are sampled. More walks begin like fewer."""
     rng, out = np.random.default_rng((5, walks.least, walks.steps)), []
     for _ in range(walks.walks):
-        forward = rng.integers(0, 2, (walks.steps, 256)).astype(np.int64)
+        forward = rng.integers(0, 1 << 56, 256, np.uint64) << np.uint64(8) | np.arange(256, dtype=np.uint64)
         out.append((forward, [np.sort(rng.permutation(walks.steps)[: walks.sampled]) for _ in range(PER_WALK)]))
     return out
 
@@ -174,7 +186,7 @@ def planned(kind: tuple[int, int, int], items: list[str], chars: int, settings:
     are made of a sample of them with all edits that are allowed. The sample is cut to the least length of the kind:
     longer items have more sections and are found more often."""
     least, steps, stride = kind
-    most = Walks(least, steps, stride, MAX_WALKS, min(steps // 2, max(SYMBOLS, chars.bit_length() + 2)))
+    most = Walks(least, steps, stride, MAX_WALKS, min(steps // 2, max(SYMBOLS, chars.bit_length() + 4)))
     rng = random.Random(len(items))
     pad = np.zeros(steps, np.uint8)
     tries = [rng.choice(items) for _ in range(TRIALS)]
@@ -212,6 +224,15 @@ def distance(item: str, text: str) -> tuple[int, int, int]:
     return d, end - length, end
 
 
+def near_enough(item: str, text: str, edits: int) -> bool:
+    """False only if no substring of text is within the edits: each edit spoils at most GRAM of the item's q-grams."""
+    need = len(item) - GRAM + 1 - GRAM * edits
+    if need <= 0:
+        return True
+    have = {text[k : k + GRAM] for k in range(len(text) - GRAM + 1)}
+    return sum(item[k : k + GRAM] in have for k in range(len(item) - GRAM + 1)) >= need
+
+
 def _myers(item: str, text: str, first_at_start: bool = False) -> tuple[int, int]:
     """Bit-parallel matching: least distance of item to a substring that ends at the returned place (the first such).
 
@@ -286,7 +307,7 @@ def _texts(items: DataFrame) -> DataFrame:
             yield made.filter(pa.array([bool(t) for t in texts], pa.bool_()))
 
     rows = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    return written(rows.mapInArrow(run, "item_id long, text string").distinct().withColumn("n", F.monotonically_increasing_id()), "items")
+    return written(rows.mapInArrow(tidy(run), "item_id long, text string").distinct().withColumn("n", F.monotonically_increasing_id()), "items")
 
 
 def _plan(texts: DataFrame, settings: Settings) -> Plan:
@@ -324,7 +345,7 @@ def _item_keys(texts: DataFrame, plan: Plan) -> DataFrame:
                     columns = (key[part].view(np.int64), mix(key[part]).view(np.int64), np.full(len(key[part]), n), low[part].astype(np.int32), high[part].astype(np.int32))
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "again", "n", "low", "high"])
 
-    return written(texts.select("n", "text").mapInArrow(run, "key long, again long, n long, low int, high int"), "item-keys")
+    return written(texts.select("n", "text").mapInArrow(tidy(run), "key long, again long, n long, low int, high int"), "item-keys")
 
 
 def bounds(key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -350,16 +371,19 @@ def _filter(keys: DataFrame) -> np.ndarray:
 
 def passing(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Places of the keys that the filter may hold."""
-    mask = np.uint64(8 * len(bits) - 1)
+    words, mask = bits.view(np.uint64), np.uint64(8 * len(bits) - 1)
 
     def look(k: np.ndarray) -> np.ndarray:
-        return bits[(k >> np.uint64(3)).astype(np.int64)] >> (k & np.uint64(7)).astype(np.uint8) & 1 > 0
+        found = words.take((k >> np.uint64(6)).view(np.int64))
+        found >>= k & np.uint64(63)
+        found &= np.uint64(1)
+        return found
 
     which = np.flatnonzero(look(key & mask))
     for again in (False, True):
         for n in SHIFTS:
             some = mix(key[which]) if again else key[which]
-            which = which[look(some >> np.uint64(n) & mask)]
+            which = which[look(some >> np.uint64(n) & mask) > 0]
     return which
 
 
@@ -432,7 +456,7 @@ def _found(docs: DataFrame, bits: np.ndarray, plan: Plan) -> DataFrame:
                 k = n
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.length("text").cast("long").alias("size"), "text").where("size > 0")
-    return written(rows.mapInArrow(run, _FOUND), "stretches")
+    return written(rows.mapInArrow(tidy(run), _FOUND), "stretches")
 
 
 def _verified(found: DataFrame, keys: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
@@ -452,7 +476,8 @@ def _verified(found: DataFrame, keys: DataFrame, texts: DataFrame, settings: Set
                     d, s, t = (0, at, at + len(item)) if at >= 0 else (e + 1, 0, 0)
                 else:
                     at = max(0, low - e)
-                    d, s, t = distance(item, clean[at : high + len(item) + 2 * e])
+                    part = clean[at : high + len(item) + 2 * e]
+                    d, s, t = distance(item, part) if near_enough(item, part, e) else (e + 1, 0, 0)
                     s, t = s + at, t + at
                 if d <= e:
                     first, last = offsets(text, [s, t - 1])
@@ -461,18 +486,20 @@ def _verified(found: DataFrame, keys: DataFrame, texts: DataFrame, settings: Set
             yield pa.RecordBatch.from_arrays([*own, *(pa.array([h[k] for h in hits], pa.int64()) for k in (1, 2, 3))], names=["row", "doc_id", "hash", "item_id", "start", "end", "distance"])
 
     columns = ("row", "doc_id", "hash", "item_id", "text", "item", "low", "high", "start")
-    hits = rows.select(*columns).mapInArrow(run, "row string, doc_id long, hash long, item_id long, start long, end long, distance long")
+    hits = rows.select(*columns).mapInArrow(tidy(run), "row string, doc_id long, hash long, item_id long, start long, end long, distance long")
     best = F.min(F.struct("distance", "start", "end")).alias("b")
     return hits.groupBy("row", "doc_id", "hash", "item_id").agg(best).select("row", "doc_id", "hash", "item_id", "b.start", "b.end", "b.distance")
 
 
 def _matches(docs: DataFrame, items: DataFrame, settings: Settings) -> DataFrame | None:
-    texts = _texts(items)
-    plan = _plan(texts, settings)
-    if not plan.kinds and not plan.exact:
-        return None
-    keys = _item_keys(texts, plan)
-    return _verified(_found(docs, _filter(keys), plan), keys, texts, settings)
+    """_verified of all, materialised; None if there is nothing to look for."""
+    with scratch(docs.sparkSession) as keep:
+        texts = _texts(items)
+        plan = _plan(texts, settings)
+        if not plan.kinds and not plan.exact:
+            return None
+        keys = _item_keys(texts, plan)
+        return keep(written(_verified(_found(docs, _filter(keys), plan), keys, texts, settings), "matches"))
 
 
 def contaminations(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) -> DataFrame:  # noqa: B008

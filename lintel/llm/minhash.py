@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release, written
+from .common import release, scratch, tidy, written
 from .shingles import common, mix, shingle_sets
 
 BINS = 128
@@ -85,7 +85,7 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *made], names=["doc_id", "hash", "n_shingles", "digest", "sketch", "bands"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(run, "doc_id long, hash long, n_shingles long, digest binary, sketch binary, bands array<long>")
+    return texts.mapInArrow(tidy(run), "doc_id long, hash long, n_shingles long, digest binary, sketch binary, bands array<long>")
 
 
 def estimated(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
@@ -102,7 +102,7 @@ def estimated(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFra
 
     sk = nodes.select("node", "sketch")
     both = pairs.join(sk.withColumnsRenamed({"node": "a", "sketch": "sa"}), "a").join(sk.withColumnsRenamed({"node": "b", "sketch": "sb"}), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, same double")
+    return both.select("a", "b", "sa", "sb").mapInArrow(tidy(run), "a long, b long, same double")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
@@ -122,7 +122,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFra
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
     a, b = texts.withColumnsRenamed({"node": "a", "text": "ta"}), texts.withColumnsRenamed({"node": "b", "text": "tb"})
-    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(tidy(run), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -137,11 +137,12 @@ def components(edges: DataFrame) -> DataFrame:
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = written(e, "edges")
     while not _stars(e):
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = written(star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
-        s = star(large)
-        small = s.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(s.select("u", F.col("m").alias("v"))).distinct()
-        e = written(small, "small")
+        with scratch(e.sparkSession) as keep:
+            both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            large = written(star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
+            s = star(large)
+            small = s.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(s.select("u", F.col("m").alias("v"))).distinct()
+            e = keep(written(small, "small"))
         release(e.sparkSession)
     leaves = e.groupBy("u").agg(F.min("v").alias("v"))
     return leaves.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
@@ -175,46 +176,47 @@ def _answered(docs: DataFrame, settings: Settings) -> DataFrame:
     Nodes are classes of equal shingle sets under numbers of their own, not under doc_ids, which rows may share."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    sk = written(sketches(docs, settings), "sketches")
-    named = sk.where("doc_id is not null and digest is not null")
-    classes = written(named.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("node", F.monotonically_increasing_id()), "classes")
-    # rows of one class have the same sketch, so that any of those with its least doc_id serves
-    first_rows = named.join(classes, ["digest", "doc_id"]).dropDuplicates(["node"])
-    nodes = written(first_rows.select("node", "doc_id", "hash", F.col("n_shingles").alias("n"), "sketch", "bands"), "nodes")
-    release(spark)
-    rows = nodes.select("node", F.explode("bands").alias("bucket"))
-    hubs = rows.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", "bucket")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = written(rows.join(written(hubs.select("bucket", "hub"), "hubs"), "bucket"), "members")
-    pairs = members.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    near = written(estimated(pairs, nodes, settings), "near")
-    release(spark)
-    needed = nodes.join(members.select("node").distinct(), "node").select("node", "doc_id", "hash")
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text").where("doc_id is not null")
-    texts = written(own.join(needed, ["doc_id", "hash"]).select("node", "text").dropDuplicates(["node"]), "texts")
-    release(spark)
-
-    ends = near.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "same")
-    best = written(ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("same", -F.col("a"), -F.col("b"))).alias("e")).select("e.a", "e.b").distinct(), "best")
-    links = written(confirmed(best, texts, settings), "links")
-    first = written(components(links), "components")
-
-    def apart(pairs: DataFrame, of: DataFrame) -> DataFrame:
-        """Pairs of different components that were not tried yet."""
-        p = _component(of, "b", "cb", _component(of, "a", "ca", pairs))
-        return p.where("ca <> cb").select("a", "b")
-
-    tried = written(apart(near.select("a", "b").join(best, ["a", "b"], "left_anti"), first), "tried")
-    links = written(links.unionByName(confirmed(tried, texts, settings)), "links")
-    second = written(components(links), "components")
-    release(spark)
-
-    more = written(outsiders(members, nodes, texts, second, settings), "links")
-    last = written(components(links.unionByName(more)), "components") if more.head(1) else second
-    least = last.join(classes, "node").groupBy("component").agg(F.min("doc_id").alias("c"))
-    answers = written(last.join(least, "component").join(classes.select("node", "digest"), "node").select("digest", "c", F.col("component").alias("group")).unionByName(
-        classes.join(last, "node", "left_anti").select("digest", F.col("doc_id").alias("c"), F.col("node").alias("group"))
-    ), "answers")
-    release(spark)
+    with scratch(spark) as keep:
+        sk = keep(written(sketches(docs, settings), "sketches"))
+        named = sk.where("doc_id is not null and digest is not null")
+        classes = written(named.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("node", F.monotonically_increasing_id()), "classes")
+        # rows of one class have the same sketch, so that any of those with its least doc_id serves
+        first_rows = named.join(classes, ["digest", "doc_id"]).dropDuplicates(["node"])
+        nodes = written(first_rows.select("node", "doc_id", "hash", F.col("n_shingles").alias("n"), "sketch", "bands"), "nodes")
+        release(spark)
+        rows = nodes.select("node", F.explode("bands").alias("bucket"))
+        hubs = rows.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", "bucket")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        members = written(rows.join(written(hubs.select("bucket", "hub"), "hubs"), "bucket"), "members")
+        pairs = members.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        near = written(estimated(pairs, nodes, settings), "near")
+        release(spark)
+        needed = nodes.join(members.select("node").distinct(), "node").select("node", "doc_id", "hash")
+        own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text").where("doc_id is not null")
+        texts = written(own.join(needed, ["doc_id", "hash"]).select("node", "text").dropDuplicates(["node"]), "texts")
+        release(spark)
+
+        ends = near.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "same")
+        best = written(ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("same", -F.col("a"), -F.col("b"))).alias("e")).select("e.a", "e.b").distinct(), "best")
+        links = written(confirmed(best, texts, settings), "links")
+        first = written(components(links), "components")
+
+        def apart(pairs: DataFrame, of: DataFrame) -> DataFrame:
+            """Pairs of different components that were not tried yet."""
+            p = _component(of, "b", "cb", _component(of, "a", "ca", pairs))
+            return p.where("ca <> cb").select("a", "b")
+
+        tried = written(apart(near.select("a", "b").join(best, ["a", "b"], "left_anti"), first), "tried")
+        links = written(links.unionByName(confirmed(tried, texts, settings)), "links")
+        second = written(components(links), "components")
+        release(spark)
+
+        more = written(outsiders(members, nodes, texts, second, settings), "links")
+        last = written(components(links.unionByName(more)), "components") if more.head(1) else second
+        least = last.join(classes, "node").groupBy("component").agg(F.min("doc_id").alias("c"))
+        joined = last.join(least, "component").join(classes.select("node", "digest"), "node").select("digest", "c", F.col("component").alias("group"))
+        alone = classes.join(last, "node", "left_anti").select("digest", F.col("doc_id").alias("c"), F.col("node").alias("group"))
+        answers = keep(written(joined.unionByName(alone), "answers"))
+        release(spark)
     linked = sk.where("doc_id is not null").select("doc_id", "hash", "n_shingles", "digest").join(answers, "digest", "left")
     unknown = sk.where("doc_id is null").select("doc_id", "hash", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"), F.lit(None).cast("long").alias("group"))
     known = linked.select("doc_id", "hash", "group", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"))

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import tidy
+
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Stands for a word mark that was in the text itself, which becomes bytes. Half of a surrogate pair, which no UTF-8 text can hold.
@@ -312,4 +314,4 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), values), pa.array([len(x) for x in ids], pa.int64()), pa.array(same)], names=[id_col, "ids", "n_tokens", "round_trip"])
 
-    return docs.select(F.col(id_col).cast("long").alias(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("long").alias(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(tidy(run), schema)

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import tidy
+
 #: The model is fitted on at most so many labelled documents, chosen by a hash of their id ...
 TRAIN_DOCS = 8000
 #: ... of at most so many characters, which bounds what the driver holds ...
@@ -176,7 +178,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 spans = [[{"start": a, "end": b, "p": p} for a, b, p in s] for _, s in found]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([x for x, _ in found], pa.float64()), pa.array(spans, pa.list_(offence))], names=[*part.schema.names, "toxicity", "offences"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:

@@ -44,5 +44,45 @@ def test_pipeline(spark, tmp_path):
         assert r["round_trip"] and codec.decode(r["ids"]) == want
 
 
+def folder(spark, tmp_path, docs, labels, items):
+    rows = "doc_id long, text string, lang string, source string, n_chars long, toxicity string, hash string, row string, component_id string, _parts string, ids string"
+    spark.createDataFrame([(*d, *"abcdef") for d in docs], rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_odd_rows_in_every_stage(spark, tmp_path):
+    """Nulls in any column, repeated rows, repeated ids, a very long text, columns with the names of helpers."""
+    rng = random.Random(5)
+    item, clean, other = words(rng, 30), words(rng, 70), words(rng, 80)
+    long = " ".join(words(rng, 400) for _ in range(150))
+    docs = [(1, clean), (1, clean), (1, other), (2, clean.upper()), (None, clean), (None, clean), (3, None), (3, ""), (4, long), (5, long + " end"), (6, item), (6, words(rng, 40)), (None, item), (7, "x" * 100_000), (8, "password=7602ad27cf5550de1c"), (8, "password=7602ad27cf5550de1c")]
+    docs = [(i, t, None if k % 3 else "en", None if k % 2 else "src", None if k % 5 else 3) for k, (i, t) in enumerate(docs)]
+    sf = folder(spark, tmp_path, docs, [(1, None, None), (None, 1, 1)], [(1, item), (None, "x"), (2, None), (3, "")])
+    df = spark.read.parquet(f"{sf}/documents.parquet")
+    want = {
+        "toxicity": [None, None, None, 1, 1, 1, 2, 3, 3, 4, 5, 6, 6, 7, 8, 8],
+        "near_duplicates": [None, None, None, 1, 1, 3, 3, 4, 6, 6, 7, 8],
+        "decontamination": [None, None, 1, 1, 3, 3, 4, 6, 7, 8],
+        "secrets": [None, None, 1, 1, 3, 3, 4, 6, 7, 8],
+    }
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        df = stage(spark, df, sf)
+        rows = df.collect()
+        assert df.columns == list(corpus_pipeline.COLUMNS) and sorted((r["doc_id"] for r in rows), key=lambda i: (i is not None, i)) == want[name], name
+        df = spark.createDataFrame(rows, df.schema)
+    assert [r["text"] for r in rows if r["doc_id"] == 8] == ["password=[SECRET]"]
+    if os.path.exists(MODEL_PATH):
+        out = corpus_pipeline.run(spark, sf).collect()
+        assert sorted((r["doc_id"] for r in out), key=lambda i: (i is not None, i)) == want["secrets"] and all(r["round_trip"] for r in out)
+
+
+@pytest.mark.skipif(not os.path.exists(MODEL_PATH), reason="no model file")
+def test_empty_tables(spark, tmp_path):
+    sf = folder(spark, tmp_path, [], [], [])
+    assert corpus_pipeline.run(spark, sf).collect() == []
+
+
 def test_stages_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "pieces"]
