@@ -418,7 +418,7 @@ def found_sections(texts: list[str], bits: np.ndarray, plan: Plan) -> dict[int,
     return {int(doc[w[0]]): (key[w], at[w] - begins[doc[w[0]]], reach[w]) for w in np.split(order, cuts) if len(w)}
 
 
-def stretches(raw: str, text: str, key: np.ndarray, at: np.ndarray, reach: np.ndarray) -> Iterator[tuple[int, str, list[dict]]]:
+def stretches(raw: str, text: str, key: np.ndarray, at: np.ndarray, reach: np.ndarray) -> Iterator[tuple[int, str, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
     """(start, text, keys) of the parts of a document (text: its normal form) that an item can cover; start and text
     as in the document, keys with their first and last section in the normal form of the part."""
     around = {(max(0, a - r), min(len(text), a + r)) for a, r in set(zip(at.tolist(), reach.tolist(), strict=True))}
@@ -427,15 +427,14 @@ def stretches(raw: str, text: str, key: np.ndarray, at: np.ndarray, reach: np.nd
     part = np.searchsorted([a for a, _ in spans], at, "right") - 1
     for k, (a, _) in enumerate(spans):
         mine = part == k
-        rows = zip(*(c.tolist() for c in bounds(key[mine].view(np.int64), at[mine] - a)), strict=True)
-        yield places[2 * k], raw[places[2 * k] : places[2 * k + 1]], [{"key": h, "low": low, "high": high} for h, low, high in rows]
+        yield places[2 * k], raw[places[2 * k] : places[2 * k + 1]], bounds(key[mine].view(np.int64), at[mine] - a)
 
 
 def _found(docs: DataFrame, bits: np.ndarray, plan: Plan) -> DataFrame:
     """Stretches of the documents that hold keys of items, one pass over the documents."""
     sent = docs.sparkSession.sparkContext.broadcast((bits, plan))
-    keys = pa.list_(pa.struct([("key", pa.int64()), ("low", pa.int32()), ("high", pa.int32())]))
-    schema = pa.schema([("row", pa.string()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("start", pa.int64()), ("text", pa.string()), ("keys", keys)])
+    names = ("row", "doc_id", "hash", "start", "text")
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, plan = sent.value
@@ -449,10 +448,14 @@ def _found(docs: DataFrame, bits: np.ndarray, plan: Plan) -> DataFrame:
                 raw = rows.column("text").to_pylist()
                 clean = [normal(t) for t in raw]
                 for d, sections in found_sections(clean, known, plan).items():
-                    own = {"row": uuid.uuid4().hex, "doc_id": rows.column("doc_id")[d].as_py(), "hash": rows.column("hash")[d].as_py()}
-                    out += [{**own, "start": start, "text": text, "keys": some} for start, text, some in stretches(raw[d], clean[d], *sections)]
+                    own = (uuid.uuid4().hex, rows.column("doc_id")[d].as_py(), rows.column("hash")[d].as_py())
+                    out += [(*own, *stretch) for stretch in stretches(raw[d], clean[d], *sections)]
                 if out:
-                    yield pa.RecordBatch.from_pylist(out, schema)
+                    columns = [pa.array(c, t) for c, t in zip(zip(*(o[:5] for o in out), strict=True), kinds, strict=True)]
+                    key, low, high = (np.concatenate(c) for c in zip(*(o[5] for o in out), strict=True))
+                    places = pa.StructArray.from_arrays([pa.array(key), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], ["key", "low", "high"])
+                    ends = np.cumsum([0, *(len(o[5][0]) for o in out)]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends), places)], names=[*names, "keys"])
                 k = n
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.length("text").cast("long").alias("size"), "text").where("size > 0")
