@@ -51,8 +51,9 @@ def merge_plan(buildings: DataFrame, listing_counts: DataFrame) -> DataFrame:
     rows = buildings.join(comp, "building_id").join(listing_counts, "building_id", "left").select(
         "component", F.struct(F.col("building_id").alias("id"), F.coalesce("n_listings", F.lit(0)).alias("n"), F.coalesce("canonical_address", F.lit("")).alias("place"), folded.alias("name"), F.col("created_at").alias("at")).alias("b")
     )
-    g = rows.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.array_sort(F.collect_list("b")).alias("bs")).where("size > 1")
-    a, b = F.col("bs")[0], F.col("bs")[1]
+    # the least and the greatest member are both members of a pair; of larger groups none is merged
+    g = rows.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.min("b").alias("a"), F.max("b").alias("b")).where("size > 1")
+    a, b = F.col("a"), F.col("b")
     a_old = (a["at"] < b["at"]) | (a["at"].eqNullSafe(b["at"]) & (a["id"] < b["id"])) | (a["at"].isNotNull() & b["at"].isNull())
     same = (a["place"] == b["place"]) & (a["name"] == b["name"])
     keep = F.when((a["n"] > 0) & (b["n"] == 0), a["id"]).when((b["n"] > 0) & (a["n"] == 0), b["id"]).when((a["n"] == 0) & (b["n"] == 0) & same, F.when(a_old, a["id"]).otherwise(b["id"]))

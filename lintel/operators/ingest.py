@@ -56,9 +56,24 @@ def _round(rows: DataFrame, buildings: DataFrame, sources: DataFrame, aliases: D
     return out.unionByName(nameless)
 
 
-def ingest(rows: DataFrame, buildings: DataFrame, sources: DataFrame, aliases: DataFrame, auto_seed: bool = True, max_rounds: int = 60) -> DataFrame:
+def _first_seen(df: DataFrame, *keys: str) -> DataFrame:
+    """One row for each key, as old as its oldest: a later one says nothing new."""
+    return df.groupBy(*keys).agg(F.min("since").alias("since"))
+
+
+def _changes(names: DataFrame) -> DataFrame:
+    """Aliases without those that say what the alias before them says."""
+    before = F.lag("canonical_key").over(Window.partitionBy("alias_key").orderBy("since"))
+    return names.withColumn("before", before).where(~F.col("canonical_key").eqNullSafe(F.col("before"))).drop("before")
+
+
+def ingest(rows: DataFrame, buildings: DataFrame, sources: DataFrame, aliases: DataFrame, auto_seed: bool = True) -> DataFrame:
     """OUTCOME of each row of `incoming`, as if the rows were read in the order of row_no.
 
+    After k rounds at least the first k rows have their outcome, so that the rounds end; in practice there are a few.
+    A round keeps the first source of a building and name and the changes of an alias only, so that a building with
+    very many rows adds as little to the state as one with a few.
+
     buildings: (building_id, norm_name, norm_address); sources: (building_id, norm_name);
     aliases: (alias_key, canonical_key)."""
     shared_folder(rows.sparkSession)
@@ -68,7 +83,7 @@ def ingest(rows: DataFrame, buildings: DataFrame, sources: DataFrame, aliases: D
     old_a = aliases.select("alias_key", "canonical_key").withColumn("since", F.lit(-1).cast("long"))
     new_b, new_s, new_a = old_b.limit(0), old_s.limit(0), old_a.limit(0)
     before = None
-    for _ in range(max_rounds):
+    while True:
         out = _round(rows, old_b.unionByName(new_b), old_s.unionByName(new_s), old_a.unionByName(new_a), auto_seed).checkpoint()
         if before is not None and not out.select("row_no", "building_id", "route", "reason").exceptAll(before.select("row_no", "building_id", "route", "reason")).head(1):
             return out
@@ -76,9 +91,8 @@ def ingest(rows: DataFrame, buildings: DataFrame, sources: DataFrame, aliases: D
         hits = out.where("building_id is not null").join(rows.select("row_no", "norm_name", "norm_address", "alias_key"), "row_no").select("row_no", "building_id", "route", "norm_name", "norm_address", "alias_key", F.col("row_no").cast("long").alias("since"))
         first = hits.where("route = 'seeded'").withColumn("r", F.row_number().over(Window.partitionBy("building_id").orderBy("row_no"))).where("r = 1")
         new_b = first.join(old_b.select("building_id"), "building_id", "left_anti").select("building_id", "norm_name", "norm_address", "since")
-        new_s = hits.where("norm_name <> ''").select("building_id", "norm_name", "since")
-        new_a = hits.select("alias_key", F.col("building_id").alias("canonical_key"), "since")
-    raise RuntimeError(f"no fixed point after {max_rounds} rounds")
+        new_s = _first_seen(hits.where("norm_name <> ''"), "building_id", "norm_name").join(old_s, ["building_id", "norm_name"], "left_anti")
+        new_a = _changes(hits.select("alias_key", F.col("building_id").alias("canonical_key"), "since"))
 
 
 def counters(outcome: DataFrame) -> DataFrame:

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from .upsert import keep_top
 
-# Words that no building name holds.
-BAD_NAME_TOKENS = ("号室", "賃料", "管理費", "共益費", "所在地", "間取", "面積", "号")
+# What no building name holds; the second is harmless beside 棟.
+BAD_NAME_TOKENS = ("》", "号", "NEW")
+#: The reason of a file without rows.
+NO_ROWS = "extracted_rows=0"
 
 
 def duplicate_groups(df: DataFrame, *keys: str) -> DataFrame:
@@ -57,21 +59,35 @@ def bad_name(col: Column) -> Column:
     return (F.length(col) <= 2) | col.rlike(r"^\d{2,4}$") | tokens
 
 
-def qc(rows: DataFrame, group: str, category: Column, name: Column, address: Column, room: Column) -> DataFrame:
-    """(group, rows, reasons): what is wrong with the extracted rows of a file; reasons is an array."""
+def two_decimals(ratio: Column) -> Column:
+    """A ratio of 0.125 to 1 with two decimals, rounded from its exact binary value, halves to the even digit."""
+    exact = (ratio * F.lit(float(1 << 56))).cast("long") * 100  # a whole number: such doubles have no bits below 2 ** -56
+    whole, rest = F.shiftright(exact, 56), exact.bitwiseAND(F.lit((1 << 56) - 1))
+    up = (rest > 1 << 55) | ((rest == 1 << 55) & (whole % 2 == 1))
+    cents = whole + up.cast("int")
+    return F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
+def qc(rows: DataFrame, group: str, category: Column, name: Column, address: Column, room: Column, files: DataFrame | None = None) -> DataFrame:
+    """(group, rows, reasons): what is wrong with the extracted rows of a file; reasons is an array.
+
+    Names, addresses and rooms in normal text form. files: (group) of all files, those without rows included."""
     name, address, room = (F.coalesce(c, F.lit("")) for c in (name, address, room))
     g = rows.groupBy(group).agg(
         F.count(F.lit(1)).alias("rows"), share(bad_name(name)).alias("bad"), F.bool_or((category == "realpro") & name.rlike(r"TEL|FAX|^\d+/\d+頁$")).alias("noise"),
         F.bool_or(looks_like_money(address)).alias("money"), F.bool_or(address == "").alias("no_address"),
         share(room == "").alias("no_room"), F.bool_or(category.isin("ulucks", "realpro")).alias("roomed"), F.bool_or((category == "realpro") & (room != "") & (name == "")).alias("nameless"),
     )
-    # two decimals with the half rounded as formatting does
     reasons = F.array_compact(F.array(
-        F.when(F.col("bad") >= 0.20, F.concat(F.lit("building_name_bad_ratio="), F.format_string("%.2f", "bad"))),
+        F.when(F.col("bad") >= 0.20, F.concat(F.lit("building_name_bad_ratio="), two_decimals(F.col("bad")))),
         F.when(F.col("noise"), F.lit("building_name_contains_noise")), F.when(F.col("money"), F.lit("address_looks_like_money")), F.when(F.col("no_address"), F.lit("address_empty")),
-        F.when(F.col("roomed") & (F.col("no_room") >= 0.50), F.concat(F.lit("room_empty_ratio="), F.format_string("%.2f", "no_room"))), F.when(F.col("nameless"), F.lit("building_name_missing_with_room")),
+        F.when(F.col("roomed") & (F.col("no_room") >= 0.50), F.concat(F.lit("room_empty_ratio="), two_decimals(F.col("no_room")))), F.when(F.col("nameless"), F.lit("building_name_missing_with_room")),
     ))
-    return g.select(group, F.col("rows").cast("long"), reasons.alias("reasons"))
+    found = g.select(group, F.col("rows").cast("long"), reasons.alias("reasons"))
+    if files is None:
+        return found
+    every = files.select(group).distinct().join(found, group, "left")
+    return every.select(group, F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), F.coalesce("reasons", F.array(F.lit(NO_ROWS))).alias("reasons"))
 
 
 def qc_stops(reports: DataFrame, mode: str, harmless: tuple[str, ...] = ()) -> bool:

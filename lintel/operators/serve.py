@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores
 from ..functions import text as tx
-from ..functions.fields import built_age, positive_or_null, summary_date
+from ..functions.fields import built_age, maps_url, positive_or_null, summary_date
 
 PAGE_ROWS, SEARCH_ROWS = 16, 200
 SORTS = ("recommended", "updated_desc", "built_age_asc", "vacancy_desc", "rent_min_asc", "rent_min_desc")
@@ -65,6 +65,70 @@ def payload(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(F.col(keys[0]).cast("string").alias("id"), F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("json")).orderBy(F.coalesce("id", F.lit("")))
 
 
+# The keys of the published objects in order, with the columns that they are taken from.
+V2MIN_KEYS = (
+    ("id", "building_key"), ("name", "name"), ("address", "address"), ("vacancy_count", "vacancy_count"), ("rent_min", "rent_yen_min"), ("rent_max", "rent_yen_max"),
+    ("sale_price_min", "sale_price_yen_min"), ("sale_price_max", "sale_price_yen_max"), ("sale_price_avg", "sale_price_yen_avg"), ("area_min", "area_sqm_min"), ("area_max", "area_sqm_max"),
+    ("sale_area_min", "sale_area_sqm_min"), ("sale_area_max", "sale_area_sqm_max"), ("updated_at", "last_updated"), ("updated_epoch", "updated_epoch"), ("property_kind", "property_kind"),
+    ("sale_listing_count", "sale_listing_count"), ("building_structure", "building_structure"), ("building_availability_label", "building_availability_label"),
+    ("building_built_year_month", "building_built_year_month"), ("building_built_age_years", "derived_built_age_years"),
+)
+LEGACY_KEYS = (
+    *V2MIN_KEYS[:15], ("google_maps_url", "address"), ("room_types", "layout_types"), ("sale_layout_types", "sale_layout_types_json"), ("property_kind", "property_kind"),
+    ("sale_listing_count", "sale_listing_count"), ("structure", "structure"), ("built_year", "age_years"), ("building_structure", "building_structure"),
+    ("building_built_year_month", "building_built_year_month"), ("building_built_age_years", "derived_built_age_years"), ("building_availability_label", "building_availability_label"),
+)
+#: Where the first column of a key is empty the second one is taken.
+FALLBACKS = {"updated_at": "updated_at", "building_structure": "structure", "building_built_age_years": "age_years"}
+
+
+def contract_payload(df: DataFrame, form: str) -> DataFrame:
+    """(id, json) of the read model in one of the published forms, `legacy` (26 keys) or `v2min` (21 keys).
+
+    Columns that the read model lacks are null; lists that are missing are empty; blank texts are null."""
+    keys = {"legacy": LEGACY_KEYS, "v2min": V2MIN_KEYS}.get(form)
+    if keys is None:
+        raise ValueError(f"unsupported format: {form}")
+    kinds = dict(df.dtypes)
+
+    def column(name: str) -> Column:
+        if name not in kinds:
+            return F.lit(None).cast("string")
+        return scalar_or_null(F.col(name)) if kinds[name] == "string" else F.col(name)
+
+    def value(key: str, source: str) -> Column:
+        if key == "google_maps_url":
+            return maps_url(column(source))
+        if key == "room_types":
+            return F.coalesce(F.col(source), F.array().cast("array<string>")) if source in kinds else F.array().cast("array<string>")
+        if key == "sale_layout_types":
+            return list_or_empty(column(source))
+        other = FALLBACKS.get(key)
+        both = [c for c in (source, other) if c in kinds]
+        return F.coalesce(*map(column, both)) if both else column(source)
+
+    made = df.select(*[value(k, c).alias(k) for k, c in keys])
+    return payload(made, [k for k, _ in keys])
+
+
+def lookup(keys: DataFrame, buildings: DataFrame, summaries: DataFrame, key: str = "key") -> DataFrame:
+    """(key, source, ...): for each key the building whose numeric id it is, else the summary of that key; others fall out.
+
+    The columns are those of `buildings` and `summaries` as structs, one of which is null."""
+    numeric = F.when(F.col(key).rlike("^[0-9]+$"), F.col(key).try_cast("long"))
+    asked = keys.select(key, numeric.alias("_id")).distinct()
+    b = buildings.select(F.col("id").alias("_id"), F.struct(*buildings.columns).alias("building"))
+    s = summaries.select(F.col("building_key").alias(key), F.struct(*summaries.columns).alias("summary"))
+    found = asked.join(b, "_id", "left").join(s, key, "left").where("building is not null or summary is not null")
+    source = F.when(F.col("building").isNotNull(), "building").otherwise("summary")
+    return found.select(key, source.alias("source"), "building", F.when(F.col("building").isNull(), F.col("summary")).alias("summary"))
+
+
+def seeded(summaries: DataFrame, demo: DataFrame) -> DataFrame:
+    """The summaries, or the demo rows where there are none."""
+    return summaries if summaries.head(1) else demo.select(*summaries.columns)
+
+
 def searched(df: DataFrame, query: str, name: str = "name", address: str = "address") -> DataFrame:
     """Rows that match a query, with their score; the score filters and does not order."""
     q = F.lit(" ".join(query.lower().split()))
@@ -90,10 +154,10 @@ def order_by(sort: str, as_of_ym: int) -> list[Column]:
 
 
 def sentinel_order(sort: str) -> list[Column]:
-    """The older page's orders, with fixed values for unknown ones; ties by name, then index."""
+    """The older page's orders, with fixed values for unknown ones; ties by name in Japanese order, then index."""
     rent = F.when(F.col("rent_min") > 0, F.col("rent_min"))
     keys = {"rent_min_asc": F.coalesce(rent, F.lit(999_999_999)).asc(), "rent_min_desc": F.coalesce(rent, F.lit(-1)).desc(), "vacancy_desc": F.coalesce("vacancy_count", F.lit(-1)).desc(), "updated_desc": F.coalesce("updated_epoch", F.lit(-1)).desc()}
-    return [keys[sort], F.col("name").asc(), F.col("original_index").asc()]
+    return [keys[sort], F.collate("name", "ja").asc(), F.col("original_index").asc()]
 
 
 def page(df: DataFrame, sort: list[Column], pages: int = 1, searching: bool = False) -> DataFrame:

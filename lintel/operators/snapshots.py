@@ -39,7 +39,7 @@ def finished(runs: DataFrame, run_id: int, status: str = "completed") -> DataFra
 
 def resolved(rows: DataFrame, aliases: DataFrame, key: str = "building_key", legacy: str | None = None) -> DataFrame:
     """Keys replaced by their canonical ones, one hop only; a legacy key is looked up where the key is unknown."""
-    names = aliases.select("alias_key", "canonical_key").dropDuplicates(["alias_key"])
+    names = aliases.groupBy("alias_key").agg(F.min("canonical_key").alias("canonical_key"))
 
     def hop(df: DataFrame, col: str, out: str) -> DataFrame:
         return df.join(names.withColumnsRenamed({"alias_key": col, "canonical_key": out}), col, "left")
@@ -50,6 +50,13 @@ def resolved(rows: DataFrame, aliases: DataFrame, key: str = "building_key", leg
     return out.withColumn(key, F.coalesce("c1", key)).drop("c1").select(*rows.columns)
 
 
+def listed_counts(listings: DataFrame, buildings: DataFrame) -> DataFrame:
+    """One row: all buildings, all listings, and the buildings that have a listing."""
+    keys = listings.where("coalesce(building_key, '') <> ''").join(buildings.select(F.col("building_id").alias("building_key")), "building_key", "left_semi")
+    counts = [buildings.agg(F.count(F.lit(1)).alias("buildings")), listings.agg(F.count(F.lit(1)).alias("listings")), keys.agg(F.count_distinct("building_key").alias("with_listings"))]
+    return counts[0].join(counts[1]).join(counts[2])  # three single rows
+
+
 def orphans(listings: DataFrame, buildings: DataFrame) -> DataFrame:
     """Listings of unknown buildings."""
     return listings.join(buildings.select(F.col("building_id").alias("building_key")), "building_key", "left_anti")

@@ -15,12 +15,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
 from ..functions.fields import area_any_unit, yen_from_list
 
 #: Tags without an end.
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
 #: Classes of elements that hold one property, in order of preference.
 CARD_CLASSES = ("property-card", "listing_card", "property", "card", "item")
+# Members that name a building, links to a building's page, what is no name, what follows a name.
+NAME_MEMBER = re.compile(r'"name"\s*:\s*"([^"]{2,120})"')
+BUILDING_LINK = r"/(mansion|chintai)/\d+"
+LINK_WORDS = ("詳細", "詳しく見る")
+STOP_WORDS = "マンションレビュー|賃貸|検索|ページ"
+AFTER_NAME = "福岡県|住所|交通|築|地上|総戸数|口コミ"
+AVAILABILITY = ("空室", "相談", "退去予定")
 ROWS = "page_id long, kind string, block int, row int, key string, value string"
 
 
@@ -141,6 +149,8 @@ def parse(html: str) -> Iterator[tuple[str, int, int, str, str]]:
     for r, x in enumerate(root.all("link")):
         if x.attrs.get("rel") == "canonical":
             yield "canonical", 0, r, "", x.attrs.get("href", "")
+    for r, m in enumerate(NAME_MEMBER.finditer(html)):
+        yield "name", 0, r, "", m[1]
     for b, s in enumerate(root.all("script")):
         raw = "".join(c for c in s.children if isinstance(c, str))
         for r, (k, v) in enumerate(x for node in embedded(raw) for x in node):
@@ -215,6 +225,20 @@ def links(rows: DataFrame, base: Column | None = None) -> DataFrame:
     return rows.where("kind = 'link' and value <> ''").select("page_id", F.col("key").alias("text"), url.alias("url"))
 
 
+def cards_of_urls(rows: DataFrame, wanted: DataFrame, base: Column) -> DataFrame:
+    """(page_id, url, block): the card of each wanted (page_id, url), that around the first link to it on the page.
+
+    A link leads there if it is the url once made absolute, or a link to a building that holds the url's path.
+    Urls without such a link have a null block."""
+    href = F.col("value")
+    whole = F.when(href.rlike("^https?://"), href).when(F.startswith(href, F.lit("/")), F.concat(base, href)).otherwise(F.concat(base, F.lit("/"), href))
+    a = rows.where("kind = 'card_link' and value <> ''").select("page_id", "block", "row", href.alias("href"), whole.alias("whole"))
+    path = F.regexp_replace("url", "^https?://[^/]+", "")
+    leads = (F.col("whole") == F.col("url")) | (F.col("href").rlike(r"/mansion/\d+") & F.contains("href", path))
+    first = wanted.join(a, "page_id").where(leads).groupBy("page_id", "url").agg(F.min(F.struct("block", "row")).alias("at"))
+    return wanted.join(first, ["page_id", "url"], "left").select("page_id", "url", "at.block")
+
+
 def last_page(rows: DataFrame, pattern: str = r"[?&]page=(\d+)") -> DataFrame:
     """(page_id, last_page): the highest page number among a page's links, 1 without any."""
     n = F.regexp_extract("value", pattern, 1).try_cast("int")
@@ -222,10 +246,17 @@ def last_page(rows: DataFrame, pattern: str = r"[?&]page=(\d+)") -> DataFrame:
 
 
 def candidate_names(rows: DataFrame) -> DataFrame:
-    """(page_id, names): headings and link texts that may be a building's name, cleaned, distinct, in order."""
-    clean = F.trim(F.regexp_replace(F.regexp_replace("value", r"[|｜/].*$", ""), r"(?U)\s+", " "))
-    rows = rows.where("kind = 'heading'").select("page_id", F.struct("block", "row", clean.alias("name")).alias("x"))
-    return rows.groupBy("page_id").agg(F.array_distinct(F.filter(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["name"]), lambda n: F.length(n).between(2, 60))).alias("names"))
+    """(page_id, names): what may be a building's name, cleaned, distinct, in this order: the title up to a bar, the
+    headings h1 and h2, texts of links to a building's page, members `name` of JSON. Room numbers are cut from the title
+    and headings; what is shorter than two characters or holds a stop word is left out."""
+    kind, key, value = F.col("kind"), F.col("key"), F.col("value")
+    title, heading = (kind == "heading") & (key == "title"), (kind == "heading") & (key != "title")
+    place = F.when(title, 0).when(heading, 1).when((kind == "link") & value.rlike(BUILDING_LINK) & ~key.isin(*LINK_WORDS), 2).when(kind == "name", 3)
+    text = F.when(title, F.regexp_extract(value, r"(?s)^[^|｜]*", 0)).when(kind == "link", key).otherwise(value)
+    name = tx.spaced(F.when(kind == "heading", F.regexp_replace(text, r"(?U)\d+号室", "")).otherwise(text))
+    found = rows.withColumns({"place": place, "name": name}).where("place is not null and length(name) >= 2").where(~F.col("name").rlike(STOP_WORDS))
+    first = found.where(~title | (F.col("row") == 0)).groupBy("page_id", "name").agg(F.min(F.struct("place", "row")).alias("at"))
+    return first.groupBy("page_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "name"))), lambda x: x["name"]).alias("names"))
 
 
 def free_text_fields(text: Column) -> dict[str, Column]:
@@ -236,6 +267,7 @@ def free_text_fields(text: Column) -> dict[str, Column]:
     return {
         "address": one(r"((?:北海道|東京都|(?:京都|大阪)府|[^\s都道府県]{2,3}県)[^\s]{2,30})"), "price": one(r"(\d[\d,.]*\s*(?:万円|円))"), "layout": one(r"(\d(?:S?LDK|DK|K|R))"),
         "area": one(r"(\d+(?:\.\d+)?)\s*(?:㎡|m2)"), "floor": one(r"(\d+)\s*階建?"), "structure": one(r"(SRC|RC|鉄骨鉄筋コンクリート|鉄筋コンクリート|鉄骨造|木造)"),
+        "availability": F.when(F.contains(text, F.lit("即入居")), "即入居").otherwise(F.coalesce(one(r"(?:入居(?:可能|可)?(?:時期)?|空室情報)\s*[:：]?\s*([^\s、,]{1,20})"), *[F.when(F.contains(text, F.lit(w)), w) for w in AVAILABILITY])),
         "age": one(r"築\s*(\d+)\s*年"), "built": one(r"(\d{4}年\s*\d{1,2}月)"), "units": one(r"総戸数\s*[:：]?\s*(\d+)"), "walk": one(r"徒歩\s*(\d+)\s*分"),
     }
 
@@ -260,9 +292,11 @@ def card_facts(rows: DataFrame) -> DataFrame:
     )
 
 
-def best_name(anchor: Column, title: Column, alt: Column, heading: Column, text: Column) -> Column:
-    """The first of several places where a name may stand; the head of the text at last."""
+def best_name(anchor: Column, title: Column, alt: Column, heading: Column, text: Column, url: Column) -> Column:
+    """The first of several places where a name may stand; then the head of the text, up to a word that follows names,
+    if it is no longer than a name is; the url at last, so that no row is lost."""
     def some(c: Column) -> Column:
         return F.nullif(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " ")), F.lit(""))
 
-    return F.coalesce(some(anchor), some(title), some(alt), some(heading), F.nullif(F.substring_index(some(text), " ", 1), F.lit("")), F.lit(""))
+    head = F.regexp_replace(F.regexp_extract(some(text), f"(?s)^(.*?)(?:{AFTER_NAME}|$)", 1), r"(?U)^[\s\-–—|｜]+|[\s\-–—|｜]+$", "")
+    return F.coalesce(some(anchor), some(title), some(alt), some(heading), F.when(F.length(head).between(1, 80), head), F.coalesce(url, F.lit("")))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,14 +66,33 @@ def read_listings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def numbered(df: DataFrame, start: int = 2, name: str = "row_no") -> DataFrame:
-    """Rows numbered in reading order, from the line after the header; the numbering is distributed."""
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType(), False)])
-    return df.sparkSession.createDataFrame(df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1] + start)), schema)
+    """Rows numbered in reading order, from the line after the header. Each partition numbers its own rows, after the
+    rows of the partitions before it, which are counted first: one small row for each partition is joined."""
+    at = F.monotonically_increasing_id()
+    part, place = F.shiftright(at, 33), at.bitwiseAND(F.lit((1 << 33) - 1))
+    counts = df.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_before"))
+    placed = df.withColumns({"_part": part, "_place": place})
+    return placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_place") + start).drop("_part", "_place", "_before")
+
+
+def csv_line(columns: Iterable[Column]) -> Column:
+    """Values as one line, each in quotes, quotes doubled, null as empty."""
+    return F.concat_ws(",", *[F.concat(F.lit('"'), F.replace(F.coalesce(c.cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in columns])
 
 
 def write_csv(df: DataFrame, path: str, columns: Iterable[str]) -> None:
-    """Every value quoted, CRLF, missing columns and values empty."""
-    with_columns(df, columns).write.mode("overwrite").options(header=True, quoteAll=True, emptyValue="", nullValue="", lineSep="\r\n").csv(path)
+    """Files that each begin with a byte order mark and the header; every value quoted, CRLF, missing columns and values empty."""
+    columns = list(columns)
+    head = "\ufeff" + ",".join('"' + c.replace('"', '""') + '"' for c in columns)
+    lines = with_columns(df, columns).select(csv_line(map(F.col, columns)).alias("value"))
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": [head]})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(batch.columns, names=["value"])
+
+    lines.mapInArrow(headed, "value string").write.mode("overwrite").option("lineSep", "\r\n").text(path)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

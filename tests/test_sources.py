@@ -31,7 +31,7 @@ def test_row_numbers(spark):
 def test_csv_sink(tmp_path, spark):
     store.write_csv(spark.createDataFrame([("a", None)], "x string, y string").coalesce(1), str(tmp_path / "o"), ["x", "z", "y"])
     (part,) = (tmp_path / "o").glob("part-*")
-    assert part.read_bytes() == b'"x","z","y"\r\n"a","",""\r\n'
+    assert part.read_bytes() == b'\xef\xbb\xbf"x","z","y"\r\n"a","",""\r\n'
 
 
 def test_files(tmp_path, spark):
@@ -100,7 +100,7 @@ def test_pages(spark):
     assert got == [(1, "町1 2", "5万円", "1K", None, None), (1, "町9", None, None, "20㎡", None), (2, "町1", "5", None, None, "棟"), (2, "町2", None, None, None, "棟2")]
     assert sorted(r["url"] for r in pages.links(rows, F.lit("http://h")).collect()) == ["http://h/d/1?page=3", "http://h/p?page=7"]
     assert {r["page_id"]: r["last_page"] for r in pages.last_page(rows).collect()}[1] == 7
-    assert pages.candidate_names(rows).first()["names"] == ["棟 A"]
+    assert pages.candidate_names(rows).first()["names"] == ["棟 A", "n1"]
     assert {(r["key"], r["value"]) for r in rows.where("kind = 'json'").collect()} >= {("name", "n1"), ("price", "5"), ("address", "町1")}
     assert rows.where("kind = 'canonical'").first()["value"] == "/x"
 
