@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 
 from .text import or_empty, strip
 
+# What amounts, areas, days and availability look like in the sources.
+MAN_AND_YEN, LARGE_YEN = r"(?U)(\d+(?:\.\d+)?)\s*万\s*(\d+)?", r"(?U)(\d{4,})\s*円?"
+PAGE_MAN, LIST_MAN, LIST_YEN = r"([0-9]+(?:\.[0-9]+)?)\s*万", r"(\d+(?:\.\d+)?)\s*万円", r"(\d+)\s*円"
+AREA_WITH_UNIT = r"(?Ui)(\d+(?:\.\d+)?)\s*(?:㎡|m2|m\^2)"
+DAY, MONTH_AND_DAY = r"(\d{4})[/-](\d{1,2})[/-](\d{1,2})", r"(?U)(\d{1,2})\s*月\s*(\d{1,2})\s*日"
+BUILT_MONTH, BUILT_AGE = r"(?U)(\d{4})\s*年\s*(\d{1,2})\s*月", r"(?U)\(\s*(\d+)\s*年\s*\)"
+IMMEDIATE = r"(?U)即(?:\s*入(?:居|可)?)?"
+
 
 def _number(col: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(or_empty(col), pattern, group), F.lit(""))
@@ -22,9 +30,8 @@ def _number(col: Column, pattern: str, group: int = 1) -> Column:
 def yen_from_text(col: Column) -> Column:
     """`N万M` or `N円` (four digits at least), commas aside; else null."""
     text = F.replace(or_empty(col), F.lit(","), F.lit(""))
-    man = r"(?U)(\d+(?:\.\d+)?)\s*万\s*(\d+)?"
-    base = _number(text, man).cast("double") * 10000 + F.coalesce(_number(text, man, 2).cast("double"), F.lit(0.0))
-    return F.coalesce(base.cast("long"), _number(text, r"(?U)(\d{4,})\s*円?").cast("long"))
+    base = _number(text, MAN_AND_YEN).cast("double") * 10000 + F.coalesce(_number(text, MAN_AND_YEN, 2).cast("double"), F.lit(0.0))
+    return F.coalesce(base.cast("long"), _number(text, LARGE_YEN).cast("long"))
 
 
 def yen_from_man(col: Column) -> Column:
@@ -41,7 +48,7 @@ def yen_from_sheet(col: Column) -> Column:
 def man_from_page(col: Column) -> Column:
     """万 as a double, from normalised text: a number before 万, else yen; a dash, 無 and なし are null."""
     text = F.regexp_replace(strip(or_empty(col)), "税込|税別", "")
-    man = _number(text, r"([0-9]+(?:\.[0-9]+)?)\s*万").cast("double")
+    man = _number(text, PAGE_MAN).cast("double")
     yen = F.nullif(F.regexp_replace(text, r"[^0-9.]", ""), F.lit("")).try_cast("double") / 10000
     return F.when(~text.isin("", "-", "—", "–", "無", "なし"), F.coalesce(man, yen))
 
@@ -49,7 +56,7 @@ def man_from_page(col: Column) -> Column:
 def yen_from_list(col: Column) -> Column:
     """`N万円` or `N円` of list pages."""
     text = F.replace(or_empty(col), F.lit(","), F.lit(""))
-    return F.coalesce((_number(text, r"(\d+(?:\.\d+)?)\s*万円").cast("double") * 10000).cast("long"), _number(text, r"(\d+)\s*円").cast("long"))
+    return F.coalesce((_number(text, LIST_MAN).cast("double") * 10000).cast("long"), _number(text, LIST_YEN).cast("long"))
 
 
 def fee_yen(col: Column) -> Column:
@@ -68,7 +75,7 @@ def format_yen(col: Column) -> Column:
 
 def area_sqm(col: Column) -> Column:
     """A number with a unit of square metres."""
-    return _number(col, r"(?Ui)(\d+(?:\.\d+)?)\s*(?:㎡|m2|m\^2)").cast("double")
+    return _number(col, AREA_WITH_UNIT).cast("double")
 
 
 def area_any_unit(col: Column) -> Column:
@@ -122,18 +129,16 @@ def built_age(col: Column, as_of: Column) -> Column:
 
 def reference_date(col: Column) -> Column:
     """The first date in a text that has one of the usual forms."""
-    form = r"(\d{4})[/-](\d{1,2})[/-](\d{1,2})"
-    parts = [F.regexp_extract(or_empty(col), form, k).try_cast("int") for k in (1, 2, 3)]
+    parts = [F.regexp_extract(or_empty(col), DAY, k).try_cast("int") for k in (1, 2, 3)]
     return F.try_make_date(*parts) if hasattr(F, "try_make_date") else F.try_to_date(F.format_string("%04d-%02d-%02d", *parts), "yyyy-MM-dd")
 
 
 def built(col: Column) -> Column:
     """struct(year_month, age) from text such as `2023年1月 (3年)`."""
-    form = r"(?U)(\d{4})\s*年\s*(\d{1,2})\s*月"
-    year, month = _number(col, form, 1).try_cast("int"), _number(col, form, 2).try_cast("int")
+    year, month = _number(col, BUILT_MONTH, 1).try_cast("int"), _number(col, BUILT_MONTH, 2).try_cast("int")
     return F.struct(
         F.when(month.between(1, 12), F.format_string("%04d-%02d", year, month)).alias("year_month"),
-        _number(col, r"(?U)\(\s*(\d+)\s*年\s*\)").try_cast("int").alias("age"),
+        _number(col, BUILT_AGE).try_cast("int").alias("age"),
     )
 
 
@@ -141,11 +146,11 @@ def availability(raw: Column, reference: Column, category: Column) -> Column:
     """struct(immediate, label, date): what a free-text availability says.
 
     A month before that of the reference date means the year after it."""
-    text, form = strip(or_empty(raw)), r"(?U)(\d{1,2})\s*月\s*(\d{1,2})\s*日"
-    month, day = F.regexp_extract(text, form, 1).try_cast("int"), F.regexp_extract(text, form, 2).try_cast("int")
+    text = strip(or_empty(raw))
+    month, day = (F.regexp_extract(text, MONTH_AND_DAY, k).try_cast("int") for k in (1, 2))
     ref = reference_date(strip(or_empty(reference)))
     day_of = F.try_to_date(F.format_string("%04d-%02d-%02d", F.year(ref) + F.when(month < F.month(ref), 1).otherwise(0), month, day), "yyyy-MM-dd")
-    empty, now = text == "", text.rlike(r"(?U)即(?:\s*入(?:居|可)?)?")
+    empty, now = text == "", text.rlike(IMMEDIATE)
     blank_now = empty & (F.lower(strip(or_empty(category))) == "ulucks")
     dated = ~empty & ~now & month.isNotNull() & ref.isNotNull() & day_of.isNotNull()
     return F.struct(

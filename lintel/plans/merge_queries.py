@@ -108,48 +108,13 @@ def address_variant_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.groupBy("row_no").agg(F.min("pos").cast("int").alias("pos"), F.min("variant").alias("variant"), F.count(F.lit(1)).alias("n"))
 
 
-def match_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b, rows = _addresses(spark, sf_dir)
-    sources = b.where("cast(building_id as int) % 10 = 6").select("building_id", "norm_name", "norm_address")
-    m = matching.match_rows(rows, b, sources)
-    return m.select("row_no", "building_id", "reason", F.array_join("candidate_ids", "|").alias("candidate_ids"), "matched_variant")
-
-
 def source_alias_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     name, place = F.concat(F.lit("n"), (F.col("c_custkey") % 40).cast("string")), F.concat(F.lit("町"), (F.col("c_custkey") % 120).cast("string"), F.lit("-1"))
     sources = c.where("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("building_id"), name.alias("norm_name"), place.alias("norm_address"))
-    rows = c.where("c_custkey % 3 = 1 or c_custkey < 60").select(F.col("c_custkey").alias("row_no"), name.alias("norm_name"), place.alias("norm_address"))
+    rows = c.select(F.col("c_custkey").alias("row_no"), name.alias("norm_name"), place.alias("norm_address"))
     hits = matching.alias_hits(rows, sources, "row_no")
-    return hits.select("row_no", F.size("ids").alias("n"), F.array_join(F.slice("ids", 1, 3), "|").alias("ids"))
-
-
-def close_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b, rows = _addresses(spark, sf_dir)
-    return matching.close_conflicts(rows, b)
-
-
-def _listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier")
-    k = F.col("s_suppkey")
-    return s.select(
-        k.alias("row_no"), F.when(k % 29 == 0, "seed").otherwise("ulucks").alias("category"), F.when(k % 13 == 0, "").otherwise(F.concat(F.lit("メゾン"), F.col("s_nationkey").cast("string"), F.lit("館"))).alias("building_name"),
-        F.when(k % 13 == 0, "").when(k % 11 == 0, "小倉北区").otherwise(F.concat(F.lit("北九州市小倉北区"), F.col("s_nationkey").cast("string"), F.lit("町"), F.lit("1丁目-"), (1 + k % 3).cast("string"), F.lit("-5"))).alias("address"), F.concat(F.lit("e"), k.cast("string")).alias("evidence_id"),
-    )
-
-
-def _outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = spark.createDataFrame([], "building_id string, norm_name string, norm_address string")
-    a = spark.createDataFrame([], "alias_key string, canonical_key string")
-    return ingest.ingest(ingest.incoming(_listing_rows(spark, sf_dir)), b, b.select("building_id", "norm_name"), a)
-
-
-def ingest_fixpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _outcome(spark, sf_dir).select("row_no", "building_id", "route", "reason")
-
-
-def review_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.counters(_outcome(spark, sf_dir))
+    return hits.select("row_no", F.size("ids").alias("n"), F.array_join("ids", "|").alias("ids"))
 
 
 def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,15 +136,7 @@ def _parts_as_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def possible_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tenth of the rows, as its SQL says; possible_duplicates_all takes every row."""
-    p = _parts_as_buildings(spark, sf_dir)
-    rows = p.where("building_id % 10 = 0").withColumn("row_no", F.col("building_id"))
-    return corr.possible_duplicates(rows, p)
-
-
-def possible_duplicates_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _parts_as_buildings(spark, sf_dir)
-    return corr.possible_duplicates(p.withColumn("row_no", F.col("building_id")), p)
+    return corr.possible_duplicates(_parts_as_buildings(spark, sf_dir))
 
 
 def seed_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +152,7 @@ def keys_sha1_uuid5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", keys.sha1_key(F.col("c_name"), F.col("c_mktsegment")).alias("sha1_key"), keys.legacy_key(F.col("c_name"), F.col("c_mktsegment")).alias("legacy_key"), keys.building_key(F.col("c_name"), F.col("c_mktsegment")).alias("uuid_key"), keys.evidence_key(F.when(F.col("c_custkey") % 2 == 0, " "), F.lit("u"), F.col("c_name")).alias("evidence"))
 
 
-QUERIES = {f.__name__: f for f in (upsert_overwrite, upsert_coalesce_newest, update_fill_only, update_overwrite_present, facts_by_policy, keep_first, keep_last, connected_components, safe_merge, merge_applied, address_variant_match, match_reasons, source_alias_match, close_conflict, ingest_fixpoint, review_routing, corrections, possible_duplicates, possible_duplicates_all, seed_winners, keys_sha1_uuid5)}
+QUERIES = {f.__name__: f for f in (upsert_overwrite, upsert_coalesce_newest, update_fill_only, update_overwrite_present, facts_by_policy, keep_first, keep_last, connected_components, safe_merge, merge_applied, address_variant_match, source_alias_match, corrections, possible_duplicates, seed_winners, keys_sha1_uuid5)}
 
 _FACTS = """
     o as (select p_partkey, case when p_partkey % 3 > 0 then p_brand else '' end as structure, case when p_partkey % 4 > 0 then p_size end as age_years, case when p_partkey % 2 > 0 then p_type end as built_year_month, p_name as name from part),
@@ -243,9 +200,9 @@ ORACLE_SQL = {
              t as (select row_no, 0 as pos, base as v from d union all select row_no, 1, p from d where base <> p), h as (select row_no, pos, v, count(*) as n from t join b using (v) group by all)
         select row_no, pos::int as pos, v as variant, n from h qualify pos = min(pos) over (partition by row_no)""",
     "source_alias_match": """
-        with c as (select c_custkey as k, c_custkey % 40 as n, c_custkey % 120 as p from customer), s as (select * from c where k % 3 = 0), r as (select * from c where k % 3 = 1 or k < 60),
+        with c as (select c_custkey as k, c_custkey % 40 as n, c_custkey % 120 as p from customer), s as (select * from c where k % 3 = 0), r as (select * from c),
              h as (select r.k as row_no, s.k::varchar as id from r join s using (n, p))
-        select row_no, count(distinct id)::int as n, array_to_string(list_slice(list_sort(list(distinct id)), 1, 3), '|') as ids from h group by row_no""",
+        select row_no, count(distinct id)::int as n, array_to_string(list_sort(list(distinct id)), '|') as ids from h group by row_no""",
     "corrections": """
         with s as (select s_suppkey as k, s_name as n, 'N' || s_nationkey || '-' || (s_suppkey % 5) as p from supplier),
              c as (select k as row_no, case when k % 9 = 0 then 'odd' else 'approved' end as status, case when k % 8 = 0 then 'drop_duplicate_loser' when k % 8 = 7 then '' else 'fix' end as action, case when k % 4 > 0 then n else '' end as tn,
@@ -259,12 +216,9 @@ ORACLE_SQL = {
         select row_no, status, case when known then k::varchar else '' end as matched_building_id, case when known then case when action = 'fix' then p else '0' end else '' end as before_value, case when known then case when action = 'fix' then new else '1' end else '' end as after_value,
                case when why is null then 'applied' else 'held' end as outcome, coalesce(why, case when action = 'fix' then 'ok' else 'hidden_from_public' end) as reason from w""",
     "possible_duplicates": """
-        with p as (select p_partkey as k, p_name || p_brand as n, case when p_partkey % 3 > 0 then p_brand || p_type || p_size else '' end as a from part)
-        select x.k as row_no, x.k as building_id, y.k as duplicate_building_id from p x join p y on x.k <> y.k and (x.n = y.n or (x.a <> '' and x.a = y.a)) where x.k % 10 = 0""",
-    "possible_duplicates_all": """
-        with p as (select p_partkey as k, p_name || p_brand as n, case when p_partkey % 3 > 0 then p_brand || p_type || p_size else '' end as a from part)
-        select x.k as row_no, x.k as building_id, y.k as duplicate_building_id from p x join p y on x.n = y.n where x.k <> y.k
-        union select x.k, x.k, y.k from p x join p y on x.a = y.a where x.k <> y.k and x.a <> ''""",
+        with p as (select p_partkey as k, p_name || p_brand as n, case when p_partkey % 3 > 0 then p_brand || p_type || p_size else '' end as a from part),
+             g as (select k as building_id, 'norm_name' as kind, count(*) over w as members, min(k) over w as least from p window w as (partition by n) union all select k, 'norm_address', count(*) over w, min(k) over w from p where a <> '' window w as (partition by a))
+        select * from g where members > 1""",
     "seed_winners": """
         with s as (select 'e' || (s_suppkey // 3) as e, case when s_suppkey % 9 < 6 then 'b0' else 'b' || s_suppkey end as b from supplier), r as (select s_suppkey as row_no, case s_suppkey % 4 when 0 then 'b' || s_suppkey when 1 then null else 'e' || s_suppkey end as m from supplier),
              v as (select e, count(distinct b) as n, min(b) as b from s group by e)

@@ -172,12 +172,18 @@ def doctor_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qc_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as rows of files (their sources, and one file without rows); texts of pages stand for names."""
     d = table(spark, sf_dir, "documents")
-    name = F.when(F.col("doc_id") % 6 == 0, "12").when(F.col("doc_id") % 6 == 1, "").otherwise(F.substring("text", 1, 20))
+    k = F.col("doc_id")
+    name = F.when(k % 9 == 0, "12").when(k % 9 == 1, "").when(k % 9 == 2, "A》").when(k % 9 == 3, "3号").when(k % 9 == 4, "3号棟").when(k % 9 == 5, F.concat(F.lit("NEW "), F.col("lang"))).otherwise(F.col("text"))
     category = F.when(F.col("lang") == "en", "ulucks").otherwise("realpro")
-    rows = d.select("source", category.alias("category"), name.alias("name"), F.when(F.col("doc_id") % 40 == 0, "1,500円").when(F.col("doc_id") % 30 == 0, "").otherwise(F.col("lang")).alias("address"), F.when(F.col("doc_id") % 20 < 11, "").otherwise("101").alias("room"))
-    q = quality.qc(rows, "source", F.col("category"), F.col("name"), F.col("address"), F.col("room"))
-    return q.select("source", "rows", F.array_join(F.transform("reasons", lambda r: F.substring_index(r, "=", 1)), ",").alias("reasons"))
+    rows = d.select(
+        "source", category.alias("category"), name.alias("name"), F.when(k % 40 == 0, "1,500円").when(k % 30 == 0, "").otherwise(F.col("lang")).alias("address"),
+        F.when(k % 20 < 11, "").otherwise("101").alias("room"),
+    )
+    files = d.select("source").unionByName(spark.range(1).select(F.lit("none").alias("source")))
+    q = quality.qc(rows, "source", F.col("category"), F.col("name"), F.col("address"), F.col("room"), files)
+    return q.select("source", "rows", F.array_join("reasons", ",").alias("reasons"))
 
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,13 +229,14 @@ ORACLE_SQL = {
         union all select 'orphan_listings', count(*), case when count(*) > 0 then 'NG' else 'OK' end from lineitem where l_partkey * 2 not in (select p_partkey from part)
         union all select 'unmatched_facts', 3, 'WARN'""",
     "qc_report": r"""
-        with r as (select source, case when lang = 'en' then 'ulucks' else 'realpro' end as category, case doc_id % 6 when 0 then '12' when 1 then '' else substr(text, 1, 20) end as name,
+        with r as (select source, case when lang = 'en' then 'ulucks' else 'realpro' end as category, case doc_id % 9 when 0 then '12' when 1 then '' when 2 then 'A》' when 3 then '3号' when 4 then '3号棟' when 5 then 'NEW ' || lang else text end as name,
                           case when doc_id % 40 = 0 then '1,500円' when doc_id % 30 = 0 then '' else lang end as address, case when doc_id % 20 < 11 then '' else '101' end as room from documents),
-             g as (select source, count(*) as n, avg((length(name) <= 2 or regexp_matches(name, '^[0-9]{2,4}$') or regexp_matches(name, '号室|賃料|管理費|共益費|所在地|間取|面積') or (contains(name, '号') and not contains(name, '棟')))::int) as bad,
+             g as (select source, count(*) as n, avg((length(coalesce(name, '')) <= 2 or regexp_full_match(name, '[0-9]{2,4}') or contains(name, '》') or (contains(name, '号') and not contains(name, '棟')) or contains(name, 'NEW'))::int) as bad,
                           bool_or(category = 'realpro' and regexp_matches(name, 'TEL|FAX|^[0-9]+/[0-9]+頁$')) as noise, bool_or(regexp_matches(address, '[0-9]{1,3}(,[0-9]{3})+|円|万')) as money, bool_or(address = '') as blank,
                           avg((room = '')::int) as no_room, bool_or(category = 'realpro' and room <> '' and name = '') as nameless from r group by source)
-        select source, n as rows, concat_ws(',', case when bad >= 0.2 then 'building_name_bad_ratio' end, case when noise then 'building_name_contains_noise' end, case when money then 'address_looks_like_money' end,
-               case when blank then 'address_empty' end, case when no_room >= 0.5 then 'room_empty_ratio' end, case when nameless then 'building_name_missing_with_room' end) as reasons from g""",
+        select source, n as rows, concat_ws(',', case when bad >= 0.2 then 'building_name_bad_ratio=' || format('{:.2f}', bad) end, case when noise then 'building_name_contains_noise' end, case when money then 'address_looks_like_money' end,
+               case when blank then 'address_empty' end, case when no_room >= 0.5 then 'room_empty_ratio=' || format('{:.2f}', no_room) end, case when nameless then 'building_name_missing_with_room' end) as reasons from g
+        union all select 'none', 0, 'extracted_rows=0'""",
     "table_counts": _COUNT,
     "distinct_pairs": """
         select count(*) as rows, count(distinct case when p_partkey % 9 > 0 then p_brand || '|' || p_type else p_brand end) as pairs, 0::bigint as no_a, count(*) filter (p_partkey % 9 = 0) as no_b from part""",

@@ -38,14 +38,6 @@ def test_query(spark, con, name):
         assert rows == sorted((tuple(plain(r[i]) for i in at) for r in want.fetchall()), key=str)
 
 
-@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
-def test_possible_duplicates_of_every_row(spark):
-    """Pairs of which neither key is divisible by ten are there, and every pair from both sides."""
-    got = {(r["building_id"], r["duplicate_building_id"]) for r in QUERIES["possible_duplicates_all"](spark, SF).collect()}
-    assert any(a % 10 and b % 10 for a, b in got) and got == {(b, a) for a, b in got}
-    assert {(r["building_id"], r["duplicate_building_id"]) for r in QUERIES["possible_duplicates"](spark, SF).collect()} == {(a, b) for a, b in got if a % 10 == 0}
-
-
 def test_entry_imports():
     import __spark_entry__ as e
 
