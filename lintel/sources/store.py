@@ -174,16 +174,32 @@ class Store:
         rows = pointer.where(F.col("generation") == pointer.agg(F.max("generation")).first()[0]).collect()
         return {r["name"]: r["path"] for r in rows}
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.current()[name])
-
-    def publish(self, tables: dict[str, DataFrame], not_empty: Iterable[str] = ()) -> None:
-        """Write all tables, check them, then move the pointer to them together."""
+    def parts(self, name: str) -> dict[int | None, str]:
+        """Folders of a table by bucket; the only one is None where it was written as a whole."""
+        found = {n.partition("#")[::2]: p for n, p in self.current().items()}
+        return {int(b) if b else None: p for (n, b), p in found.items() if n == name}
+
+    def read(self, name: str, buckets: Iterable[int] | None = None) -> DataFrame:
+        """A table, or those of its buckets that it has; KeyError if there is nothing to read."""
+        parts = self.parts(name)
+        paths = list(parts.values()) if buckets is None else [parts[b] for b in buckets if b in parts]
+        if not paths:
+            raise KeyError(name)
+        return self.spark.read.parquet(*paths)
+
+    def publish(self, tables: dict[str, DataFrame], not_empty: Iterable[str] = (), buckets: dict[str, tuple[DataFrame, str, list[int]]] | None = None) -> None:
+        """Write all tables, check them, then move the pointer to them together.
+
+        buckets: name -> (rows, column with the bucket, buckets that are replaced); other buckets stay as they are."""
         import uuid
 
         paths = {n: f"{self.root}/{n}/{uuid.uuid4().hex}" for n in tables}
         for n, df in tables.items():
             df.write.parquet(paths[n])
+        for n, (df, column, numbers) in (buckets or {}).items():
+            folder = f"{self.root}/{n}/{uuid.uuid4().hex}"
+            df.repartition(column).write.partitionBy(column).parquet(folder)
+            paths.update({f"{n}#{b}": f"{folder}/{column}={b}" for b in numbers})
         for n in not_empty:
             if not self.spark.read.parquet(paths[n]).head(1):
                 raise ValueError(f"{n} has no rows; nothing was published")

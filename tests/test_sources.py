@@ -82,8 +82,11 @@ def test_stream_upsert(tmp_path, spark):
         return {r["k"]: r["v"] for r in s.read("t").collect()}
 
     assert run() == {1: "b", 2: "c"}
+    before = s.parts("t")
     spark.createDataFrame([(1, "z", 9)], "k int, v string, seq long").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     assert run() == {1: "z", 2: "c"}
+    after = s.parts("t")
+    assert len(before) == 2 and set(before) == set(after) and sum(before[b] != after[b] for b in before) == 1  # one bucket was rewritten
 
 
 HTML = """<html><head><title>棟 A | site</title><link rel=canonical href=/x></head><script>var s = {"list": [{"name": "n1", "price": 5, "address": "町1", "pad": "xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx"}], "k": true}; t = "</p>";</script>
