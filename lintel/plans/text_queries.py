@@ -47,8 +47,13 @@ def sanitize_and_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_text_nfkc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts between wide and half-width signs, a name with a room number, an address in words."""
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.sha2(tx.normalize_text(F.col("text")).cast("binary"), 256).alias("normal"), tx.normalize_building_name(F.substring("text", 1, 40)).alias("name"), tx.normalize_address(F.concat(F.lit("北九州市 三丁目二十"), (F.col("doc_id") % 9).cast("string"), F.lit("番５号"))).alias("address"))
+    k = F.col("doc_id")
+    wide = F.concat(F.lit("ＡＢ１　ｶﾅ "), F.coalesce("text", F.lit("")), F.lit("　㎡"))
+    name = F.concat(F.lit("メゾン　"), F.col("lang"), F.lit("‐Ａ "), F.when(k % 2 == 0, F.concat((100 + k % 300).cast("string"), F.lit("号室"))).otherwise("棟"))
+    place = F.concat(F.lit("北九州市 三丁目二十"), (k % 9).cast("string"), F.lit("番５号"))
+    return d.select("doc_id", F.sha2(tx.normalize_text(wide).cast("binary"), 256).alias("normal"), tx.normalize_building_name(name).alias("name"), tx.normalize_address(place).alias("address"))
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,21 +61,22 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.links(rows, F.lit("https://site.example")).groupBy("page_id").agg(F.count(F.lit(1)).alias("links"), F.max("url").alias("greatest"))
 
 
-def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.candidate_names(pages.page_rows(table(spark, sf_dir, "pages"))).select("page_id", F.array_join("names", "|").alias("names"))
-
-
 _TABLE = "<table><tr><th>物件名</th><th>号室</th><th>所在地</th><th>家賃(万円)</th></tr><tr><td>棟{0}</td><td>{0}</td><td>町{0}-1</td><td>5.{0}</td></tr><tr><td>棟{0}b</td><td>2</td><td>町{0}-2</td><td>6</td></tr></table>"
 _CARD = "<article class='property-card'><h2>棟{0}</h2><dl><dt>所在地</dt><dd>町{0}</dd><dt>賃料</dt><dd>{0}万円</dd></dl><div>間取り： 1K</div></article>"
 
 
-def page_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cards and header tables put into pages: cards where there are any, else the table's rows."""
+def _with_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a card and a header table, with the table only, or as they are."""
     def with_id(html: str):
         return F.replace(F.lit(html), F.lit("{0}"), (F.col("page_id") % 10).cast("string"))
 
-    p = table(spark, sf_dir, "pages").select("page_id", F.concat("html", F.when(F.col("page_id") % 3 == 0, F.concat(with_id(_CARD), with_id(_TABLE))).when(F.col("page_id") % 3 == 1, with_id(_TABLE)).otherwise("")).alias("html"))
-    return pages.listings(pages.page_rows(p)).select("page_id", "kind", "row", "name", "room", "address", "rent", "layout")
+    k = F.col("page_id") % 3
+    return table(spark, sf_dir, "pages").select("page_id", F.concat("html", F.when(k == 0, F.concat(with_id(_CARD), with_id(_TABLE))).when(k == 1, with_id(_TABLE)).otherwise("")).alias("html"))
+
+
+def page_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards where there are any, else the table's rows."""
+    return pages.listings(pages.page_rows(_with_listings(spark, sf_dir))).select("page_id", "kind", "row", "name", "room", "address", "rent", "layout")
 
 
 def embedded_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,12 +121,30 @@ def drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.page_counts(pages.page_rows(table(spark, sf_dir, "pages")))
+    return pages.page_counts(pages.page_rows(_with_listings(spark, sf_dir)))
+
 
+QUERIES = {f.__name__: f for f in (parse_money_area_dates, built_age_as_of, availability_rollover, sanitize_and_split, normalize_text_nfkc, page_links, page_listings, embedded_json, carry_forward, words_to_lines, document_kinds, backfill_ages, line_kinds, drop_reasons, page_counts)}
 
-QUERIES = {f.__name__: f for f in (parse_money_area_dates, built_age_as_of, availability_rollover, sanitize_and_split, normalize_text_nfkc, page_links, page_titles, page_listings, embedded_json, carry_forward, words_to_lines, document_kinds, backfill_ages, line_kinds, drop_reasons, page_counts)}
+_LINKS = r"""
+    c as (select page_id, regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<(script|style)[^>]*>.*?</(script|style)[^>]*>', '', 'gsi') as h from pages),
+    l as (select page_id, unnest(regexp_extract_all(h, '(?i)<a\s+[^>]*?href\s*=\s*["'']?([^"''\s>]*)', 1)) as u from c)"""
+_D = "(page_id % 10)"
 
 ORACLE_SQL = {
+    "normalize_text_nfkc": r"""
+        select doc_id, sha256('AB1 カナ ' || ltrim(trim(regexp_replace(coalesce(text, '') || ' m2', '\s+', ' ', 'g')))) as normal, 'メゾン ' || lang || '-A' || case when doc_id % 2 = 0 then '' else ' 棟' end as name,
+               '福岡県北九州市3-二十' || (doc_id % 9) || '-5' as address from documents""",
+    "page_links": f"""
+        with {_LINKS}, a as (select page_id, case when regexp_matches(u, '^https?://') then u when starts_with(u, '/') then 'https://site.example' || u else 'https://site.example/' || u end as url from l where u <> '')
+        select page_id, count(*) as links, max(url) as greatest from a group by page_id""",
+    "page_listings": f"""
+        select page_id, 'field' as kind, 0 as "row", null::varchar as name, null::varchar as room, '町' || {_D} as address, {_D} || '万円' as rent, '1K' as layout from pages where page_id % 3 = 0
+        union all select page_id, 'cell', 0, '棟' || {_D}, {_D}::varchar, '町' || {_D} || '-1', '5.' || {_D}, null from pages where page_id % 3 = 1
+        union all select page_id, 'cell', 1, '棟' || {_D} || 'b', '2', '町' || {_D} || '-2', '6', null from pages where page_id % 3 = 1""",
+    "page_counts": f"""
+        with {_LINKS}, n as (select page_id, count(*) as links from l group by page_id)
+        select page_id, (page_id % 3 = 0)::bigint as cards, case when page_id % 3 = 0 then 3 else 0 end::bigint as fields, case when page_id % 3 < 2 then 8 else 0 end::bigint as cells, links from n""",
     "parse_money_area_dates": """
         with p as (select p_partkey, p_size as n, p_partkey % 4 as m from part)
         select p_partkey, case m when 0 then n * 10000 + 5000 when 1 then case when true then (1000 + n) end when 2 then n * 10000 + 5000 end::bigint as yen, case m when 0 then 5000 when 1 then 1000 + n when 2 then n * 10000 + 5000 end::bigint as list_yen,
