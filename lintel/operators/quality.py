@@ -114,6 +114,11 @@ def top_values(df: DataFrame, cols: list[str], n: int) -> DataFrame:
     return keep_top(counts, ["column"], n, F.desc("n"), "value")
 
 
+def latest_texts(rows: DataFrame, raw: str, day: str, n: int = 20) -> DataFrame:
+    """The rows with a text, newest first, ties by the text, as many as a look at them takes."""
+    return rows.where(F.coalesce(raw, F.lit("")) != "").orderBy(F.col(day).desc_nulls_last(), raw).limit(n)
+
+
 def availability_counts(rows: DataFrame, category: str, raw: Column, immediate: Column, date: Column) -> DataFrame:
     """Per category: rows, filled texts, inferred immediate ones and dates."""
     return rows.groupBy(F.coalesce(F.nullif(F.trim(category), F.lit("")), F.lit("(empty)")).alias("category")).agg(

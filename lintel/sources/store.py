@@ -101,9 +101,26 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(path, size, sha256, modified) of files, for manifests and to choose the latest."""
+    """(path, size, sha256, modified, pages) of files, for manifests and to choose the latest. pages: of a PDF the page
+    objects that stand in it uncompressed, null for other files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    return files.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"), F.col("modificationTime").alias("modified"))
+    return files.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"), F.col("modificationTime").alias("modified"), pdf_pages(F.col("content")).alias("pages"))
+
+
+def pdf_pages(content: Column) -> Column:
+    """The page objects of a PDF file; null for other bytes."""
+    text = F.decode(content, "ISO-8859-1")
+    return F.when(F.startswith(text, F.lit("%PDF")), F.regexp_count(text, F.lit(r"/Type\s*/Page\b")))
+
+
+def raw_sources(rows: DataFrame, kind: str, column: str = "source_kind", order: str = "id") -> DataFrame:
+    """The rows of one kind of source in the order of their ids."""
+    return rows.where(F.col(column) == kind).orderBy(order)
+
+
+def backfilled(df: DataFrame, legacy: dict[str, str]) -> DataFrame:
+    """Each new column where it has a value, else the older column that it replaces (new -> old), where the table has that."""
+    return df.withColumns({new: F.coalesce(new, old) for new, old in legacy.items() if old in df.columns})
 
 
 def latest_file(files: DataFrame) -> str | None:
