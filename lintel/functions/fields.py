@@ -155,7 +155,8 @@ def availability(raw: Column, reference: Column, category: Column) -> Column:
     dated = ~empty & ~now & month.isNotNull() & ref.isNotNull() & day_of.isNotNull()
     return F.struct(
         (blank_now | (~empty & now)).alias("immediate"),
-        F.when(blank_now, "入居").when(empty, None).when(now, "即入居").when(dated, F.concat(month.cast("string"), F.lit("/"), day.cast("string"))).otherwise(text).alias("label"),
+        F.when(blank_now, "入居").when(empty, None).when(now, "即入居").when(dated, F.concat(month.cast("string"), F.lit("/"), day.cast("string"))).otherwise(text)
+            .alias("label"),
         F.when(dated, F.date_format(day_of, "yyyy-MM-dd")).alias("date"),
     )
 

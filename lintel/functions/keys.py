@@ -35,7 +35,8 @@ def uuid5(name: Column) -> Column:
     """Name-based UUID (version 5) in the url name space."""
     h = F.sha1(F.concat(F.unhex(F.lit(URL_NAMESPACE)), _bytes(name)))
     variant = F.substring(F.lit("89ab"), F.pmod(F.conv(F.substring(h, 17, 1), 16, 10).cast("int"), F.lit(4)) + 1, F.lit(1))
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)),
+        F.substring(h, 21, 12))
 
 
 def building_key(norm_name: Column, norm_address: Column) -> Column:

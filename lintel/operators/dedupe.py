@@ -23,7 +23,9 @@ def components(nodes: DataFrame, node: str, keys: list[Column]) -> DataFrame:
     logarithmic number of rounds in practice. A round aggregates before it joins, and is checkpointed;
     so are the least labels of keys, which lets Spark split the join of a key with very many nodes."""
     shared_folder(nodes.sparkSession)
-    pairs = nodes.select(F.col(node).alias("node"), F.explode(F.filter(F.array(*[F.when(k.isNotNull(), F.concat(F.lit(f"{i}:"), k.cast("string"))) for i, k in enumerate(keys)]), lambda x: x.isNotNull())).alias("key")).distinct()
+    pairs = nodes.select(F.col(node).alias("node"),
+        F.explode(F.filter(F.array(*[F.when(k.isNotNull(), F.concat(F.lit(f"{i}:"), k.cast("string"))) for i, k in enumerate(keys)]), lambda x: x.isNotNull()))
+        .alias("key")).distinct()
     often = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     pairs = pairs.join(often.select("key"), "key").checkpoint()
     labels = pairs.select("node", F.col("node").alias("label")).distinct()
@@ -49,17 +51,21 @@ def merge_plan(buildings: DataFrame, listing_counts: DataFrame) -> DataFrame:
     comp = components(buildings, "building_id", [pair, place]).withColumnRenamed("node", "building_id")
     folded = F.lower(F.regexp_replace("canonical_name", r"(?U)\s+", ""))
     rows = buildings.join(comp, "building_id").join(listing_counts, "building_id", "left").select(
-        "component", F.struct(F.col("building_id").alias("id"), F.coalesce("n_listings", F.lit(0)).alias("n"), F.coalesce("canonical_address", F.lit("")).alias("place"), folded.alias("name"), F.col("created_at").alias("at")).alias("b")
+        "component", F.struct(F.col("building_id").alias("id"), F.coalesce("n_listings", F.lit(0)).alias("n"), F.coalesce("canonical_address", F.lit("")).alias("place"),
+            folded.alias("name"), F.col("created_at").alias("at")).alias("b")
     )
     # the least and the greatest member are both members of a pair; of larger groups none is merged
     g = rows.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.min("b").alias("a"), F.max("b").alias("b")).where("size > 1")
     a, b = F.col("a"), F.col("b")
     a_old = (a["at"] < b["at"]) | (a["at"].eqNullSafe(b["at"]) & (a["id"] < b["id"])) | (a["at"].isNotNull() & b["at"].isNull())
     same = (a["place"] == b["place"]) & (a["name"] == b["name"])
-    keep = F.when((a["n"] > 0) & (b["n"] == 0), a["id"]).when((b["n"] > 0) & (a["n"] == 0), b["id"]).when((a["n"] == 0) & (b["n"] == 0) & same, F.when(a_old, a["id"]).otherwise(b["id"]))
-    why = F.when(F.col("size") != 2, "size").when((a["n"] > 0) & (b["n"] > 0), "both_listed").when((a["n"] == 0) & (b["n"] == 0) & ~same, "different").when((a["n"] == 0) & (b["n"] == 0), "same_unlisted").otherwise("one_listed")
+    keep = F.when((a["n"] > 0) & (b["n"] == 0), a["id"]).when((b["n"] > 0) & (a["n"] == 0), b["id"]).when((a["n"] == 0) & (b["n"] == 0) & same,
+        F.when(a_old, a["id"]).otherwise(b["id"]))
+    why = F.when(F.col("size") != 2, "size").when((a["n"] > 0) & (b["n"] > 0), "both_listed").when((a["n"] == 0) & (b["n"] == 0) & ~same,
+        "different").when((a["n"] == 0) & (b["n"] == 0), "same_unlisted").otherwise("one_listed")
     g = g.withColumn("keep", F.when(F.col("size") == 2, keep)).withColumn("why", why)
-    return g.select("component", "size", "keep", F.when(F.col("keep").isNotNull(), F.when(F.col("keep") == a["id"], b["id"]).otherwise(a["id"])).alias("drop"), F.when(F.col("keep").isNull(), "ambiguous").otherwise("merge").alias("decision"), "why")
+    return g.select("component", "size", "keep", F.when(F.col("keep").isNotNull(), F.when(F.col("keep") == a["id"], b["id"]).otherwise(a["id"])).alias("drop"),
+        F.when(F.col("keep").isNull(), "ambiguous").otherwise("merge").alias("decision"), "why")
 
 
 def apply_merges(plan: DataFrame, buildings: DataFrame, listings: DataFrame, aliases: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
@@ -68,7 +74,8 @@ def apply_merges(plan: DataFrame, buildings: DataFrame, listings: DataFrame, ali
         return buildings, listings, aliases, False
     moves = plan.where("decision = 'merge'").select(F.col("drop").alias("old"), F.col("keep").alias("new"))
     left = buildings.join(moves.select(F.col("old").alias("building_id")), "building_id", "left_anti")
-    moved = listings.join(moves.withColumnRenamed("old", "building_key"), "building_key", "left").withColumn("building_key", F.coalesce("new", "building_key")).select(*listings.columns)
+    moved = listings.join(moves.withColumnRenamed("old", "building_key"), "building_key", "left").withColumn("building_key",
+        F.coalesce("new", "building_key")).select(*listings.columns)
     named = moves.select(F.col("old").alias("alias_key"), F.col("new").alias("canonical_key"))
     kept = aliases.select("alias_key", "canonical_key").join(named.select("alias_key"), "alias_key", "left_anti")
     return left, moved, kept.unionByName(named), True

@@ -20,8 +20,10 @@ OUTCOME = ("row_no", "building_id", "route", "reason", "candidate_ids", "candida
 
 def incoming(rows: DataFrame) -> DataFrame:
     """Listings (row_no, category, building_name, address, evidence_id) in matching form; seeds are skipped."""
-    made = rows.where(F.coalesce("category", F.lit("")) != "seed").select("row_no", "evidence_id", tx.building_input(F.col("building_name"), F.col("address")).alias("b")).select("row_no", "evidence_id", "b.*")
-    return made.withColumns({"alias_key": keys.building_key(F.col("norm_name"), F.col("norm_address")), "legacy_key": keys.legacy_key(F.col("norm_name"), F.col("norm_address"))})
+    made = rows.where(F.coalesce("category", F.lit("")) != "seed").select("row_no", "evidence_id",
+        tx.building_input(F.col("building_name"), F.col("address")).alias("b")).select("row_no", "evidence_id", "b.*")
+    return made.withColumns({"alias_key": keys.building_key(F.col("norm_name"), F.col("norm_address")),
+        "legacy_key": keys.legacy_key(F.col("norm_name"), F.col("norm_address"))})
 
 
 def _latest(rows: DataFrame, names: DataFrame, key: str, out: str) -> DataFrame:
@@ -34,7 +36,8 @@ def _latest(rows: DataFrame, names: DataFrame, key: str, out: str) -> DataFrame:
 def _round(rows: DataFrame, buildings: DataFrame, sources: DataFrame, aliases: DataFrame, auto_seed: bool) -> DataFrame:
     """Outcomes of all rows against one state; every frame of the state has `since`."""
     known = rows.where("raw_name <> '' or raw_address <> ''")
-    matched = match_rows(known, buildings, sources.join(buildings.select("building_id", "norm_address", F.col("since").alias("b_since")), "building_id").withColumn("since", F.greatest("since", "b_since")).drop("b_since"), earlier=True)
+    matched = match_rows(known, buildings, sources.join(buildings.select("building_id", "norm_address", F.col("since").alias("b_since")), "building_id")
+        .withColumn("since", F.greatest("since", "b_since")).drop("b_since"), earlier=True)
     a = _latest(_latest(known, aliases, "alias_key", "by_alias"), aliases.where("since = -1"), "legacy_key", "by_legacy")
     m = matched.withColumnRenamed("building_id", "by_match")
     close = close_conflicts(known.join(m.where("reason = 'unmatched'").select("row_no"), "row_no", "left_semi"), buildings, earlier=True).withColumn("close", F.lit(True))
@@ -88,7 +91,8 @@ def ingest(rows: DataFrame, buildings: DataFrame, sources: DataFrame, aliases: D
         if before is not None and not out.select("row_no", "building_id", "route", "reason").exceptAll(before.select("row_no", "building_id", "route", "reason")).head(1):
             return out
         before = out
-        hits = out.where("building_id is not null").join(rows.select("row_no", "norm_name", "norm_address", "alias_key"), "row_no").select("row_no", "building_id", "route", "norm_name", "norm_address", "alias_key", F.col("row_no").cast("long").alias("since"))
+        hits = out.where("building_id is not null").join(rows.select("row_no", "norm_name", "norm_address", "alias_key"), "row_no").select("row_no", "building_id",
+            "route", "norm_name", "norm_address", "alias_key", F.col("row_no").cast("long").alias("since"))
         first = hits.where("route = 'seeded'").withColumn("r", F.row_number().over(Window.partitionBy("building_id").orderBy("row_no"))).where("r = 1")
         new_b = first.join(old_b.select("building_id"), "building_id", "left_anti").select("building_id", "norm_name", "norm_address", "since")
         new_s = _first_seen(hits.where("norm_name <> ''"), "building_id", "norm_name").join(old_s, ["building_id", "norm_name"], "left_anti")
@@ -103,7 +107,8 @@ def counters(outcome: DataFrame) -> DataFrame:
     route, reason = F.col("route"), F.col("reason")
     return outcome.agg(
         n(route.isin("attached", "seeded"), "attached"), n(route == "seeded", "auto_seeded"),
-        n(F.startswith(reason, F.lit("unmatched_canonical_building:")), "auto_seed_blocked"), n(route == "suspect", "suspects"), n(F.col("building_id").isNull(), "unresolved"),
+        n(F.startswith(reason, F.lit("unmatched_canonical_building:")), "auto_seed_blocked"), n(route == "suspect", "suspects"),
+            n(F.col("building_id").isNull(), "unresolved"),
     )
 
 
@@ -113,7 +118,9 @@ def review(outcome: DataFrame, rows: DataFrame, source: str) -> DataFrame:
     both = base.withColumn("queue", F.explode(F.when(F.col("route") == "suspect", F.array(F.lit("suspects"), F.lit("unmatched"))).otherwise(F.array(F.lit("unmatched")))))
     again = (F.col("route") == "suspect") & (F.col("queue") == "unmatched")
     return both.select(
-        "queue", F.lit(source).alias("source_kind"), F.col("evidence_id").alias("source_id"), F.col("raw_name").alias("name"), F.col("raw_address").alias("address"), F.col("norm_name").alias("normalized_name"), F.col("norm_address").alias("normalized_address"),
+        "queue", F.lit(source).alias("source_kind"), F.col("evidence_id").alias("source_id"), F.col("raw_name").alias("name"), F.col("raw_address").alias("address"),
+            F.col("norm_name").alias("normalized_name"), F.col("norm_address").alias("normalized_address"),
         F.when(again, "building_id_unresolved").otherwise(F.col("reason")).alias("reason"),
-        F.array_join(F.slice("candidate_ids", 1, 3), "|").alias("candidate_building_ids"), F.array_join(F.transform(F.slice("candidate_scores", 1, 3), lambda s: s.cast("string")), "|").alias("candidate_scores"),
+        F.array_join(F.slice("candidate_ids", 1, 3), "|").alias("candidate_building_ids"),
+            F.array_join(F.transform(F.slice("candidate_scores", 1, 3), lambda s: s.cast("string")), "|").alias("candidate_scores"),
     )

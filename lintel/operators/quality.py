@@ -30,10 +30,13 @@ def doctor(buildings: DataFrame, listings: DataFrame, unmatched: int = 0, policy
     """(check, value, level): duplicate names, duplicate addresses, orphans, unmatched facts."""
     pairs = duplicate_groups(buildings, "norm_name", "norm_address").agg(F.count(F.lit(1)).alias("value"))
     places = duplicate_groups(buildings, "canonical_address").agg(F.count(F.lit(1)).alias("value"))
-    lost = listings.where("coalesce(building_key, '') <> ''").join(buildings.select(F.col("building_id").alias("building_key")), "building_key", "left_anti").agg(F.count(F.lit(1)).alias("value"))
+    lost = listings.where("coalesce(building_key, '') <> ''").join(buildings.select(F.col("building_id").alias("building_key")), "building_key",
+        "left_anti").agg(F.count(F.lit(1)).alias("value"))
     rows = [(pairs, "duplicate_name_address", "NG"), (places, "duplicate_address", "NG"), (lost, "orphan_listings", "NG")]
-    out = reduce(DataFrame.unionByName, [d.select(F.lit(c).alias("check"), F.col("value").cast("long"), F.when(F.col("value") > 0, lvl).otherwise("OK").alias("level")) for d, c, lvl in rows])
-    facts = buildings.sparkSession.range(1).select(F.lit("unmatched_facts").alias("check"), F.lit(unmatched).cast("long").alias("value"), F.lit("OK" if not unmatched else policy.upper()).alias("level"))
+    out = reduce(DataFrame.unionByName, [d.select(F.lit(c).alias("check"), F.col("value").cast("long"), F.when(F.col("value") > 0, lvl).otherwise("OK").alias("level"))
+        for d, c, lvl in rows])
+    facts = buildings.sparkSession.range(1).select(F.lit("unmatched_facts").alias("check"), F.lit(unmatched).cast("long").alias("value"),
+        F.lit("OK" if not unmatched else policy.upper()).alias("level"))
     return out.unionByName(facts)
 
 
@@ -76,12 +79,15 @@ def qc(rows: DataFrame, group: str, category: Column, name: Column, address: Col
     g = rows.groupBy(group).agg(
         F.count(F.lit(1)).alias("rows"), share(bad_name(name)).alias("bad"), F.bool_or((category == "realpro") & name.rlike(r"TEL|FAX|^\d+/\d+頁$")).alias("noise"),
         F.bool_or(looks_like_money(address)).alias("money"), F.bool_or(address == "").alias("no_address"),
-        share(room == "").alias("no_room"), F.bool_or(category.isin("ulucks", "realpro")).alias("roomed"), F.bool_or((category == "realpro") & (room != "") & (name == "")).alias("nameless"),
+        share(room == "").alias("no_room"), F.bool_or(category.isin("ulucks", "realpro")).alias("roomed"),
+            F.bool_or((category == "realpro") & (room != "") & (name == "")).alias("nameless"),
     )
     reasons = F.array_compact(F.array(
         F.when(F.col("bad") >= 0.20, F.concat(F.lit("building_name_bad_ratio="), two_decimals(F.col("bad")))),
-        F.when(F.col("noise"), F.lit("building_name_contains_noise")), F.when(F.col("money"), F.lit("address_looks_like_money")), F.when(F.col("no_address"), F.lit("address_empty")),
-        F.when(F.col("roomed") & (F.col("no_room") >= 0.50), F.concat(F.lit("room_empty_ratio="), two_decimals(F.col("no_room")))), F.when(F.col("nameless"), F.lit("building_name_missing_with_room")),
+        F.when(F.col("noise"), F.lit("building_name_contains_noise")), F.when(F.col("money"), F.lit("address_looks_like_money")),
+            F.when(F.col("no_address"), F.lit("address_empty")),
+        F.when(F.col("roomed") & (F.col("no_room") >= 0.50), F.concat(F.lit("room_empty_ratio="), two_decimals(F.col("no_room")))),
+            F.when(F.col("nameless"), F.lit("building_name_missing_with_room")),
     ))
     found = g.select(group, F.col("rows").cast("long"), reasons.alias("reasons"))
     if files is None:
@@ -104,12 +110,14 @@ def drop_percent(before: Column, after: Column) -> Column:
 def weekly_gate(attached: int, unresolved: int, before: int, after: int, most_unresolved: int = 200, most_drop: int = 60) -> list[str]:
     """Why a new run may not become current."""
     lost = round((before - after) * 100 / before) if before else 0
-    return [why for why, bad in (("nothing_attached", attached == 0), ("too_many_unresolved", unresolved > most_unresolved), ("collapsed", before > 0 and after == 0), ("dropped", before > 0 and lost >= most_drop)) if bad]
+    return [why for why, bad in (("nothing_attached", attached == 0), ("too_many_unresolved", unresolved > most_unresolved), ("collapsed", before > 0 and after == 0),
+        ("dropped", before > 0 and lost >= most_drop)) if bad]
 
 
 def top_values(df: DataFrame, cols: list[str], n: int) -> DataFrame:
     """(column, value, n): the most frequent values of several columns in one pass; blanks are <empty>."""
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.nullif(F.trim(F.col(c).cast("string")), F.lit("")), F.lit("<empty>")).alias("value")) for c in cols])).alias("x")).select("x.*")
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.nullif(F.trim(F.col(c).cast("string")), F.lit("")), F.lit("<empty>"))
+        .alias("value")) for c in cols])).alias("x")).select("x.*")
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     return keep_top(counts, ["column"], n, F.desc("n"), "value")
 
@@ -122,13 +130,15 @@ def latest_texts(rows: DataFrame, raw: str, day: str, n: int = 20) -> DataFrame:
 def availability_counts(rows: DataFrame, category: str, raw: Column, immediate: Column, date: Column) -> DataFrame:
     """Per category: rows, filled texts, inferred immediate ones and dates."""
     return rows.groupBy(F.coalesce(F.nullif(F.trim(category), F.lit("")), F.lit("(empty)")).alias("category")).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.coalesce(raw, F.lit("")) != "").alias("filled"), F.count_if(immediate).alias("immediate"), F.count_if(date.isNotNull()).alias("dated")
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.coalesce(raw, F.lit("")) != "").alias("filled"), F.count_if(immediate).alias("immediate"),
+            F.count_if(date.isNotNull()).alias("dated")
     )
 
 
 def distinct_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     """Counts of rows, of distinct pairs, and of rows that lack either part."""
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.struct(a, b)).alias("pairs"), F.count_if(F.coalesce(a, F.lit("")) == "").alias("no_a"), F.count_if(F.coalesce(b, F.lit("")) == "").alias("no_b"))
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.struct(a, b)).alias("pairs"), F.count_if(F.coalesce(a, F.lit("")) == "").alias("no_a"),
+        F.count_if(F.coalesce(b, F.lit("")) == "").alias("no_b"))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -18,11 +18,14 @@ def read_model(summaries: DataFrame, buildings: DataFrame) -> DataFrame:
 
     Buildings marked hidden are left out; a summary without a building stays. Newest first, unknown last."""
     cols = {"name": "canonical_name", "address": "canonical_address"}
-    b = buildings.select(F.col("building_id").alias("building_key"), *[F.col(v).alias(f"b_{k}") for k, v in cols.items()], F.col("updated_at").alias("b_updated_at"), "hidden_from_public")
+    b = buildings.select(F.col("building_id").alias("building_key"), *[F.col(v).alias(f"b_{k}") for k, v in cols.items()], F.col("updated_at").alias("b_updated_at"),
+        "hidden_from_public")
     shown = F.coalesce("hidden_from_public", F.lit(0)) == 0
     s = summaries.join(b, "building_key", "left").where(shown)
-    s = s.select("building_key", *[F.coalesce(f"b_{k}", k).alias(k) for k in cols], F.coalesce("last_updated", "b_updated_at").alias("updated_at"), *[c for c in summaries.columns if c not in {"building_key", "name", "address", "last_updated"}])
-    rest = b.where(shown).join(summaries.select("building_key"), "building_key", "left_anti").select("building_key", *[F.col(f"b_{k}").alias(k) for k in cols], F.col("b_updated_at").alias("updated_at"))
+    s = s.select("building_key", *[F.coalesce(f"b_{k}", k).alias(k) for k in cols], F.coalesce("last_updated", "b_updated_at").alias("updated_at"),
+        *[c for c in summaries.columns if c not in {"building_key", "name", "address", "last_updated"}])
+    rest = b.where(shown).join(summaries.select("building_key"), "building_key", "left_anti").select("building_key", *[F.col(f"b_{k}").alias(k) for k in cols],
+        F.col("b_updated_at").alias("updated_at"))
     return s.unionByName(rest, allowMissingColumns=True)
 
 
@@ -32,13 +35,15 @@ def newest_first(df: DataFrame) -> DataFrame:
 
 def guarded_age(df: DataFrame, as_of: Column) -> DataFrame:
     """The built age worked out anew from the built month, else as stored."""
-    return df.withColumn("building_built_age_years", F.coalesce(built_age(F.col("building_built_year_month"), as_of).cast("long"), F.col("building_built_age_years").cast("long")))
+    return df.withColumn("building_built_age_years", F.coalesce(built_age(F.col("building_built_year_month"), as_of).cast("long"), F.col("building_built_age_years")
+        .cast("long")))
 
 
 def sanitized(df: DataFrame) -> DataFrame:
     """Room numbers out of every text and array of texts."""
     kinds = dict(df.dtypes)
-    return df.withColumns({c: tx.without_room(F.col(c)) if k == "string" else F.transform(c, tx.without_room) for c, k in kinds.items() if k in ("string", "array<string>")})
+    return df.withColumns({c: tx.without_room(F.col(c)) if k == "string" else F.transform(c, tx.without_room) for c, k in kinds.items() if k
+        in ("string", "array<string>")})
 
 
 def scalar_or_null(col: Column) -> Column:
@@ -62,21 +67,25 @@ def payload(df: DataFrame, keys: list[str]) -> DataFrame:
     A sink writes the rows between [ and ]; nothing is gathered in one place."""
     kinds = dict(df.dtypes)
     fields = [(scalar_or_null(F.col(k)) if kinds[k] == "string" else F.col(k)).alias(k) for k in keys]
-    return df.select(F.col(keys[0]).cast("string").alias("id"), F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("json")).orderBy(F.coalesce("id", F.lit("")))
+    return df.select(F.col(keys[0]).cast("string").alias("id"), F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("json")).orderBy(F.coalesce("id",
+        F.lit("")))
 
 
 # The keys of the published objects in order, with the columns that they are taken from.
 V2MIN_KEYS = (
     ("id", "building_key"), ("name", "name"), ("address", "address"), ("vacancy_count", "vacancy_count"), ("rent_min", "rent_yen_min"), ("rent_max", "rent_yen_max"),
-    ("sale_price_min", "sale_price_yen_min"), ("sale_price_max", "sale_price_yen_max"), ("sale_price_avg", "sale_price_yen_avg"), ("area_min", "area_sqm_min"), ("area_max", "area_sqm_max"),
-    ("sale_area_min", "sale_area_sqm_min"), ("sale_area_max", "sale_area_sqm_max"), ("updated_at", "last_updated"), ("updated_epoch", "updated_epoch"), ("property_kind", "property_kind"),
+    ("sale_price_min", "sale_price_yen_min"), ("sale_price_max", "sale_price_yen_max"), ("sale_price_avg", "sale_price_yen_avg"), ("area_min", "area_sqm_min"),
+        ("area_max", "area_sqm_max"),
+    ("sale_area_min", "sale_area_sqm_min"), ("sale_area_max", "sale_area_sqm_max"), ("updated_at", "last_updated"), ("updated_epoch", "updated_epoch"),
+        ("property_kind", "property_kind"),
     ("sale_listing_count", "sale_listing_count"), ("building_structure", "building_structure"), ("building_availability_label", "building_availability_label"),
     ("building_built_year_month", "building_built_year_month"), ("building_built_age_years", "derived_built_age_years"),
 )
 LEGACY_KEYS = (
     *V2MIN_KEYS[:15], ("google_maps_url", "address"), ("room_types", "layout_types"), ("sale_layout_types", "sale_layout_types_json"), ("property_kind", "property_kind"),
     ("sale_listing_count", "sale_listing_count"), ("structure", "structure"), ("built_year", "age_years"), ("building_structure", "building_structure"),
-    ("building_built_year_month", "building_built_year_month"), ("building_built_age_years", "derived_built_age_years"), ("building_availability_label", "building_availability_label"),
+    ("building_built_year_month", "building_built_year_month"), ("building_built_age_years", "derived_built_age_years"),
+        ("building_availability_label", "building_availability_label"),
 )
 #: Where the first column of a key is empty the second one is taken.
 FALLBACKS = {"updated_at": "updated_at", "building_structure": "structure", "building_built_age_years": "age_years"}
@@ -156,7 +165,8 @@ def order_by(sort: str, as_of_ym: int) -> list[Column]:
 def sentinel_order(sort: str) -> list[Column]:
     """The older page's orders, with fixed values for unknown ones; ties by name in Japanese order, then index."""
     rent = F.when(F.col("rent_min") > 0, F.col("rent_min"))
-    keys = {"rent_min_asc": F.coalesce(rent, F.lit(999_999_999)).asc(), "rent_min_desc": F.coalesce(rent, F.lit(-1)).desc(), "vacancy_desc": F.coalesce("vacancy_count", F.lit(-1)).desc(), "updated_desc": F.coalesce("updated_epoch", F.lit(-1)).desc()}
+    keys = {"rent_min_asc": F.coalesce(rent, F.lit(999_999_999)).asc(), "rent_min_desc": F.coalesce(rent, F.lit(-1)).desc(),
+        "vacancy_desc": F.coalesce("vacancy_count", F.lit(-1)).desc(), "updated_desc": F.coalesce("updated_epoch", F.lit(-1)).desc()}
     return [keys[sort], F.collate("name", "ja").asc(), F.col("original_index").asc()]
 
 
@@ -171,7 +181,8 @@ def rest_page(df: DataFrame, limit: int = 50, offset: int = 0, by: str = "update
     return df.orderBy(F.col(by).desc_nulls_last(), F.col(df.columns[0]).asc()).offset(offset).limit(limit)
 
 
-def rest_filter(df: DataFrame, q: str | None = None, box: tuple | None = None, name: str = "name", address: str = "address", lat: str = "lat", lng: str = "lng") -> DataFrame:
+def rest_filter(df: DataFrame, q: str | None = None, box: tuple | None = None, name: str = "name", address: str = "address", lat: str = "lat",
+        lng: str = "lng") -> DataFrame:
     """Substring in name or address without case; within (min lat, max lat, min lng, max lng), each optional."""
     if q:
         like = "%" + q + "%"

@@ -53,7 +53,8 @@ def resolved(rows: DataFrame, aliases: DataFrame, key: str = "building_key", leg
 def listed_counts(listings: DataFrame, buildings: DataFrame) -> DataFrame:
     """One row: all buildings, all listings, and the buildings that have a listing."""
     keys = listings.where("coalesce(building_key, '') <> ''").join(buildings.select(F.col("building_id").alias("building_key")), "building_key", "left_semi")
-    counts = [buildings.agg(F.count(F.lit(1)).alias("buildings")), listings.agg(F.count(F.lit(1)).alias("listings")), keys.agg(F.count_distinct("building_key").alias("with_listings"))]
+    counts = [buildings.agg(F.count(F.lit(1)).alias("buildings")), listings.agg(F.count(F.lit(1)).alias("listings")),
+        keys.agg(F.count_distinct("building_key").alias("with_listings"))]
     return counts[0].join(counts[1]).join(counts[2])  # three single rows
 
 

@@ -41,7 +41,8 @@ def mode_or_median(df: DataFrame, keys: list[str], value: str, out: str) -> Data
     def nth(k: Column) -> Column:
         """The k-th smallest value (from 0), by running totals."""
         found = F.aggregate("vs", F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast(df.schema[value].dataType).alias("v")),
-                            lambda a, x: F.struct((a["seen"] + x["n"]).alias("seen"), F.when((a["seen"] <= k) & (k < a["seen"] + x["n"]), x["v"]).otherwise(a["v"]).alias("v")))
+                            lambda a, x: F.struct((a["seen"] + x["n"]).alias("seen"),
+                                F.when((a["seen"] <= k) & (k < a["seen"] + x["n"]), x["v"]).otherwise(a["v"]).alias("v")))
         return found["v"]
 
     low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
@@ -65,7 +66,8 @@ def availability_label(immediate: Column, raw: Column, date: Column, move_in: Co
     )
 
 
-LISTING_COLUMNS = ("id", "building_key", "name", "address", "rent_yen", "area_sqm", "layout", "move_in_date", "updated_at", "age_years", "structure", "availability_raw", "structure_raw", "built_year_month", "built_age_years", "availability_date", "availability_flag_immediate")
+LISTING_COLUMNS = ("id", "building_key", "name", "address", "rent_yen", "area_sqm", "layout", "move_in_date", "updated_at", "age_years", "structure", "availability_raw",
+    "structure_raw", "built_year_month", "built_age_years", "availability_date", "availability_flag_immediate")
 
 
 def prepared_listings(listings: DataFrame) -> DataFrame:
@@ -87,7 +89,8 @@ def building_summaries(listings: DataFrame, buildings: DataFrame, as_of: Column)
         F.count(F.lit(1)).alias("n"),
         F.min("rent_yen").alias("rent_min"), F.max("rent_yen").alias("rent_max"), F.min("area_sqm").alias("area_sqm_min"), F.max("area_sqm").alias("area_sqm_max"),
         sorted_set(F.col("layout")).alias("layout_types"), sorted_set(F.col("move_in_date")).alias("move_in_dates"),
-        mode_text(F.col("structure")).alias("l_structure"), mode_text(F.col("structure_raw")).alias("l_structure_raw"), mode_text(F.col("built_year_month")).alias("l_built"),
+        mode_text(F.col("structure")).alias("l_structure"), mode_text(F.col("structure_raw")).alias("l_structure_raw"),
+            mode_text(F.col("built_year_month")).alias("l_built"),
         F.max(F.nullif("updated_at", F.lit(""))).alias("last_updated"), first_by(F.struct("name", "address"), order).alias("first"),
         availability_label(F.col("availability_flag_immediate"), F.col("availability_raw"), F.col("availability_date"), F.col("move_in_date"), order).alias("label"),
     )
@@ -108,10 +111,12 @@ def building_summaries(listings: DataFrame, buildings: DataFrame, as_of: Column)
         F.coalesce("property_kind", F.lit("")).alias("property_kind"),
         F.coalesce("rent_min", fallback_rent).alias("rent_yen_min"), F.coalesce("rent_max", fallback_rent).alias("rent_yen_max"),
         "area_sqm_min", "area_sqm_max",
-        F.coalesce("layout_types", F.array().cast("array<string>")).alias("layout_types"), F.coalesce("move_in_dates", F.array().cast("array<string>")).alias("move_in_dates"),
+        F.coalesce("layout_types", F.array().cast("array<string>")).alias("layout_types"),
+            F.coalesce("move_in_dates", F.array().cast("array<string>")).alias("move_in_dates"),
         F.coalesce(age, F.col("l_age")).alias("age_years"), F.coalesce("l_structure", b_structure).alias("structure"),
         F.coalesce("l_built", b_built).alias("building_built_year_month"), age.alias("building_built_age_years"),
         F.coalesce("l_structure_raw", "l_structure", b_structure).alias("building_structure"),
-        F.when(sale | (vacancies <= 0), None).otherwise(F.coalesce(F.nullif("label", F.lit("")), F.nullif("availability_label", F.lit("")))).alias("building_availability_label"),
+        F.when(sale | (vacancies <= 0), None).otherwise(F.coalesce(F.nullif("label", F.lit("")), F.nullif("availability_label", F.lit(""))))
+            .alias("building_availability_label"),
         vacancies.alias("vacancy_count"), "sale_price_yen_min", "sale_price_yen_max", "sale_price_yen_avg", "sale_listing_count", "last_updated",
     )

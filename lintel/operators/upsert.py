@@ -81,7 +81,8 @@ def facts_policy(source: Column, kind: Column, overwrite: bool) -> dict[str, Col
     return {"may_overwrite": F.lit(overwrite) & ~review, "may_set_all": ~review | (kind == "bunjo")}
 
 
-def apply_facts(existing: DataFrame, facts: DataFrame, key: str, overwrite: bool, always: tuple[str, ...] = ("structure", "age_years", "built_year_month", "property_kind")) -> DataFrame:
+def apply_facts(existing: DataFrame, facts: DataFrame, key: str, overwrite: bool,
+        always: tuple[str, ...] = ("structure", "age_years", "built_year_month", "property_kind")) -> DataFrame:
     """Facts (key, source, property_kind, values) into buildings by the policy of their source."""
     p = facts_policy(F.col("source"), F.col("property_kind"), overwrite)
     cols = [c for c in facts.columns if c in existing.columns and c != key]
@@ -89,4 +90,5 @@ def apply_facts(existing: DataFrame, facts: DataFrame, key: str, overwrite: bool
     f = f.withColumns({c: F.when(F.col("may_set_all"), F.col(c)) for c in cols if c not in always})
     new = f.select(key, "may_overwrite", *[F.col(c).alias(f"_{c}") for c in cols])
     j = existing.join(new, key, "left")
-    return j.withColumns({c: F.when(F.col("may_overwrite"), F.coalesce(_value(j, f"_{c}"), F.col(c))).otherwise(F.coalesce(_value(j, c), F.col(f"_{c}"), F.col(c))) for c in cols}).select(*existing.columns)
+    return j.withColumns({c: F.when(F.col("may_overwrite"), F.coalesce(_value(j, f"_{c}"), F.col(c))).otherwise(F.coalesce(_value(j, c), F.col(f"_{c}"), F.col(c))) for c
+        in cols}).select(*existing.columns)

@@ -26,7 +26,8 @@ def _place(url: Column) -> Column:
 
 def _cell(text: Column) -> Column:
     pair = F.split(text, "=")
-    return text_rows.cell_by_header(F.array(F.struct(F.lit("備考").alias("key"), F.lit("none").alias("value")), F.struct(pair[0].alias("key"), pair[1].alias("value"))), "賃料", "家賃")
+    return text_rows.cell_by_header(F.array(F.struct(F.lit("備考").alias("key"), F.lit("none").alias("value")), F.struct(pair[0].alias("key"), pair[1].alias("value"))),
+        "賃料", "家賃")
 
 
 #: column -> (expression, {text: result})
@@ -41,7 +42,9 @@ FORMS = {
     "repaired": (tx.repaired, {_GARBLED: "賃料一覧", "賃料": "賃料", "abc": "abc"}),
     "garbled": (lambda c: tx.mojibake(c).cast("string"), {_GARBLED: "true", "賃料é": "false", "": "false", "賃料����": "true"}),
     "day": (fields.updated_day, {"更新 2026年01月02日": "2026-01-02", "2026/01/02 10:00": "2026-01-02", "x": ""}),
-    "stamp": (lambda c: F.date_format(fields.summary_date(c), "yyyy-MM-dd HH:mm"), {"2026-01-02": "2026-01-02 00:00", "2026/1/2 3:04": "2026-01-02 03:04", "2026年1月2日": "2026-01-02 00:00", "2026/01": "2026-01-01 00:00", "am 2026-01-02!": "2026-01-02 00:00", "2026-02-30": None}),
+    "stamp": (lambda c: F.date_format(fields.summary_date(c), "yyyy-MM-dd HH:mm"),
+        {"2026-01-02": "2026-01-02 00:00", "2026/1/2 3:04": "2026-01-02 03:04", "2026年1月2日": "2026-01-02 00:00", "2026/01": "2026-01-01 00:00",
+        "am 2026-01-02!": "2026-01-02 00:00", "2026-02-30": None}),
     "cell_area": (lambda c: fields.area_of_cell(c).cast("string"), {"25.5㎡": "25.5", "約 30 m2": "30.0", "": None}),
     "strict_area": (lambda c: fields.area_strict(c).cast("string"), {"25.5": "25.5", " 7 ": "7.0", "": None}),
     "digit": (lambda c: tx.has_digit(c).cast("string"), {"町1": "true", "町": "false", "町１": "true"}),
@@ -63,7 +66,8 @@ def text_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing file with marks, quotes and line breaks, written, accepted by its header, read and numbered."""
-    n = table(spark, sf_dir, "nation").select(F.concat(F.lit('棟 "'), F.col("n_name"), F.lit('",\n'), F.col("n_nationkey").cast("string")).alias("building_name"), F.concat(F.lit("e"), F.col("n_nationkey").cast("string")).alias("evidence_id"), F.col("n_nationkey").alias("at"))
+    n = table(spark, sf_dir, "nation").select(F.concat(F.lit('棟 "'), F.col("n_name"), F.lit('",\n'), F.col("n_nationkey").cast("string")).alias("building_name"),
+        F.concat(F.lit("e"), F.col("n_nationkey").cast("string")).alias("evidence_id"), F.col("n_nationkey").alias("at"))
     path = scratch(spark, "listings")
     store.write_csv(n.repartition(1).sortWithinPartitions("at"), path, store.MASTER)
     read = store.read_listings(spark, path)
@@ -87,7 +91,8 @@ def store_published(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files as a manifest sees them: here one, made of the regions, and the newest of them."""
     path = scratch(spark, "files")
-    table(spark, sf_dir, "region").orderBy("r_regionkey").select(F.concat(F.lit("%PDF /Type /Page "), F.col("r_name"), F.lit(" /Type /Pages")).alias("value")).repartition(1).sortWithinPartitions("value").write.option("lineSep", "\n").text(path)
+    table(spark, sf_dir, "region").orderBy("r_regionkey").select(F.concat(F.lit("%PDF /Type /Page "), F.col("r_name"), F.lit(" /Type /Pages"))
+        .alias("value")).repartition(1).sortWithinPartitions("value").write.option("lineSep", "\n").text(path)
     files = store.file_manifest(spark, path, "*.txt")
     return files.select("size", "sha256", "pages", (F.col("path") == F.lit(store.latest_file(files))).alias("latest"))
 
@@ -111,7 +116,8 @@ def schema_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def current_run_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run is started, finished and made current."""
     o = table(spark, sf_dir, "orders")
-    runs = o.groupBy(F.col("o_orderpriority").alias("source")).agg(F.max(F.year("o_orderdate")).cast("long").alias("id")).select("id", "source", F.lit("s").alias("snapshot_key"), F.lit("completed").alias("status"))
+    runs = o.groupBy(F.col("o_orderpriority").alias("source")).agg(F.max(F.year("o_orderdate")).cast("long").alias("id")).select("id", "source",
+        F.lit("s").alias("snapshot_key"), F.lit("completed").alias("status"))
     runs, number = snapshots.started(runs.where("source <> '1-URGENT'"), "1-URGENT", "new")
     current = runs.where("status = 'completed'").select("source", F.col("id").alias("ingest_run_id"))
     return snapshots.switched(current, snapshots.finished(runs, number), "1-URGENT", number)
@@ -126,7 +132,8 @@ def build_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forbidden_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
-    p = table(spark, sf_dir, "part").select("p_partkey", F.when(k % 5 == 0, F.concat("p_name", F.lit(" 101号室"))).otherwise(F.col("p_name")).alias("name"), F.when(k % 7 == 0, "MAIL=x").when(k % 7 == 1, None).otherwise("-").alias("note"))
+    p = table(spark, sf_dir, "part").select("p_partkey", F.when(k % 5 == 0, F.concat("p_name", F.lit(" 101号室"))).otherwise(F.col("p_name")).alias("name"),
+        F.when(k % 7 == 0, "MAIL=x").when(k % 7 == 1, None).otherwise("-").alias("note"))
     return serve.leaks(p, "name", "note").select("p_partkey")
 
 
@@ -136,12 +143,14 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def legacy_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
-    p = table(spark, sf_dir, "part").select("p_partkey", F.when(k % 3 == 0, F.col("p_size")).alias("age_years"), F.when(k % 2 == 0, F.col("p_size") + 100).alias("years"), F.when(k % 5 == 0, "s").alias("structure"))
+    p = table(spark, sf_dir, "part").select("p_partkey", F.when(k % 3 == 0, F.col("p_size")).alias("age_years"), F.when(k % 2 == 0, F.col("p_size") + 100).alias("years"),
+        F.when(k % 5 == 0, "s").alias("structure"))
     return store.backfilled(p, {"age_years": "years", "structure": "structure_old"}).drop("years")
 
 
 def latest_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.when(F.col("o_orderkey") % 3 > 0, F.concat(F.lit("t"), F.col("o_orderkey").cast("string"))).otherwise("").alias("raw"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.when(F.col("o_orderkey") % 3 > 0, F.concat(F.lit("t"), F.col("o_orderkey").cast("string"))).otherwise("").alias("raw"))
     return quality.latest_texts(o, "raw", "day")
 
 
@@ -149,20 +158,24 @@ def geocode_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coordinates of districts from the cache; addresses with a lot number keep what they have."""
     s = table(spark, sf_dir, "supplier")
     k, n = F.col("s_suppkey"), F.col("s_nationkey")
-    places = s.select("s_suppkey", F.concat(F.lit("町"), n.cast("string"), F.when(k % 3 == 0, "-1").otherwise("")).alias("address"), F.when(k % 4 == 0, 1.0).alias("lat"), F.when(k % 4 == 0, 2.0).alias("lng"))
-    cache = table(spark, sf_dir, "nation").select(F.concat(F.lit("町"), F.col("n_nationkey").cast("string")).alias("query"), (F.col("n_nationkey") + 30.5).cast("double").alias("lat"), (F.col("n_nationkey") + 130.5).cast("double").alias("lng"))
+    places = s.select("s_suppkey", F.concat(F.lit("町"), n.cast("string"), F.when(k % 3 == 0, "-1").otherwise("")).alias("address"), F.when(k % 4 == 0, 1.0).alias("lat"),
+        F.when(k % 4 == 0, 2.0).alias("lng"))
+    cache = table(spark, sf_dir, "nation").select(F.concat(F.lit("町"), F.col("n_nationkey").cast("string")).alias("query"),
+        (F.col("n_nationkey") + 30.5).cast("double").alias("lat"), (F.col("n_nationkey") + 130.5).cast("double").alias("lng"))
     return store.geocoded(places, cache).select("s_suppkey", "lat", "lng")
 
 
 def line_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the lines before a table say: the last name, address and structure of each user."""
     k = F.col("event_id")
-    text = F.when(k % 4 == 0, F.concat(F.lit("棟"), k.cast("string"))).when(k % 4 == 1, F.concat(F.lit("小倉北区町"), k.cast("string"), F.lit("-1／3F"))).when(k % 4 == 2, F.concat(F.lit("RC 築"), k.cast("string"), F.lit("年"))).otherwise("TEL: 1")
+    text = F.when(k % 4 == 0, F.concat(F.lit("棟"), k.cast("string"))).when(k % 4 == 1, F.concat(F.lit("小倉北区町"), k.cast("string"), F.lit("-1／3F"))).when(k % 4 == 2,
+        F.concat(F.lit("RC 築"), k.cast("string"), F.lit("年"))).otherwise("TEL: 1")
     return text_rows.context(table(spark, sf_dir, "events").select("user_id", "event_id", text.alias("text")), ["user_id"], "event_id", "text")
 
 
 QUERIES = {f.__name__: f for f in (
-    text_forms, csv_contract, store_published, file_list, page_cache, schema_forms, current_run_pointer, build_differences, forbidden_rows, raw_sources, legacy_backfill, latest_availability, geocode_cache, line_context,
+    text_forms, csv_contract, store_published, file_list, page_cache, schema_forms, current_run_pointer, build_differences, forbidden_rows, raw_sources, legacy_backfill,
+        latest_availability, geocode_cache, line_context,
 )}
 
 
@@ -180,7 +193,8 @@ ORACLE_SQL = {
     "schema_forms": "select n_nationkey::bigint as id, n_name as name, null::varchar as note, 'n_name' as more from nation union all select n_nationkey, null, null, 'x' from nation",
     "current_run_pointer": """
         with r as (select o_orderpriority as source, max(year(o_orderdate)) as id from orders group by 1)
-        select source, id::bigint as ingest_run_id from r where source <> '1-URGENT' union all select '1-URGENT', (select max(id) + 1 from r where source <> '1-URGENT')""",
+        select source, id::bigint as ingest_run_id from r where source <> '1-URGENT' union all select '1-URGENT', (select max(id) + 1 from r
+            where source <> '1-URGENT')""",
     "build_differences": "select 'buildings' as key, count(*)::varchar as \"left\", (count(*) filter (c_custkey % 2 = 0))::varchar as \"right\" from customer having count(*) <> count(*) filter (c_custkey % 2 = 0)",
     "forbidden_rows": "select p_partkey from part where p_partkey % 5 = 0 or p_partkey % 7 = 0",
     "raw_sources": "select event_id, event_type, user_id from events where event_type = 'click' order by event_id",
@@ -188,5 +202,6 @@ ORACLE_SQL = {
     "latest_availability": "with o as (select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day, 't' || o_orderkey as raw from orders where o_orderkey % 3 > 0) select * from o order by day desc, raw limit 20",
     "geocode_cache": "select s_suppkey, case when s_suppkey % 4 = 0 then 1.0::double when s_suppkey % 3 > 0 then s_nationkey + 30.5::double end as lat, case when s_suppkey % 4 = 0 then 2.0::double when s_suppkey % 3 > 0 then s_nationkey + 130.5::double end as lng from supplier",
     "line_context": """
-        select user_id, '棟' || max(event_id) filter (event_id % 4 = 0) as name, '小倉北区町' || max(event_id) filter (event_id % 4 = 1) || '-1' as address, 'RC 築' || max(event_id) filter (event_id % 4 = 2) || '年' as structure from events group by user_id""",
+        select user_id, '棟' || max(event_id) filter (event_id % 4 = 0) as name, '小倉北区町' || max(event_id) filter (event_id % 4 = 1) || '-1' as address,
+            'RC 築' || max(event_id) filter (event_id % 4 = 2) || '年' as structure from events group by user_id""",
 }

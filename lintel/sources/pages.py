@@ -221,7 +221,8 @@ def listings(rows: DataFrame) -> DataFrame:
 def links(rows: DataFrame, base: Column | None = None) -> DataFrame:
     """(page_id, url) of a page's links, made absolute where `base` (scheme and host) is given."""
     href = F.col("value")
-    url = href if base is None else F.when(href.rlike("^https?://"), href).when(F.startswith(href, F.lit("/")), F.concat(base, href)).otherwise(F.concat(base, F.lit("/"), href))
+    url = href if base is None else F.when(href.rlike("^https?://"), href).when(F.startswith(href, F.lit("/")),
+        F.concat(base, href)).otherwise(F.concat(base, F.lit("/"), href))
     return rows.where("kind = 'link' and value <> ''").select("page_id", F.col("key").alias("text"), url.alias("url"))
 
 
@@ -267,7 +268,8 @@ def free_text_fields(text: Column) -> dict[str, Column]:
     return {
         "address": one(r"((?:北海道|東京都|(?:京都|大阪)府|[^\s都道府県]{2,3}県)[^\s]{2,30})"), "price": one(r"(\d[\d,.]*\s*(?:万円|円))"), "layout": one(r"(\d(?:S?LDK|DK|K|R))"),
         "area": one(r"(\d+(?:\.\d+)?)\s*(?:㎡|m2)"), "floor": one(r"(\d+)\s*階建?"), "structure": one(r"(SRC|RC|鉄骨鉄筋コンクリート|鉄筋コンクリート|鉄骨造|木造)"),
-        "availability": F.when(F.contains(text, F.lit("即入居")), "即入居").otherwise(F.coalesce(one(r"(?:入居(?:可能|可)?(?:時期)?|空室情報)\s*[:：]?\s*([^\s、,]{1,20})"), *[F.when(F.contains(text, F.lit(w)), w) for w in AVAILABILITY])),
+        "availability": F.when(F.contains(text, F.lit("即入居")), "即入居")
+            .otherwise(F.coalesce(one(r"(?:入居(?:可能|可)?(?:時期)?|空室情報)\s*[:：]?\s*([^\s、,]{1,20})"), *[F.when(F.contains(text, F.lit(w)), w) for w in AVAILABILITY])),
         "age": one(r"築\s*(\d+)\s*年"), "built": one(r"(\d{4}年\s*\d{1,2}月)"), "units": one(r"総戸数\s*[:：]?\s*(\d+)"), "walk": one(r"徒歩\s*(\d+)\s*分"),
     }
 
@@ -287,7 +289,8 @@ def card_facts(rows: DataFrame) -> DataFrame:
     area = F.when(F.col("field") == "area", area_any_unit(F.col("value")))
     layout = F.when(F.col("field") == "layout", F.nullif(F.trim("value"), F.lit("")))
     return f.groupBy("page_id", "kind", "block").agg(
-        F.min(price).alias("price_min"), F.max(price).alias("price_max"), F.avg(price).cast("long").alias("price_avg"), F.min(area).alias("area_min"), F.max(area).alias("area_max"),
+        F.min(price).alias("price_min"), F.max(price).alias("price_max"), F.avg(price).cast("long").alias("price_avg"), F.min(area).alias("area_min"),
+            F.max(area).alias("area_max"),
         F.array_sort(F.collect_set(layout)).alias("layouts"), F.count_distinct("row").alias("rows"),
     )
 

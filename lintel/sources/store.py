@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The headers that listing files come with.
-MASTER = ("page", "category", "updated_at", "building_name", "room", "address", "rent_man", "fee_man", "floor", "layout", "area_sqm", "availability_raw", "built_raw", "age_years", "structure", "built_year_month", "built_age_years", "availability_date", "availability_flag_immediate", "structure_raw", "raw_block", "evidence_id")
-CLASSIC = ("page", "category", "updated_at", "building_name", "room", "address", "rent_man", "fee_man", "floor", "layout", "area_sqm", "age_years", "structure", "raw_block", "evidence_id")
-WITH_FILE = ("category", "updated_at", "building_name", "room", "address", "rent_man", "fee_man", "layout", "floor", "area_sqm", "age_years", "structure", "file", "page", "raw_block", "evidence_id")
+MASTER = ("page", "category", "updated_at", "building_name", "room", "address", "rent_man", "fee_man", "floor", "layout", "area_sqm", "availability_raw", "built_raw",
+    "age_years", "structure", "built_year_month", "built_age_years", "availability_date", "availability_flag_immediate", "structure_raw", "raw_block", "evidence_id")
+CLASSIC = ("page", "category", "updated_at", "building_name", "room", "address", "rent_man", "fee_man", "floor", "layout", "area_sqm", "age_years", "structure",
+    "raw_block", "evidence_id")
+WITH_FILE = ("category", "updated_at", "building_name", "room", "address", "rent_man", "fee_man", "layout", "floor", "area_sqm", "age_years", "structure", "file", "page",
+    "raw_block", "evidence_id")
 FACTS_REQUIRED = ("building_name", "address", "evidence_id")
 RELOAD_REQUIRED = ("page", "category", "updated_at", "building_name", "room", "address", "rent_man", "fee_man", "floor", "layout", "area_sqm", "raw_block")
 
@@ -97,14 +100,16 @@ def write_csv(df: DataFrame, path: str, columns: Iterable[str]) -> None:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """(path, html): every HTML file below a folder, as a whole."""
-    return spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.html").select(F.input_file_name().alias("path"), F.col("value").alias("html"))
+    return spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.html").select(F.input_file_name().alias("path"),
+        F.col("value").alias("html"))
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, size, sha256, modified, pages) of files, for manifests and to choose the latest. pages: of a PDF the page
     objects that stand in it uncompressed, null for other files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    return files.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"), F.col("modificationTime").alias("modified"), pdf_pages(F.col("content")).alias("pages"))
+    return files.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"), F.col("modificationTime").alias("modified"),
+        pdf_pages(F.col("content")).alias("pages"))
 
 
 def pdf_pages(content: Column) -> Column:
@@ -138,7 +143,8 @@ def geocoded(places: DataFrame, cache: DataFrame) -> DataFrame:
     c = cache.select(F.col("query").alias("address"), F.col("lat").alias("c_lat"), F.col("lng").alias("c_lng"))
     coarse = ~F.contains(F.coalesce("address", F.lit("")), F.lit("-"))
     j = places.join(c, "address", "left")
-    return j.withColumns({x: F.when(coarse & F.col(x).isNull(), F.col(f"c_{x}")).otherwise(F.col(x)) for x in ("lat", "lng")}).drop("c_lat", "c_lng").select(*places.columns)
+    return j.withColumns({x: F.when(coarse & F.col(x).isNull(), F.col(f"c_{x}")).otherwise(F.col(x)) for x in ("lat", "lng")}).drop("c_lat",
+        "c_lng").select(*places.columns)
 
 
 # stores ---------------------------------------------------------------------------------------

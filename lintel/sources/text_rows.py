@@ -39,7 +39,8 @@ def context(rows: DataFrame, keys: list[str], order: str, text: str) -> DataFram
 
 def document_kind(text: Column, signs: dict[str, tuple[str, ...]], least: int = 4) -> Column:
     """The one kind of which a text holds enough signs; none or several are ambiguous."""
-    fits = F.filter(F.array(*[F.when(sum([F.contains(text, F.lit(t)).cast("int") for t in ts], F.lit(0)) >= min(least, len(ts)), F.lit(k)) for k, ts in signs.items()]), lambda x: x.isNotNull())
+    fits = F.filter(F.array(*[F.when(sum([F.contains(text, F.lit(t)).cast("int") for t in ts], F.lit(0)) >= min(least, len(ts)), F.lit(k)) for k, ts in signs.items()]),
+        lambda x: x.isNotNull())
     return F.when(F.size(fits) == 1, fits[0]).when(F.size(fits) > 1, "ambiguous").otherwise("other")
 
 

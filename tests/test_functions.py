@@ -98,7 +98,8 @@ def test_availability(spark):
         return lambda c: fields.availability(c, F.lit(ref), F.lit(category))
 
     assert [tuple(r) for r in values(spark, ["1月5日", "12月28日", "即入居可", "即 入居", "2月30日", "相談", None], one("2026-12-28"))] == [
-        (False, "1/5", "2027-01-05"), (False, "12/28", "2026-12-28"), (True, "即入居", None), (True, "即入居", None), (False, "2月30日", None), (False, "相談", None), (False, None, None)]
+        (False, "1/5", "2027-01-05"), (False, "12/28", "2026-12-28"), (True, "即入居", None), (True, "即入居", None), (False, "2月30日", None), (False, "相談", None),
+            (False, None, None)]
     assert [tuple(r) for r in values(spark, ["", "1月5日"], one("", "ulucks"))] == [(True, "入居", None), (False, "1月5日", None)]
 
 
@@ -126,7 +127,8 @@ def test_similarity_bound_holds(spark):
 
 
 def test_built_age_order(spark):
-    rows = [("future", "2030-01", 0, "bunjo"), ("new_rent", "2026-02", 0, "chintai"), ("new_sale", "2026-02", 0, "bunjo"), ("old", "2001-05", 25, "chintai"), ("older", "1990-01", 36, None), ("unknown", None, 3, "chintai"), ("unknown_older", "x", 9, "chintai")]
+    rows = [("future", "2030-01", 0, "bunjo"), ("new_rent", "2026-02", 0, "chintai"), ("new_sale", "2026-02", 0, "bunjo"), ("old", "2001-05", 25, "chintai"),
+        ("older", "1990-01", 36, None), ("unknown", None, 3, "chintai"), ("unknown_older", "x", 9, "chintai")]
     df = spark.createDataFrame(rows[::-1], "id string, built string, age int, kind string")
     got = [r["id"] for r in df.orderBy(*scores.built_age_order(F.col("built"), F.col("age"), F.col("kind"), F.lit(2026 * 12 + 3))).collect()]
     assert got == [r[0] for r in rows]

@@ -55,12 +55,16 @@ def test_summary_labels(spark):
 
 
 def test_summary_fallbacks(spark):
-    b = [{"building_id": "b", "canonical_name": "N", "canonical_address": "A", "structure": "RC", "age_years": 9, "built_year": 2016, "avg_rent_yen": 5, "availability_label": "x"},
+    b = [{"building_id": "b", "canonical_name": "N", "canonical_address": "A", "structure": "RC", "age_years": 9, "built_year": 2016, "avg_rent_yen": 5,
+        "availability_label": "x"},
          {"building_id": "sale", "property_kind": "bunjo", "avg_rent_yen": 7, "availability_label": "y"}]
-    got = summary(spark, [listing(1, "b", rent_yen=10, layout="1K", area_sqm=20.0, updated_at="2026/01/01"), listing(2, "b", rent_yen=8, layout=" ", updated_at="2026-12-31"), listing(3, "new", name="first", structure=" ＲＣ "), listing(4, "new", name="last"), listing(5, "sale"), listing(6, "")], b)
+    got = summary(spark, [listing(1, "b", rent_yen=10, layout="1K", area_sqm=20.0, updated_at="2026/01/01"),
+        listing(2, "b", rent_yen=8, layout=" ", updated_at="2026-12-31"), listing(3, "new", name="first", structure=" ＲＣ "), listing(4, "new", name="last"),
+        listing(5, "sale"), listing(6, "")], b)
     assert set(got) == {"b", "sale", "new"}
     r = got["b"]
-    assert (r["name"], r["rent_yen_min"], r["rent_yen_max"], r["layout_types"], r["structure"], r["building_built_year_month"], r["age_years"], r["vacancy_count"], r["last_updated"]) == ("N", 8, 10, ["", "1K"], "RC", "2016-01", 10, 2, "2026/01/01")
+    assert (r["name"], r["rent_yen_min"], r["rent_yen_max"], r["layout_types"], r["structure"], r["building_built_year_month"], r["age_years"], r["vacancy_count"],
+        r["last_updated"]) == ("N", 8, 10, ["", "1K"], "RC", "2016-01", 10, 2, "2026/01/01")
     assert (got["new"]["name"], got["new"]["structure"], got["sale"]["rent_yen_min"], got["sale"]["building_availability_label"]) == ("last", "RC", None, None)
     empty = summary(spark, [], b)
     assert (empty["b"]["vacancy_count"], empty["b"]["rent_yen_max"], empty["b"]["building_availability_label"]) == (0, 5, None)
@@ -103,7 +107,8 @@ def test_upserts(spark):
 
 def test_components_against_union_find(spark):
     rng = random.Random(3)
-    rows = [(i, rng.choice([None, *"abcdefghijklmnop"]), rng.choice([None, *range(25)])) for i in range(60)] + [(100 + i, f"x{i}", 1000 + (i + 1) // 2) for i in range(30)] + [(200 + i, f"y{(i + 1) // 2}", 2000 + i // 2) for i in range(40)]
+    rows = [(i, rng.choice([None, *"abcdefghijklmnop"]), rng.choice([None, *range(25)])) for i in range(60)] + [(100 + i, f"x{i}", 1000 + (i + 1) // 2) for i
+        in range(30)] + [(200 + i, f"y{(i + 1) // 2}", 2000 + i // 2) for i in range(40)]
     root = {i: i for i, _, _ in rows}
 
     def find(i):
@@ -123,7 +128,8 @@ def test_components_against_union_find(spark):
 
 def test_merges(spark):
     schema = "building_id string, canonical_name string, canonical_address string, norm_name string, norm_address string, created_at string"
-    rows = [("a1", "N", "A", "n", "a", "2"), ("a2", "N", "A", "n", "a", "1"), ("b1", "Ｘ y", "B", "x", "b", "1"), ("b2", "ｘY", "B", "x", "b", "0"), ("c", "C", "C", "c", "c", "1")]
+    rows = [("a1", "N", "A", "n", "a", "2"), ("a2", "N", "A", "n", "a", "1"), ("b1", "Ｘ y", "B", "x", "b", "1"), ("b2", "ｘY", "B", "x", "b", "0"),
+        ("c", "C", "C", "c", "c", "1")]
     b, counts = spark.createDataFrame(rows, schema), spark.createDataFrame([("a1", 3)], "building_id string, n_listings long")
     plan = dedupe.merge_plan(b, counts)
     got = {r["component"]: (r["keep"], r["drop"], r["decision"]) for r in plan.collect()}
@@ -176,14 +182,16 @@ def test_matcher_against_loops(spark):
     rows = [(i, rng.choice(names), rng.choice(places)) for i in range(120)]
     b = spark.createDataFrame(buildings, "building_id string, norm_name string, norm_address string")
     s = spark.createDataFrame(sources, "building_id string, norm_name string").join(b.select("building_id", "norm_address"), "building_id")
-    got = {r["row_no"]: (r["building_id"], r["reason"]) for r in matching.match_rows(spark.createDataFrame(rows, "row_no long, norm_name string, norm_address string"), b, s).collect()}
+    got = {r["row_no"]: (r["building_id"], r["reason"]) for r in matching.match_rows(spark.createDataFrame(rows, "row_no long, norm_name string, norm_address string"), b,
+        s).collect()}
     assert got == {i: match_one(buildings, sources, n, p) for i, n, p in rows}
 
 
 def close(buildings, name, place):
     from difflib import SequenceMatcher
 
-    found = sorted((s for b in buildings if (s := SequenceMatcher(None, name, b[1]).ratio() * 0.65 + SequenceMatcher(None, place, b[2]).ratio() * 0.35) >= 0.82), reverse=True)
+    found = sorted((s for b in buildings if (s := SequenceMatcher(None, name, b[1]).ratio() * 0.65 + SequenceMatcher(None, place, b[2]).ratio() * 0.35) >= 0.82),
+        reverse=True)
     return bool(found) and (found[0] >= 0.9 or (len(found) > 1 and found[0] - found[1] < 0.03))
 
 
@@ -193,7 +201,8 @@ def test_close_conflicts_against_loops(spark):
     buildings = [(f"b{i}", word(rng.randint(1, 9)), word(rng.randint(0, 8))) for i in range(40)]
     rows = [(i, *(rng.choice(buildings)[1:] if rng.random() < 0.3 else (word(rng.randint(1, 9)), word(rng.randint(0, 8))))) for i in range(80)]
     rows = [(i, n if rng.random() < 0.6 else n + "b", p) for i, n, p in rows]
-    got = {r["row_no"] for r in matching.close_conflicts(spark.createDataFrame(rows, "row_no long, norm_name string, norm_address string"), spark.createDataFrame(buildings, "building_id string, norm_name string, norm_address string")).collect()}
+    got = {r["row_no"] for r in matching.close_conflicts(spark.createDataFrame(rows, "row_no long, norm_name string, norm_address string"),
+        spark.createDataFrame(buildings, "building_id string, norm_name string, norm_address string")).collect()}
     assert got == {i for i, n, p in rows if close(buildings, n, p)}
 
 
@@ -239,13 +248,18 @@ def test_ingest_equals_reading_row_by_row(spark):
 
 def test_corrections(spark):
     schema = "row_no long, status string, action string, target_building_name string, target_address string, field string, old_value string, new_value string, note string, error_type string"
-    b = spark.createDataFrame([("1", "A", "町1", "a", "町1", 0), ("2", "B", "町2", "b", "町2", 0), ("3", "B", "町3", "b", "町3", 0)], "building_id string, canonical_name string, canonical_address string, norm_name string, norm_address string, hidden_from_public int")
-    rows = [(2, "approved", "fix", "A", "", "address", "町1", "福岡県 町９", "", ""), (3, "approved", "fix", "B", "", "address", "", "x", "", ""), (4, "approved", "drop_duplicate_loser", "B", "町3", "", "", "", "", ""), (5, "approved", "fix", "Z", "", "building_name", "B", "x", "", ""),
-            (6, "approved", "fix", "A", "", "address", "else", "x", "", ""), (7, "new", "fix", "A", "", "address", "", "x", "", ""), (8, "pending", None, "", "", "", "", "", "", ""), (9, "pending", "fix", "CITRUS TREE", "", "address", "", "x", "枝番未確認", "address_incomplete"), (10, "pending", "fix", "Q", "", "building_name", "町2", "C", "", "")]
+    b = spark.createDataFrame([("1", "A", "町1", "a", "町1", 0), ("2", "B", "町2", "b", "町2", 0), ("3", "B", "町3", "b", "町3", 0)],
+        "building_id string, canonical_name string, canonical_address string, norm_name string, norm_address string, hidden_from_public int")
+    rows = [(2, "approved", "fix", "A", "", "address", "町1", "福岡県 町９", "", ""), (3, "approved", "fix", "B", "", "address", "", "x", "", ""),
+        (4, "approved", "drop_duplicate_loser", "B", "町3", "", "", "", "", ""), (5, "approved", "fix", "Z", "", "building_name", "B", "x", "", ""),
+            (6, "approved", "fix", "A", "", "address", "else", "x", "", ""), (7, "new", "fix", "A", "", "address", "", "x", "", ""),
+                (8, "pending", None, "", "", "", "", "", "", ""), (9, "pending", "fix", "CITRUS TREE", "", "address", "", "x", "枝番未確認", "address_incomplete"),
+                (10, "pending", "fix", "Q", "", "building_name", "町2", "C", "", "")]
     c = spark.createDataFrame(rows, schema)
     res = corrections.corrected(c, b)
     assert {r["row_no"]: (r["outcome"], r["reason"], r["matched_building_id"]) for r in res.collect()} == {
-        2: ("applied", "ok", "1"), 3: ("held", "ambiguous:2", ""), 4: ("applied", "hidden_from_public", "3"), 5: ("held", "ambiguous:2", ""), 6: ("held", "old_value_mismatch", "1"), 7: ("held", "unsupported_status:new", ""),
+        2: ("applied", "ok", "1"), 3: ("held", "ambiguous:2", ""), 4: ("applied", "hidden_from_public", "3"), 5: ("held", "ambiguous:2", ""),
+            6: ("held", "old_value_mismatch", "1"), 7: ("held", "unsupported_status:new", ""),
         8: ("held", "unsupported_action:empty", ""), 9: ("held", "hold_citrus_tree_incomplete_address", ""), 10: ("held", "old_value_mismatch", "2")}
     after = {r["building_id"]: r for r in corrections.applied(res, c, b).collect()}
     assert after["1"]["canonical_address"] == "福岡県町9" and after["1"]["norm_address"] == "町9" and after["3"]["hidden_from_public"] == 1

@@ -9,7 +9,8 @@ from lintel.streaming.upserts import upsert_stream
 
 def test_headers(tmp_path, spark):
     p = tmp_path / "a.csv"
-    p.write_text("﻿" + ",".join(store.CLASSIC) + "\r\n" + ",".join(["1", "ulucks", "2026/01/01 10:00", '"a ""b"""', "", "x", "5.3", "", "", "1K", "20", "", "RC", '"two\nlines"', "e"]) + "\r\n", encoding="utf-8")
+    p.write_text("﻿" + ",".join(store.CLASSIC) + "\r\n" + ",".join(["1", "ulucks", "2026/01/01 10:00", '"a ""b"""', "", "x", "5.3", "", "", "1K", "20", "", "RC",
+        '"two\nlines"', "e"]) + "\r\n", encoding="utf-8")
     df = store.read_listings(spark, str(p))
     row = df.first()
     assert df.columns == [*store.MASTER, "file"] and row["building_name"] == 'a "b"' and row["raw_block"] == "two\nlines" and row["built_raw"] is None and row["page"] == "1"
@@ -111,7 +112,8 @@ def test_pages(spark):
 def test_free_text(spark):
     t = spark.createDataFrame([("福岡県北九州市小倉 築12年 RC 3階建 2LDK 55.5㎡ 6.5万円 徒歩 8分 総戸数：30",)], "t string")
     r = t.select(*[c.alias(n) for n, c in pages.free_text_fields(F.col("t")).items()]).first()
-    assert (r["address"], r["age"], r["structure"], r["floor"], r["layout"], r["area"], r["price"], r["walk"], r["units"]) == ("福岡県北九州市小倉", "12", "RC", "3", "2LDK", "55.5", "6.5万円", "8", "30")
+    assert (r["address"], r["age"], r["structure"], r["floor"], r["layout"], r["area"], r["price"], r["walk"], r["units"]) == ("福岡県北九州市小倉", "12", "RC", "3", "2LDK",
+        "55.5", "6.5万円", "8", "30")
 
 
 def test_document_lines(spark):
@@ -122,7 +124,8 @@ def test_document_lines(spark):
     assert (r["name"], r["address"], r["structure"]) == ("メゾン", "北九州市小倉北区1番2号", "RC 築3年")
     carried = text_rows.carried_forward(spark.createDataFrame([(1, 1, None), (1, 2, "a"), (1, 3, None), (2, 1, None)], "p int, n int, c string"), ["p"], ["n"], "c")
     assert sorted((r["p"], r["n"], r["c"]) for r in carried.collect() if r["c"]) == [(1, 2, "a"), (1, 3, "a")]
-    kinds = spark.createDataFrame([("a b c d",), ("a b c d w x y z",), ("q",)], "t string").select(text_rows.document_kind(F.col("t"), {"one": tuple("abcd"), "two": tuple("wxyz")}).alias("k")).collect()
+    kinds = spark.createDataFrame([("a b c d",), ("a b c d w x y z",), ("q",)],
+        "t string").select(text_rows.document_kind(F.col("t"), {"one": tuple("abcd"), "two": tuple("wxyz")}).alias("k")).collect()
     assert [r["k"] for r in kinds] == ["one", "ambiguous", "other"]
     cells = spark.createDataFrame([([("賃料", "5"), ("面積㎡", "20")],)], "c array<struct<key:string,value:string>>")
     assert cells.select(text_rows.cell_by_header(F.col("c"), "面積").alias("x"), text_rows.cell_by_header(F.col("c"), "階").alias("y")).first() == ("20", "")
