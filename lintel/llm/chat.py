@@ -60,7 +60,8 @@ def format_conversations(conversations: DataFrame, template: Template = DEFAULT)
         ).alias("t"),
     )
     ordered = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ordered"))  # by the texts as they are, not as they are escaped
-    turns = ordered.select("conv_id", F.transform("ordered", lambda t: F.struct(escape(t["role"], template).alias("role"), escape(t["text"], template).alias("text"))).alias("turns"))
+    turns = ordered.select("conv_id", F.transform("ordered", lambda t: F.struct(escape(t["role"], template).alias("role"), escape(t["text"], template).alias("text")))
+        .alias("turns"))
 
     def piece(x: Column, i: Column) -> Column:
         """A turn opens a block unless its neighbour before has its role, and closes it likewise."""

@@ -342,7 +342,8 @@ def _item_keys(texts: DataFrame, plan: Plan) -> DataFrame:
                     key, low, high = bounds(found, np.tile(at, walks.samples))
                 for k in range(0, len(key), 1 << 16):
                     part = slice(k, k + (1 << 16))
-                    columns = (key[part].view(np.int64), mix(key[part]).view(np.int64), np.full(len(key[part]), n), low[part].astype(np.int32), high[part].astype(np.int32))
+                    columns = (key[part].view(np.int64), mix(key[part]).view(np.int64), np.full(len(key[part]), n), low[part].astype(np.int32),
+                        high[part].astype(np.int32))
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "again", "n", "low", "high"])
 
     return written(texts.select("n", "text").mapInArrow(tidy(run), "key long, again long, n long, low int, high int"), "item-keys")
@@ -458,13 +459,15 @@ def _found(docs: DataFrame, bits: np.ndarray, plan: Plan) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends), places)], names=[*names, "keys"])
                 k = n
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.length("text").cast("long").alias("size"), "text").where("size > 0")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.length("text").cast("long").alias("size"),
+        "text").where("size > 0")
     return written(rows.mapInArrow(tidy(run), _FOUND), "stretches")
 
 
 def _verified(found: DataFrame, keys: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """(row, doc_id, hash, item_id, start, end, distance): the best passage of each item in each document row."""
-    met = found.select("row", "start", F.explode("keys").alias("k")).select("row", "start", "k.*").join(keys.drop("again").withColumnsRenamed({"low": "first", "high": "last"}), "key")
+    met = found.select("row", "start", F.explode("keys").alias("k")).select("row", "start",
+        "k.*").join(keys.drop("again").withColumnsRenamed({"low": "first", "high": "last"}), "key")
     pairs = met.groupBy("row", "start", "n").agg(F.min(F.col("low") - F.col("last")).alias("low"), F.max(F.col("high") - F.col("first")).alias("high"))
     rows = pairs.join(found.drop("keys"), ["row", "start"]).join(texts.withColumnRenamed("text", "item"), "n")
 
@@ -486,7 +489,8 @@ def _verified(found: DataFrame, keys: DataFrame, texts: DataFrame, settings: Set
                     first, last = offsets(text, [s, t - 1])
                     hits.append((k, start + first, start + last + 1, d))
             own = [batch.column(c).take(pa.array([h[0] for h in hits], pa.int64())) for c in ("row", "doc_id", "hash", "item_id")]
-            yield pa.RecordBatch.from_arrays([*own, *(pa.array([h[k] for h in hits], pa.int64()) for k in (1, 2, 3))], names=["row", "doc_id", "hash", "item_id", "start", "end", "distance"])
+            yield pa.RecordBatch.from_arrays([*own, *(pa.array([h[k] for h in hits], pa.int64()) for k in (1, 2, 3))],
+                names=["row", "doc_id", "hash", "item_id", "start", "end", "distance"])
 
     columns = ("row", "doc_id", "hash", "item_id", "text", "item", "low", "high", "start")
     hits = rows.select(*columns).mapInArrow(tidy(run), "row string, doc_id long, hash long, item_id long, start long, end long, distance long")

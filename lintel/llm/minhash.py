@@ -145,7 +145,8 @@ def components(edges: DataFrame) -> DataFrame:
             e = keep(written(small, "small"))
         release(e.sparkSession)
     leaves = e.groupBy("u").agg(F.min("v").alias("v"))
-    return leaves.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return leaves.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component"))
+        .distinct())
 
 
 def _stars(e: DataFrame) -> bool:
@@ -196,7 +197,8 @@ def _answered(docs: DataFrame, settings: Settings) -> DataFrame:
         release(spark)
 
         ends = near.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "same")
-        best = written(ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("same", -F.col("a"), -F.col("b"))).alias("e")).select("e.a", "e.b").distinct(), "best")
+        best = written(ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("same", -F.col("a"), -F.col("b"))).alias("e")).select("e.a", "e.b").distinct(),
+            "best")
         links = written(confirmed(best, texts, settings), "links")
         first = written(components(links), "components")
 
@@ -218,7 +220,8 @@ def _answered(docs: DataFrame, settings: Settings) -> DataFrame:
         answers = keep(written(joined.unionByName(alone), "answers"))
         release(spark)
     linked = sk.where("doc_id is not null").select("doc_id", "hash", "n_shingles", "digest").join(answers, "digest", "left")
-    unknown = sk.where("doc_id is null").select("doc_id", "hash", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"), F.lit(None).cast("long").alias("group"))
+    unknown = sk.where("doc_id is null").select("doc_id", "hash", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"),
+        F.lit(None).cast("long").alias("group"))
     known = linked.select("doc_id", "hash", "group", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"))
     return known.withColumn("kept", F.col("doc_id") == F.col("component_id")).unionByName(unknown)
 
@@ -232,9 +235,11 @@ def outsiders(members: DataFrame, nodes: DataFrame, texts: DataFrame, of: DataFr
     m = _component(of, "node", "c", members.select("bucket", "node")).join(nodes.select("node", "n"), "node")
     parts = m.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
     split = (
-        parts.groupBy("bucket").agg(F.max_by("c", F.struct("k", -F.col("c"))).alias("main"), F.sum("k").alias("all"), F.max("k").alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("cs"))
+        parts.groupBy("bucket").agg(F.max_by("c", F.struct("k", -F.col("c"))).alias("main"), F.sum("k").alias("all"), F.max("k").alias("most"), F.sum("n").alias("n"),
+            F.count(F.lit(1)).alias("cs"))
         .where("cs > 1")
-        .select("bucket", "main", *[F.ceil(F.greatest(c / BLOCK, F.col("n") / BLOCK_SHINGLES * c / F.col("all"))).cast("int").alias(a) for c, a in ((F.col("all"), "ls"), (F.col("all") - F.col("most"), "rs"))])
+        .select("bucket", "main", *[F.ceil(F.greatest(c / BLOCK, F.col("n") / BLOCK_SHINGLES * c / F.col("all"))).cast("int").alias(a) for c, a
+            in ((F.col("all"), "ls"), (F.col("all") - F.col("most"), "rs"))])
     )
     m = m.drop("n").join(written(split, "split"), "bucket")
     m = m.join(nodes.select("node", "sketch", "bands"), "node").join(texts, "node")
@@ -245,7 +250,8 @@ def outsiders(members: DataFrame, nodes: DataFrame, texts: DataFrame, of: DataFr
 
     def side(t: pa.Table) -> tuple:
         bands = t["bands"].combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
-        return np.frombuffer(b"".join(t["sketch"].to_pylist()), "<u2").reshape(t.num_rows, bins), bands, t["node"].to_numpy(), t["c"].to_pylist(), shingle_sets([x.encode() for x in t["text"].to_pylist()], settings.words)
+        return np.frombuffer(b"".join(t["sketch"].to_pylist()), "<u2").reshape(t.num_rows,
+            bins), bands, t["node"].to_numpy(), t["c"].to_pylist(), shingle_sets([x.encode() for x in t["text"].to_pylist()], settings.words)
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         a, b = [], []
@@ -293,7 +299,8 @@ def kept_rows(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:  #
         return left
     # rows that repeat a doc_id and are kept: linked ones are one group, of which no other row is kept
     parts = answers.join(several, "doc_id").where("kept and n_shingles > 0").select(F.col("doc_id").alias("d"), F.col("hash").alias("h"), "group").distinct()
-    rows = left.select(F.struct(*[left[c] for c in left.columns]).alias("row"), left["doc_id"].cast("long").alias("d"), F.xxhash64(left["text"]).alias("h"), left["text"].alias("t"))
+    rows = left.select(F.struct(*[left[c] for c in left.columns]).alias("row"), left["doc_id"].cast("long").alias("d"), F.xxhash64(left["text"]).alias("h"),
+        left["text"].alias("t"))
     parts = written(parts, "parts")
     lone = rows.join(parts, ["d", "h"], "left_anti").select("row.*")
     order = Window.partitionBy("group").orderBy("t")

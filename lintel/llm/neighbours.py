@@ -127,7 +127,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     spark = vectors.sparkSession
     by_vector = Window.partitionBy("v").orderBy("vec_id")
     # k + 1 smallest ids of each vector are enough, one may be the query itself
-    points = rows.distinct().withColumn("r", F.row_number().over(by_vector)).where(F.col("r") <= k + 1).groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    points = rows.distinct().withColumn("r", F.row_number().over(by_vector)).where(F.col("r") <= k + 1).groupBy("v").agg(F.array_sort(F.collect_list("vec_id"))
+        .alias("ids"))
     points = written(points, "points")
     kinds = points.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -154,7 +155,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
                     for t in range(index.tables):
                         code = index.probe_codes(x, t) if probe else index.codes(x, t)[:, None]
                         for c in code.T:
-                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), d, np.int32)), pa.array(np.full(len(x), t, np.int32)), pa.array(c), raw, names], names=["d", "t", "code", "v", name])
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), d, np.int32)), pa.array(np.full(len(x), t, np.int32)), pa.array(c), raw, names],
+                                names=["d", "t", "code", "v", name])
 
         return run
 

@@ -312,6 +312,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 same = [codec.decode(x.tolist()) == t for x, t in zip(ids, texts, strict=True)]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), values), pa.array([len(x) for x in ids], pa.int64()), pa.array(same)], names=[id_col, "ids", "n_tokens", "round_trip"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), values), pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array(same)], names=[id_col, "ids", "n_tokens", "round_trip"])
 
     return docs.select(F.col(id_col).cast("long").alias(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(tidy(run), schema)

@@ -52,7 +52,8 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +66,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_neighbours, op3_repeats, op4_secrets, op5_pieces, op6_urls, op7_minhash, op8_toxicity, op9_chat, op10_decontaminate)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_neighbours, op3_repeats, op4_secrets, op5_pieces, op6_urls, op7_minhash, op8_toxicity, op9_chat,
+    op10_decontaminate)}
 
 _HOST = r"translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = r"regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's')"

@@ -345,7 +345,8 @@ def batches(docs: DataFrame) -> DataFrame:
         ids, texts, size = [], [], 0
 
         def done() -> pa.RecordBatch:
-            blob = pack(np.array([i or 0 for i in ids], np.int64), np.array([i is not None for i in ids], np.uint8), np.array([len(t) for t in texts], np.int64), np.frombuffer(b"".join(texts), np.uint8))
+            blob = pack(np.array([i or 0 for i in ids], np.int64), np.array([i is not None for i in ids], np.uint8), np.array([len(t) for t in texts], np.int64),
+                np.frombuffer(b"".join(texts), np.uint8))
             return pa.RecordBatch.from_pydict({"batch": [uuid.uuid4().hex], "blob": [blob]})
 
         for batch in it:
@@ -372,7 +373,8 @@ def _shared(store: DataFrame, groups: int, settings: Settings) -> DataFrame:
                 h, n = Batch(blob, settings).anchors()
                 made = [(g, pack(h[w], np.minimum(n[w], 1 << 30).astype(np.int32))) for g, w in parts((mix(h.copy()) % np.uint64(groups)).astype(np.int64))]
                 if made:
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(made)), pa.array([g for g, _ in made], pa.int32()), pa.array([b for _, b in made], pa.binary())], names=["batch", "part", "blob"])
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(made)), pa.array([g for g, _ in made], pa.int32()),
+                        pa.array([b for _, b in made], pa.binary())], names=["batch", "part", "blob"])
 
     def meet(table: pa.Table) -> pa.Table:
         names = table["batch"].to_pylist()
@@ -388,7 +390,8 @@ def _shared(store: DataFrame, groups: int, settings: Settings) -> DataFrame:
             if (some := count > 1).any():
                 out.append((name, pack(mine[some]), pack((count[some] > settings.hot).astype(np.uint8)), int(some.sum())))
         part = table["part"][0].as_py() if len(names) else 0
-        return pa.table({"batch": pa.array([o[0] for o in out], pa.string()), "part": pa.array([part] * len(out), pa.int32()), "shared": pa.array([o[1] for o in out], pa.binary()), "hot": pa.array([o[2] for o in out], pa.binary()), "n": pa.array([o[3] for o in out], pa.int64())})
+        return pa.table({"batch": pa.array([o[0] for o in out], pa.string()), "part": pa.array([part] * len(out), pa.int32()),
+            "shared": pa.array([o[1] for o in out], pa.binary()), "hot": pa.array([o[2] for o in out], pa.binary()), "n": pa.array([o[3] for o in out], pa.int64())})
 
     sent = store.mapInArrow(send, "batch string, part int, blob binary")
     return written(sent.groupBy("part").applyInArrow(meet, "batch string, part int, shared binary, hot binary, n long"), "shared")
@@ -413,12 +416,14 @@ def _answers(store: DataFrame, shared: DataFrame, blocks: int, settings: Setting
         for blob in left["blob"].to_pylist():
             made += Batch(blob, settings).segments(*_told(right)).messages(blocks)
         name = left["batch"][0].as_py() if left.num_rows else ""
-        return pa.table({"batch": pa.array([name] * len(made), pa.string()), "part": pa.array([b for b, _ in made], pa.int32()), "blob": pa.array([m for _, m in made], pa.binary())})
+        return pa.table({"batch": pa.array([name] * len(made), pa.string()), "part": pa.array([b for b, _ in made], pa.int32()),
+            "blob": pa.array([m for _, m in made], pa.binary())})
 
     def meet(table: pa.Table) -> pa.Table:
         out = solve(list(zip(table["batch"].to_pylist(), table["blob"].to_pylist(), strict=True)), settings.size) if table.num_rows else []
         part = table["part"][0].as_py() if table.num_rows else 0
-        return pa.table({"batch": pa.array([n for n, _ in out], pa.string()), "part": pa.array([part] * len(out), pa.int32()), "answer": pa.array([a for _, a in out], pa.binary())})
+        return pa.table({"batch": pa.array([n for n, _ in out], pa.string()), "part": pa.array([part] * len(out), pa.int32()),
+            "answer": pa.array([a for _, a in out], pa.binary())})
 
     sent = store.groupBy("batch").cogroup(shared.select("batch", "shared", "hot").groupBy("batch")).applyInArrow(send, "batch string, part int, blob binary")
     return written(sent.groupBy("part").applyInArrow(meet, "batch string, part int, answer binary"), "answers")

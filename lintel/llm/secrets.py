@@ -39,11 +39,17 @@ EARLIER = CONTEXT // 8
 #: Fixed word lists of the features.
 KEY_WORDS = "password|passwd|pwd|passphrase|secret|token|api[_ -]?key|apikey|access[_ -]?key|auth|bearer|credential|private"
 OTHER_WORDS = "commit|sha1|sha256|sha512|md5|hash|checksum|digest|etag|uuid|guid|revision|build|version|order|invoice|phone|card|isbn|page|file|image|id"
-DICTIONARY = ("about", "access", "account", "address", "admin", "after", "archive", "article", "before", "build", "button", "change", "class", "client", "code", "config", "content", "create", "data", "date", "default", "demo", "document", "download", "example", "file", "first", "form", "from", "function", "getting", "group", "handler", "here", "home", "html", "image", "index", "info", "insert", "item", "last", "list", "local", "main", "manager", "message", "module", "name", "news", "null", "number", "object", "order", "page", "parent", "path", "placeholder", "post", "product", "public", "query", "request", "response", "sample", "select", "server", "service", "session", "size", "state", "string", "style", "system", "table", "test", "text", "this", "time", "title", "type", "undefined", "update", "user", "value", "version", "view", "width", "window", "with", "your")
+DICTIONARY = ("about", "access", "account", "address", "admin", "after", "archive", "article", "before", "build", "button", "change", "class", "client", "code", "config",
+    "content", "create", "data", "date", "default", "demo", "document", "download", "example", "file", "first", "form", "from", "function", "getting", "group", "handler",
+    "here", "home", "html", "image", "index", "info", "insert", "item", "last", "list", "local", "main", "manager", "message", "module", "name", "news", "null", "number",
+    "object", "order", "page", "parent", "path", "placeholder", "post", "product", "public", "query", "request", "response", "sample", "select", "server", "service",
+    "session", "size", "state", "string", "style", "system", "table", "test", "text", "this", "time", "title", "type", "undefined", "update", "user", "value", "version",
+    "view", "width", "window", "with", "your")
 TEST_PATHS = "test|example|sample|mock|fixture|demo|docs?/"
 CONFIG_PATHS = r"\.env|config|settings|secret|credential|deploy|prod|\.ya?ml|\.ini"
 
-FEATURES = ("length", "digits", "uppers", "symbols", "entropy", "distinct", "class_changes", "digit_to_letter", "letter_to_digit", "hex", "vowel_steps", "repeats", "covered", "known_prefix", "assigned", "quoted", "key_word", "other_word", "test_path", "config_path")
+FEATURES = ("length", "digits", "uppers", "symbols", "entropy", "distinct", "class_changes", "digit_to_letter", "letter_to_digit", "hex", "vowel_steps", "repeats",
+    "covered", "known_prefix", "assigned", "quoted", "key_word", "other_word", "test_path", "config_path")
 TREES, DEPTH, SEED = 40, 7, 17
 #: Labelled findings that are made when none are given.
 MADE_FINDINGS = 9000
@@ -103,7 +109,9 @@ def made_findings(spark: SparkSession, n: int = MADE_FINDINGS) -> DataFrame:
 
     mixed = F.translate(F.base64(F.unhex(F.concat(h[0], h[1]))), "+/=", "xYz")
     upper = F.upper(F.substring(F.translate(mixed, "abcdefghijklm", "ABCDEFGHIJKLM"), 1, 16))
-    dict_name = F.concat(F.initcap(pick(h[0], "update", "example", "manager", "content", "session")), F.initcap(pick(h[1], "window", "account", "query", "system", "image")), F.initcap(pick(h[2], "handler", "config", "number", "page", "value")), F.substring(F.conv(F.substring(h[3], 1, 4), 16, 10), 1, 2))
+    dict_name = F.concat(F.initcap(pick(h[0], "update", "example", "manager", "content", "session")),
+        F.initcap(pick(h[1], "window", "account", "query", "system", "image")), F.initcap(pick(h[2], "handler", "config", "number", "page", "value")),
+        F.substring(F.conv(F.substring(h[3], 1, 4), 16, 10), 1, 2))
     number = F.substring(F.translate(h[4], "abcdef", "012345"), 1, 16)
     assign = pick(h[2], "=", " = ", ": ", "=\"", " = \"", ": '")
     key = pick(h[3], "password", "token", "secret", "api_key", "PASSWORD", "Token", "auth_token", "access_key", "client_secret")
@@ -123,9 +131,12 @@ def made_findings(spark: SparkSession, n: int = MADE_FINDINGS) -> DataFrame:
         ("0", F.concat(word, value), F.substring(h[0], 1, 40), F.lit(" ")),
         ("0", F.concat(word, value), F.substring(h[0], 1, 32), F.lit("\"")),
         ("0", word, dict_name, F.lit("(")),
-        ("0", F.concat(word, key, assign), pick(h[0], "your_password_here1", "example_token_0000", "xxxxxxxxxxxxxxxx", "placeholder123", "test_value_1234", "undefined", "password1234", "changeme_default"), F.lit(" ")),
-        ("0", F.concat(F.lit("/"), letters(h[1], 5), F.lit("/")), F.concat(letters(h[2], 7), F.lit("-"), letters(h[3], 6), F.lit("-"), F.substring(number, 1, 4)), F.lit("/")),
-        ("0", word, F.concat_ws("-", F.substring(h[0], 1, 8), F.substring(h[0], 9, 4), F.substring(h[0], 13, 4), F.substring(h[0], 17, 4), F.substring(h[0], 21, 12)), F.lit(" ")),
+        ("0", F.concat(word, key, assign), pick(h[0], "your_password_here1", "example_token_0000", "xxxxxxxxxxxxxxxx", "placeholder123", "test_value_1234", "undefined",
+            "password1234", "changeme_default"), F.lit(" ")),
+        ("0", F.concat(F.lit("/"), letters(h[1], 5), F.lit("/")), F.concat(letters(h[2], 7), F.lit("-"), letters(h[3], 6), F.lit("-"), F.substring(number, 1, 4)),
+            F.lit("/")),
+        ("0", word, F.concat_ws("-", F.substring(h[0], 1, 8), F.substring(h[0], 9, 4), F.substring(h[0], 13, 4), F.substring(h[0], 17, 4), F.substring(h[0], 21, 12)),
+            F.lit(" ")),
         ("0", word, F.concat(F.lit("+1"), F.substring(number, 1, 10)), F.lit(" ")),
         ("0", word, F.concat(letters(h[0], 9), letters(h[1], 8), F.substring(number, 1, 1)), F.lit(", ")),
         ("0", F.concat(word, F.lit(":")), F.concat(letters(h[0], 9), letters(h[1], 8)), F.lit(" ")),
@@ -134,9 +145,12 @@ def made_findings(spark: SparkSession, n: int = MADE_FINDINGS) -> DataFrame:
     neutral = F.concat(word, pick(h[3], "url", "href", "src", "host", "path", "email", "name", "class", "version", "date", "file"), assign)
     closing = F.when(quoted, F.substring(assign, -1, 1)).otherwise(" ")
     host = F.concat(letters(h[0], 7), F.lit("."), letters(h[1], 5), pick(h[2], ".com", ".org", ".example.net"))
-    symbols = F.concat(F.substring(mixed, 1, 5), pick(h[0], "&", "!", "#", "%", "@", "$"), F.substring(mixed, 6, 3), pick(h[1], "!", "?", "*", ".", "&", "^"), F.substring(mixed, 9, 4))
-    block = F.concat(pick(h[1], "-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----", "-----BEGIN OPENSSH PRIVATE KEY-----"), F.lit("\n"), mixed, F.lit("\n"), mixed, F.lit("\n-----END PRIVATE KEY-----"))
-    when = F.concat(F.lit("20"), F.substring(number, 1, 2), F.lit("-0"), F.substring(number, 3, 1), F.lit("-1"), F.substring(number, 4, 1), F.lit("T1"), F.substring(number, 5, 1))
+    symbols = F.concat(F.substring(mixed, 1, 5), pick(h[0], "&", "!", "#", "%", "@", "$"), F.substring(mixed, 6, 3), pick(h[1], "!", "?", "*", ".", "&", "^"),
+        F.substring(mixed, 9, 4))
+    block = F.concat(pick(h[1], "-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----", "-----BEGIN OPENSSH PRIVATE KEY-----"), F.lit("\n"), mixed, F.lit("\n"),
+        mixed, F.lit("\n-----END PRIVATE KEY-----"))
+    when = F.concat(F.lit("20"), F.substring(number, 1, 2), F.lit("-0"), F.substring(number, 3, 1), F.lit("-1"), F.substring(number, 4, 1), F.lit("T1"),
+        F.substring(number, 5, 1))
     cases += [
         ("1", F.concat(word, key, assign), symbols, closing),
         ("1", F.concat(word, key, assign), F.concat(F.initcap(letters(h[0], 4)), F.substring(number, 1, 3), F.lit("!"), letters(h[1], 4)), closing),
@@ -147,7 +161,8 @@ def made_findings(spark: SparkSession, n: int = MADE_FINDINGS) -> DataFrame:
         ("0", neutral, when, F.lit(":")),
         ("0", neutral, F.concat(F.lit("/"), letters(h[0], 4), F.lit("/"), letters(h[1], 6), F.lit("/"), letters(h[4], 8)), closing),
         ("0", neutral, F.concat(letters(h[0], 7), F.substring(number, 1, 2), pick(h[1], ".tar.gz", ".png", ".json", ".txt", ".min.js")), closing),
-        ("0", neutral, F.concat(pick(h[0], "com.example.", "org.sample."), letters(h[1], 6), F.lit("."), F.initcap(letters(h[4], 7)), F.substring(number, 1, 1)), closing),
+        ("0", neutral, F.concat(pick(h[0], "com.example.", "org.sample."), letters(h[1], 6), F.lit("."), F.initcap(letters(h[4], 7)), F.substring(number, 1, 1)),
+            closing),
         ("0", neutral, F.concat_ws(".", F.substring(number, 1, 3), F.substring(number, 4, 2), F.substring(number, 6, 2), F.substring(number, 8, 3)), closing),
         ("0", neutral, F.concat(letters(h[0], 6), F.lit("-"), letters(h[1], 7)), closing),
     ]
@@ -157,13 +172,15 @@ def made_findings(spark: SparkSession, n: int = MADE_FINDINGS) -> DataFrame:
 
     path = pick(h[5], "src0", "src7", "web/page", "app/config.yml", "repo/tests/test_api.py", "docs/readme", ".env")
     label = reduce(lambda rest, i: F.when(kind == i, float(cases[i][0])).otherwise(rest), range(len(cases)), F.lit(0.0))
-    return spark.range(n, numPartitions=2).select(path.alias("path"), F.substring(choose(1), -CONTEXT, CONTEXT).alias("before"), choose(2).alias("candidate"), choose(3).alias("after"), label.alias("label"))
+    return spark.range(n, numPartitions=2).select(path.alias("path"), F.substring(choose(1), -CONTEXT, CONTEXT).alias("before"), choose(2).alias("candidate"),
+        choose(3).alias("after"), label.alias("label"))
 
 
 def train(findings: DataFrame) -> RandomForestClassificationModel:
     """The forest, from labelled findings (path, before, candidate, after, label of 0 or 1)."""
     rows = findings.where("length(candidate) > 0 and label is not null").select(
-        F.array(*features(F.col("candidate"), F.coalesce("before", F.lit("")), F.coalesce("after", F.lit("")), F.col("path"))).alias("x"), F.col("label").cast("double").alias("label")
+        F.array(*features(F.col("candidate"), F.coalesce("before", F.lit("")), F.coalesce("after", F.lit("")), F.col("path"))).alias("x"),
+            F.col("label").cast("double").alias("label")
     )
     rows = rows.select("label", *[F.col("x")[i].alias(n) for i, n in enumerate(FEATURES)])
     return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows))
@@ -213,11 +230,13 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel, path_col: str
 
     def context(z: Column, p: Column, i: Column) -> Column:
         """The text before the candidate, earlier candidates included."""
-        earlier = F.transform(F.slice(z, F.greatest(i - EARLIER, F.lit(0)) + 1, F.least(i, F.lit(EARLIER))), lambda q: F.concat(F.substring(q["before"], -CONTEXT, CONTEXT), q["candidate"]))
+        earlier = F.transform(F.slice(z, F.greatest(i - EARLIER, F.lit(0)) + 1, F.least(i, F.lit(EARLIER))),
+            lambda q: F.concat(F.substring(q["before"], -CONTEXT, CONTEXT), q["candidate"]))
         return F.substring(F.concat(F.array_join(earlier, ""), F.substring(p["before"], -CONTEXT, CONTEXT)), -CONTEXT, CONTEXT)
 
     # z: as a variable, the candidates are searched for once, not once a candidate
-    near = F.transform(F.array(zipped), lambda z: F.transform(z, lambda p, i: F.struct(p["before"].alias("before"), p["candidate"].alias("candidate"), context(z, p, i).alias("near"), F.substring(p["after"], 1, CONTEXT).alias("after"))))[0]
+    near = F.transform(F.array(zipped), lambda z: F.transform(z, lambda p, i: F.struct(p["before"].alias("before"), p["candidate"].alias("candidate"), context(z, p, i)
+        .alias("near"), F.substring(p["after"], 1, CONTEXT).alias("after"))))[0]
     described = F.transform(
         near,
         lambda p: F.struct(
@@ -227,7 +246,8 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel, path_col: str
     )
     scored = F.transform(described, lambda p: F.struct(p["before"].alias("before"), p["candidate"].alias("candidate"), vote(model, p["x"]).alias("score")))
     some = text.rlike(CANDIDATE)
-    return docs.withColumns({"_parts": F.when(some, scored).otherwise(F.array().cast("array<struct<before:string,candidate:string,score:double>>")), "_tail": F.when(some, F.element_at(pieces, -1)).otherwise(text)})
+    return docs.withColumns({"_parts": F.when(some, scored).otherwise(F.array().cast("array<struct<before:string,candidate:string,score:double>>")),
+        "_tail": F.when(some, F.element_at(pieces, -1)).otherwise(text)})
 
 
 def _starts(sizes: Column) -> Column:
@@ -242,7 +262,8 @@ def _starts(sizes: Column) -> Column:
         count = F.ceil(F.size(n) / step).cast("int")
         sums = F.transform(F.sequence(F.lit(0), count - 1), lambda k: total(F.slice(n, k * step + 1, step)))
         begins = F.transform(F.array(sums), lambda s: F.transform(s, lambda x, k: total(F.slice(s, 1, k))))[0]
-        return F.transform(F.array(begins), lambda b: F.transform(n, lambda x, i: F.get(b, F.floor(i / step).cast("int")) + total(F.slice(n, (F.floor(i / step) * step + 1).cast("int"), i % step))))[0]
+        return F.transform(F.array(begins), lambda b: F.transform(n, lambda x,
+            i: F.get(b, F.floor(i / step).cast("int")) + total(F.slice(n, (F.floor(i / step) * step + 1).cast("int"), i % step))))[0]
 
     return F.transform(F.array(sizes), inside)[0]
 
@@ -250,9 +271,11 @@ def _starts(sizes: Column) -> Column:
 def findings(scanned: DataFrame) -> DataFrame:
     """One row for each candidate: doc_id, start and end (code points), finding, score, secret."""
     starts = _starts(F.transform("_parts", lambda p: F.length(p["before"]) + F.length(p["candidate"])))
-    placed = F.zip_with("_parts", starts, lambda p, s: F.struct((s + F.length(p["before"])).cast("long").alias("start"), p["candidate"].alias("finding"), p["score"].alias("score")))
+    placed = F.zip_with("_parts", starts, lambda p, s: F.struct((s + F.length(p["before"])).cast("long").alias("start"), p["candidate"].alias("finding"),
+        p["score"].alias("score")))
     rows = scanned.where(F.size("_parts") > 0).select("doc_id", F.explode(placed).alias("p"))
-    return rows.select("doc_id", "p.start", (F.col("p.start") + F.length("p.finding")).alias("end"), "p.finding", "p.score", (F.col("p.score") >= THRESHOLD).alias("secret"))
+    return rows.select("doc_id", "p.start", (F.col("p.start") + F.length("p.finding")).alias("end"), "p.finding", "p.score",
+        (F.col("p.score") >= THRESHOLD).alias("secret"))
 
 
 def redacted(scanned: DataFrame) -> DataFrame:

@@ -166,7 +166,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     docs = docs.drop("toxicity", "offences")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     offence = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())])
-    schema = T.StructType(list(docs.schema.fields)).add("toxicity", "double").add("offences", T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("p", "double")))
+    schema = T.StructType(list(docs.schema.fields)).add("toxicity", "double").add("offences",
+        T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("p", "double")))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +177,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 part = batch.slice(k, 256)
                 found = [sent.value.scores(t or "", words) for t in part.column(at).to_pylist()]
                 spans = [[{"start": a, "end": b, "p": p} for a, b, p in s] for _, s in found]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([x for x, _ in found], pa.float64()), pa.array(spans, pa.list_(offence))], names=[*part.schema.names, "toxicity", "offences"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([x for x, _ in found], pa.float64()), pa.array(spans, pa.list_(offence))],
+                    names=[*part.schema.names, "toxicity", "offences"])
 
     return docs.mapInArrow(tidy(run), schema)
 

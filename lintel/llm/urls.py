@@ -63,7 +63,8 @@ def judge_urls(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_c
     # kind 0 pushes, 1 looks, 2 pops
     looks = keys.join(sweeps, "suffix").select(
         "suffix", F.pmod(F.xxhash64("id", "host", "path"), F.col("sweeps")).cast("int").alias("salt"), F.encode("path", "UTF-8").alias("at"),
-        F.lit(1).alias("kind"), F.lit(0).alias("step"), F.lit(None).cast("struct<rule:string,verdict:string>").alias("active"), F.struct("id", "host", "path").alias("row"),
+        F.lit(1).alias("kind"), F.lit(0).alias("step"), F.lit(None).cast("struct<rule:string,verdict:string>").alias("active"),
+            F.struct("id", "host", "path").alias("row"),
     )
     begin, end = F.encode("path", "UTF-8"), F.concat(F.encode("path", "UTF-8"), F.unhex(F.lit("FF")))
     edges = F.array(

@@ -43,7 +43,8 @@ def plan_records(pages: DataFrame) -> DataFrame:
     page_id is known are responses. Repeated rows of the smallest page_id are a response each."""
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("digest", F.sha2(F.encode("html", "UTF-8"), 256))
     keys = p.select("page_id", "digest").where(F.octet_length("html") >= MIN_REVISIT_BYTES)
-    first = written(keys.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1 and refers_to is not null").drop("n"), "first")
+    first = written(keys.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1 and refers_to is not null").drop("n"),
+        "first")
     again = keys.join(first, "digest").where("not page_id <=> refers_to").distinct().withColumnsRenamed({"page_id": "again_id", "digest": "again_digest"})
     return p.join(again, p["page_id"].eqNullSafe(F.col("again_id")) & (p["digest"] == F.col("again_digest")), "left").select(
         "page_id", "url", "html", "digest", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit").alias("record_type"), "refers_to"
@@ -53,7 +54,8 @@ def plan_records(pages: DataFrame) -> DataFrame:
 def train_dictionary(pages: DataFrame, size: int = DICTIONARY_BYTES) -> bytes:
     """A dictionary from records, headers included, of a bounded sample spread over all pages by a hash;
     b'' if there is nothing to learn."""
-    ids = [r[0] for r in pages.select("page_id").where("page_id is not null and octet_length(html) > 0").orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_RECORDS).collect()]
+    ids = [r[0] for r in pages.select("page_id").where("page_id is not null and octet_length(html) > 0").orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_RECORDS)
+        .collect()]
     if not ids:
         return b""
     wanted = F.broadcast(pages.sparkSession.createDataFrame([(x,) for x in sorted(set(ids))], "page_id long"))
@@ -72,13 +74,15 @@ def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
 def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, record_type: str, refers_to: int | None) -> bytes:
     """One WARC/1.1 record; control characters and blanks in a url are percent-encoded."""
     uri = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url) if url else f"urn:page:{page_id}"
-    headers = [("WARC-Type", record_type), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest}')}>"), ("WARC-Date", WARC_DATE), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Payload-Length", str(len(payload)))]
+    headers = [("WARC-Type", record_type), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest}')}>"), ("WARC-Date", WARC_DATE),
+        ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Payload-Length", str(len(payload)))]
     if url is not None and url != uri:
         headers.append(("X-Original-URI", url.encode().hex()))
     if page_id is not None:
         headers.append(("X-Page-ID", str(page_id)))
     if record_type == "revisit":
-        headers += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{refers_to} {digest}')}>"), ("X-Refers-To-Page-ID", str(refers_to))]
+        headers += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
+            ("WARC-Refers-To", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{refers_to} {digest}')}>"), ("X-Refers-To-Page-ID", str(refers_to))]
         payload = b""
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + payload
     headers += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
@@ -163,7 +167,9 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                     h, payload = parse_record(raw)
                     full = h["WARC-Type"] == "response"
                     uri = bytes.fromhex(h["X-Original-URI"]).decode() if "X-Original-URI" in h else h["WARC-Target-URI"]
-                    rows.append((number(h.get("X-Page-ID")), None if uri.startswith("urn:page:") else uri, len(payload) if full else int(h["X-Payload-Length"]), hashlib.sha256(payload).hexdigest() if full else h["WARC-Payload-Digest"].removeprefix("sha256:"), h["WARC-Type"], number(h.get("X-Refers-To-Page-ID"))))
+                    rows.append((number(h.get("X-Page-ID")), None if uri.startswith("urn:page:") else uri, len(payload) if full else int(h["X-Payload-Length"]),
+                        hashlib.sha256(payload).hexdigest() if full else h["WARC-Payload-Digest"].removeprefix("sha256:"), h["WARC-Type"],
+                        number(h.get("X-Refers-To-Page-ID"))))
                     if len(rows) == 10_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), types, strict=True)], names=names)
                         rows = []

@@ -34,9 +34,11 @@ def test_round_trip(spark):
 
 
 def test_order_ties_and_edges(spark):
-    rows = [(None, 2, "user", "b"), (None, 1, "user", "a"), (1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, "system", "first"), (2, 0, "assistant", "w " * 50_000)]
+    rows = [(None, 2, "user", "b"), (None, 1, "user", "a"), (1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, "system", "first"),
+        (2, 0, "assistant", "w " * 50_000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = {r["conv_id"]: [(t["role"], t["text"]) for t in r["back"]] for r in chat.format_conversations(df).select("conv_id", chat.read_back(F.col("formatted")).alias("back")).collect()}
+    got = {r["conv_id"]: [(t["role"], t["text"]) for t in r["back"]] for r in chat.format_conversations(df).select("conv_id", chat.read_back(F.col("formatted"))
+        .alias("back")).collect()}
     assert got[None] == [("user", "a"), ("user", "b")] and got[1] == [("system", "first"), ("user", "a"), ("user", "a"), ("user", "b")]
     d = {r["conv_id"]: r for r in chat.digest(chat.format_conversations(df)).collect()}
     assert d[2]["loss_chars"] == 100_000 and d[1]["n_turns"] == 4

@@ -88,7 +88,8 @@ def test_edges(spark):
     rng = random.Random(1)
     item = words(rng, 20)
     items = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "Short one"), (None, item), (5, " \n")], "item_id long, text string")
-    docs = spark.createDataFrame([(1, None), (2, ""), (None, item), (4, "x " * 60_000 + item.upper()), (4, item), (5, item[: len(item) // 2]), (6, "a short\tone, no"), (6, "a SHORT  one"), (6, "a SHORT  one"), (7, "ashort one")], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, None), (2, ""), (None, item), (4, "x " * 60_000 + item.upper()), (4, item), (5, item[: len(item) // 2]), (6, "a short\tone, no"),
+        (6, "a SHORT  one"), (6, "a SHORT  one"), (7, "ashort one")], "doc_id long, text string")
     got = sorted((r["doc_id"] or 0, r["item_id"], r["distance"]) for r in contaminations(docs, items).collect())
     assert got == [(0, 1, 0), (4, 1, 0), (4, 1, 0), (6, 4, 0), (6, 4, 0)]
     assert contaminations(docs.limit(0), items).collect() == [] == contaminations(docs, items.limit(0)).collect()

@@ -73,7 +73,8 @@ def test_nulls_repeats_and_empty_tables(spark):
 
 
 def test_kept_rows(spark):
-    rows = [(3, "a b c d", "u", "v"), (1, "A b c d", "u", "v"), (2, "x y z", "p", "q"), (2, "x y z", "p", "q"), (None, "x y z", None, None), (None, "x y z", None, None), (7, None, "", ""), (8, None, "", "")]
+    rows = [(3, "a b c d", "u", "v"), (1, "A b c d", "u", "v"), (2, "x y z", "p", "q"), (2, "x y z", "p", "q"), (None, "x y z", None, None), (None, "x y z", None, None),
+        (7, None, "", ""), (8, None, "", "")]
     kept = kept_rows(spark.createDataFrame(rows, SCHEMA), Settings(3, 85))
     assert kept.columns == ["doc_id", "text", "n_shingles", "component_id"]
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 0, 1, 2, 7, 8]
@@ -85,7 +86,8 @@ def test_repeated_ids_with_different_texts(spark):
     rows = [(3, t), (7, t), (7, u), (7, v), (7, u.upper()), (9, v), (5, "w x y z"), (5, None), (5, "")]
     df = spark.createDataFrame([(i, x, "", "") for i, x in rows], SCHEMA).repartition(4)
     got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicates(df, Settings(3, 85)).collect())
-    assert got == sorted([(3, 4, 3, True), (7, 4, 3, False), (7, 4, 7, True), (7, 4, 7, True), (7, 4, 7, True), (9, 4, 7, False), (5, 2, 5, True), (5, 0, 5, True), (5, 0, 5, True)])
+    assert got == sorted([(3, 4, 3, True), (7, 4, 3, False), (7, 4, 7, True), (7, 4, 7, True), (7, 4, 7, True), (9, 4, 7, False), (5, 2, 5, True), (5, 0, 5, True),
+        (5, 0, 5, True)])
     kept = sorted((r["doc_id"], r["text"] or "") for r in kept_rows(df, Settings(3, 85)).collect())
     assert kept == sorted([(3, t), (7, u.upper()), (7, v), (5, "w x y z"), (5, ""), (5, "")])
 

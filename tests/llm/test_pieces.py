@@ -8,7 +8,8 @@ import pytest
 from lintel.llm import pieces
 from lintel.llm.pieces import MARK, MODEL_PATH, Codec, Model, encode
 
-TINY = Model(("<unk>", "a", "b", "ab", "aba", f"{MARK}a", MARK, f"{MARK}{MARK}", "ba", "<0x41>"), (0, -2.0, -2.5, -3.0, -4.0, -2.2, -1.0, -1.5, -3.5, 0), (2, 1, 1, 1, 1, 1, 1, 1, 1, 6))
+TINY = Model(("<unk>", "a", "b", "ab", "aba", f"{MARK}a", MARK, f"{MARK}{MARK}", "ba", "<0x41>"), (0, -2.0, -2.5, -3.0, -4.0, -2.2, -1.0, -1.5, -3.5, 0),
+    (2, 1, 1, 1, 1, 1, 1, 1, 1, 6))
 
 
 def best_score(model, text):

@@ -57,7 +57,8 @@ def test_odd_rows_in_every_stage(spark, tmp_path):
     rng = random.Random(5)
     item, clean, other = words(rng, 30), words(rng, 70), words(rng, 80)
     long = " ".join(words(rng, 400) for _ in range(150))
-    docs = [(1, clean), (1, clean), (1, other), (2, clean.upper()), (None, clean), (None, clean), (3, None), (3, ""), (4, long), (5, long + " end"), (6, item), (6, words(rng, 40)), (None, item), (7, "x" * 100_000), (8, "password=7602ad27cf5550de1c"), (8, "password=7602ad27cf5550de1c")]
+    docs = [(1, clean), (1, clean), (1, other), (2, clean.upper()), (None, clean), (None, clean), (3, None), (3, ""), (4, long), (5, long + " end"), (6, item),
+        (6, words(rng, 40)), (None, item), (7, "x" * 100_000), (8, "password=7602ad27cf5550de1c"), (8, "password=7602ad27cf5550de1c")]
     docs = [(i, t, None if k % 3 else "en", None if k % 2 else "src", None if k % 5 else 3) for k, (i, t) in enumerate(docs)]
     sf = folder(spark, tmp_path, docs, [(1, None, None), (None, 1, 1)], [(1, item), (None, "x"), (2, None), (3, "")])
     df = spark.read.parquet(f"{sf}/documents.parquet")

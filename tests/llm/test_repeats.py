@@ -61,7 +61,8 @@ def corpus(rng, n):
 
 
 def test_against_brute_force(spark):
-    rows = corpus(random.Random(6), 160) + [(None, "z" * 80), (1001, "z" * 80), (1002, "z" * 81), (1002, "z" * 81), (-4, None), (-3, ""), (1003, "\x00" * 70), (1004, "\x00" * 60)]
+    rows = corpus(random.Random(6), 160) + [(None, "z" * 80), (1001, "z" * 80), (1002, "z" * 81), (1002, "z" * 81), (-4, None), (-3, ""), (1003, "\x00" * 70),
+        (1004, "\x00" * 60)]
     assert result(run(spark, rows, Settings())) == brute(rows, 50)
     assert result(run(spark, rows, Settings(hot=3))) == brute(rows, 50)  # shared anchors window by window
 

@@ -53,14 +53,16 @@ def test_training_rows_are_bounded_and_the_same_for_any_partitioning(spark):
     twice = [(i, t) for i, t, _ in rows] + [(i, "zz " + t) for i, t, _ in rows[:50]] + [(i, None) for i, _, _ in rows[50:60]]
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
     found = [toxicity.training_rows(spark.createDataFrame(part, "doc_id long, text string").repartition(n), labels) for part, n in ((twice, 1), (twice[::-1], 7))]
-    assert found[0] == found[1] and len(found[0]) == len({t for i, t, _ in rows}) - sum(1 for r in spark.createDataFrame(rows, "doc_id long, text string, y int").where(toxicity.held_out(F.col("doc_id"))).collect())
+    assert found[0] == found[1] and len(found[0]) == len({t for i, t, _ in rows}) - sum(1 for r
+        in spark.createDataFrame(rows, "doc_id long, text string, y int").where(toxicity.held_out(F.col("doc_id"))).collect())
     some = toxicity.training_rows(spark.createDataFrame(twice, "doc_id long, text string"), labels, chars=2000)
     assert 0 < sum(len(t) for t, _ in some) <= 2000 and set(some) <= set(found[0])
     assert len(toxicity.training_rows(spark.createDataFrame(twice, "doc_id long, text string"), labels, chars=1)) == 1
 
 
 def test_odd_rows(spark):
-    docs = spark.createDataFrame([(1, None), (2, ""), (None, "BLARG you. Fine."), (3, "word " * 40_000), (3, "word"), (4, "İstanbul blarg!\nok")], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, None), (2, ""), (None, "BLARG you. Fine."), (3, "word " * 40_000), (3, "word"), (4, "İstanbul blarg!\nok")],
+        "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0), (None, 1), (3, None), (9, 1)], "doc_id long, toxic int")
     for model in (toxicity.train(docs, labels), toxicity.train(docs.limit(0), labels.limit(0)), toxicity.fit([(t, y) for _, t, y in made(400)])):
         got = toxicity.score(docs, model).collect()

@@ -26,7 +26,8 @@ def test_against_all_rules(spark):
     paths = ["/", "/en/", "/en/x", "/e", "/en", "", "/fr/é", "/en/x/y"]
     rules = [(h, p, "block" if (len(h) + len(p)) % 2 else "allow") for h in hosts[:6] for p in paths if rng.random() < 0.5]
     pages = [(i, f"{rng.choice(['http', 'https'])}://{rng.choice(['', 'www.', 'B.', 'x-'])}{rng.choice(hosts).upper() if rng.random() < 0.3 else rng.choice(hosts)}{rng.choice([*paths, '/en/x?q=/en/', '#/en/', '?x'])}") for i in range(400)]
-    pages += [(500, None), (501, ""), (502, "no scheme"), (503, "://"), (504, "http://"), (505, "http://net"), (506, "http://net\n/en/"), (507, "a://b://c/en/"), (None, "http://a.net/"), (508, "http://a.net/en/" + "z" * 60_000)]
+    pages += [(500, None), (501, ""), (502, "no scheme"), (503, "://"), (504, "http://"), (505, "http://net"), (506, "http://net\n/en/"), (507, "a://b://c/en/"),
+        (None, "http://a.net/"), (508, "http://a.net/en/" + "z" * 60_000)]
     pages += [pages[3]] * 3
     df = spark.createDataFrame([(i, u, "h", "p", "r") for i, u in pages], "page_id long, url string, host string, path string, rule string").repartition(3)
     got = urls.judge_urls(df, spark.createDataFrame(rules, SCHEMA)).collect()
@@ -42,7 +43,8 @@ def test_nested_rules_in_several_sweeps(spark, monkeypatch):
     rules = [(h, p, v) for (h, p), v in {(h, p): v for h, p, v in rules}.items()] + [(f"h{k}.com", "/", "block") for k in range(50)]
     pages = [(i, f"http://{rng.choice(['net', 'x.net', 'h7.com', 'other.org'])}/{''.join(rng.choice('abc') for _ in range(rng.randint(0, 8)))}") for i in range(900)]
     got = urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(rules, SCHEMA)).collect()
-    assert sorted((r["page_id"], r["host"], r["path"], r["rule"] or "", r["verdict"]) for r in got) == sorted((i, h, p, r or "", v) for i, u in pages for h, p, r, v in [brute(u, rules)])
+    assert sorted((r["page_id"], r["host"], r["path"], r["rule"] or "", r["verdict"]) for r in got) == sorted((i, h, p, r or "", v) for i, u in pages for h, p, r, v
+        in [brute(u, rules)])
 
 
 def test_many_copies_of_a_row(spark):

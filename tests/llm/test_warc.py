@@ -26,7 +26,8 @@ def brute(rows):
 def test_read_back(spark):
     big = "<p>é" + "x" * 200_000
     rows = [(k, f"http://a.net/{k}", f"<html>page {k % 23} " + "word " * (k % 40) + "</html>") for k in range(300)]
-    rows += [(1000, None, None), (1001, "", ""), (1002, "http://b/ \r\nInjected: x", "short"), (1003, "u", "short"), (1005, "é", big), (1004, "v", big), (None, "w", big), (None, None, None), (1006, "x", "\r\n\r\nWARC/1.1\r\n" * 20)]
+    rows += [(1000, None, None), (1001, "", ""), (1002, "http://b/ \r\nInjected: x", "short"), (1003, "u", "short"), (1005, "é", big), (1004, "v", big), (None, "w", big),
+        (None, None, None), (1006, "x", "\r\n\r\nWARC/1.1\r\n" * 20)]
     df = spark.createDataFrame([(*r, "d", "t") for r in rows], SCHEMA).repartition(3)
     manifest, folder = warc.archive(df)
     got = warc.read_archives(manifest, folder)
@@ -37,7 +38,8 @@ def test_read_back(spark):
 
 
 def test_file_layout(spark):
-    df = spark.createDataFrame([(k, f"http://a.net/{k}", f"<html>the page number {k} " + "some words " * 30 + "</html>") for k in range(200)], "page_id long, url string, html string").coalesce(1)
+    df = spark.createDataFrame([(k, f"http://a.net/{k}", f"<html>the page number {k} " + "some words " * 30 + "</html>") for k in range(200)],
+        "page_id long, url string, html string").coalesce(1)
     manifest, folder = warc.archive(df)
     store, _ = fs.FileSystem.from_uri(folder)
     for r in manifest.collect():
