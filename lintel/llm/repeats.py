@@ -16,9 +16,13 @@ which depends on the window alone. Runs of windows with one anchor go to the blo
    smallest doc_id that each window starts in, and returns it.
 4. Batches mark what is covered.
 
+Messages are sent by packs, a few batches that one task made, so that there are as many as packs times blocks; and
+groups and blocks are as many as keep them small, but no more than a multiple of the shuffle partitions, so that
+messages grow in proportion to the input. Beyond that a group or block is worked through in parts.
+
 Anchors in very many documents would overload a block by their differing surroundings, so their runs
 are sent window by window, dealt by the window's own hash. Messages are compressed arrays, a row for
-each batch and block, so the number of rows that move is small and no key gathers many of them.
+each pack and block.
 """
 
 from __future__ import annotations
@@ -34,13 +38,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, shuffle_partitions, written
+from .common import release, shuffle_partitions, tidy, written
 from .shingles import _SYMBOL, mix, powers
 
 #: Bytes of a k-gram; long enough to be rare by chance.
 GRAM = 20
 #: Bytes of text in a batch; a longer text is a batch of its own.
 BATCH_BYTES = 3 << 20
+#: Batches of a pack, and groups or blocks at most for each shuffle partition.
+PACK, MOST_PARTS = 8, 16
 #: Entries that a step-2 group, bytes that a block should have at most.
 GROUP_ENTRIES, BLOCK_BYTES = 2_000_000, 2 << 20
 #: Anchors in more documents than this are dealt by window.
@@ -186,7 +192,7 @@ class Segments:
     first: np.ndarray
     of: np.ndarray
 
-    def messages(self, blocks: int) -> Iterator[tuple[int, bytes]]:
+    def messages(self, blocks: int) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
         """For each block its strings, the least doc_id that they occur in, how far the greatest is from it,
         and a byte of the anchor's hash."""
         if not len(self.first):
@@ -200,7 +206,7 @@ class Segments:
         block = (h % np.uint64(blocks)).astype(np.int64)
         for b, which in parts(block):
             text = self.batch.raw[ranges(start[which], length[which])]
-            yield b, pack(text, length[which].astype(np.int32), low[which], (high - low)[which], (h[which] >> np.uint64(8 * HASH_BYTES - 8)).astype(np.uint8))
+            yield b, (text, length[which].astype(np.int32), low[which], (high - low)[which], (h[which] >> np.uint64(8 * HASH_BYTES - 8)).astype(np.uint8))
 
     def block_members(self, blocks: int) -> dict[int, np.ndarray]:
         return dict(parts((self.runs.hash[self.first] % np.uint64(blocks)).astype(np.int64)))
@@ -334,20 +340,25 @@ def solve(messages: list[tuple[str, bytes]], size: int) -> list[tuple[str, bytes
 
 # steps ----------------------------------------------------------------------------------------
 
-_MESSAGE = "batch string, part int, shared binary, hot binary, answer binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+_TOLD = "pack string, part int, shared binary, hot binary, n long"
 
 
 def batches(docs: DataFrame) -> DataFrame:
-    """(batch, blob): the texts as UTF-8, packed; materialised, because the names are given at random."""
+    """(pack, batch, blob): the texts as UTF-8, packed; materialised, because the names are given at random."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, size = [], [], 0
+        name, count, held = uuid.uuid4().hex, 0, 0
 
         def done() -> pa.RecordBatch:
-            blob = pack(np.array([i or 0 for i in ids], np.int64), np.array([i is not None for i in ids], np.uint8), np.array([len(t) for t in texts], np.int64),
-                np.frombuffer(b"".join(texts), np.uint8))
-            return pa.RecordBatch.from_pydict({"batch": [uuid.uuid4().hex], "blob": [blob]})
+            nonlocal name, count, held
+            if count == PACK or held + size > PACK * BATCH_BYTES:
+                name, count, held = uuid.uuid4().hex, 0, 0
+            count, held = count + 1, held + size
+            known = np.array([i is not None for i in ids], np.uint8)
+            blob = pack(np.array([i or 0 for i in ids], np.int64), known, np.array([len(t) for t in texts], np.int64), np.frombuffer(b"".join(texts), np.uint8))
+            return pa.RecordBatch.from_pydict({"pack": [name], "batch": [uuid.uuid4().hex], "blob": [blob]})
 
         for batch in it:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -361,44 +372,65 @@ def batches(docs: DataFrame) -> DataFrame:
         if texts:
             yield done()
 
-    return written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "batch string, blob binary"), "batches")
+    return written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), "pack string, batch string, blob binary"), "batches")
+
+
+def _messages(name: str, made: Iterator[tuple[int, bytes]]) -> pa.Table:
+    rows = list(made)
+    return pa.table({"pack": pa.array([name] * len(rows), pa.string()), "part": pa.array([g for g, _ in rows], pa.int32()), "blob": pa.array([m for _, m in rows], pa.binary())})
 
 
 def _shared(store: DataFrame, groups: int, settings: Settings) -> DataFrame:
-    """(batch, part, shared, hot, n): for each batch the hashes that several documents have."""
+    """(pack, part, shared, hot, n): for each pack the hashes that several documents have."""
 
     def send(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, found = "", []
+
+        def done() -> list[pa.RecordBatch]:
+            if not found:
+                return []
+            h, of = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+            n = np.minimum(np.bincount(of, np.concatenate([f[1] for f in found]), len(h)), 1 << 30).astype(np.int32)
+            return _messages(name, ((g, pack(h[w], n[w])) for g, w in parts((mix(h.copy()) % np.uint64(groups)).astype(np.int64)))).to_batches()
+
         for rows in it:
-            for name, blob in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                h, n = Batch(blob, settings).anchors()
-                made = [(g, pack(h[w], np.minimum(n[w], 1 << 30).astype(np.int32))) for g, w in parts((mix(h.copy()) % np.uint64(groups)).astype(np.int64))]
-                if made:
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(made)), pa.array([g for g, _ in made], pa.int32()),
-                        pa.array([b for _, b in made], pa.binary())], names=["batch", "part", "blob"])
+            for of, blob in zip(rows.column("pack").to_pylist(), rows.column("blob").to_pylist(), strict=True):
+                if of != name:
+                    yield from done()
+                    name, found = of, []
+                found.append(Batch(blob, settings).anchors())
+        yield from done()
 
     def meet(table: pa.Table) -> pa.Table:
-        names = table["batch"].to_pylist()
-        got = [unpack(b, np.uint64, np.int32) for b in table["blob"].to_pylist()]
-        h, n = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
-        values, of = np.unique(h, return_inverse=True)
-        docs = np.bincount(of, n, len(values))
+        names, blobs = table["pack"].to_pylist(), table["blob"].to_pylist()
         out: list[tuple] = []
-        k = 0
-        for name, (mine, _) in zip(names, got, strict=True):
-            count = docs[of[k : k + len(mine)]]
-            k += len(mine)
-            if (some := count > 1).any():
-                out.append((name, pack(mine[some]), pack((count[some] > settings.hot).astype(np.uint8)), int(some.sum())))
+        # a large group is worked through in parts, by bits of the hashes that did not choose the group
+        many = max(1, -(-sum(map(len, blobs)) // (GROUP_ENTRIES * HASH_BYTES)))
+        for k in range(many):
+            got = [unpack(b, np.uint64, np.int32) for b in blobs]
+            if many > 1:
+                got = [(h[w], n[w]) for h, n in got for w in [np.flatnonzero((h >> np.uint64(5)) % np.uint64(many) == k)]]
+            h, n = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
+            values, of = np.unique(h, return_inverse=True)
+            docs = np.bincount(of, n, len(values))
+            at = 0
+            for name, (mine, _) in zip(names, got, strict=True):
+                count = docs[of[at : at + len(mine)]]
+                at += len(mine)
+                if (some := count > 1).any():
+                    out.append((name, pack(mine[some]), pack((count[some] > settings.hot).astype(np.uint8)), int(some.sum())))
         part = table["part"][0].as_py() if len(names) else 0
-        return pa.table({"batch": pa.array([o[0] for o in out], pa.string()), "part": pa.array([part] * len(out), pa.int32()),
-            "shared": pa.array([o[1] for o in out], pa.binary()), "hot": pa.array([o[2] for o in out], pa.binary()), "n": pa.array([o[3] for o in out], pa.int64())})
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        kinds = (pa.string(), pa.binary(), pa.binary(), pa.int64())
+        pack_, shared, hot, n_ = (pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True))
+        return pa.table({"pack": pack_, "part": pa.array([part] * len(out), pa.int32()), "shared": shared, "hot": hot, "n": n_})
 
-    sent = store.mapInArrow(send, "batch string, part int, blob binary")
-    return written(sent.groupBy("part").applyInArrow(meet, "batch string, part int, shared binary, hot binary, n long"), "shared")
+    sent = store.select("pack", "blob").mapInArrow(tidy(send), "pack string, part int, blob binary")
+    return written(sent.groupBy("part").applyInArrow(meet, _TOLD), "shared")
 
 
 def _told(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The shared hashes of a batch, ascending, and which are hot."""
+    """The shared hashes of a pack, ascending, and which are hot."""
     rows = [(s, h) for s, h in zip(table["shared"].to_pylist(), table["hot"].to_pylist(), strict=True) if s is not None]
     if not rows:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint8)
@@ -408,43 +440,70 @@ def _told(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return shared[order], hot[order]
 
 
+def _in_order(table: pa.Table) -> list[bytes]:
+    """The blobs of a pack in the order of their batches' names, which counts strings for both sides of an answer."""
+    return [blob for _, blob in sorted(zip(table["batch"].to_pylist(), table["blob"].to_pylist(), strict=True))]
+
+
 def _answers(store: DataFrame, shared: DataFrame, blocks: int, settings: Settings) -> DataFrame:
-    """(batch, part, answer): what the blocks found for each batch."""
+    """(pack, part, answer): what the blocks found for each pack."""
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
-        made: list[tuple[int, bytes]] = []
-        for blob in left["blob"].to_pylist():
-            made += Batch(blob, settings).segments(*_told(right)).messages(blocks)
-        name = left["batch"][0].as_py() if left.num_rows else ""
-        return pa.table({"batch": pa.array([name] * len(made), pa.string()), "part": pa.array([b for b, _ in made], pa.int32()),
-            "blob": pa.array([m for _, m in made], pa.binary())})
+        told = _told(right)
+        made: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        for blob in _in_order(left):
+            for block, arrays in Batch(blob, settings).segments(*told).messages(blocks):
+                made.setdefault(block, []).append(arrays)
+        name = left["pack"][0].as_py() if left.num_rows else ""
+        return _messages(name, ((block, pack(*(np.concatenate(c) for c in zip(*several, strict=True)))) for block, several in made.items()))
 
     def meet(table: pa.Table) -> pa.Table:
-        out = solve(list(zip(table["batch"].to_pylist(), table["blob"].to_pylist(), strict=True)), settings.size) if table.num_rows else []
+        out = solve(list(zip(table["pack"].to_pylist(), table["blob"].to_pylist(), strict=True)), settings.size) if table.num_rows else []
         part = table["part"][0].as_py() if table.num_rows else 0
-        return pa.table({"batch": pa.array([n for n, _ in out], pa.string()), "part": pa.array([part] * len(out), pa.int32()),
-            "answer": pa.array([a for _, a in out], pa.binary())})
+        names, found = pa.array([n for n, _ in out], pa.string()), pa.array([a for _, a in out], pa.binary())
+        return pa.table({"pack": names, "part": pa.array([part] * len(out), pa.int32()), "answer": found})
+
+    sent = store.groupBy("pack").cogroup(shared.select("pack", "shared", "hot").groupBy("pack")).applyInArrow(send, "pack string, part int, blob binary")
+    return written(sent.groupBy("part").applyInArrow(meet, "pack string, part int, answer binary"), "answers")
+
+
+class Answers:
+    """What the blocks found for the strings of a pack, taken out batch by batch in order."""
+
+    def __init__(self, blobs: dict[int, bytes]):
+        self.found = {part: unpack(blob, np.int32, np.int64) for part, blob in blobs.items()}
+        self.strings, self.windows = dict.fromkeys(self.found, 0), dict.fromkeys(self.found, 0)
+
+    def take(self, part: int, which: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of a batch's strings in a block those that were answered, and the least doc_ids of their windows.
 
-    sent = store.groupBy("batch").cogroup(shared.select("batch", "shared", "hot").groupBy("batch")).applyInArrow(send, "batch string, part int, blob binary")
-    return written(sent.groupBy("part").applyInArrow(meet, "batch string, part int, answer binary"), "answers")
+        which: the strings of the batch in that block; count: the number of windows of each."""
+        if part not in self.found:
+            return which[:0], np.zeros(0, np.int64)
+        back, least = self.found[part]
+        begin = self.strings[part]
+        low, high = np.searchsorted(back, [begin, begin + len(which)])
+        some = back[low:high] - begin
+        at = self.windows[part]
+        end = at + int(count[some].sum())
+        self.strings[part], self.windows[part] = begin + len(which), end
+        return which[some], least[at:end]
 
 
-def removed_mask(batch: Batch, shared: np.ndarray, hot: np.ndarray, answers: dict[int, bytes], blocks: int) -> np.ndarray:
+def removed_mask(batch: Batch, shared: np.ndarray, hot: np.ndarray, answers: Answers, blocks: int) -> np.ndarray:
     """Which bytes of the batch go."""
     size = batch.settings.size
     change = np.zeros(len(batch.raw) + 1, np.int32)
     seg = batch.segments(shared, hot)
-    members = seg.block_members(blocks)
     found_at = np.full(len(seg.first), -1)
     found, base = [], 0
-    for part, blob in answers.items():
-        back, least = unpack(blob, np.int32, np.int64)
-        which = members[part][back]
+    for part, members in seg.block_members(blocks).items():
+        which, least = answers.take(part, members, seg.runs.count[seg.first[members]])
         count = seg.runs.count[seg.first[which]]
         found_at[which] = base + np.cumsum(count) - count
         found.append(least)
         base += len(least)
-    if found:
+    if base:
         least = np.concatenate(found)
         hit = np.flatnonzero(found_at[seg.of] >= 0)
         r = seg.runs.take(hit)
@@ -466,19 +525,19 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), texts: bool
     store = batches(docs)
     n = store.count()
     per = shuffle_partitions(spark)
-    groups = max(2 * per, -(-n * BATCH_BYTES // 15 // GROUP_ENTRIES))
+    groups = min(max(2 * per, -(-n * BATCH_BYTES // 15 // GROUP_ENTRIES)), MOST_PARTS * per)
     shared = _shared(store, groups, settings)
     release(spark)
     anchors = shared.agg(F.sum("n")).first()[0] or 0
-    blocks = max(2 * per, -(-anchors * 2 * settings.size // (2 * BLOCK_BYTES)))
+    blocks = min(max(2 * per, -(-anchors * 2 * settings.size // (2 * BLOCK_BYTES))), MOST_PARTS * per)
     answers = _answers(store, shared, blocks, settings)
     release(spark)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         cols: dict[str, list] = {c: [] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(("kept", "spans") if texts else ()))}
         told = _told(right)
-        answered = {p: a for p, a in zip(right["part"].to_pylist(), right["answer"].to_pylist(), strict=True) if a is not None}
-        for blob in left["blob"].to_pylist():
+        answered = Answers({p: a for p, a in zip(right["part"].to_pylist(), right["answer"].to_pylist(), strict=True) if a is not None})
+        for blob in _in_order(left):
             b = Batch(blob, settings)
             gone = removed_mask(b, *told, answered, blocks)
             begins = b.ends - b.sizes
@@ -500,8 +559,8 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), texts: bool
         kinds = [pa.int64()] * 4 + [pa.string()] + ([pa.binary(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))] if texts else [])
         return pa.table({c: pa.array(v, t) for (c, v), t in zip(cols.items(), kinds, strict=True)})
 
-    told = shared.select("batch", "part", "shared", "hot", F.lit(None).cast("binary").alias("answer")).unionByName(
-        answers.select("batch", "part", F.lit(None).cast("binary").alias("shared"), F.lit(None).cast("binary").alias("hot"), "answer")
+    told = shared.select("pack", "part", "shared", "hot", F.lit(None).cast("binary").alias("answer")).unionByName(
+        answers.select("pack", "part", F.lit(None).cast("binary").alias("shared"), F.lit(None).cast("binary").alias("hot"), "answer")
     )
     schema = RESULT + (", kept binary, spans array<struct<start:long,end:long>>" if texts else "")
-    return store.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(finish, schema)
+    return store.groupBy("pack").cogroup(told.groupBy("pack")).applyInArrow(finish, schema)

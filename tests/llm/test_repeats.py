@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 
+from lintel.llm import repeats
 from lintel.llm.repeats import Settings, boundaries, pack, remove_repeats, suffix_array, unpack
 
 SCHEMA = "doc_id long, text string, n_bytes string, spans string"
@@ -83,6 +84,29 @@ def test_long_text_and_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_many_packs_and_large_groups(spark, monkeypatch):
+    """Small batches and packs, groups that are worked through in parts, blocks that several batches of a pack write to."""
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 1500)
+    monkeypatch.setattr(repeats, "PACK", 3)
+    monkeypatch.setattr(repeats, "GROUP_ENTRIES", 40)
+    rows = corpus(random.Random(12), 150)
+    assert result(run(spark, rows, Settings())) == brute(rows, 50)
+    assert result(run(spark, rows, Settings(hot=3))) == brute(rows, 50)
+
+
+def test_messages_grow_with_the_input(spark, monkeypatch):
+    """Twice the documents are at most about twice the messages: parts are no more than the partitions allow."""
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 800)
+    monkeypatch.setattr(repeats, "GROUP_ENTRIES", 10)
+    counts = []
+    for n in (800, 1600):
+        rows = [(i, f"{i} " + "the same passage in every document, of more than fifty bytes. " * 2 + str(i * 7919) * 20) for i in range(n)]
+        store = repeats.batches(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
+        groups = min(max(8, store.count() * 800 // 15 // 10), repeats.MOST_PARTS * 4)
+        counts.append(repeats._shared(store, groups, Settings()).count())
+    assert counts[0] < counts[1] <= 2.3 * counts[0]
+
+
 def test_common_prefixes_of_neighbours():
     rng = np.random.default_rng(3)
     for n, size in ((3, 8), (400, 9), (2000, 12)):
