@@ -16,10 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
-
-#: URL keys of a host in one sweep, about; at most SWEEPS * shuffle partitions sweeps share a host.
-SWEEP_ROWS, SWEEPS = 1 << 17, 4
+#: URL keys of a host in one sweep, about, or as many as the host has rules: rules are copied no more than there are URLs.
+SWEEP_ROWS = 1 << 12
 #: Copies of a row that one array holds.
 COPIES = 4096
 
@@ -54,17 +52,18 @@ def judge_urls(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_c
     have empty host and path, null ids are kept, an empty rule table judges all rows by the default,
     further columns are ignored. Rules may be any number; they are neither collected nor broadcast by
     order, and are sorted with the URLs."""
-    most = SWEEPS * shuffle_partitions(urls.sparkSession)
     r = _rules(rules)
     rows = urls.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    keys = rows.select("*", F.explode(suffixes(F.col("host"))).alias("suffix")).join(r.select("suffix").distinct(), "suffix", "left_semi").distinct()
-    sweeps = keys.groupBy("suffix").agg(F.least(F.ceil(F.count(F.lit(1)) / SWEEP_ROWS), F.lit(most)).cast("int").alias("sweeps"))
+    keys = rows.select("*", F.explode(suffixes(F.col("host"))).alias("suffix"))
+    asked = keys.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"))
+    named = r.groupBy("suffix").agg(F.count(F.lit(1)).alias("rules"))
+    sweeps = asked.join(named, "suffix").select("suffix", F.ceil(F.col("n") / F.greatest(F.lit(SWEEP_ROWS), F.col("rules"))).cast("int").alias("sweeps"))
 
     # kind 0 pushes, 1 looks, 2 pops
     looks = keys.join(sweeps, "suffix").select(
-        "suffix", F.pmod(F.xxhash64("id", "host", "path"), F.col("sweeps")).cast("int").alias("salt"), F.encode("path", "UTF-8").alias("at"),
+        "suffix", F.pmod(F.xxhash64("id", "host", "path", F.spark_partition_id()), F.col("sweeps")).cast("int").alias("salt"), F.encode("path", "UTF-8").alias("at"),
         F.lit(1).alias("kind"), F.lit(0).alias("step"), F.lit(None).cast("struct<rule:string,verdict:string>").alias("active"),
-            F.struct("id", "host", "path").alias("row"),
+        F.struct("id", "host", "path").alias("row"),
     )
     begin, end = F.encode("path", "UTF-8"), F.concat(F.encode("path", "UTF-8"), F.unhex(F.lit("FF")))
     edges = F.array(
@@ -76,7 +75,8 @@ def judge_urls(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_c
     running = (Window.unboundedPreceding, Window.currentRow)
     sweep = Window.partitionBy("suffix", "salt").orderBy("at", "kind").rowsBetween(*running)
     slot = Window.partitionBy("suffix", "salt", "height").orderBy("at", "kind").rowsBetween(*running)
-    swept = looks.unionByName(marks, allowMissingColumns=True).withColumn("height", F.sum("step").over(sweep)).where("kind < 2 and height > 0")
+    events = looks.unionByName(marks, allowMissingColumns=True).repartition("suffix", "salt")  # else a shuffle by suffix would do
+    swept = events.withColumn("height", F.sum("step").over(sweep)).where("kind < 2 and height > 0")
     top = swept.withColumn("top", F.last("active", ignorenulls=True).over(slot)).where("kind = 1").select("row.*", "top", "suffix", F.lit(0).alias("n"))
 
     every = rows.select("*", F.lit(None).cast("struct<rule:string,verdict:string>").alias("top"), F.lit(None).cast("string").alias("suffix"), F.lit(1).alias("n"))
