@@ -1,7 +1,9 @@
-"""Toxicity on made-up documents: held-out accuracy, places of offences, odd rows."""
+"""Toxicity on made-up documents and on the given ones: held-out accuracy, places of offences, odd rows."""
 
+import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lintel.llm import toxicity
@@ -39,6 +41,16 @@ def test_held_out_accuracy_and_places(spark):
                 assert any(b in r["text"][o["start"] : o["end"]].lower() for b in BAD)
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no tables")
+def test_held_out_rows_of_the_given_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    held = docs.join(labels.where(toxicity.held_out(F.col("doc_id"))), "doc_id").select("doc_id", "text", "toxic")
+    got = toxicity.score(held, model).select("toxic", (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("said"))
+    n = {(r["toxic"], r["said"]): r["count"] for r in got.groupBy("toxic", "said").count().collect()}
+    assert n[1, 1] >= 0.88 * (n[1, 1] + n.get((1, 0), 0)) and n[1, 1] >= 0.85 * (n[1, 1] + n.get((0, 1), 0))
+
+
 def test_labels_of_held_out_rows_are_not_learnt(spark):
     rows = made(300, 8)
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
