@@ -211,7 +211,12 @@ def renormalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corr.renormalized(b).select("building_id", "norm_name", "norm_address", "renewed")
 
 
-_NAMES = "<article class='property-card'><h2>棟{0} 101号室</h2><a href='/mansion/{0}'>館{0}</a><a href='/mansion/{0}'>詳細</a><dl><dt>賃料</dt><dd>{0}5万円</dd><dt>面積</dt><dd>2{0}.5㎡</dd></dl><div>間取り： 1K</div></article><script>var d = {\"list\": [{\"name\": \"庭{0}\", \"price\": {0}}, {\"name\": \"賃貸{0}\"}], \"address\": \"町{0}\", \"pad\": \"------------------------------------------------------------\"};</script>"
+_NAMES = (
+    "<article class='property-card'><h2>棟{0} 101号室</h2><a href='/mansion/{0}'>館{0}</a><a href='/mansion/{0}'>詳細</a>"
+    '<dl><dt>賃料</dt><dd>{0}5万円</dd><dt>面積</dt><dd>2{0}.5㎡</dd></dl><div>間取り： 1K</div></article>'
+    '<script>var d = {"list": [{"name": "庭{0}", "price": {0}}, {"name": "賃貸{0}"}],'
+    ' "address": "町{0}", "pad": "------------------------------------------------------------"};</script>'
+)
 
 
 def _named_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
