@@ -100,6 +100,13 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return tidied
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt out anew where it comes in no more partitions than there are cores, as small files of one row group do:
+    else a few tasks would do all the work on texts. Larger inputs are left as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() > cores else df.repartition(2 * cores)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of data frames that are no longer referenced."""
     gc.collect()

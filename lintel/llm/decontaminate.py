@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, tidy, written
+from .common import scratch, spread, tidy, written
 from .shingles import mix
 
 #: Items of fewer characters are looked for exactly.
@@ -49,7 +49,7 @@ RECALL, MAX_WALKS = 0.995, 24
 #: Items, and edited passages of them, on which the walks are counted.
 SAMPLE_ITEMS, TRIALS = 256, 1500
 #: The filter has at least FILTER_BITS bits a key, of which six are set, but at most 1 << MOST_BITS in all (64 MB).
-FILTER_BITS, MOST_BITS = 64, 29
+FILTER_BITS, MOST_BITS = 32, 29
 #: Bits of a key, and of a hash of it, from these on are its places in the filter.
 SHIFTS = (0, 17, 34)
 #: Characters of the q-grams that a candidate must share before it is verified.
@@ -461,7 +461,7 @@ def _found(docs: DataFrame, bits: np.ndarray, plan: Plan) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.length("text").cast("long").alias("size"),
         "text").where("size > 0")
-    return written(rows.mapInArrow(tidy(run), _FOUND), "stretches")
+    return written(spread(rows).mapInArrow(tidy(run), _FOUND), "stretches")
 
 
 def _verified(found: DataFrame, keys: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:

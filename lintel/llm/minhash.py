@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release, scratch, tidy, written
+from .common import release, scratch, spread, tidy, written
 from .shingles import common, mix, shingle_sets
 
 BINS = 128
@@ -85,7 +85,7 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *made], names=["doc_id", "hash", "n_shingles", "digest", "sketch", "bands"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(tidy(run), "doc_id long, hash long, n_shingles long, digest binary, sketch binary, bands array<long>")
+    return spread(texts).mapInArrow(tidy(run), "doc_id long, hash long, n_shingles long, digest binary, sketch binary, bands array<long>")
 
 
 def estimated(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import tidy
+from .common import spread, tidy
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -315,4 +315,5 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), values), pa.array([len(x) for x in ids], pa.int64()),
                     pa.array(same)], names=[id_col, "ids", "n_tokens", "round_trip"])
 
-    return docs.select(F.col(id_col).cast("long").alias(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(tidy(run), schema)
+    rows = docs.select(F.col(id_col).cast("long").alias(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return spread(rows).mapInArrow(tidy(run), schema)

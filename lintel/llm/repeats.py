@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, shuffle_partitions, tidy, written
+from .common import release, shuffle_partitions, spread, tidy, written
 from .shingles import _SYMBOL, mix, powers
 
 #: Bytes of a k-gram; long enough to be rare by chance.
@@ -372,7 +372,7 @@ def batches(docs: DataFrame) -> DataFrame:
         if texts:
             yield done()
 
-    return written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), "pack string, batch string, blob binary"), "batches")
+    return written(spread(docs.select(F.col("doc_id").cast("long"), "text")).mapInArrow(tidy(run), "pack string, batch string, blob binary"), "batches")
 
 
 def _messages(name: str, made: Iterator[tuple[int, bytes]]) -> pa.Table:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import tidy
+from .common import spread, tidy
 
 #: The model is fitted on at most so many labelled documents, chosen by a hash of their id ...
 TRAIN_DOCS = 8000
@@ -180,7 +180,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([x for x, _ in found], pa.float64()), pa.array(spans, pa.list_(offence))],
                     names=[*part.schema.names, "toxicity", "offences"])
 
-    return docs.mapInArrow(tidy(run), schema)
+    return spread(docs).mapInArrow(tidy(run), schema)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
