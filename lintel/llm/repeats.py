@@ -46,7 +46,7 @@ GRAM = 20
 #: Bytes of text in a batch; a longer text is a batch of its own.
 BATCH_BYTES = 3 << 20
 #: Batches of a pack, and groups or blocks at most for each shuffle partition.
-PACK, MOST_PARTS = 8, 16
+PACK, MOST_PARTS = 4, 256
 #: Entries that a step-2 group, bytes that a block should have at most.
 GROUP_ENTRIES, BLOCK_BYTES = 2_000_000, 2 << 20
 #: Anchors in more documents than this are dealt by window.

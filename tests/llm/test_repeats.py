@@ -98,6 +98,7 @@ def test_messages_grow_with_the_input(spark, monkeypatch):
     """Twice the documents are at most about twice the messages: parts are no more than the partitions allow."""
     monkeypatch.setattr(repeats, "BATCH_BYTES", 800)
     monkeypatch.setattr(repeats, "GROUP_ENTRIES", 10)
+    monkeypatch.setattr(repeats, "MOST_PARTS", 16)
     counts = []
     for n in (800, 1600):
         rows = [(i, f"{i} " + "the same passage in every document, of more than fifty bytes. " * 2 + str(i * 7919) * 20) for i in range(n)]
