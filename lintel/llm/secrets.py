@@ -166,14 +166,15 @@ def made_findings(spark: SparkSession, n: int = MADE_FINDINGS) -> DataFrame:
         ("0", neutral, F.concat_ws(".", F.substring(number, 1, 3), F.substring(number, 4, 2), F.substring(number, 6, 2), F.substring(number, 8, 3)), closing),
         ("0", neutral, F.concat(letters(h[0], 6), F.lit("-"), letters(h[1], 7)), closing),
     ]
-    kind = F.col("id") % len(cases)
-    def choose(k):
-        return reduce(lambda rest, i: F.when(kind == i, cases[i][k]).otherwise(rest), range(len(cases)), F.lit(None).cast("string"))
-
     path = pick(h[5], "src0", "src7", "web/page", "app/config.yml", "repo/tests/test_api.py", "docs/readme", ".env")
-    label = reduce(lambda rest, i: F.when(kind == i, float(cases[i][0])).otherwise(rest), range(len(cases)), F.lit(0.0))
-    return spark.range(n, numPartitions=2).select(path.alias("path"), F.substring(choose(1), -CONTEXT, CONTEXT).alias("before"), choose(2).alias("candidate"),
-        choose(3).alias("after"), label.alias("label"))
+
+    def made(i: int) -> DataFrame:
+        """The rows of one case; one expression over all cases would be too long to be compiled."""
+        label, before, candidate, after = cases[i]
+        rows = spark.range(i, n, len(cases), numPartitions=1)
+        return rows.select(path.alias("path"), F.substring(before, -CONTEXT, CONTEXT).alias("before"), candidate.alias("candidate"), after.alias("after"), F.lit(float(label)).alias("label"))
+
+    return reduce(DataFrame.unionByName, map(made, range(len(cases)))).coalesce(2)
 
 
 def train(findings: DataFrame) -> RandomForestClassificationModel:
