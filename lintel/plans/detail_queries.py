@@ -391,7 +391,7 @@ ORACLE_SQL = {
     "renormalized": "select s_suppkey as building_id, case when s_suppkey % 3 = 0 then 'old' else s_name || ' AB館' end as norm_name, '北九州市小倉北区町' || (s_suppkey % 9) || '-二十' || (1 + s_suppkey % 8) || '-5' as norm_address, true as renewed from supplier",
     "page_names": f"select page_id, '館' || {_DIGIT} || '|棟' || {_DIGIT} || '|庭' || {_DIGIT} as names from pages",
     "page_json": f"""
-        select page_id, r as "row", case r when 0 then 'address' when 1 then 'pad' when 2 then 'name' when 3 then 'price' else 'name' end as key,
+        select page_id, r::int as "row", case r when 0 then 'address' when 1 then 'pad' when 2 then 'name' when 3 then 'price' else 'name' end as key,
                case r when 0 then '町' || {_DIGIT} when 1 then repeat('-', 60) when 2 then '庭' || {_DIGIT} when 3 then {_DIGIT}::varchar else '賃貸' || {_DIGIT} end as value
                    from pages, range(5) t(r)""",
     "page_card_facts": f"select page_id, ({_DIGIT} * 10 + 5)::bigint * 10000 as price_min, ({_DIGIT} * 10 + 5)::bigint * 10000 as price_max, ({_DIGIT} * 10 + 5)::bigint * 10000 as price_avg, 20.5::double + {_DIGIT} as area_min, 20.5::double + {_DIGIT} as area_max, '1K' as layouts from pages",
