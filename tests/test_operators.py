@@ -258,6 +258,23 @@ def test_rounds_of_ingest_do_not_grow_with_the_rows_of_a_building(spark, monkeyp
     assert len(calls) <= 4
 
 
+def one_building(spark, monkeypatch):
+    """Outcome and rows of a building whose first row alone has another address, and the rounds it took."""
+    calls = []
+    monkeypatch.setattr(ingest, "match_rows", lambda *a, f=ingest.match_rows, **b: calls.append(1) or f(*a, **b))
+    raw = [(i, "ulucks", "西西西西西", f"北九州市小倉北区町1-{1 + (i > 0)}-5", f"e{i}") for i in range(9)]
+    rows = ingest.incoming(spark.createDataFrame(raw, "row_no long, category string, building_name string, address string, evidence_id string"))
+    b = spark.createDataFrame([], "building_id string, norm_name string, norm_address string")
+    return ingest.ingest(rows, b, b.select("building_id", "norm_name"), spark.createDataFrame([], "alias_key string, canonical_key string")), rows, len(calls)
+
+
+def test_review_of_one_building_in_few_rounds(spark, monkeypatch):
+    out, rows, rounds = one_building(spark, monkeypatch)
+    q = ingest.review(out, rows, "s").collect()
+    assert sorted(r["source_id"] for r in q) == [f"e{i}" for i in range(1, 9)] and {r["queue"] for r in q} == {"unmatched"}
+    assert rounds <= 4
+
+
 def test_corrections(spark):
     schema = "row_no long, status string, action string, target_building_name string, target_address string, field string, old_value string, new_value string, note string, error_type string"
     b = spark.createDataFrame([("1", "A", "町1", "a", "町1", 0), ("2", "B", "町2", "b", "町2", 0), ("3", "B", "町3", "b", "町3", 0)],
