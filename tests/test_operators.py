@@ -275,6 +275,12 @@ def test_review_of_one_building_in_few_rounds(spark, monkeypatch):
     assert rounds <= 4
 
 
+def test_counters_of_one_building_in_few_rounds(spark, monkeypatch):
+    out, _, rounds = one_building(spark, monkeypatch)
+    assert ingest.counters(out).first().asDict() == {"attached": 1, "auto_seeded": 1, "auto_seed_blocked": 8, "suspects": 0, "unresolved": 8}
+    assert rounds <= 4
+
+
 def test_corrections(spark):
     schema = "row_no long, status string, action string, target_building_name string, target_address string, field string, old_value string, new_value string, note string, error_type string"
     b = spark.createDataFrame([("1", "A", "町1", "a", "町1", 0), ("2", "B", "町2", "b", "町2", 0), ("3", "B", "町3", "b", "町3", 0)],
