@@ -292,6 +292,15 @@ def test_review_reads_kept_rows(spark, tmp_path):
     assert q.inputFiles() and not any(f"{tmp_path}/raw" in f for f in q.inputFiles())
 
 
+def test_steps_of_ingest_release_what_was_run(spark, monkeypatch):
+    written, released = [], []
+    monkeypatch.setattr(ingest._Steps, "kept", lambda s, df, f=ingest._Steps.kept: written.append(1) or f(s, df))
+    monkeypatch.setattr(ingest._Steps, "release", lambda s, f=ingest._Steps.release: released.append(len(written)) or f(s))
+    out, _, _ = one_building(spark, monkeypatch)
+    assert ingest.counters(out).first()["attached"] == 1
+    assert set(released) == set(range(1, len(written) + 1))
+
+
 def test_corrections(spark):
     schema = "row_no long, status string, action string, target_building_name string, target_address string, field string, old_value string, new_value string, note string, error_type string"
     b = spark.createDataFrame([("1", "A", "町1", "a", "町1", 0), ("2", "B", "町2", "b", "町2", 0), ("3", "B", "町3", "b", "町3", 0)],
