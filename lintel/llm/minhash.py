@@ -31,6 +31,8 @@ BINS = 128
 MARGIN = 0.15
 #: Rows and shingles of a bucket that one task compares with others at a time.
 BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
+#: Edges of a graph whose components one task finds; those of larger graphs are found in rounds.
+EDGES_AT_ONCE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -125,10 +127,37 @@ def confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFra
     return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(tidy(run), "a long, b long")
 
 
+def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the edges (a, b), ascending, and the least node that each reaches."""
+    node, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root, x, y = np.arange(len(node)), at[: len(a)], at[len(a) :]
+    while len(x):
+        u, v = root[x], root[y]
+        apart = u != v
+        x, y, u, v = x[apart], y[apart], u[apart], v[apart]
+        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
+        while (root != (further := root[root])).any():
+            root = further
+    return node, node[root]
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of all nodes of the edges (a, b): alternating large-star and small-star steps.
+    """(node, component) of all nodes of the edges (a, b), which should be written: they are read twice.
+
+    Graphs of up to EDGES_AT_ONCE edges are one task, as each of many rounds costs all partitions of several plans.
+    Larger ones take alternating large-star and small-star steps: every step is written and read again; minima are
+    written first, so that joins on hot nodes can be split."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        if found:
+            node, component = roots(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(component)], names=["node", "component"])
+
+    if edges.count() <= EDGES_AT_ONCE:
+        few = edges.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long"))
+        return few.repartition(1).mapInArrow(tidy(run), "node long, component long")
 
-    Every step is written and read again; minima are written first, so that joins on hot nodes can be split."""
     def star(e: DataFrame) -> DataFrame:
         """Neighbours of each node linked to the least of them."""
         least = written(e.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+from lintel.llm import minhash
 from lintel.llm.minhash import Settings, components, kept_rows, near_duplicates, sketch
 from lintel.llm.shingles import shingle_sets
 
@@ -99,6 +100,25 @@ def test_components_of_a_chain(spark):
     assert got == {**{i: 0 for i in range(41)}, 50: 50, 70: 50, 100: 50}
 
 
+def test_components_in_one_task_or_in_rounds(spark, monkeypatch):
+    rng = random.Random(4)
+    edges = [(rng.randrange(150), rng.randrange(150)) for _ in range(100)] + [(i, i + 1) for i in range(500, 530)]
+    root = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in root:
+        for a, b in edges:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    df = spark.createDataFrame(edges, "a long, b long").cache()
+    steps, write = [], minhash.written
+    monkeypatch.setattr(minhash, "written", lambda df, what: steps.append(what) or write(df, what))
+    assert {r["node"]: r["component"] for r in components(df).collect()} == root
+    assert not steps
+    monkeypatch.setattr(minhash, "EDGES_AT_ONCE", 0)
+    assert {r["node"]: r["component"] for r in components(df).collect()} == root
+    assert steps
+    assert not components(df.where("a < 0")).collect()
+
+
 def test_sketch_is_full_and_estimates():
     rng = np.random.default_rng(5)
     for n in (1, 2, 7, 40, 900):
