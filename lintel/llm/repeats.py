@@ -49,6 +49,8 @@ BATCH_BYTES = 3 << 20
 PACK, MOST_PARTS = 4, 256
 #: Entries that a step-2 group, bytes that a block should have at most.
 GROUP_ENTRIES, BLOCK_BYTES = 2_000_000, 2 << 20
+#: Bytes of a part of a block that are sorted at a time, bytes of a batch that are hashed at a time.
+PART_BYTES, STRIDE = 1 << 17, 1 << 14
 #: Anchors in more documents than this are dealt by window.
 HOT_DOCS = 20_000
 HASH_BYTES = 6
@@ -106,8 +108,12 @@ class Runs:
 
 
 def sums(raw: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_SYMBOL[raw] * powers(len(raw)), out=out[1:])
+    out, power = np.zeros(len(raw) + 1, np.uint64), powers(len(raw))
+    for k in range(0, len(raw), STRIDE):
+        part = _SYMBOL[raw[k : k + STRIDE]]
+        part *= power[k : k + STRIDE]
+        part[:1] += out[k : k + 1]
+        np.cumsum(part, out=out[k + 1 : k + 1 + len(part)])
     return out
 
 
@@ -122,24 +128,36 @@ def runs(total: np.ndarray, ends: np.ndarray, part: np.ndarray, size: int) -> Ru
     n = len(total) - 1
     if n < size:
         return Runs(empty, empty, empty, empty.view(np.uint64))
-    gram = mix((total[GRAM:] - total[:-GRAM]) * powers(n + 1, "inverse")[: n - GRAM + 1] + np.uint64(GRAM))
-    v = gram >> np.uint64(32) << np.uint64(32)
-    v |= np.arange(len(v), dtype=np.uint64)
-    width, have = size - GRAM + 1, 1
-    while have * 2 <= width:
-        v, have = np.minimum(v[:-have], v[have:]), have * 2
-    if have < width:
-        v = np.minimum(v[: len(v) - (width - have)], v[width - have :])
-    anchor = (v & np.uint64(0xFFFFFFFF)).astype(np.int64)
     begins = np.concatenate([[0], ends[:-1]])
-    room = np.maximum(ends - begins - size + 1, 0) * part
-    window = ranges(begins, room)
-    if not len(window):
-        return Runs(empty, empty, empty, empty.view(np.uint64))
-    doc = np.repeat(np.arange(len(ends)), room)
-    a = anchor[window]
-    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (doc[1:] != doc[:-1])]))
-    return Runs(doc[first], window[first], np.diff(np.append(first, len(window))), gram[a[first]] >> np.uint64(64 - 8 * HASH_BYTES))
+    inverse, width, last = powers(n + 1, "inverse"), size - GRAM + 1, n - size + 1
+    places, hashes = [], []
+    # a stride at a time, so that what is worked on stays in the processor's cache
+    for k in range(0, last, STRIDE):
+        low, high = max(k - 1, 0), min(k + STRIDE, last)  # windows; the one before tells whether an anchor is new
+        to = high + width - 1
+        gram = total[low + GRAM : to + GRAM] - total[low:to]
+        gram *= inverse[low:to]
+        gram += np.uint64(GRAM)
+        gram = mix(gram)
+        v = gram >> np.uint64(32)
+        v <<= np.uint64(32)
+        v |= np.arange(len(v), dtype=np.uint64)
+        have = 1
+        while have * 2 <= width:
+            v, have = np.minimum(v[:-have], v[have:]), have * 2
+        if have < width:
+            v = np.minimum(v[: len(v) - (width - have)], v[width - have :])
+        new = np.concatenate([[k == 0], v[1:] != v[:-1]])
+        new[begins[slice(*np.searchsorted(begins, [k, high]))] - low] = True
+        at = np.flatnonzero(new)
+        places.append(at + low)
+        hashes.append(gram[(v[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)])
+    start, h = np.concatenate(places), np.concatenate(hashes)
+    doc = np.repeat(np.arange(len(ends)), np.diff(np.searchsorted(start, np.append(begins, n))))
+    limit = (ends - size + 1)[doc]
+    inside = (start < limit) & part[doc]
+    start, h, doc, limit = start[inside], h[inside], doc[inside], limit[inside]
+    return Runs(doc, start, np.minimum(limit, np.append(start[1:], n)) - start, h >> np.uint64(64 - 8 * HASH_BYTES))
 
 
 class Batch:
@@ -321,8 +339,8 @@ def solve(messages: list[tuple[str, bytes]], size: int) -> list[tuple[str, bytes
     windows = length[first] - size + 1
     at = np.cumsum(windows) - windows
     found = np.empty(int(windows.sum()), np.int64)
-    # windows with different anchors differ, so that blocks with many strings are solved in parts
-    many = max(1, -(-int(length[first].sum()) // BLOCK_BYTES))
+    # windows with different anchors differ, so that blocks are solved in parts, small enough for the processor's cache
+    many = max(1, -(-int(length[first].sum()) // PART_BYTES))
     for _, which in parts(tag[first].astype(np.int64) % many):
         some = first[which]
         found[ranges(at[which], windows[which])] = least_documents(text[ranges(start[some], length[some])], length[some], least[which], size)
@@ -509,8 +527,9 @@ def removed_mask(batch: Batch, shared: np.ndarray, hot: np.ndarray, answers: Ans
         r = seg.runs.take(hit)
         window = ranges(r.start, r.count)
         earlier = least[ranges(found_at[seg.of[hit]], r.count)] < np.repeat(batch.ids[r.doc], r.count)
-        np.add.at(change, window[earlier], 1)
-        np.add.at(change, window[earlier] + size, -1)
+        window = window[earlier]  # each window is in one run
+        change[window] += 1
+        change[window + size] -= 1
     return np.cumsum(change[:-1]) > 0
 
 

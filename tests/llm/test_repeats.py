@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -125,3 +126,45 @@ def test_messages():
     a, b = np.arange(5, dtype=np.int64) - 2, np.array([], np.uint8)
     x, y = unpack(pack(a, b), np.int64, np.uint8)
     assert x.tolist() == a.tolist() and y.tolist() == []
+
+
+def test_batches_are_hashed_a_stride_at_a_time(monkeypatch):
+    rng = np.random.default_rng(8)
+    sizes = rng.choice([0, 30, 49, 50, 51, 400, 9000], 700)
+    raw, ends, part = rng.integers(97, 123, sizes.sum()).astype(np.uint8), np.cumsum(sizes), rng.random(700) < 0.9
+    total = repeats.sums(raw)
+    repeats.runs(total, ends, part, 50)
+    tracemalloc.start()
+    got = repeats.runs(total, ends, part, 50)
+    assert tracemalloc.get_traced_memory()[1] < 3 * total.nbytes
+    tracemalloc.stop()
+    windows = np.maximum(sizes - 49, 0) * part
+    assert np.array_equal(np.bincount(got.doc, got.count, 700), windows)
+    assert np.array_equal(repeats.ranges(got.start, got.count), repeats.ranges(ends - sizes, windows))
+    for stride in (100, 1 << 30):
+        monkeypatch.setattr(repeats, "STRIDE", stride)
+        assert np.array_equal(repeats.sums(raw), total)
+        again = repeats.runs(total, ends, part, 50)
+        for x in ("doc", "start", "count", "hash"):
+            assert np.array_equal(getattr(got, x), getattr(again, x))
+
+
+def test_parts_of_a_block(monkeypatch):
+    rng = np.random.default_rng(9)
+    passages = [rng.integers(97, 101, 400).astype(np.uint8) for _ in range(9)]
+    sent = []
+    for first in (0, 100):
+        texts = [np.concatenate([passages[k][rng.integers(0, 200) :] for k in rng.integers(0, 9, 4)]) for _ in range(30)]
+        ids, sizes = np.arange(first, first + 30), np.array([len(t) for t in texts], np.int64)
+        batch = repeats.Batch(pack(ids, np.ones(30, np.uint8), sizes, np.concatenate(texts)), Settings())
+        hashes = batch.anchors()[0]
+        ((_, arrays),) = batch.segments(hashes, np.zeros(len(hashes), np.uint8)).messages(1)
+        sent.append((str(first), pack(*arrays)))
+    found, least = [], repeats.least_documents
+    for size in (2000, 1 << 30):
+        calls = []
+        monkeypatch.setattr(repeats, "PART_BYTES", size)
+        monkeypatch.setattr(repeats, "least_documents", lambda *a, calls=calls: calls.append(1) or least(*a))
+        found.append([(name, [x.tolist() for x in unpack(blob, np.int32, np.int64)]) for name, blob in repeats.solve(sent, 50)])
+        assert (len(calls) > 1) == (size == 2000)
+    assert found[0] == found[1] and found[0]
