@@ -56,10 +56,15 @@ SHIFTS = (0, 17, 34)
 GRAM = 5
 #: Characters of documents that are embedded together.
 CHUNK = 1 << 17
+#: Sections that are walked together, few enough for the processor's cache.
+SECTIONS = 1 << 13
 
 #: Which characters are blanks to str.split; none is behind the last of the table.
 _BLANK = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
 
+#: A factor for each step of a walk.
+_ODD = mix(np.arange(1, 57, dtype=np.uint64)) | np.uint64(1)
+
 SCHEMA = "doc_id long, item_id long, start long, end long, distance long"
 #: A stretch of a document with sections that passed the filter: begin and text as in the document, places of keys in its normal form.
 _FOUND = "row string, doc_id long, hash long, start long, text string, keys array<struct<key:long,low:int,high:int>>"
@@ -129,35 +134,31 @@ class Walks:
 
     def keys(self, codes: np.ndarray, start: np.ndarray) -> Iterator[np.ndarray]:
         """For each sample the keys of the sections that begin at `start`. codes end in `steps` further symbols."""
-        width = -(-self.sampled // 8) * 8
-        packed = np.zeros((len(start), width), np.uint8)
-        now, walked = np.empty(len(start), np.uint64), np.empty((self.steps, len(start)), np.uint8)
-        for walk, (forward, picks) in enumerate(_drawn(self)):
+        now, product = np.empty(len(start), np.uint64), np.empty(len(start), np.uint64)
+        for walk, (forward, sampled) in enumerate(_drawn(self)):
             at, text = start.astype(np.int64), forward.take(codes)
+            totals = [np.full(len(start), (1 + walk * PER_WALK + sample + (self.least << 16)) * 0x9E3779B97F4A7C15 % (1 << 64), np.uint64) for sample in range(PER_WALK)]
             for step in range(self.steps):
-                np.take(text, at, out=now, mode="clip")
-                np.copyto(walked[step], now, casting="unsafe")  # the low byte, the symbol
+                text.take(at, out=now, mode="clip")
+                # a symbol's word is random, and odd multiples of it tell the steps apart
+                np.multiply(now, _ODD[step], out=product)
+                for sample in sampled[step]:
+                    totals[sample] += product
                 now >>= np.uint64(8 + step)
                 now &= np.uint64(1)
                 at += now.view(np.int64)
-            for sample, pick in enumerate(picks):
-                for i, step in enumerate(pick.tolist()):
-                    packed[:, i] = walked[step]
-                words = packed.view(np.uint64)
-                key = words[:, 0] ^ np.uint64((1 + walk * PER_WALK + sample + (self.least << 16)) * 0x9E3779B97F4A7C15 % (1 << 64))
-                for w in range(1, width // 8):
-                    key = (key ^ key >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) + words[:, w]
-                yield mix(key)
+            yield from map(mix, totals)
 
 
 @lru_cache(64)
-def _drawn(walks: Walks) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+def _drawn(walks: Walks) -> list[tuple[np.ndarray, list[list[int]]]]:
     """For each walk a word for each symbol, which holds the symbol and whether it advances the walk at each step, and
-    the steps that are sampled. More walks begin like fewer."""
+    for each step the samples that it is in. More walks begin like fewer."""
     rng, out = np.random.default_rng((5, walks.least, walks.steps)), []
     for _ in range(walks.walks):
         forward = rng.integers(0, 1 << 56, 256, np.uint64) << np.uint64(8) | np.arange(256, dtype=np.uint64)
-        out.append((forward, [np.sort(rng.permutation(walks.steps)[: walks.sampled]) for _ in range(PER_WALK)]))
+        picks = [set(rng.permutation(walks.steps)[: walks.sampled].tolist()) for _ in range(PER_WALK)]
+        out.append((forward, [[sample for sample, pick in enumerate(picks) if step in pick] for step in range(walks.steps)]))
     return out
 
 
@@ -370,24 +371,37 @@ def _filter(keys: DataFrame) -> np.ndarray:
     return out
 
 
-def passing(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Places of the keys that the filter may hold."""
-    words, mask = bits.view(np.uint64), np.uint64(8 * len(bits) - 1)
+def held(bits: np.ndarray, key: np.ndarray, shift: int = 0) -> np.ndarray:
+    """Is the bit set whose place the keys hold from `shift` on?"""
+    byte = key >> np.uint64(3 + shift)
+    byte &= np.uint64(len(bits) - 1)
+    found, place = bits.take(byte.view(np.int64)), (key >> np.uint64(shift) if shift else key).astype(np.uint8)
+    place &= np.uint8(7)
+    found >>= place
+    found &= np.uint8(1)
+    return found.view(bool)
 
-    def look(k: np.ndarray) -> np.ndarray:
-        found = words.take((k >> np.uint64(6)).view(np.int64))
-        found >>= k & np.uint64(63)
-        found &= np.uint64(1)
-        return found
 
-    which = np.flatnonzero(look(key & mask))
+def passing(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Places of the keys that the filter may hold."""
+    which = np.flatnonzero(held(bits, key))
     for again in (False, True):
         for n in SHIFTS:
             some = mix(key[which]) if again else key[which]
-            which = which[look(some >> np.uint64(n) & mask) > 0]
+            which = which[held(bits, some, n)]
     return which
 
 
+def met(bits: np.ndarray, keys: Iterator[np.ndarray], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of arrays of keys, each of the sections that begin at `at`, those that the filter may hold, and their sections.
+
+    The first bit leaves few keys of each array; the other bits of all are looked up together."""
+    few = [(key[which], at[which]) for key in keys for which in [np.flatnonzero(held(bits, key))]]
+    key, begin = (np.concatenate(c) for c in zip(*few, strict=True))
+    which = passing(bits, key)
+    return key[which], begin[which]
+
+
 # documents ------------------------------------------------------------------------------------
 
 
@@ -398,11 +412,11 @@ def found_sections(texts: list[str], bits: np.ndarray, plan: Plan) -> dict[int,
     codes = symbols("\x00".join(texts) + "\x00" * (1 + max([w.steps for w in plan.kinds], default=EXACT)))
     got: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for walks, reach in zip(plan.kinds, plan.reach, strict=True):
-        for begin in range(0, int(begins[-1]), CHUNK):
-            at = np.arange(begin, min(begin + CHUNK, int(begins[-1])), walks.stride)
-            for key in walks.keys(codes, at):
-                which = passing(bits, key)
-                got.append((key[which], at[which], np.full(len(which), reach)))
+        span = SECTIONS * walks.stride
+        for begin in range(0, int(begins[-1]), span):
+            at = np.arange(0, min(span, int(begins[-1]) - begin), walks.stride)
+            key, at = met(bits, walks.keys(codes[begin : begin + span + walks.steps], at), at)
+            got.append((key, at + begin, np.full(len(key), reach)))
     if plan.exact:
         blank = np.concatenate([[True], (codes == symbols(" ")[0])[:-1] | (codes == symbols("\x00")[0])[:-1]])
         at = np.flatnonzero(blank[: begins[-1]])

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+from lintel.llm import decontaminate
 from lintel.llm.decontaminate import KINDS, PER_WALK, Settings, _filter, _myers, clean_rows, contaminations, distance, edited, normal, offsets, passing, planned
 
 
@@ -130,3 +131,38 @@ def test_filter_holds_its_keys(spark):
     bits = _filter(spark.createDataFrame(rows, "key long, again long"))
     found = passing(bits, keys)
     assert set(range(4000)) <= set(found.tolist()) and len(found) < 4010
+
+
+def test_long_texts_are_walked_a_few_sections_at_a_time(monkeypatch):
+    rng = np.random.default_rng(6)
+    bits = rng.integers(0, 256, 1 << 12).astype(np.uint8)
+    texts = ["".join(map(chr, rng.integers(97, 123, n))) for n in (90, 40_000, 0, 5, 150_000, 700)]
+    plan = decontaminate.Plan((decontaminate.Walks(80, 44, 8, 2, 20), decontaminate.Walks(16, 24, 2, 1, 12)), (7,), (200, 90))
+    most, keys = [], decontaminate.Walks.keys
+    monkeypatch.setattr(decontaminate.Walks, "keys", lambda self, codes, start: most.append(len(codes) - self.steps - 8192 * self.stride) or keys(self, codes, start))
+    found = []
+    for size in (8192, 1000, 1 << 20):
+        monkeypatch.setattr(decontaminate, "SECTIONS", size, raising=False)
+        got = decontaminate.found_sections(texts, bits, plan)
+        assert size > 8192 or max(most) <= 0
+        found.append({d: sorted(zip(*(x.tolist() for x in sections), strict=True)) for d, sections in got.items()})
+    assert found[0] == found[1] == found[2] and set(found[0]) >= {1, 4}
+
+
+def test_keys_tell_sampled_symbols_apart():
+    walks = decontaminate.Walks(80, 44, 8, 2, 20)
+    rng = np.random.default_rng(7)
+    codes = np.concatenate([rng.integers(97, 99, 200).astype(np.uint8)] * 2 + [rng.integers(0, 256, 200).astype(np.uint8), np.zeros(walks.steps, np.uint8)])
+    keys = iter(walks.keys(codes, np.arange(600)))
+    for forward, sampled in decontaminate._drawn(walks):
+        symbols = [[] for _ in range(600)]
+        for k, seen in enumerate(symbols):
+            for step in range(walks.steps):
+                seen.append(int(codes[k]))
+                k += int(forward[codes[k]]) >> 8 + step & 1
+        for sample in range(PER_WALK):
+            steps = [step for step in range(walks.steps) if sample in sampled[step]]
+            assert len(steps) == walks.sampled
+            picked = [tuple(seen[step] for step in steps) for seen in symbols]
+            key = next(keys).tolist()
+            assert len(set(key)) == len(set(picked)) == len(set(zip(key, picked, strict=True))) < 600
